@@ -59,3 +59,87 @@ def q_hotspots(spark, sf_dir):
 def q_events_per_region(spark, sf_dir):
     """Events inside each region, last 30 days (reference semantics)."""
     return analytics.events_per_region(spatial_events(spark, sf_dir), regions(spark), AS_OF)
+
+
+# --------------------------------------------------------------------------
+# validation, partitioned write, run metrics
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from civicflow.functions import quality as Q  # noqa: E402
+from civicflow.operators import validate as V  # noqa: E402
+from civicflow.plans import ingest  # noqa: E402
+from civicflow.schemas import PIPELINE_METRICS  # noqa: E402
+
+# first attempts of the runs before this landing day failed and were retried
+RETRY_BEFORE = "2024-01-20"
+
+
+def checked_events(spark, sf_dir):
+    return V.check(fixtures.raw_ev(spark, sf_dir))
+
+
+@register("validate_events")
+def q_validate_events(spark, sf_dir):
+    """Range checks and reject reasons for every bronze row."""
+    c = checked_events(spark, sf_dir)
+    return c.select("id", "lat_ok", "lon_ok", "value_ok", "is_valid",
+                    Q.reason_text(F.col("reasons")).alias("reasons"))
+
+
+@register("valid_events")
+def q_valid_events(spark, sf_dir):
+    """Rows passing all checks, typed."""
+    return V.valid(checked_events(spark, sf_dir))
+
+
+@register("reject_events")
+def q_reject_events(spark, sf_dir):
+    """Reject rows with run id, reasons and log line."""
+    return ingest.reject_rows(checked_events(spark, sf_dir)).drop("run_date")
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """Per-run counters, error rate and the 5 % flag."""
+    return ingest.run_metrics(checked_events(spark, sf_dir))
+
+
+@register("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    """Write clean Parquet by date/category, read it back, count."""
+    root = session.scratch(spark, "ingest")
+    ingest.validate_and_partition(spark, fixtures.raw_ev(spark, sf_dir), f"{root}/clean/events",
+                                  f"{root}/rejects")
+    written = spark.read.option("basePath", f"{root}/clean/events").parquet(f"{root}/clean/events")
+    return written.groupBy("date", "category").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _metrics_attempts(spark, sf_dir):
+    """Two attempts of every daily run: the first ones before RETRY_BEFORE
+    failed (nothing written), the retries of all days succeeded."""
+    raw = fixtures.raw_ev(spark, sf_dir)
+    first = ingest.run_metrics(V.check(raw.where(F.col("ds") < F.lit(RETRY_BEFORE).cast("date"))))
+    first_rows = ingest.metrics_rows(
+        first, F.lit(ingest.STATUS_FAILED), F.lit("attempt 1 failed"),
+        F.col("execution_date") + F.expr("INTERVAL 1 HOUR"), rows_written=F.lit(0))
+    target = first_rows.withColumn("started_at", F.col("finished_at")).select(
+        *[F.col(f.name).cast(f.dataType) for f in PIPELINE_METRICS.fields])
+    retry = ingest.metrics_rows(
+        ingest.run_metrics(V.check(raw)), F.lit(ingest.STATUS_SUCCESS), F.lit(None),
+        F.col("execution_date") + F.expr("INTERVAL 2 HOURS"))
+    return target, retry
+
+
+@register("metrics_upsert")
+def q_metrics_upsert(spark, sf_dir):
+    """ON CONFLICT (run_id, table_target) partial update."""
+    target, retry = _metrics_attempts(spark, sf_dir)
+    return ingest.upsert_metrics(target, retry)
+
+
+@register("metrics_daily")
+def q_metrics_daily(spark, sf_dir):
+    """Run health per day and status over the metrics table."""
+    target, retry = _metrics_attempts(spark, sf_dir)
+    return ingest.metrics_daily(ingest.upsert_metrics(target, retry))
