@@ -143,3 +143,91 @@ def q_metrics_daily(spark, sf_dir):
     """Run health per day and status over the metrics table."""
     target, retry = _metrics_attempts(spark, sf_dir)
     return ingest.metrics_daily(ingest.upsert_metrics(target, retry))
+
+
+# --------------------------------------------------------------------------
+# citizen reports
+
+from civicflow.functions import dates as D  # noqa: E402
+from civicflow.functions import reports as R  # noqa: E402
+from civicflow.plans import reports  # noqa: E402
+
+# reports of files before this day were loaded by a first run
+REPORT_SPLIT_DAY = "date=2024-01-16"
+FIRST_LOAD_AT = "2024-01-16 00:00:00"
+SECOND_LOAD_AT = "2024-02-01 00:00:00"
+
+
+def report_docs(spark, sf_dir):
+    """Documents as a scan yields them: generated rows of (file, pos, variant).
+
+    Going through a generator (as the file scan's posexplode does) keeps
+    filters on normalised fields from being pushed into, and inlined with,
+    the text that builds each document.
+    """
+    d = fixtures.docs(spark, sf_dir)
+    row = F.struct(F.col("file_key"), F.col("pos"), F.try_parse_json("doc").alias("doc"))
+    return d.select(F.inline(F.array(row)))
+
+
+def _flat(table):
+    return table.select("external_id", "source_timestamp", "category", "commune", "quartier", "status",
+                        F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"),
+                        *[c for c in ("ingested_at",) if c in table.columns])
+
+
+@register("reports_format")
+def q_reports_format(spark, sf_dir):
+    """Document shape by first matching key-presence test."""
+    d = report_docs(spark, sf_dir)
+    return d.select("file_key", "pos", R.shape(F.col("doc")).alias("shape"))
+
+
+@register("reports_dates")
+def q_reports_dates(spark, sf_dir):
+    """Date normalisation of every document."""
+    d = report_docs(spark, sf_dir)
+    s = R.shape(F.col("doc"))
+    return d.select("file_key", "pos", D.normalize_date(R.date_field(F.col("doc"), s)).alias("source_timestamp"))
+
+
+@register("reports_normalize")
+def q_reports_normalize(spark, sf_dir):
+    """Every document in the unified schema."""
+    return reports.normalize(report_docs(spark, sf_dir)).drop("original_doc")
+
+
+@register("reports_dedupe")
+def q_reports_dedupe(spark, sf_dir):
+    """Reports with an id, last version per id."""
+    return reports.dedupe(reports.normalize(report_docs(spark, sf_dir))).drop("original_doc", "shape")
+
+
+def reports_table(spark, sf_dir):
+    """Two loads: files before REPORT_SPLIT_DAY, then the rest (K5 twice)."""
+    docs = report_docs(spark, sf_dir)
+    first = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(F.col("file_key") < REPORT_SPLIT_DAY))))
+    second = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(F.col("file_key") >= REPORT_SPLIT_DAY))))
+    t1 = reports.upsert_reports(reports.empty_table(spark), first, F.lit(FIRST_LOAD_AT).cast("timestamp_ntz"))
+    return reports.upsert_reports(t1, second, F.lit(SECOND_LOAD_AT).cast("timestamp_ntz"))
+
+
+@register("reports_upsert")
+def q_reports_upsert(spark, sf_dir):
+    """Upsert by external_id, ingested_at kept from the first load."""
+    return _flat(reports_table(spark, sf_dir))
+
+
+@register("reports_json_search")
+def q_reports_json_search(spark, sf_dir):
+    """Search the stored original documents by a JSON path value."""
+    t = reports_table(spark, sf_dir)
+    return reports.search(t, "$.status", "open").select("external_id", "category", "status")
+
+
+@register("reports_per_region")
+def q_reports_per_region(spark, sf_dir):
+    """Citizen reports inside each region (all regions kept)."""
+    t = reports_table(spark, sf_dir).where(F.col("geom").isNotNull())
+    pts = t.select(F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
+    return analytics.points_per_region(pts, regions(spark))

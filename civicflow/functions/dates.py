@@ -26,7 +26,10 @@ _NUMBER_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 # epoch seconds beyond year 9999 cannot be a timestamp
 _MAX_EPOCH = 253402300799
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def parse_date_text(text: Column) -> Column:
@@ -38,7 +41,7 @@ def parse_date_text(text: Column) -> Column:
 
 def epoch_seconds(secs: Column) -> Column:
     """Epoch seconds (decimal) → UTC ``timestamp_ntz``, no session zone involved."""
-    return F.when(F.abs(secs) <= _MAX_EPOCH, EPOCH + F.make_dt_interval(secs=secs.cast("decimal(18,6)")))
+    return F.when(F.abs(secs) <= _MAX_EPOCH, _epoch() + F.make_dt_interval(secs=secs.cast("decimal(18,6)")))
 
 
 def normalize_date(v: Column) -> Column:

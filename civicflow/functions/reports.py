@@ -113,18 +113,20 @@ def category(doc: Column, shape_col: Column) -> Column:
     return expr
 
 
-def normalized_columns(doc: Column) -> list[Column]:
-    """All unified columns for a variant document column."""
-    s = shape(doc)
-    lat, lon = geo_lat_lon(doc, s)
+def field_columns(doc: Column, shape_col: Column) -> list[Column]:
+    """Unified fields of a document whose shape is already a column.
+
+    The date stays a variant (``ts_value``); ``normalize_date`` runs on it in
+    a following projection so its type tests read one column, not a CASE.
+    """
+    lat, lon = geo_lat_lon(doc, shape_col)
     return [
-        s.alias("shape"),
-        field(doc, s, "external_id").alias("external_id"),
-        normalize_date(date_field(doc, s)).alias("source_timestamp"),
-        category(doc, s).alias("category"),
-        field(doc, s, "commune").alias("commune"),
-        field(doc, s, "quartier").alias("quartier"),
-        field(doc, s, "status").alias("status"),
+        field(doc, shape_col, "external_id").alias("external_id"),
+        date_field(doc, shape_col).alias("ts_value"),
+        category(doc, shape_col).alias("category"),
+        field(doc, shape_col, "commune").alias("commune"),
+        field(doc, shape_col, "quartier").alias("quartier"),
+        field(doc, shape_col, "status").alias("status"),
         lat.alias("lat"),
         lon.alias("lon"),
     ]
