@@ -231,3 +231,125 @@ def q_reports_per_region(spark, sf_dir):
     t = reports_table(spark, sf_dir).where(F.col("geom").isNotNull())
     pts = t.select(F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
     return analytics.points_per_region(pts, regions(spark))
+
+
+# --------------------------------------------------------------------------
+# file round trips: bronze CSV, clean Parquet, raw_events, spatial events
+
+from civicflow.plans import loads  # noqa: E402
+from civicflow.sinks import landing  # noqa: E402
+from civicflow.sources import events_files, json_reports  # noqa: E402
+
+# two landings: the days before SECOND_LANDING, then the rest
+SECOND_LANDING = "2024-01-16"
+LOAD_IDS = ("2024-01-16T00:00:00", "2024-02-01T00:00:00")
+# a second source re-sends the events of these days with its own values
+RESEND_FROM = "2024-01-25"
+
+
+def _land_and_load(spark, sf_dir):
+    """Validate + partition each landing, then run the full-history clean
+    load after each one.  Returns (root, [totals of each load])."""
+    root = session.scratch(spark, "loads")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    split = F.lit(SECOND_LANDING).cast("date")
+    totals = []
+    for part, load_id in ((raw.where(F.col("ds") < split), LOAD_IDS[0]),
+                          (raw.where(F.col("ds") >= split), LOAD_IDS[1])):
+        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects")
+        totals.append(loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", load_id))
+    return root, totals
+
+
+def _flat_events(df):
+    return df.select("id", "ts", F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"),
+                     F.col("value").cast("double").alias("value"), "category", "source")
+
+
+@register("scan_clean_events")
+def q_scan_clean_events(spark, sf_dir):
+    """Recursive scan of the clean partitions (category from path)."""
+    root, _ = _land_and_load(spark, sf_dir)
+    return events_files.scan_clean(spark, f"{root}/clean/events")
+
+
+@register("raw_events_append")
+def q_raw_events_append(spark, sf_dir):
+    """K3: full-history append per load (one copy of a row per load)."""
+    root, _ = _land_and_load(spark, sf_dir)
+    return spark.read.parquet(f"{root}/raw_events")
+
+
+@register("load_totals")
+def q_load_totals(spark, sf_dir):
+    """Files and rows loaded by each clean load."""
+    _, totals = _land_and_load(spark, sf_dir)
+    return totals[0].unionByName(totals[1])
+
+
+@register("raw_to_spatial")
+def q_raw_to_spatial(spark, sf_dir):
+    """raw_events → one typed spatial row per id."""
+    root, _ = _land_and_load(spark, sf_dir)
+    return _flat_events(loads.raw_to_spatial(spark.read.parquet(f"{root}/raw_events")))
+
+
+@register("events_upsert")
+def q_events_upsert(spark, sf_dir):
+    """Upsert by id; a re-sent event replaces all five columns."""
+    root, _ = _land_and_load(spark, sf_dir)
+    table = loads.raw_to_spatial(spark.read.parquet(f"{root}/raw_events"))
+    resend = (fixtures.ev_geo(spark, sf_dir)
+              .where(F.col("ts") >= F.lit(RESEND_FROM).cast("timestamp_ntz"))
+              .select("id", "ts", "longitude", "latitude", (F.col("value") * 10).alias("value"),
+                      F.upper("category").alias("category"), F.lit("resend").alias("source")))
+    return _flat_events(loads.upsert_events(table, to_spatial(resend)))
+
+
+@register("scan_csv_events")
+def q_scan_csv_events(spark, sf_dir):
+    """Bronze CSV per landing day, read back as text, typed by the checks."""
+    root = session.scratch(spark, "csv")
+    events_files.write_csv_export(fixtures.raw_ev(spark, sf_dir), f"{root}/raw/events", partition_col="ds")
+    raw = events_files.scan_csv(spark, f"{root}/raw/events")
+    checked = V.check(raw)
+    return checked.select("id", F.col("_ts").alias("ts"), F.col("_lat").alias("latitude"),
+                          F.col("_lon").alias("longitude"), "value", "category", "source", "ds")
+
+
+@register("bronze_land")
+def q_bronze_land(spark, sf_dir):
+    """Land every configured source under name/date=ds/, count what landed."""
+    root = session.scratch(spark, "bronze")
+    events_files.write_csv_export(fixtures.raw_ev(spark, sf_dir), f"{root}/exports/events.csv")
+    docs = fixtures.docs(spark, sf_dir).select(F.substring("file_key", 6, 10).alias("date"), "pos", "doc")
+    landing.write_json_lists(docs, f"{root}/exports/demandes_services.json")
+    config = F.to_json(F.array(
+        F.struct(F.lit("events").alias("name"), F.lit(f"{root}/exports/events.csv").alias("path")),
+        F.struct(F.lit("Demandes Services").alias("name"),
+                 F.lit(f"{root}/exports/demandes_services.json").alias("path"))))
+    spark.range(1).select(config.alias("value")).coalesce(1).write.text(f"{root}/sources.json")
+    landing.land_all(spark, f"{root}/sources.json", f"{root}/raw", ds="2024-02-01")
+    events = events_files.scan_csv(spark, f"{root}/raw/events")
+    reports_docs = json_reports.scan(spark, f"{root}/raw/demandes_services")
+    return (events.groupBy("ds").agg(F.count(F.lit(1)).alias("records")).select(
+                F.lit("events").alias("source"), F.col("ds").cast("date").alias("ds"), "records")
+            .unionByName(reports_docs.select(F.regexp_extract("file_path", r"/date=([0-9-]+)/", 1).alias("ds"))
+                         .groupBy("ds").agg(F.count(F.lit(1)).alias("records"))
+                         .select(F.lit("demandes_services").alias("source"), F.col("ds").cast("date").alias("ds"),
+                                 "records")))
+
+
+@register("scan_json_reports")
+def q_scan_json_reports(spark, sf_dir):
+    """JSON list files → documents with file and in-file position."""
+    root = session.scratch(spark, "json")
+    docs = fixtures.docs(spark, sf_dir).select(F.substring("file_key", 6, 10).alias("date"), "pos", "doc")
+    landing.write_json_lists(docs, f"{root}/raw/demandes_services")
+    scanned = json_reports.scan(spark, f"{root}/raw/demandes_services")
+    s = R.shape(F.col("doc"))
+    return scanned.select(
+        F.regexp_extract("file_path", r"/date=([0-9-]+)/", 1).cast("date").alias("file_date"),
+        F.regexp_extract("file_path", r"/chunk=([0-9]+)/", 1).cast("long").alias("chunk"),
+        F.col("pos").cast("long").alias("pos"), s.alias("shape"),
+        R.field(F.col("doc"), s, "external_id").alias("external_id"))

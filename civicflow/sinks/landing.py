@@ -51,12 +51,16 @@ def land_source(spark: SparkSession, name: str, source_path: str, raw_root: str,
     target = f"{raw_root.rstrip('/')}/{name}"
     ext = os.path.splitext(source_path.rstrip("/"))[1].lower()
     if ext == ".csv" or source_path.rstrip("/").endswith("csv"):
-        df = spark.read.option("header", True).option("inferSchema", False).csv(source_path)
+        df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("recursiveFileLookup", "true").csv(source_path))
         (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date")
          .option("header", True).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(target))
     else:
-        df = spark.read.text(source_path, wholetext=True)
-        df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date").text(target)
+        # one row per source file, written back one file per row: a file's
+        # text is never split or concatenated with another file
+        df = spark.read.option("recursiveFileLookup", "true").text(source_path, wholetext=True).select("value")
+        (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date")
+         .option("maxRecordsPerFile", 1).text(target))
     return target
 
 
