@@ -353,3 +353,45 @@ def q_scan_json_reports(spark, sf_dir):
         F.regexp_extract("file_path", r"/chunk=([0-9]+)/", 1).cast("long").alias("chunk"),
         F.col("pos").cast("long").alias("pos"), s.alias("shape"),
         R.field(F.col("doc"), s, "external_id").alias("external_id"))
+
+
+# --------------------------------------------------------------------------
+# constraint checks, incremental streaming load
+
+from civicflow.operators import constraints as C  # noqa: E402
+from civicflow.streaming import incremental  # noqa: E402
+
+
+@register("constraint_checks")
+def q_constraint_checks(spark, sf_dir):
+    """NOT NULL / UNIQUE violations of report, metrics and region tables."""
+    batch = reports.normalize(report_docs(spark, sf_dir))
+    table = reports_table(spark, sf_dir)
+    target, retry = _metrics_attempts(spark, sf_dir)
+    attempts = target.unionByName(retry, allowMissingColumns=True)
+    metrics = ingest.upsert_metrics(target, retry)
+    regs = regions(spark)
+    return C.report(
+        C.not_null(batch, "citizen_reports_batch", ["external_id"]),
+        C.unique(batch, "citizen_reports_batch", ["external_id"]),
+        C.not_null(table, "citizen_reports", ["external_id"]),
+        C.unique(table, "citizen_reports", ["external_id"]),
+        C.unique(attempts, "pipeline_metrics_inserts", ["run_id", "table_target"]),
+        C.not_null(metrics, "pipeline_metrics", ["dag_id", "run_id", "table_target", "execution_date", "status"]),
+        C.unique(metrics, "pipeline_metrics", ["run_id", "table_target"]),
+        C.not_null(regs, "regions", ["name"]),
+        C.unique(regs, "regions", ["name"]),
+    )
+
+
+@register("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    """File stream over the clean partitions, availableNow, upsert per batch."""
+    root = session.scratch(spark, "stream")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    split = F.lit(SECOND_LANDING).cast("date")
+    for part in (raw.where(F.col("ds") < split), raw.where(F.col("ds") >= split)):
+        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects")
+        incremental.run_available(spark, f"{root}/clean/events", f"{root}/tables/events",
+                                  f"{root}/_checkpoints/events_load")
+    return _flat_events(incremental.events_table(spark, f"{root}/tables/events").read())
