@@ -1,10 +1,15 @@
 """Keyed upsert on immutable snapshots (``INSERT … ON CONFLICT DO UPDATE``).
 
-Parquet has no MERGE, so an upsert computes the next snapshot: a full
-outer join of the current snapshot with the (deduplicated) batch on the
-key, choosing per column whether the batch value replaces the current one.
-One shuffle on the key for each side; a snapshot stored hash-partitioned on
-the key (``bucketBy``) joins without moving the target.
+Parquet has no MERGE, so an upsert computes the next snapshot from the
+current one and a batch that is unique on the key.  Two plans:
+
+* **broadcast** (batch row count checked under ``broadcast_max_rows``): the
+  target is joined, left outer, with the broadcast batch, and the keys that
+  are new are found by a semi-join of the target with the broadcast batch
+  keys.  The target is streamed twice and never shuffled — the daily case
+  of a small batch against a large table.
+* **shuffle**: one full outer join on the key (both sides hash-partitioned;
+  a snapshot written bucketed on the key joins without moving the target).
 
 ``keep_last`` deduplicates a batch with ``max_by`` over a packed row:
 partial aggregation runs before the shuffle, so a key holding a third of
@@ -19,7 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.session import shared_dir
+
 _PRESENT = "_present"
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def orderable_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -33,47 +41,77 @@ def keep_last(df: DataFrame, key: list[str], order: list[Column | str], tie_brea
     """One row per key: the one with the greatest ``order`` (D1, K4 dedupe).
 
     With ``tie_break_all`` every orderable column is appended to the order,
-    so the choice is deterministic even for exact duplicates.
+    so the choice is deterministic even for exact duplicates.  The key
+    columns come from the grouping itself, so the result stays
+    hash-partitioned on the key and a following join on it needs no shuffle.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if tie_break_all:
         order_cols += [F.col(c) for c in orderable_columns(df, key)]
     ordering = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    packed = F.struct(*[F.col(c) for c in df.columns])
-    return (df.groupBy(*key).agg(F.max_by(packed, ordering).alias("_row"))
-            .select(*[F.col(f"_row.{c}").alias(c) for c in df.columns]))
+    rest = [c for c in df.columns if c not in key]
+    packed = F.struct(*[F.col(c) for c in rest])
+    picked = df.groupBy(*key).agg(F.max_by(packed, ordering).alias("_row"))
+    return picked.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def _merged_columns(target: DataFrame, batch: DataFrame, key: list[str], replace: set[str],
+                    defaults: Mapping[str, Column], in_t: Column, in_b: Column) -> list[Column]:
+    out = []
+    for f in target.schema.fields:
+        c = f.name
+        tv = F.col(f"t.{c}")
+        bv = F.col(f"b.{c}") if c in batch.columns else defaults.get(c, F.lit(None)).cast(f.dataType)
+        if c in key:
+            value = F.coalesce(tv, bv)
+        elif c in replace:
+            value = F.when(in_b, bv).otherwise(tv)
+        else:
+            value = F.when(in_t, tv).otherwise(bv)
+        out.append(value.cast(f.dataType).alias(c))
+    return out
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterable[str],
-           insert_defaults: Mapping[str, Column] | None = None) -> DataFrame:
+           insert_defaults: Mapping[str, Column] | None = None, strategy: str = "auto",
+           broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Next snapshot of ``target`` after upserting ``batch`` (unique on ``key``).
 
     * key not in target → the batch row is inserted; target columns the batch
       does not carry take ``insert_defaults`` (SQL column defaults) or NULL;
     * key in both → columns in ``replace`` take the batch value (NULLs
       included, as ``EXCLUDED.col`` does); every other column is kept.
+
+    ``strategy`` is ``"broadcast"``, ``"shuffle"`` or ``"auto"`` (checkpoint
+    the batch, count it and broadcast only under ``broadcast_max_rows``).
     """
     replace = set(replace)
     defaults = dict(insert_defaults or {})
+    if strategy == "auto":
+        # the batch is computed once, written to the shared checkpoint folder
+        # (a lineage cut that survives executor loss) and counted from there
+        shared_dir(batch.sparkSession)
+        batch = batch.checkpoint(eager=True)
+        strategy = "broadcast" if batch.count() <= broadcast_max_rows else "shuffle"
     t = target.withColumn(_PRESENT, F.lit(True)).alias("t")
     b = batch.withColumn(_PRESENT, F.lit(True)).alias("b")
     cond = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in key]
-    joined = t.join(b, cond, "full_outer")
-    in_t = F.col(f"t.{_PRESENT}").isNotNull()
-    in_b = F.col(f"b.{_PRESENT}").isNotNull()
-    out = []
-    for f in target.schema.fields:
-        c = f.name
-        tv = F.col(f"t.{c}")
-        if c in batch.columns:
-            bv = F.col(f"b.{c}")
-        else:
-            bv = defaults.get(c, F.lit(None)).cast(f.dataType)
-        if c in key:
-            value = F.coalesce(tv, bv)
-        elif c in replace:
-            value = F.when(in_b, bv).otherwise(tv)
-        else:
-            value = F.when(in_t, tv).otherwise(bv)
-        out.append(value.cast(f.dataType).alias(c))
-    return joined.select(*out)
+    in_t, in_b = F.col(f"t.{_PRESENT}").isNotNull(), F.col(f"b.{_PRESENT}").isNotNull()
+    if strategy == "shuffle":
+        joined = t.join(b, cond, "full_outer")
+        return joined.select(*_merged_columns(target, batch, key, replace, defaults, in_t, in_b))
+    if strategy != "broadcast":
+        raise ValueError(f"unknown upsert strategy {strategy!r}")
+    kept_or_updated = t.join(F.broadcast(b), cond, "left_outer").select(
+        *_merged_columns(target, batch, key, replace, defaults, in_t, in_b))
+    existing = target.select(*key).join(F.broadcast(batch.select(*key)), key, "left_semi")
+    new_rows = batch.join(existing, key, "left_anti").withColumn(_PRESENT, F.lit(True)).alias("b")
+    inserted = new_rows.select(*[
+        (F.col(f"b.{f.name}") if f.name in batch.columns else defaults.get(f.name, F.lit(None)))
+        .cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return kept_or_updated.unionByName(inserted)
+
+
+def empty(spark, schema: T.StructType) -> DataFrame:
+    """An empty table of ``schema`` built in the JVM (no Python-side rows)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions import reports as R
 from civicflow.functions.dates import normalize_date
-from civicflow.operators.upsert import keep_last, upsert
+from civicflow.operators.upsert import empty, keep_last, upsert
 from civicflow.schemas import CITIZEN_REPORTS
 
 REPORT_KEY = ["external_id"]
@@ -60,7 +60,7 @@ def upsert_reports(table: DataFrame, batch_rows: DataFrame, ingested_at: Column)
 
 
 def empty_table(spark) -> DataFrame:
-    return spark.createDataFrame([], CITIZEN_REPORTS)
+    return empty(spark, CITIZEN_REPORTS)
 
 
 def search(table: DataFrame, path: str, value: str) -> DataFrame:

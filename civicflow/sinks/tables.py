@@ -71,7 +71,8 @@ class Snapshot:
     def read(self) -> DataFrame:
         vs = self.versions()
         if not vs:
-            return self.spark.createDataFrame([], self.schema)
+            from civicflow.operators.upsert import empty
+            return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={vs[-1]}")
 
     def commit(self, df: DataFrame) -> int:

@@ -43,3 +43,15 @@ def test_reports_ingested_at_is_kept(spark):
                                 F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
     r = t2.first()
     assert r["category"] == "two" and str(r["ingested_at"]) == "2024-01-01 00:00:00"
+
+
+def test_broadcast_and_shuffle_plans_agree(spark):
+    target = spark.range(0, 1000).selectExpr("id AS k", "CAST(id AS STRING) AS r", "'t' AS kept")
+    batch = spark.range(900, 1100).selectExpr("id AS k", "CAST(id * 2 AS STRING) AS r", "'b' AS kept")
+    a = upsert(target, batch, ["k"], ["r"], strategy="broadcast")
+    b = upsert(target, batch, ["k"], ["r"], strategy="shuffle")
+    assert _rows(a) == _rows(b)
+    assert a.count() == 1100
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    # the target side of the broadcast plan is never hash-partitioned on the key
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
