@@ -32,10 +32,24 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+# Digit-shape guard of each layout: a layout is only tried on text of its
+# shape, so a parse attempt that is bound to fail (and to throw inside the
+# parser) is skipped.  Each guard admits everything its layout can parse.
+_D = "[0-9]+"
+LAYOUT_GUARDS = (
+    rf"^{_D}-{_D}-{_D}$",
+    rf"^{_D}/{_D}/{_D}$",
+    rf"^{_D}/{_D}/{_D}$",
+    rf"^{_D}-{_D}-{_D}T{_D}:{_D}:{_D}\.{_D}$",
+    rf"^{_D}-{_D}-{_D}T{_D}:{_D}:{_D}$",
+)
+
+
 def parse_date_text(text: Column) -> Column:
     """Text → ``timestamp_ntz`` using the first layout that parses the whole text."""
     s = F.regexp_replace(text, r"^\s+|\s+$", "")
-    tried = [F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS]
+    tried = [F.when(s.rlike(guard), F.try_to_timestamp(s, F.lit(p)))
+             for p, guard in zip(DATE_PATTERNS, LAYOUT_GUARDS)]
     return F.coalesce(*tried).cast("timestamp_ntz")
 
 

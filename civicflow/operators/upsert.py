@@ -28,6 +28,35 @@ from civicflow.session import shared_dir
 
 _PRESENT = "_present"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+                T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: text, binary and variant by their length, the rest
+    by their fixed size."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 16)))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a DataFrame in one aggregation."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
+    return int(r["n"]), int(r["b"])
 
 
 def orderable_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -74,7 +103,8 @@ def _merged_columns(target: DataFrame, batch: DataFrame, key: list[str], replace
 
 def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterable[str],
            insert_defaults: Mapping[str, Column] | None = None, strategy: str = "auto",
-           broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+           broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Next snapshot of ``target`` after upserting ``batch`` (unique on ``key``).
 
     * key not in target → the batch row is inserted; target columns the batch
@@ -83,16 +113,19 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterabl
       included, as ``EXCLUDED.col`` does); every other column is kept.
 
     ``strategy`` is ``"broadcast"``, ``"shuffle"`` or ``"auto"`` (checkpoint
-    the batch, count it and broadcast only under ``broadcast_max_rows``).
+    the batch, measure it and broadcast only under both ``broadcast_max_rows``
+    and ``broadcast_max_bytes``).
     """
     replace = set(replace)
     defaults = dict(insert_defaults or {})
     if strategy == "auto":
         # the batch is computed once, written to the shared checkpoint folder
-        # (a lineage cut that survives executor loss) and counted from there
+        # (a lineage cut that survives executor loss) and measured from there
         shared_dir(batch.sparkSession)
         batch = batch.checkpoint(eager=True)
-        strategy = "broadcast" if batch.count() <= broadcast_max_rows else "shuffle"
+        rows, size = measure(batch)
+        small = rows <= broadcast_max_rows and size <= broadcast_max_bytes
+        strategy = "broadcast" if small else "shuffle"
     t = target.withColumn(_PRESENT, F.lit(True)).alias("t")
     b = batch.withColumn(_PRESENT, F.lit(True)).alias("b")
     cond = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in key]

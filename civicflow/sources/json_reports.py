@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicflow.operators.parallel import spread
+
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file_path, value)``: one row per file, whole text."""
@@ -37,8 +39,10 @@ def parse_files(files: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file_path, pos, doc variant)``, one row per document, file order kept."""
     parsed = parse_files(read_files(spark, path, glob))
-    return (parsed.where(F.col("docs").isNotNull())
+    docs = (parsed.where(F.col("docs").isNotNull())
             .select("file_path", F.posexplode("docs").alias("pos", "doc")))
+    # a whole file is one task: spread its documents before normalisation
+    return spread(docs)
 
 
 def quarantine(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -55,3 +55,16 @@ def test_broadcast_and_shuffle_plans_agree(spark):
     plan = a._jdf.queryExecution().executedPlan().toString()
     # the target side of the broadcast plan is never hash-partitioned on the key
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_auto_falls_back_to_shuffle_when_the_batch_is_too_big(spark):
+    from civicflow.operators.upsert import measure
+    target = spark.range(0, 100).selectExpr("id AS k", "repeat('x', 100) AS r")
+    batch = spark.range(50, 150).selectExpr("id AS k", "repeat('y', 100) AS r")
+    rows, size = measure(batch)
+    assert rows == 100 and size >= 100 * 100
+    small = upsert(target, batch, ["k"], ["r"], broadcast_max_bytes=10**9)
+    big = upsert(target, batch, ["k"], ["r"], broadcast_max_bytes=1000)
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert _rows(small) == _rows(big)
