@@ -132,3 +132,16 @@ def test_grid_cell_text_values(spark):
     df = spark.createDataFrame([(11, 88), (10, 103), (0, -5), (-12, 0)], "gx long, gy long")
     got = [r[0] for r in df.select(geo.grid_cell_text(F.col("gx"), F.col("gy"), 0.1)).collect()]
     assert got == ["POINT(1.1 8.8)", "POINT(1 10.3)", "POINT(0 -0.5)", "POINT(-1.2 0)"]
+
+
+def test_keep_all_regions_reports_every_region(spark):
+    import __spark_entry__ as entry  # noqa: F401
+    from civicflow import catalog
+    from civicflow.plans import analytics
+    from conftest import SMALL
+    ev = catalog.spatial_events(spark, SMALL)
+    strict = {r[0]: r[1] for r in analytics.events_per_region(ev, catalog.regions(spark), catalog.AS_OF).collect()}
+    every = {r[0]: r[1] for r in analytics.events_per_region(ev, catalog.regions(spark), catalog.AS_OF,
+                                                             keep_all_regions=True).collect()}
+    assert "OLD_ONLY" not in strict and every["OLD_ONLY"] == 0
+    assert all(every[k] == v for k, v in strict.items())

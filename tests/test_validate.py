@@ -56,3 +56,15 @@ def test_job_metrics_match_aggregate_and_rerun_is_idempotent(spark, tmp_dir):
     day = raw.where(F.col("ds") == F.lit("2024-01-05").cast("date"))
     ingest.validate_and_partition(spark, day, f"{tmp_dir}/clean", f"{tmp_dir}/rejects")
     assert spark.read.parquet(f"{tmp_dir}/clean").count() == m[1]
+
+
+def test_category_from_path_for_foreign_files(spark, tmp_dir):
+    from civicflow.sources.events_files import category_from_path
+    a = spark.createDataFrame([(1, None), (2, None)], "id int, category string")
+    b = spark.createDataFrame([(3, "own"), (4, None)], "id int, category string")
+    a.coalesce(1).write.parquet(f"{tmp_dir}/events/date=2024-01-01/category=noise/")
+    b.coalesce(1).write.parquet(f"{tmp_dir}/events/date=2024-01-01/category=other/")
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/events")
+    got = sorted(tuple(r) for r in category_from_path(df).select("id", "category").collect())
+    # a file with no category at all takes it from its path; otherwise the file's values stay
+    assert got == [(1, "noise"), (2, "noise"), (3, "own"), (4, None)]
