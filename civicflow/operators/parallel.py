@@ -15,11 +15,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def input_partitions(df: DataFrame) -> int:
-    """Partitions of the plan's output, from planning only (no job runs)."""
-    return df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+# plans containing any of these already have a shuffle (or a broadcast that
+# would have to run to be inspected): they are left alone
+_SHUFFLING = ("Exchange", "Join", "Aggregate", "Window", "Sort", "Subquery")
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Partitions of a scan-and-project plan, from planning only.
+
+    ``None`` for a plan with a shuffle, join or aggregate: asking such a plan
+    for its partitions could run its stages, and its partitioning is the
+    shuffle's anyway.
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    if any(node in plan.toString() for node in _SHUFFLING):
+        return None
+    return plan.execute().getNumPartitions()
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if input_partitions(df) < target else df
+    n = input_partitions(df)
+    return df.repartition(target) if n is not None and n < target else df

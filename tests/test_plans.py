@@ -33,3 +33,14 @@ def test_time_window_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
     # only the columns the query needs are read
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+
+
+def test_spread_only_touches_few_split_scans(spark):
+    from civicflow.operators.parallel import input_partitions, spread
+    scan = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert input_partitions(scan) == 1
+    assert "RoundRobinPartitioning" in _plan(spread(scan))
+    agg = scan.groupBy("event_type").count()
+    assert input_partitions(agg) is None and spread(agg) is agg
+    wide = spark.range(0, 100, 1, 16)
+    assert spread(wide, 8) is wide
