@@ -10,6 +10,7 @@ of that source only, so a rerun of the same day is idempotent.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +57,16 @@ def land_source(spark: SparkSession, name: str, source_path: str, raw_root: str,
         (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date")
          .option("header", True).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(target))
     else:
-        # one row per source file, written back one file per row: a file's
-        # text is never split or concatenated with another file
-        df = spark.read.option("recursiveFileLookup", "true").text(source_path, wholetext=True).select("value")
-        (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date")
+        # one row per source file, written back one file per row under a
+        # directory named by its path inside the source: a file's text is
+        # never split or merged, files keep their order (later file wins
+        # downstream) and a rerun of the day overwrites the same files
+        base = os.path.basename(source_path.rstrip("/"))
+        rel = F.regexp_extract(F.col("_metadata.file_path"), "/" + re.escape(base) + "(/.*)?$", 1)
+        df = (spark.read.option("recursiveFileLookup", "true").text(source_path, wholetext=True)
+              .select(F.coalesce(F.nullif(F.regexp_replace(rel, "^/", ""), F.lit("")), F.lit(base)).alias("src"),
+                      "value"))
+        (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date", "src")
          .option("maxRecordsPerFile", 1).text(target))
     return target
 
