@@ -247,9 +247,9 @@ LOAD_IDS = ("2024-01-16T00:00:00", "2024-02-01T00:00:00")
 RESEND_FROM = "2024-01-25"
 
 
-def _land_and_load(spark, sf_dir):
-    """Validate + partition each landing, then run the full-history clean
-    load after each one.  Returns (root, [totals of each load])."""
+def _land_and_load(spark, sf_dir, with_loads=True):
+    """Validate + partition each landing, then (``with_loads``) run the
+    full-history clean load after each one.  Returns (root, [totals])."""
     root = session.scratch(spark, "loads")
     raw = fixtures.raw_ev(spark, sf_dir)
     split = F.lit(SECOND_LANDING).cast("date")
@@ -257,7 +257,8 @@ def _land_and_load(spark, sf_dir):
     for part, load_id in ((raw.where(F.col("ds") < split), LOAD_IDS[0]),
                           (raw.where(F.col("ds") >= split), LOAD_IDS[1])):
         ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects")
-        totals.append(loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", load_id))
+        if with_loads:
+            totals.append(loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", load_id))
     return root, totals
 
 
@@ -269,7 +270,7 @@ def _flat_events(df):
 @register("scan_clean_events")
 def q_scan_clean_events(spark, sf_dir):
     """Recursive scan of the clean partitions (category from path)."""
-    root, _ = _land_and_load(spark, sf_dir)
+    root, _ = _land_and_load(spark, sf_dir, with_loads=False)
     return events_files.scan_clean(spark, f"{root}/clean/events")
 
 

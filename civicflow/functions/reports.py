@@ -40,8 +40,6 @@ SHAPES = (
 GEO_SHAPE, GEO_PATH = 3, "$.geo"
 PLACE_SHAPE, PLACE_PATH, PLACE_SEPARATOR = 5, "$.localisation", " - "
 
-FIELDS = ("external_id", "category", "commune", "quartier", "status")
-
 
 def has_key(doc: Column, key: str) -> Column:
     return F.try_variant_get(doc, f"$.{key}", "variant").isNotNull()

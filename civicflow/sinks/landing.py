@@ -15,7 +15,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, _fs
+from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_fs
 
 # documents per landed JSON file: bounds the whole-text read of each file
 DOCS_PER_FILE = 1000
@@ -30,7 +30,7 @@ def read_source_list(spark: SparkSession, config_path: str) -> list[tuple[str, s
 
     The list is a few lines of configuration, so it is read on the driver.
     """
-    fs, p, _ = _fs(spark, config_path)
+    fs, p, _ = hadoop_fs(spark, config_path)
     if not fs.exists(p):
         return []
     try:
@@ -46,7 +46,7 @@ def land_source(spark: SparkSession, name: str, source_path: str, raw_root: str,
     CSV keeps its header (read as text columns, written back with a header
     per file); anything else is copied file by file as whole text.
     """
-    fs, p, _ = _fs(spark, source_path)
+    fs, p, _ = hadoop_fs(spark, source_path)
     if not fs.exists(p):
         raise FileNotFoundError(f"source not found: {source_path}")
     target = f"{raw_root.rstrip('/')}/{name}"

@@ -39,7 +39,8 @@ def append(df: DataFrame, path: str) -> None:
 # --------------------------------------------------------------------------
 # snapshot tables: each upsert commits a new version directory
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path, jvm) for a path on any Hadoop file system."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
@@ -56,7 +57,7 @@ class Snapshot:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def versions(self) -> list[int]:
-        fs, p, jvm = _fs(self.spark, self.path)
+        fs, p, jvm = hadoop_fs(self.spark, self.path)
         if not fs.exists(p):
             return []
         out = []
