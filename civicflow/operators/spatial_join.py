@@ -9,13 +9,15 @@ point is given the cell it falls in, so the join is an equi-join on
    ``cell * 2**level``) at which it covers at most ``max_cells`` cells, so a
    country and a street block both stay small.
 2. points: one cell per level in use (usually one or two levels).
-3. equi-join, then bbox test, then the even-odd crossing test with boundary
-   exclusion.  A point has exactly one cell per level and a region one
-   level, so a (point, region) pair can only meet once: no distinct.
-
-The region side is broadcast only when its size, counted before the join,
-is under ``broadcast_max_edges`` replicated edges; otherwise both sides are
-hash-partitioned on the cell and AQE splits hot cells (skew join).
+3. equi-join.  Cells wholly inside a region match at once; cells its
+   outline crosses get the region's edges (joined by region id) and the
+   even-odd crossing test with boundary exclusion; cells wholly outside were
+   dropped.  A point has one cell per level and a region one level, so a
+   (point, region) pair can only meet once: no distinct.
+
+Each region-side table is broadcast only when its size, counted before the
+join, is under its threshold (cells, edges); otherwise that join is
+hash-partitioned and AQE splits hot cells or hot regions (skew join).
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from civicflow.functions import geo
 DEFAULT_CELL = 0.25
 DEFAULT_MAX_CELLS = 64
 DEFAULT_BROADCAST_MAX_EDGES = 2_000_000
+DEFAULT_BROADCAST_MAX_CELLS = 5_000_000
+MAX_CELLS_COMPLEX = 4096
 MAX_LEVEL = 30
 
 
@@ -52,19 +56,60 @@ def _cell_count(bbox: Column, size: Column) -> Column:
     return nx * ny
 
 
+def _touching_edges(edges: Column, size: Column, cx: Column, cy: Column) -> Column:
+    """Edges whose bounding box meets the (slightly grown) closed cell.
+
+    Conservative: an edge that merely comes close is kept, which only costs
+    an exact test; an edge that crosses the cell is never missed.
+    """
+    x0, y0 = cx * size, cy * size
+    x1, y1 = x0 + size, y0 + size
+    eps = size * F.lit(1e-9) + F.lit(1e-12)
+    return F.filter(edges, lambda e: (
+        (F.least(e["x1"], e["x2"]) <= x1 + eps) & (F.greatest(e["x1"], e["x2"]) >= x0 - eps)
+        & (F.least(e["y1"], e["y2"]) <= y1 + eps) & (F.greatest(e["y1"], e["y2"]) >= y0 - eps)))
+
+
 def region_cells(regions: DataFrame, cell: float = DEFAULT_CELL, max_cells: int = DEFAULT_MAX_CELLS) -> DataFrame:
-    """One row per (region, covered cell) with the region's geometry."""
+    """One row per (region, cell) where the region may hold points of the cell.
+
+    Each cell is classified once, on the small side:
+
+    * boundary: some edge touches it; its points get the exact test;
+    * interior: no edge touches it and its centre is inside, so every point
+      in it is strictly inside (``inside = true``);
+    * exterior: no edge touches it and its centre is outside; dropped.
+
+    A region gets the finest level with at most ``max_cells`` cells, or up
+    to one cell per edge (capped at ``MAX_CELLS_COMPLEX``) for a detailed
+    outline, so most of its points fall in interior cells.  Cells carry no
+    geometry: :func:`region_geometry` holds each region's edges once.
+    """
+    cap = F.greatest(F.lit(max_cells), F.least(F.size("edges"), F.lit(MAX_CELLS_COMPLEX)))
     level = F.array_min(F.filter(
         F.sequence(F.lit(0), F.lit(MAX_LEVEL)),
-        lambda lv: _cell_count(F.col("bbox"), _cell_size(cell, lv)) <= max_cells))
+        lambda lv: _cell_count(F.col("bbox"), _cell_size(cell, lv)) <= cap))
     with_level = (regions.where(F.col("bbox").isNotNull() & (F.size("edges") > 0))
                   .withColumn("level", F.coalesce(level, F.lit(MAX_LEVEL))))
     size = _cell_size(cell, F.col("level"))
     b = F.col("bbox")
-    return (with_level
-            .withColumn("cx", F.explode(F.sequence(F.floor(b["x0"] / size), F.floor(b["x1"] / size))))
-            .withColumn("cy", F.explode(F.sequence(F.floor(b["y0"] / size), F.floor(b["y1"] / size))))
-            .select(F.col("id").alias("region_id"), "level", "cx", "cy", "bbox", "edges"))
+    cells = (with_level
+             .withColumn("cx", F.explode(F.sequence(F.floor(b["x0"] / size), F.floor(b["x1"] / size))))
+             .withColumn("cy", F.explode(F.sequence(F.floor(b["y0"] / size), F.floor(b["y1"] / size)))))
+    touching = _touching_edges(F.col("edges"), size, F.col("cx"), F.col("cy"))
+    centre_x = (F.col("cx") + F.lit(0.5)) * size
+    centre_y = (F.col("cy") + F.lit(0.5)) * size
+    classified = cells.select(
+        F.col("id").alias("region_id"), "level", "cx", "cy",
+        (F.size(touching) > 0).alias("boundary"),
+        geo.within(centre_x, centre_y, F.col("edges")).alias("centre_in"))
+    return (classified.where(F.col("boundary") | F.col("centre_in"))
+            .select("region_id", "level", "cx", "cy", (~F.col("boundary")).alias("inside")))
+
+
+def region_geometry(regions: DataFrame) -> DataFrame:
+    """``(region_id, bbox, edges)``: each region's outline, once."""
+    return regions.select(F.col("id").alias("region_id"), "bbox", "edges")
 
 
 @dataclass(frozen=True)
@@ -74,17 +119,16 @@ class CellStats:
     edges: int
 
 
-def cell_stats(cells: DataFrame) -> CellStats:
+def cell_stats(cells: DataFrame, geometry: DataFrame) -> CellStats:
     """Size of the region side, measured before choosing the join strategy.
 
-    One small action on the (small) region side; the result is a handful of
-    numbers, never the regions themselves.
+    Two small aggregations on the (small) region side; the result is a
+    handful of numbers, never the regions themselves.
     """
-    row = cells.agg(
-        F.sort_array(F.collect_set("level")).alias("levels"),
-        F.count(F.lit(1)).alias("cells"),
-        F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
-    return CellStats(tuple(row["levels"] or ()), int(row["cells"]), int(row["edges"]))
+    row = cells.agg(F.sort_array(F.collect_set("level")).alias("levels"),
+                    F.count(F.lit(1)).alias("cells")).first()
+    edges = geometry.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()["edges"]
+    return CellStats(tuple(row["levels"] or ()), int(row["cells"]), int(edges))
 
 
 def point_cells(points: DataFrame, lon: str, lat: str, levels: tuple[int, ...], cell: float) -> DataFrame:
@@ -103,19 +147,27 @@ def point_cells(points: DataFrame, lon: str, lat: str, levels: tuple[int, ...],
 
 def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: str = "lat",
                 cell: float = DEFAULT_CELL, max_cells: int = DEFAULT_MAX_CELLS,
-                broadcast_max_edges: int = DEFAULT_BROADCAST_MAX_EDGES) -> DataFrame:
+                broadcast_max_edges: int = DEFAULT_BROADCAST_MAX_EDGES,
+                broadcast_max_cells: int = DEFAULT_BROADCAST_MAX_CELLS) -> DataFrame:
     """Inner join of points with every region that strictly contains them.
 
     ``regions`` is the output of :func:`region_table`; the result has the
-    point columns plus ``region_id``.
+    point columns plus ``region_id``.  Points in interior cells are matched
+    by the cell join alone; only points in boundary cells meet the region's
+    edges, through a second join on ``region_id`` that matches boundary rows
+    only (one pass over the points, no union).
     """
     cells = region_cells(regions, cell, max_cells)
-    stats = cell_stats(cells)
+    geometry = region_geometry(regions)
+    stats = cell_stats(cells, geometry)
     pts = point_cells(points, lon, lat, stats.levels, cell)
-    right = F.broadcast(cells) if stats.edges <= broadcast_max_edges else cells
-    joined = pts.join(right, ["level", "cx", "cy"], "inner")
-    px, py = F.col(lon), F.col(lat)
-    return (joined
-            .where(geo.in_bbox(px, py, F.col("bbox")))
-            .where(geo.within(px, py, F.col("edges")))
-            .drop("level", "cx", "cy", "bbox", "edges"))
+    cell_side = F.broadcast(cells) if stats.cells <= broadcast_max_cells else cells
+    geo_side = F.broadcast(geometry) if stats.edges <= broadcast_max_edges else geometry
+    candidates = pts.join(cell_side, ["level", "cx", "cy"], "inner")
+    g = geo_side.alias("g")
+    with_geometry = candidates.join(
+        g, (candidates["region_id"] == F.col("g.region_id")) & ~candidates["inside"], "left_outer")
+    px, py = candidates[lon], candidates[lat]
+    exact = candidates["inside"] | (geo.in_bbox(px, py, F.col("g.bbox")) & geo.within(px, py, F.col("g.edges")))
+    keep = [c for c in candidates.columns if c not in ("level", "cx", "cy", "inside")]
+    return with_geometry.where(exact).select(*[candidates[c] for c in keep])

@@ -81,7 +81,8 @@ def test_within_square_hole_triangle_and_edges(spark):
     assert got == [(1, 1), (6, 2), (8, 3), (9, 3)]
 
 
-@pytest.mark.parametrize("cell,max_cells,bcast", [(0.1, 16, 10**9), (0.5, 64, 10**9), (3.0, 4, 0)])
+@pytest.mark.parametrize("cell,max_cells,bcast", [(0.1, 16, 10**9), (0.5, 64, 10**9), (3.0, 4, 0),
+                                                  (0.05, 256, 10**9), (1.0, 1, 0)])
 def test_grid_join_equals_brute_force(spark, cell, max_cells, bcast):
     rng = random.Random(7)
     polys, shapes = [], []
@@ -100,25 +101,28 @@ def test_grid_join_equals_brute_force(spark, cell, max_cells, bcast):
     pts += [(2000 + k, s[0][0][0], s[0][0][1]) for k, s in enumerate(shapes)]
     points = spark.createDataFrame(pts, "pid int, lon double, lat double")
     got = _pairs(within_join(points, _regions(spark, polys), cell=cell, max_cells=max_cells,
-                             broadcast_max_edges=bcast))
+                             broadcast_max_edges=bcast, broadcast_max_cells=bcast))
     want = sorted((pid, k + 1) for pid, x, y in pts for k, s in enumerate(shapes) if _inside_brute(x, y, s))
     assert got == want
 
 
 def test_large_and_small_regions_use_several_levels(spark):
-    from civicflow.operators.spatial_join import cell_stats, region_cells
+    from civicflow.operators.spatial_join import cell_stats, region_cells, region_geometry
     regions = _regions(spark, [_poly([(-50, -50), (50, -50), (50, 50), (-50, 50), (-50, -50)]),
                                _poly([(0, 0), (0.2, 0), (0.2, 0.2), (0, 0.2), (0, 0)])])
-    stats = cell_stats(region_cells(regions, 0.25, 64))
+    stats = cell_stats(region_cells(regions, 0.25, 64), region_geometry(regions))
     assert len(stats.levels) == 2
     assert stats.cells <= 2 * 64
+    kinds = {r["inside"] for r in region_cells(regions, 0.25, 64).collect()}
+    assert kinds == {True, False}
 
 
 def test_join_plan_has_no_nested_loop(spark):
     regions = _regions(spark, [_poly(SQUARE)])
     points = spark.createDataFrame([(1, 1.0, 1.0)], "pid int, lon double, lat double")
     for bcast in (10**9, 0):
-        plan = within_join(points, regions, broadcast_max_edges=bcast)._jdf.queryExecution().executedPlan().toString()
+        plan = within_join(points, regions, broadcast_max_edges=bcast,
+                           broadcast_max_cells=bcast)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
