@@ -96,3 +96,19 @@ def write_json_lists(docs: DataFrame, path: str, day_col: str = "date", order_co
     # chunk directory gets exactly one file
     (grouped.select("date", "chunk", text.alias("value"))
      .write.mode("overwrite").partitionBy("date", "chunk").text(path))
+
+
+def write_json_lines(docs: DataFrame, path: str, day_col: str = "date", order_col: str = "pos",
+                     doc_col: str = "doc") -> None:
+    """Land documents as JSON lines ``{"seq": n, "doc": {...}}`` under ``date=<day>/``.
+
+    For sources too large for one task per file: a line file is split
+    across tasks on read, and the landing order travels in ``seq`` (a file
+    split loses its position in the file).  No grouping: every document is
+    written as it streams by.
+    """
+    line = F.concat(F.lit('{"seq":'), F.col(order_col).cast("string"), F.lit(',"doc":'),
+                    F.col(doc_col).cast("string"), F.lit("}"))
+    (docs.select(F.col(day_col).alias("date"), line.alias("value"))
+     .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("date").text(path))

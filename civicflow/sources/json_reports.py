@@ -48,3 +48,27 @@ def scan(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
 def quarantine(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Files that yielded no documents because they could not be read as JSON."""
     return parse_files(read_files(spark, path, glob)).where(F.col("docs").isNull()).select("file_path")
+
+
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Line-delimited landing (``{"seq": n, "doc": {...}}`` per line).
+
+    Files are split across tasks; ``pos`` is the landing sequence number, so
+    "later document wins" still holds.  ``file_path`` is the day directory
+    (not the part file), which orders days as the list layout does.  Lines
+    that do not parse are left out (see ``quarantine_lines``).
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    v = F.try_parse_json(F.col("value"))
+    day_dir = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return (lines.select(day_dir.alias("file_path"), v.alias("v"))
+            .where(F.col("v").isNotNull())
+            .select("file_path", F.try_variant_get("v", "$.seq", "long").alias("pos"),
+                    F.try_variant_get("v", "$.doc", "variant").alias("doc")))
+
+
+def quarantine_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a line-delimited landing that are not JSON."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return (lines.where(F.try_parse_json(F.col("value")).isNull())
+            .select(F.col("_metadata.file_path").alias("file_path"), "value"))

@@ -100,3 +100,22 @@ def test_json_scan_lists_objects_and_quarantine(spark, tmp_dir):
                    ("b.json", 0, '{"request_id":"C"}')]
     bad = sorted(r["file_path"].split("name=")[1].split("/")[0] for r in json_reports.quarantine(spark, tmp_dir).collect())
     assert bad == ["d.json", "e.json"]
+
+
+def test_json_lines_landing_gives_the_same_reports(spark, tmp_dir):
+    from civicflow.sinks import landing
+    from civicflow.sources import fixtures
+
+    from conftest import SMALL
+    docs = fixtures.docs(spark, SMALL).select(F.substring("file_key", 6, 10).alias("date"), "pos", "doc")
+    landing.write_json_lists(docs, f"{tmp_dir}/lists")
+    landing.write_json_lines(docs, f"{tmp_dir}/lines")
+
+    def table(scanned):
+        d = scanned.select(F.col("file_path").alias("file_key"), "pos", "doc")
+        return reports.dedupe(reports.normalize(d)).select("external_id", "category", "commune", "status")
+
+    a = table(json_reports.scan(spark, f"{tmp_dir}/lists"))
+    b = table(json_reports.scan_lines(spark, f"{tmp_dir}/lines"))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert json_reports.quarantine_lines(spark, f"{tmp_dir}/lines").count() == 0
