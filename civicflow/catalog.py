@@ -10,12 +10,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicflow import session
+from civicflow.functions import dates as D
+from civicflow.functions import quality as Q
+from civicflow.functions import reports as R
+from civicflow.operators import constraints as C
+from civicflow.operators import validate as V
 from civicflow.operators.spatial_join import region_table
 from civicflow.plans import analytics
+from civicflow.plans import ingest
+from civicflow.plans import loads
+from civicflow.plans import reports
 from civicflow.plans.spatial import to_spatial
+from civicflow.schemas import PIPELINE_METRICS
+from civicflow.sinks import landing
+from civicflow.sources import events_files, json_reports
 from civicflow.sources import fixtures
+from civicflow.streaming import incremental
 
 AS_OF = fixtures.AS_OF
 
@@ -64,12 +77,6 @@ def q_events_per_region(spark, sf_dir):
 # --------------------------------------------------------------------------
 # validation, partitioned write, run metrics
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from civicflow.functions import quality as Q  # noqa: E402
-from civicflow.operators import validate as V  # noqa: E402
-from civicflow.plans import ingest  # noqa: E402
-from civicflow.schemas import PIPELINE_METRICS  # noqa: E402
 
 # first attempts of the runs before this landing day failed and were retried
 RETRY_BEFORE = "2024-01-20"
@@ -148,9 +155,6 @@ def q_metrics_daily(spark, sf_dir):
 # --------------------------------------------------------------------------
 # citizen reports
 
-from civicflow.functions import dates as D  # noqa: E402
-from civicflow.functions import reports as R  # noqa: E402
-from civicflow.plans import reports  # noqa: E402
 
 # reports of files before this day were loaded by a first run
 REPORT_SPLIT_DAY = "date=2024-01-16"
@@ -236,9 +240,6 @@ def q_reports_per_region(spark, sf_dir):
 # --------------------------------------------------------------------------
 # file round trips: bronze CSV, clean Parquet, raw_events, spatial events
 
-from civicflow.plans import loads  # noqa: E402
-from civicflow.sinks import landing  # noqa: E402
-from civicflow.sources import events_files, json_reports  # noqa: E402
 
 # two landings: the days before SECOND_LANDING, then the rest
 SECOND_LANDING = "2024-01-16"
@@ -359,9 +360,6 @@ def q_scan_json_reports(spark, sf_dir):
 # --------------------------------------------------------------------------
 # constraint checks, incremental streaming load
 
-from civicflow.operators import constraints as C  # noqa: E402
-from civicflow.streaming import incremental  # noqa: E402
-
 
 @register("constraint_checks")
 def q_constraint_checks(spark, sf_dir):

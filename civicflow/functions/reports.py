@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civicflow.functions.dates import normalize_date
 from civicflow.functions.geo import make_point
 
 # The document shapes, first hit wins.  Each entry is

@@ -139,7 +139,6 @@ def test_grid_cell_text_values(spark):
 
 
 def test_keep_all_regions_reports_every_region(spark):
-    import __spark_entry__ as entry  # noqa: F401
     from civicflow import catalog
     from civicflow.plans import analytics
     from conftest import SMALL

@@ -1,7 +1,6 @@
 """Randomised checks against plain-Python statements of the reference rules."""
 
 import json
-import math
 import random
 from datetime import datetime, timezone
 
