@@ -29,13 +29,26 @@ def cutoff(as_of: str | datetime, days: int):
     return F.lit((t - timedelta(days=days)).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def in_window(events: DataFrame, since, keep_undated: bool = False) -> DataFrame:
+    """``ts >= since`` (or ts NULL when ``keep_undated``), plus the same bound
+    on the ``date`` partition column when the table has one, so whole days
+    are pruned before any file is opened."""
+    cond = F.col("ts") >= since
+    if keep_undated:
+        cond = cond | F.col("ts").isNull()
+    if "date" in events.columns:
+        day = F.col("date") >= F.to_date(since)
+        cond = cond & ((day | F.col("date").isNull()) if keep_undated else day)
+    return events.where(cond)
+
+
 def _exact_sum_as_double(value_col: str) -> F.Column:
     return F.sum(F.col(value_col).cast("decimal(38,10)")).cast("double")
 
 
 def daily_avg(events: DataFrame, as_of: str, days: int = DAILY_WINDOW_DAYS) -> DataFrame:
     """A1 + O1: mean value per (day, category) over the trailing window."""
-    recent = events.where(F.col("ts") >= cutoff(as_of, days))
+    recent = in_window(events, cutoff(as_of, days))
     return (recent.groupBy(F.to_date("ts").alias("event_date"), "category")
             .agg(_exact_sum_as_double("value").alias("_sum"), F.count("value").alias("_n"))
             .select("event_date", "category", (F.col("_sum") / F.col("_n")).alias("avg_value"))
@@ -49,7 +62,7 @@ def hotspots(events: DataFrame, as_of: str, days: int = HOTSPOT_WINDOW_DAYS, gri
     Partial aggregation per cell, then a bounded top-k (each task keeps its
     best ``top`` cells).  Ties are broken by cell so the result is stable.
     """
-    recent = events.where(F.col("ts") >= cutoff(as_of, days))
+    recent = in_window(events, cutoff(as_of, days))
     gx = geo.snap_index(F.col("geom.lon"), grid)
     gy = geo.snap_index(F.col("geom.lat"), grid)
     cells = (recent.select(gx.alias("gx"), gy.alias("gy"), "value")
@@ -74,10 +87,10 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
     row-group pruning on ts) and reports every region.
     """
     since = cutoff(as_of, days)
+    if keep_all_regions:
+        events = in_window(events, since, keep_undated=True)
     pts = events.select("id", "ts", F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
     recent_or_undated = (F.col("ts") >= since) | F.col("ts").isNull()
-    if keep_all_regions:
-        pts = pts.where(recent_or_undated)
     pairs = within_join(pts, regions, "lon", "lat", **join_options)
     per_region = pairs.groupBy("region_id").agg(
         F.count(F.lit(1)).alias("matched"),

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from civicflow import session
 from civicflow.operators.spatial_join import region_table
 from civicflow.plans import analytics, ingest, loads, reports
-from civicflow.schemas import CITIZEN_REPORTS, PIPELINE_METRICS, REGION_SOURCE, SPATIAL_EVENTS
+from civicflow.schemas import CITIZEN_REPORTS, PIPELINE_METRICS, REGION_SOURCE
 from civicflow.sinks import landing
 from civicflow.sinks.tables import Snapshot
 from civicflow.sources import events_files, json_reports
@@ -47,7 +47,7 @@ def metrics_table(spark: SparkSession, lake: str) -> Snapshot:
 
 
 def events_table(spark: SparkSession, lake: str) -> Snapshot:
-    return Snapshot(spark, _p(lake, "tables", "events"), SPATIAL_EVENTS)
+    return incremental.events_table(spark, _p(lake, "tables", "events"))
 
 
 def reports_table(spark: SparkSession, lake: str) -> Snapshot:

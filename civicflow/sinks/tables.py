@@ -7,7 +7,9 @@ task, never half a partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +53,17 @@ class Snapshot:
 
     Readers take the newest version that has a ``_SUCCESS`` marker, so a
     job that dies mid-write leaves the previous version current.
+
+    ``partitions`` maps partition columns to the expressions that derive
+    them from a row (e.g. ``{"date": lambda: F.to_date("ts")}``).  They are
+    recomputed on every commit, so an update that moves a row moves it to
+    its new partition, and readers can prune whole partitions.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
+                 partitions: dict[str, Callable[[], Column]] | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partitions = dict(partitions or {})
 
     def versions(self) -> list[int]:
         fs, p, jvm = hadoop_fs(self.spark, self.path)
@@ -69,17 +78,33 @@ class Snapshot:
                     out.append(int(name[2:]))
         return sorted(out)
 
+    def _with_partitions(self, df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
+                         *[expr().alias(name) for name, expr in self.partitions.items()])
+
     def read(self) -> DataFrame:
+        """The current version: the table's columns, then its partition columns."""
         vs = self.versions()
         if not vs:
             from civicflow.operators.upsert import empty
-            return empty(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={vs[-1]}")
+            return self._with_partitions(empty(self.spark, self.schema))
+        version = f"{self.path}/v={vs[-1]}"
+        df = self.spark.read.option("basePath", version).parquet(version)
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
+                         *[F.col(name) for name in self.partitions])
 
     def commit(self, df: DataFrame) -> int:
         vs = self.versions()
         n = (vs[-1] + 1) if vs else 1
-        df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]) \
-            .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
-            .parquet(f"{self.path}/v={n}")
+        out = self._with_partitions(df)
+        if self.partitions:
+            out = out.hint("rebalance", *self.partitions)
+        # a version is a fresh directory: static overwrite, so the job's
+        # _SUCCESS marker lands in it (dynamic overwrite commits through a
+        # staging folder and leaves none)
+        writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                  .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+        if self.partitions:
+            writer = writer.partitionBy(*self.partitions)
+        writer.parquet(f"{self.path}/v={n}")
         return n

@@ -35,7 +35,9 @@ CLEAN_FILE_SCHEMA = T.StructType([
 
 
 def events_table(spark: SparkSession, path: str) -> Snapshot:
-    return Snapshot(spark, path, SPATIAL_EVENTS)
+    """The spatial events snapshot, partitioned by event day so that
+    time-window queries read only the days they need."""
+    return Snapshot(spark, path, SPATIAL_EVENTS, partitions={"date": lambda: F.to_date("ts")})
 
 
 def _apply_batch(table: Snapshot):

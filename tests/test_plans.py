@@ -44,3 +44,18 @@ def test_spread_only_touches_few_split_scans(spark):
     assert input_partitions(agg) is None and spread(agg) is agg
     wide = spark.range(0, 100, 1, 16)
     assert spread(wide, 8) is wide
+
+
+def test_window_prunes_day_partitions_of_the_events_snapshot(spark, tmp_dir):
+    from civicflow import catalog
+    from civicflow.plans import analytics
+    from civicflow.streaming.incremental import events_table
+    table = events_table(spark, f"{tmp_dir}/events")
+    table.commit(catalog.spatial_events(spark, SMALL))
+    events = table.read()
+    for df in (analytics.daily_avg(events, catalog.AS_OF), analytics.hotspots(events, catalog.AS_OF)):
+        plan = _plan(df)
+        assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan
+    # same answers as over the unpartitioned source
+    want = sorted(map(tuple, analytics.daily_avg(catalog.spatial_events(spark, SMALL), catalog.AS_OF).collect()))
+    assert sorted(map(tuple, analytics.daily_avg(events, catalog.AS_OF).collect())) == want
