@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions import geo
+from civicflow.operators.parallel import spread
 
 DEFAULT_CELL = 0.25
 DEFAULT_MAX_CELLS = 64
@@ -38,12 +39,18 @@ MAX_LEVEL = 30
 
 
 def region_table(source: DataFrame) -> DataFrame:
-    """``(id, name, geojson)`` → ``(id, name, rings, edges, bbox)``."""
+    """``(id, name, geojson)`` → ``(id, name, rings, edges, bbox)``.
+
+    The rows come out of a generator, so filters on edges or bbox further
+    down stay there instead of being pushed into (and re-running) the
+    GeoJSON parsing.
+    """
     rings = geo.geojson_rings(F.col("geojson"))
-    return (source
-            .select("id", "name", rings.alias("rings"))
-            .select("id", "name", "rings", geo.ring_edges(F.col("rings")).alias("edges"),
-                    geo.rings_bbox(F.col("rings")).alias("bbox")))
+    parsed = (source
+              .select("id", "name", rings.alias("rings"))
+              .select("id", "name", "rings", geo.ring_edges(F.col("rings")).alias("edges"),
+                      geo.rings_bbox(F.col("rings")).alias("bbox")))
+    return parsed.select(F.inline(F.array(F.struct("id", "name", "rings", "edges", "bbox"))))
 
 
 def _cell_size(cell: float, level: Column) -> Column:
@@ -122,13 +129,15 @@ class CellStats:
 def cell_stats(cells: DataFrame, geometry: DataFrame) -> CellStats:
     """Size of the region side, measured before choosing the join strategy.
 
-    Two small aggregations on the (small) region side; the result is a
-    handful of numbers, never the regions themselves.
+    Two small aggregations on the (small) region side, run as one job; the
+    result is a handful of numbers, never the regions themselves.
     """
-    row = cells.agg(F.sort_array(F.collect_set("level")).alias("levels"),
-                    F.count(F.lit(1)).alias("cells")).first()
-    edges = geometry.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()["edges"]
-    return CellStats(tuple(row["levels"] or ()), int(row["cells"]), int(edges))
+    on_cells = cells.agg(F.lit("cells").alias("side"), F.sort_array(F.collect_set("level")).alias("levels"),
+                         F.count(F.lit(1)).alias("n"))
+    on_edges = geometry.agg(F.lit("edges").alias("side"), F.array().cast("array<int>").alias("levels"),
+                            F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n"))
+    rows = {r["side"]: r for r in on_cells.unionByName(on_edges).collect()}  # two rows, one job
+    return CellStats(tuple(rows["cells"]["levels"] or ()), int(rows["cells"]["n"]), int(rows["edges"]["n"]))
 
 
 def point_cells(points: DataFrame, lon: str, lat: str, levels: tuple[int, ...], cell: float) -> DataFrame:
@@ -160,7 +169,7 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
     cells = region_cells(regions, cell, max_cells)
     geometry = region_geometry(regions)
     stats = cell_stats(cells, geometry)
-    pts = point_cells(points, lon, lat, stats.levels, cell)
+    pts = point_cells(spread(points), lon, lat, stats.levels, cell)
     cell_side = F.broadcast(cells) if stats.cells <= broadcast_max_cells else cells
     geo_side = F.broadcast(geometry) if stats.edges <= broadcast_max_edges else geometry
     candidates = pts.join(cell_side, ["level", "cx", "cy"], "inner")
