@@ -371,15 +371,12 @@ def q_constraint_checks(spark, sf_dir):
     metrics = ingest.upsert_metrics(target, retry)
     regs = regions(spark)
     return C.report(
-        C.not_null(batch, "citizen_reports_batch", ["external_id"]),
-        C.unique(batch, "citizen_reports_batch", ["external_id"]),
-        C.not_null(table, "citizen_reports", ["external_id"]),
-        C.unique(table, "citizen_reports", ["external_id"]),
-        C.unique(attempts, "pipeline_metrics_inserts", ["run_id", "table_target"]),
-        C.not_null(metrics, "pipeline_metrics", ["dag_id", "run_id", "table_target", "execution_date", "status"]),
-        C.unique(metrics, "pipeline_metrics", ["run_id", "table_target"]),
-        C.not_null(regs, "regions", ["name"]),
-        C.unique(regs, "regions", ["name"]),
+        C.table_checks(batch, "citizen_reports_batch", ["external_id"], ["external_id"]),
+        C.table_checks(table, "citizen_reports", ["external_id"], ["external_id"]),
+        C.table_checks(attempts, "pipeline_metrics_inserts", [], ["run_id", "table_target"]),
+        C.table_checks(metrics, "pipeline_metrics", ["dag_id", "run_id", "table_target", "execution_date", "status"],
+                       ["run_id", "table_target"]),
+        C.table_checks(regs, "regions", ["name"], ["name"]),
     )
 
 

@@ -34,3 +34,28 @@ def unique(df: DataFrame, table: str, key: list[str]) -> DataFrame:
 def report(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks).select(
         "table_name", "rule", F.col("violations").cast("long").alias("violations"))
+
+
+def table_checks(df: DataFrame, table: str, not_null: list[str] = (), unique_key: list[str] | None = None) -> DataFrame:
+    """All checks of one table in one pass over it.
+
+    With a unique key, rows are grouped by the key once (partial aggregation
+    before the shuffle) while NULLs of the NOT NULL columns are counted per
+    group; a second, tiny aggregation adds the groups up.  Rows: one per
+    NOT NULL column, then one for the key.
+    """
+    not_null = list(not_null)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(not_null)]
+    rules = [(f"{c} not null", f"_null{i}") for i, c in enumerate(not_null)]
+    if unique_key:
+        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in unique_key])
+        per_key = df.groupBy(*unique_key).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+        totals = per_key.agg(*[F.coalesce(F.sum(f"_null{i}"), F.lit(0)).alias(f"_null{i}")
+                               for i in range(len(not_null))],
+                             F.count_if(present & (F.col("_n") > 1)).alias("_dupes"))
+        rules.append((f"({', '.join(unique_key)}) unique", "_dupes"))
+    else:
+        totals = df.agg(*nulls)
+    stack = ", ".join(f"'{rule}', CAST(`{col}` AS BIGINT)" for rule, col in rules)
+    return totals.select(F.lit(table).alias("table_name"),
+                         F.expr(f"stack({len(rules)}, {stack}) AS (rule, violations)"))

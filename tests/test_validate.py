@@ -68,3 +68,13 @@ def test_category_from_path_for_foreign_files(spark, tmp_dir):
     got = sorted(tuple(r) for r in category_from_path(df).select("id", "category").collect())
     # a file with no category at all takes it from its path; otherwise the file's values stay
     assert got == [(1, "noise"), (2, "noise"), (3, "own"), (4, None)]
+
+
+def test_one_pass_table_checks_equal_separate_checks(spark):
+    from civicflow.operators import constraints as C
+    df = spark.createDataFrame([(1, "a", None), (1, "b", "x"), (2, None, "y"), (None, "c", None), (None, "d", "z")],
+                               "k int, a string, b string")
+    one = C.table_checks(df, "t", ["a", "b"], ["k"])
+    separate = C.report(C.not_null(df, "t", ["a", "b"]), C.unique(df, "t", ["k"]))
+    assert sorted(map(tuple, C.report(one).collect())) == sorted(map(tuple, separate.collect()))
+    assert {r["rule"]: r["violations"] for r in one.collect()} == {"a not null": 1, "b not null": 2, "(k) unique": 1}
