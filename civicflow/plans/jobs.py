@@ -92,6 +92,13 @@ def stream_events(spark: SparkSession, lake: str) -> None:
                               _p(lake, "_checkpoints", "events_load"))
 
 
+def stream_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -> None:
+    """T1 for reports: the incremental alternative to citizen_reports."""
+    incremental.run_reports_available(spark, _p(lake, "raw", REPORTS_SOURCE), _p(lake, "tables", "citizen_reports"),
+                                      _p(lake, "_checkpoints", "reports_load"),
+                                      run_ts or datetime.now().isoformat(sep=" "))
+
+
 def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -> DataFrame:
     """All landed report files → normalise → last per id → upsert.
 
@@ -133,7 +140,7 @@ def analytics_report(spark: SparkSession, lake: str, regions_path: str, as_of: s
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="civicflow.plans.jobs")
     parser.add_argument("job", choices=["land", "validate", "load_clean", "to_spatial", "stream_events",
-                                        "citizen_reports", "analytics"])
+                                        "citizen_reports", "stream_reports", "analytics"])
     parser.add_argument("--lake", required=True)
     parser.add_argument("--ds")
     parser.add_argument("--config")
@@ -154,6 +161,8 @@ def main(argv: list[str] | None = None) -> None:
         stream_events(spark, args.lake)
     elif args.job == "citizen_reports":
         citizen_reports(spark, args.lake).show(truncate=False)
+    elif args.job == "stream_reports":
+        stream_reports(spark, args.lake)
     else:
         for name, df in analytics_report(spark, args.lake, args.regions, args.as_of).items():
             print(name)

@@ -36,13 +36,17 @@ def parse_files(files: DataFrame) -> DataFrame:
     return files.select("file_path", docs.alias("docs"))
 
 
+def documents_of(files: DataFrame) -> DataFrame:
+    """``(file_path, value)`` rows of whole files → one row per document."""
+    parsed = parse_files(files)
+    return (parsed.where(F.col("docs").isNotNull())
+            .select("file_path", F.posexplode("docs").alias("pos", "doc")))
+
+
 def scan(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file_path, pos, doc variant)``, one row per document, file order kept."""
-    parsed = parse_files(read_files(spark, path, glob))
-    docs = (parsed.where(F.col("docs").isNotNull())
-            .select("file_path", F.posexplode("docs").alias("pos", "doc")))
     # a whole file is one task: spread its documents before normalisation
-    return spread(docs)
+    return spread(documents_of(read_files(spark, path, glob)))
 
 
 def quarantine(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

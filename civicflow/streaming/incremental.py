@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.plans import reports
 from civicflow.plans.loads import upsert_events
 from civicflow.plans.spatial import to_spatial
-from civicflow.schemas import SPATIAL_EVENTS
+from civicflow.schemas import CITIZEN_REPORTS, SPATIAL_EVENTS
 from civicflow.sinks.tables import Snapshot
+from civicflow.sources import json_reports
 
 # clean files: data columns, then the partition directories
 CLEAN_FILE_SCHEMA = T.StructType([
@@ -62,3 +64,30 @@ def run_available(spark: SparkSession, clean_root: str, table_path: str, checkpo
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def _apply_reports(table: Snapshot, run_ts):
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        docs = json_reports.documents_of(batch).select(F.col("file_path").alias("file_key"), "pos", "doc")
+        rows = reports.to_table_rows(reports.dedupe(reports.normalize(docs)))
+        table.commit(reports.upsert_reports(table.read(), rows, run_ts))
+    return apply
+
+
+def run_reports_available(spark: SparkSession, reports_root: str, table_path: str, checkpoint: str,
+                          run_ts: str, max_files_per_trigger: int | None = None) -> None:
+    """K5 incrementally: report files that landed since the last run are
+    parsed, normalised, deduplicated and upserted, one micro-batch at a time
+    (files in arrival order, so a later file still wins)."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = reader.text(reports_root, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), "value")
+    table = Snapshot(spark, table_path, CITIZEN_REPORTS)
+    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    query = (files.writeStream.foreachBatch(_apply_reports(table, stamp))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()

@@ -44,6 +44,7 @@ def test_daily_pipeline(spark, tmp_dir):
         jobs.load_clean(spark, lake, f"L{i}")
         jobs.to_spatial(spark, lake)
         jobs.stream_events(spark, lake2)
+        jobs.stream_reports(spark, lake2, f"{ds} 03:00:00")
         totals.append({r["metric"]: r["value"] for r in jobs.citizen_reports(spark, lake, f"{ds} 03:00:00").collect()})
 
     metrics = jobs.metrics_table(spark, lake).read()
@@ -59,6 +60,11 @@ def test_daily_pipeline(spark, tmp_dir):
     want = catalog.reports_table(spark, SMALL)
     cols = ["external_id", "category", "commune", "quartier", "status"]
     assert sorted(map(tuple, table.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    # the streaming reports load builds the same table, ingested_at included
+    streamed_reports = jobs.reports_table(spark, lake2).read()
+    cols2 = cols + ["source_timestamp", "ingested_at"]
+    assert sorted(map(tuple, streamed_reports.select(cols2).collect())) == \
+        sorted(map(tuple, table.select(cols2).collect()))
     assert totals[0]["quarantined_files"] == 0 and totals[1]["documents"] > 0
     # analytics over the lake
     spark.createDataFrame(fixtures.region_source(spark).collect()).write.json(f"{tmp_dir}/regions")
