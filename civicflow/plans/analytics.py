@@ -51,7 +51,9 @@ def daily_avg(events: DataFrame, as_of: str, days: int = DAILY_WINDOW_DAYS) -> D
     recent = in_window(events, cutoff(as_of, days))
     return (recent.groupBy(F.to_date("ts").alias("event_date"), "category")
             .agg(_exact_sum_as_double("value").alias("_sum"), F.count("value").alias("_n"))
-            .select("event_date", "category", (F.col("_sum") / F.col("_n")).alias("avg_value"))
+            # AVG of only NULL values is NULL (no division by zero under ANSI)
+            .select("event_date", "category",
+                    F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias("avg_value"))
             .orderBy(F.col("event_date").desc_nulls_last(), F.col("category").asc_nulls_last()))
 
 
