@@ -22,10 +22,16 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     The header names the timestamp ``timestamp``; it is exposed as ``ts``.
     The landing day comes from the ``date=`` directory, as ``ds``.
     """
-    df = spark.read.schema(RAW_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    if "date" in df.columns:
-        df = df.withColumnRenamed("date", "ds")
-    return df.withColumnRenamed("timestamp", "ts")
+    # columns are matched by header name, as a header-driven reader does:
+    # another column order or extra columns do not shift values; a missing
+    # column is NULL
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    present = set(df.columns)
+    cols = [(F.col(f.name) if f.name in present else F.lit(None)).cast("string").alias(f.name)
+            for f in RAW_CSV.fields]
+    if "date" in present:
+        cols.append(F.col("date").alias("ds"))
+    return df.select(*cols).withColumnRenamed("timestamp", "ts")
 
 
 def write_csv_export(df: DataFrame, path: str, partition_col: str | None = None) -> None:

@@ -30,3 +30,15 @@ def test_landing_twice_is_idempotent(spark, tmp_dir):
         landing.land_source(spark, "events", src, f"{tmp_dir}/raw", "2024-01-01")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/raw/events")
     assert back.count() == 2
+
+
+def test_csv_columns_are_matched_by_header_name(spark, tmp_dir):
+    from civicflow.sources.events_files import scan_csv
+    spark.createDataFrame([("5.0", "7", "1.5", "x", "2024-01-01 00:00:00", "10", "c")],
+                          "value string, id string, latitude string, extra string, timestamp string, "
+                          "longitude string, category string") \
+        .coalesce(1).write.option("header", True).csv(f"{tmp_dir}/raw/events/date=2024-01-01")
+    r = scan_csv(spark, f"{tmp_dir}/raw/events").first()
+    assert (r["id"], r["value"], r["latitude"], r["longitude"], r["ts"], r["category"], r["source"]) == \
+        ("7", "5.0", "1.5", "10", "2024-01-01 00:00:00", "c", None)
+    assert str(r["ds"]) == "2024-01-01"
