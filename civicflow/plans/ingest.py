@@ -103,11 +103,16 @@ def metrics_rows(metrics: DataFrame, status: Column, error_message: Column, fini
         finished_at.alias("finished_at"))
 
 
-def upsert_metrics(target: DataFrame, batch: DataFrame) -> DataFrame:
+def upsert_metrics(target: DataFrame, batch: DataFrame, refresh_error: bool = False) -> DataFrame:
     """K6: conflict on (run_id, table_target); counters, status and
     finished_at are replaced; error_message, execution_date and started_at
-    are kept.  A new row's started_at defaults to its insert time."""
-    return upsert(target, batch, METRICS_KEY, METRICS_REPLACED,
+    are kept.  A new row's started_at defaults to its insert time.
+
+    As in the reference, a successful retry keeps the failed attempt's
+    error_message; ``refresh_error=True`` replaces it too.
+    """
+    replaced = METRICS_REPLACED + (("error_message",) if refresh_error else ())
+    return upsert(target, batch, METRICS_KEY, replaced,
                   insert_defaults={"started_at": F.col("b.finished_at")})
 
 

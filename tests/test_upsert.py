@@ -68,3 +68,19 @@ def test_auto_falls_back_to_shuffle_when_the_batch_is_too_big(spark):
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert _rows(small) == _rows(big)
+
+
+def test_metrics_retry_keeps_or_refreshes_the_error(spark):
+    from civicflow.plans import ingest
+    from civicflow.schemas import PIPELINE_METRICS
+    import datetime as dt
+    t0, t1, t2 = (dt.datetime(2024, 1, 5, h) for h in (1, 2, 3))
+    target = spark.createDataFrame([("d", "r1", "events", t0, 10, 0, 1, "FAILED", "boom", t1, t1)], PIPELINE_METRICS)
+    batch = spark.createDataFrame([("d2", "r1", "events", t2, 10, 9, 1, "SUCCESS", None, t2)],
+                                  "dag_id string, run_id string, table_target string, execution_date timestamp_ntz, "
+                                  "rows_read long, rows_written long, bad_records_count long, status string, "
+                                  "error_message string, finished_at timestamp_ntz")
+    kept = ingest.upsert_metrics(target, batch).first()
+    assert (kept["status"], kept["error_message"], kept["dag_id"], kept["started_at"], kept["finished_at"]) == \
+        ("SUCCESS", "boom", "d", t1, t2)
+    assert ingest.upsert_metrics(target, batch, refresh_error=True).first()["error_message"] is None
