@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions import geo
 from civicflow.operators.spatial_join import within_join
+from civicflow.session import shared_dir
 
 # Analysis windows and grid size of the reference queries.
 DAILY_WINDOW_DAYS = 30
@@ -84,22 +85,45 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
     Reference semantics of ``regions LEFT JOIN events … WHERE ts >= cutoff OR
     ts IS NULL``: a region without any event is kept with 0, an in-region
     event without timestamp counts, and a region whose events are all older
-    than the cutoff is dropped.  That needs the whole history on the point
-    side; ``keep_all_regions=True`` instead filters first (partition and
-    row-group pruning on ts) and reports every region.
+    than the cutoff is dropped.
+
+    Two phases, so that the usual case reads only the window:
+
+    1. window (and undated) events → count per region, with partition and
+       row-group pruning on the time bound;
+    2. only regions with no window event need the history, to tell "never
+       had an event" (kept with 0) from "only old events" (dropped).  Their
+       combined bounding box is pushed into the scan of the older events;
+       when every region has window events this phase reads nothing.
+
+    ``keep_all_regions=True`` skips phase 2 and reports every region.
     """
     since = cutoff(as_of, days)
-    if keep_all_regions:
-        events = in_window(events, since, keep_undated=True)
-    pts = events.select("id", "ts", F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
-    recent_or_undated = (F.col("ts") >= since) | F.col("ts").isNull()
-    pairs = within_join(pts, regions, "lon", "lat", **join_options)
-    per_region = pairs.groupBy("region_id").agg(
-        F.count(F.lit(1)).alias("matched"),
-        F.count(F.when(recent_or_undated, F.col("id"))).alias("passing"))
+    recent = in_window(events, since, keep_undated=True)
+    pts = recent.select("id", "ts", F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
+    per_region = (within_join(pts, regions, "lon", "lat", **join_options)
+                  .groupBy("region_id").agg(F.count("id").alias("passing")))
+    if not keep_all_regions:
+        # one row per region, needed by phase 2 and by the result: computed
+        # once and kept in the shared checkpoint folder
+        shared_dir(events.sparkSession)
+        per_region = per_region.checkpoint()
     joined = regions.select("id", "name").join(per_region, F.col("id") == F.col("region_id"), "left")
     if not keep_all_regions:
-        joined = joined.where(F.col("matched").isNull() | (F.col("passing") > 0))
+        quiet = regions.join(per_region, F.col("id") == F.col("region_id"), "left_anti")
+        box = quiet.agg(F.count(F.lit(1)).alias("n"), F.min("bbox.x0").alias("x0"), F.max("bbox.x1").alias("x1"),
+                        F.min("bbox.y0").alias("y0"), F.max("bbox.y1").alias("y1")).first()
+        if box["n"] > 0:
+            old = events.where(F.col("ts") < since)
+            if "date" in events.columns:
+                old = old.where(F.col("date") <= F.to_date(since))
+            lon, lat = F.col("geom.lon"), F.col("geom.lat")
+            old_pts = (old.where(lon.between(box["x0"], box["x1"]) & lat.between(box["y0"], box["y1"]))
+                       .select("id", lon.alias("lon"), lat.alias("lat")))
+            had_old = (within_join(old_pts, quiet, "lon", "lat", **join_options)
+                       .select(F.col("region_id").alias("old_region")).distinct())
+            joined = (joined.join(had_old, F.col("id") == F.col("old_region"), "left")
+                      .where(F.col("passing").isNotNull() | F.col("old_region").isNull()))
     return (joined.select(F.col("name").alias("region_name"),
                           F.coalesce(F.col("passing"), F.lit(0)).cast("long").alias("event_count"))
             .orderBy(F.col("event_count").desc(), F.col("region_name").asc()))
