@@ -117,7 +117,7 @@ def q_partition_counts(spark, sf_dir):
     """Write clean Parquet by date/category, read it back, count."""
     root = session.scratch(spark, "ingest")
     ingest.validate_and_partition(spark, fixtures.raw_ev(spark, sf_dir), f"{root}/clean/events",
-                                  f"{root}/rejects")
+                                  f"{root}/rejects", with_metrics=False)
     written = spark.read.option("basePath", f"{root}/clean/events").parquet(f"{root}/clean/events")
     return written.groupBy("date", "category").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -248,7 +248,7 @@ LOAD_IDS = ("2024-01-16T00:00:00", "2024-02-01T00:00:00")
 RESEND_FROM = "2024-01-25"
 
 
-def _land_and_load(spark, sf_dir, with_loads=True):
+def _land_and_load(spark, sf_dir, with_loads=True, with_totals=False):
     """Validate + partition each landing, then (``with_loads``) run the
     full-history clean load after each one.  Returns (root, [totals])."""
     root = session.scratch(spark, "loads")
@@ -257,9 +257,10 @@ def _land_and_load(spark, sf_dir, with_loads=True):
     totals = []
     for part, load_id in ((raw.where(F.col("ds") < split), LOAD_IDS[0]),
                           (raw.where(F.col("ds") >= split), LOAD_IDS[1])):
-        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects")
+        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects", with_metrics=False)
         if with_loads:
-            totals.append(loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", load_id))
+            totals.append(loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", load_id,
+                                           with_totals=with_totals))
     return root, totals
 
 
@@ -285,7 +286,7 @@ def q_raw_events_append(spark, sf_dir):
 @register("load_totals")
 def q_load_totals(spark, sf_dir):
     """Files and rows loaded by each clean load."""
-    _, totals = _land_and_load(spark, sf_dir)
+    _, totals = _land_and_load(spark, sf_dir, with_totals=True)
     return totals[0].unionByName(totals[1])
 
 
@@ -387,7 +388,7 @@ def q_incremental_load(spark, sf_dir):
     raw = fixtures.raw_ev(spark, sf_dir)
     split = F.lit(SECOND_LANDING).cast("date")
     for part in (raw.where(F.col("ds") < split), raw.where(F.col("ds") >= split)):
-        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects")
+        ingest.validate_and_partition(spark, part, f"{root}/clean/events", f"{root}/rejects", with_metrics=False)
         incremental.run_available(spark, f"{root}/clean/events", f"{root}/tables/events",
                                   f"{root}/_checkpoints/events_load")
     return _flat_events(incremental.events_table(spark, f"{root}/tables/events").read())

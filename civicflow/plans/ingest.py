@@ -69,25 +69,26 @@ def reject_rows(checked: DataFrame) -> DataFrame:
 
 @dataclass
 class IngestResult:
-    metrics: DataFrame        # one row per run, checkpointed
+    metrics: DataFrame | None  # one row per run, checkpointed (None if not asked for)
     clean_path: str
     rejects_path: str
 
 
 def validate_and_partition(spark: SparkSession, raw: DataFrame, clean_path: str,
-                           rejects_path: str) -> IngestResult:
+                           rejects_path: str, with_metrics: bool = True) -> IngestResult:
     """Check a bronze batch, write clean partitions and rejects, count per run.
 
     ``raw`` carries the bronze columns plus ``ds`` (landing day).  The
     per-run counters are checkpointed to the shared checkpoint folder
-    before the cached batch is released.
+    before the cached batch is released; a caller that does not use them
+    passes ``with_metrics=False`` and saves that job.
     """
     shared_dir(spark)  # checkpoint() below needs the shared folder
     checked = V.check(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables.write_partitioned(clean_rows(checked), clean_path, ["date", "category", "ingest_ds"])
         tables.write_partitioned(reject_rows(checked), rejects_path, ["run_date"])
-        metrics = run_metrics(checked).checkpoint()
+        metrics = run_metrics(checked).checkpoint() if with_metrics else None
     finally:
         checked.unpersist()
     return IngestResult(metrics, clean_path, rejects_path)

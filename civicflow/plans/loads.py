@@ -23,16 +23,20 @@ EVENT_KEY = ["id"]
 EVENT_REPLACED = ("ts", "geom", "value", "category", "source")
 
 
-def clean_load(spark: SparkSession, clean_root: str, raw_events_path: str, load_id: str) -> DataFrame:
+def clean_load(spark: SparkSession, clean_root: str, raw_events_path: str, load_id: str,
+               with_totals: bool = True) -> DataFrame | None:
     """K3: append the whole clean history to ``raw_events``; returns A7 totals.
 
     Rows are counted by an observation on the append itself (no second pass
-    over the data); files by a metadata-only scan of the file paths.
+    over the data); files by a metadata-only scan of the file paths, which
+    ``with_totals=False`` skips (and then returns None).
     """
     clean = events_files.scan_clean(spark, clean_root)
     rows = events_files.clean_event_columns(clean).withColumn("load_id", F.lit(load_id))
     obs = Observation(f"load_{load_id}")
     tables.append(rows.observe(obs, F.count(F.lit(1)).alias("rows_loaded")), raw_events_path)
+    if not with_totals:
+        return None
     files = clean.select(F.col("_metadata.file_path")).distinct().count()
     return spark.range(1).select(F.lit(load_id).alias("load_id"), F.lit(files).cast("long").alias("files_loaded"),
                                  F.lit(obs.get["rows_loaded"]).cast("long").alias("rows_loaded"))
