@@ -1,12 +1,17 @@
-"""Incremental daily load (T1) with Structured Streaming.
+"""Incremental daily loads (T1) with Structured Streaming.
 
 The reference rescans the whole clean history every day and appends it
-again.  Here a file stream over the clean partitions picks up only the
-files it has not seen (the checkpoint remembers them), and each micro-batch
-is upserted by id into the spatial events snapshot.  ``availableNow``
-processes what has landed and stops, so the job runs on a schedule like a
-batch job but never rereads old files.  A batch that is retried after a
-failure upserts the same rows again: the result is the same.
+again.  Here file streams pick up only the files they have not seen (the
+checkpoint remembers them):
+
+* clean event partitions → each micro-batch upserted by id into the
+  day-partitioned spatial events snapshot (K4);
+* landed report files → each micro-batch parsed, normalised, deduplicated
+  and upserted by external id into the reports snapshot (K5).
+
+``availableNow`` processes what has landed and stops, so a job runs on a
+schedule like a batch job but never rereads old files.  A batch that is
+retried after a failure upserts the same rows again: the result is the same.
 """
 
 from __future__ import annotations
