@@ -70,3 +70,41 @@ def test_range_checks_match_pandas(spark):
     want_val = pd.to_numeric(pdf["value"], errors="coerce").fillna(-1) >= 0
     for i, rid in enumerate(pdf["id"]):
         assert got[rid] == (bool(want_lat[i]), bool(want_lon[i]), bool(want_val[i])), rows[i]
+
+
+def test_upsert_matches_a_dict_model(spark):
+    from civicflow.operators.upsert import upsert
+    rng = random.Random(3)
+    for trial in range(4):
+        target = {k: (f"r{rng.randint(0, 9)}", f"k{rng.randint(0, 9)}") for k in rng.sample(range(60), 30)}
+        batch = {k: (rng.choice([None, f"n{rng.randint(0, 9)}"]),) for k in rng.sample(range(60), 25)}
+        # the rule: replaced column takes the batch value (NULL included), kept column stays,
+        # a new key gets the batch value and the default for the kept column
+        want = {}
+        for k, (r, kept) in target.items():
+            want[k] = (batch[k][0], kept) if k in batch else (r, kept)
+        for k, (r,) in batch.items():
+            if k not in target:
+                want[k] = (r, "default")
+        t = spark.createDataFrame([(k, r, kp) for k, (r, kp) in target.items()], "k int, r string, kept string")
+        b = spark.createDataFrame([(k, r) for k, (r,) in batch.items()], "k int, r string")
+        for strategy in ("broadcast", "shuffle"):
+            out = upsert(t, b, ["k"], ["r"], insert_defaults={"kept": F.lit("default")}, strategy=strategy)
+            got = {row["k"]: (row["r"], row["kept"]) for row in out.collect()}
+            assert got == want, (trial, strategy)
+
+
+def test_hot_cell_on_the_shuffle_path(spark):
+    from civicflow.operators.spatial_join import region_table, within_join
+    from civicflow.schemas import REGION_SOURCE
+    square = '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'
+    regions = region_table(spark.createDataFrame([(1, "sq", square)], REGION_SOURCE))
+    rng = random.Random(9)
+    pts = [(i, 1.0, 1.0) for i in range(1000)]  # one spot holds a third of all points
+    pts += [(1000 + i, rng.uniform(-1, 3), rng.uniform(-1, 3)) for i in range(2000)]
+    points = spark.createDataFrame(pts, "pid int, lon double, lat double")
+    want = sorted(p for p, x, y in pts if 0 < x < 2 and 0 < y < 2)
+    for bcast in (10**9, 0):
+        got = sorted(r["pid"] for r in within_join(points, regions, broadcast_max_edges=bcast,
+                                                   broadcast_max_cells=bcast).collect())
+        assert got == want
