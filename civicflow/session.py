@@ -64,9 +64,9 @@ def build(master: str | None = None, app: str = "civicflow", shuffle_partitions:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Lineage cuts and intermediate tables go there.  Only when the session
-    names none (local tests, the bench) is a private folder created and
-    registered as the checkpoint dir.
+    Lineage cuts and intermediate tables go there.  Only a local-mode
+    session that names none (tests, the bench) gets a private folder; on a
+    cluster the setting is required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -78,6 +78,9 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random sub-folder; use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        # executors on other machines could not see a local folder
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3A, ...)")
     local = tempfile.mkdtemp(prefix="civicflow-ckpt-")
     sc.setCheckpointDir(local)
     return local
