@@ -119,3 +119,11 @@ def test_json_lines_landing_gives_the_same_reports(spark, tmp_dir):
     b = table(json_reports.scan_lines(spark, f"{tmp_dir}/lines"))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert json_reports.quarantine_lines(spark, f"{tmp_dir}/lines").count() == 0
+
+
+def test_repeated_key_keeps_the_last_value(spark):
+    rows = _norm(spark, ['{"request_id":"A","type":"one","type":"two"}'])
+    assert rows[0]["external_id"] == "A" and rows[0]["category"] == "two"
+    files = spark.createDataFrame([("f", '[{"ref":"X","ref":"Y"}]')], "file_path string, value string")
+    docs = json_reports.documents_of(files).collect()
+    assert [d["doc"].toJson() for d in docs] == ['{"ref":"Y"}']
