@@ -68,3 +68,11 @@ def test_daily_avg_of_only_null_values_is_null(spark):
     df = spark.createDataFrame(rows, SPATIAL_EVENTS)
     got = analytics.daily_avg(df, "2024-02-01 00:00:00").collect()
     assert len(got) == 1 and got[0]["avg_value"] is None
+
+
+@pytest.mark.parametrize("name,partial", [("reports_dedupe", "partial_max_by"), ("hotspots_top5", "partial_sum"),
+                                          ("reports_per_region", "partial_count"), ("daily_avg", "partial_sum"),
+                                          ("constraint_checks", "partial_count")])
+def test_hot_keys_are_pre_aggregated_before_the_shuffle(spark, name, partial):
+    plan = _plan(entry.queries()[name](spark, SMALL))
+    assert partial in plan
