@@ -1,9 +1,11 @@
 """Citizen reports: normalise, deduplicate, upsert, search.
 
 The reference parses each document in a Python loop; here a batch of
-variant documents goes through one projection (``functions.reports``), one
-shuffle on ``external_id`` to keep the last version of each report, and
-one full outer join with the current table.
+variant documents goes through narrow projections (``functions.reports``),
+one shuffle on ``external_id`` to keep the last version of each report, and
+the keyed upsert (``operators.upsert``): a broadcast of the measured batch
+when it is small, so the current table is not shuffled, a full outer join
+otherwise.
 """
 
 from __future__ import annotations
