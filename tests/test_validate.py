@@ -78,3 +78,24 @@ def test_one_pass_table_checks_equal_separate_checks(spark):
     separate = C.report(C.not_null(df, "t", ["a", "b"]), C.unique(df, "t", ["k"]))
     assert sorted(map(tuple, C.report(one).collect())) == sorted(map(tuple, separate.collect()))
     assert {r["rule"]: r["violations"] for r in one.collect()} == {"a not null": 1, "b not null": 2, "(k) unique": 1}
+
+
+def test_special_category_round_trips_and_null_category_is_not_written(spark, tmp_dir):
+    rows = [("1", "2024-01-01 10:00:00", "1", "1", "1", "a/b=c", "s", "2024-01-01"),
+            ("2", "2024-01-01 11:00:00", "1", "1", "1", None, "s", "2024-01-01")]
+    raw = spark.createDataFrame(rows, "id string, ts string, latitude string, longitude string, value string, "
+                                      "category string, source string, ds string") \
+        .withColumn("ds", F.col("ds").cast("date"))
+    res = ingest.validate_and_partition(spark, raw, f"{tmp_dir}/clean", f"{tmp_dir}/rej")
+    back = spark.read.parquet(f"{tmp_dir}/clean").collect()
+    assert [(r["id"], r["category"]) for r in back] == [("1", "a/b=c")]
+    m = res.metrics.first()
+    assert (m["rows_read"], m["rows_written"], m["rows_unpartitioned"]) == (2, 1, 1)
+
+
+def test_reject_without_an_id_column_logs_na(spark):
+    raw = spark.createDataFrame([("2024-01-01 00:00:00", "95", "0", "1", "a", "s")],
+                                "ts string, latitude string, longitude string, value string, category string, "
+                                "source string")
+    r = V.rejects(V.check(raw), F.lit("run1")).first()
+    assert r["id"] is None and r["message"] == "Run:run1 | ID:N/A | Rejet: latitude invalide"
