@@ -157,7 +157,8 @@ def point_cells(points: DataFrame, lon: str, lat: str, levels: tuple[int, ...],
 def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: str = "lat",
                 cell: float = DEFAULT_CELL, max_cells: int = DEFAULT_MAX_CELLS,
                 broadcast_max_edges: int = DEFAULT_BROADCAST_MAX_EDGES,
-                broadcast_max_cells: int = DEFAULT_BROADCAST_MAX_CELLS) -> DataFrame:
+                broadcast_max_cells: int = DEFAULT_BROADCAST_MAX_CELLS,
+                stats: CellStats | None = None) -> DataFrame:
     """Inner join of points with every region that strictly contains them.
 
     ``regions`` is the output of :func:`region_table`; the result has the
@@ -165,10 +166,14 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
     by the cell join alone; only points in boundary cells meet the region's
     edges, through a second join on ``region_id`` that matches boundary rows
     only (one pass over the points, no union).
+
+    ``stats`` may be passed when already measured for a superset of
+    ``regions`` (its counts bound the subset's; its levels cover them).
     """
     cells = region_cells(regions, cell, max_cells)
     geometry = region_geometry(regions)
-    stats = cell_stats(cells, geometry)
+    if stats is None:
+        stats = cell_stats(cells, geometry)
     pts = point_cells(spread(points), lon, lat, stats.levels, cell)
     cell_side = F.broadcast(cells) if stats.cells <= broadcast_max_cells else cells
     geo_side = F.broadcast(geometry) if stats.edges <= broadcast_max_edges else geometry

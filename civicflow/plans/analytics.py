@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions import geo
-from civicflow.operators.spatial_join import within_join
+from civicflow.operators.spatial_join import cell_stats, region_cells, region_geometry, within_join
 from civicflow.session import shared_dir
 
 # Analysis windows and grid size of the reference queries.
@@ -101,7 +101,9 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
     since = cutoff(as_of, days)
     recent = in_window(events, since, keep_undated=True)
     pts = recent.select("id", "ts", F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
-    per_region = (within_join(pts, regions, "lon", "lat", **join_options)
+    cell_opts = {k: v for k, v in join_options.items() if k in ("cell", "max_cells")}
+    stats = cell_stats(region_cells(regions, **cell_opts), region_geometry(regions))
+    per_region = (within_join(pts, regions, "lon", "lat", stats=stats, **join_options)
                   .groupBy("region_id").agg(F.count("id").alias("passing")))
     if not keep_all_regions:
         # one row per region, needed by phase 2 and by the result: computed
@@ -120,7 +122,8 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
             lon, lat = F.col("geom.lon"), F.col("geom.lat")
             old_pts = (old.where(lon.between(box["x0"], box["x1"]) & lat.between(box["y0"], box["y1"]))
                        .select("id", lon.alias("lon"), lat.alias("lat")))
-            had_old = (within_join(old_pts, quiet, "lon", "lat", **join_options)
+            # the quiet regions are a subset: the size check above covers them
+            had_old = (within_join(old_pts, quiet, "lon", "lat", stats=stats, **join_options)
                        .select(F.col("region_id").alias("old_region")).distinct())
             joined = (joined.join(had_old, F.col("id") == F.col("old_region"), "left")
                       .where(F.col("passing").isNotNull() | F.col("old_region").isNull()))
