@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicflow.llm import bpe as op9
 from civicflow.llm import decontaminate as op10
+from civicflow.llm import language as op6
 from civicflow.llm import quality_rules as op1
+from civicflow.llm import secrets as op7
 from civicflow.llm import weak_quality as op3
 
 
@@ -24,6 +28,37 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.classify(docs, keep=["doc_id"])
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = op6.train(docs.filter(~op6.held_out("doc_id")))
+    return (op6.predict(docs, model, keep=["doc_id"])
+            .select("doc_id", op6.held_out("doc_id").alias("held_out"), "lang_pred", "score"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = op7.scan(docs, keep=["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "entropy")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = op9.decode(op9.encode(docs, path, keep=["doc_id"]), path)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = op10.decontaminate(docs, _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -35,6 +70,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
+    "op6_language_id": op6_language_id,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
 }
 
