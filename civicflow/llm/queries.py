@@ -11,8 +11,13 @@ from civicflow.llm import decontaminate as op10
 from civicflow.llm import language as op6
 from civicflow.llm import quality_rules as op1
 from civicflow.llm import secrets as op7
+from civicflow.llm import sharding as op5
+from civicflow.llm import surrogates as op4
 from civicflow.llm import weak_quality as op3
 
+# the key of the registered queries; a deployment passes its own secret
+SURROGATE_KEY = "surrogates of the registered queries"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,6 +33,16 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.classify(docs, keep=["doc_id"])
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.replace(_table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return op5.assign(docs, 16, keep=["doc_id"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = op6.train(docs.filter(~op6.held_out("doc_id")))
@@ -70,6 +85,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_pii_surrogates": op4_pii_surrogates,
+    "op5_stratified_shards": op5_stratified_shards,
     "op6_language_id": op6_language_id,
     "op7_secret_scan": op7_secret_scan,
     "op9_bpe": op9_bpe,
