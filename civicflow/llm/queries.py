@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from civicflow.llm import bpe as op9
 from civicflow.llm import decontaminate as op10
+from civicflow.llm import jaccard as op8
 from civicflow.llm import language as op6
 from civicflow.llm import quality_rules as op1
 from civicflow.llm import secrets as op7
@@ -65,6 +66,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -89,6 +94,7 @@ QUERIES = {
     "op5_stratified_shards": op5_stratified_shards,
     "op6_language_id": op6_language_id,
     "op7_secret_scan": op7_secret_scan,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
 }
