@@ -11,6 +11,7 @@ from civicflow.llm import decontaminate as op10
 from civicflow.llm import jaccard as op8
 from civicflow.llm import language as op6
 from civicflow.llm import quality_rules as op1
+from civicflow.llm import repeats as op2
 from civicflow.llm import secrets as op7
 from civicflow.llm import sharding as op5
 from civicflow.llm import surrogates as op4
@@ -29,6 +30,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.quality_rules(docs, _table(spark, sf_dir, "labels"), keep=["doc_id"])
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op2.remove_repeats(docs, keep=["doc_id"]).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return op3.classify(docs, keep=["doc_id"])
@@ -89,6 +96,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_pii_surrogates": op4_pii_surrogates,
     "op5_stratified_shards": op5_stratified_shards,
