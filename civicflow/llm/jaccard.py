@@ -174,9 +174,9 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return written(edges.unionByName(verified(rest, sets, percent)), "links")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
-                    percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest id that links reach, its own included."""
+def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+            percent: int = PERCENT) -> DataFrame:
+    """(id, n, k, component_id) of every row: its set's size and class, and the smallest id of its component."""
     source = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text"))
 
     def sized(chunk: Chunk, batch: pa.RecordBatch) -> dict:
@@ -227,8 +227,42 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     edges = link_classes(prefix, sets, percent)
     labels = written(connected(edges), "components")
     member = meta.join(labels.withColumnRenamed("node", "k"), "k", "left").select(
-        "id", "n", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("component", "k")).alias("c"))
+        "id", "n", "k", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("component", "k")).alias("c"))
     least = member.filter("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))
-    linked = member.filter("c is not null").join(least, "c").select("id", "n", "component_id")
-    lone = member.filter("c is null").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(lone).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+    linked = member.filter("c is not null").join(least, "c").select("id", "n", "k", "component_id")
+    lone = member.filter("c is null").select("id", "n", "k", F.col("id").alias("component_id"))
+    return linked.unionByName(lone)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+                    percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id): component_id is the smallest id that links reach, its own included."""
+    return members(docs, doc_id, text, width, percent).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+                percent: int = PERCENT) -> DataFrame:
+    """The documents, one of each component: the one with the smallest id (of rows that repeat it, one).
+
+    Documents without an id or without words link with none and all stay.
+    """
+    found = written(members(docs, doc_id, text, width, percent), "members")
+    grouped = found.filter("id is not null and n > 0")
+    # of several rows with the smallest id, those with the least class
+    winners = grouped.filter("id = component_id").groupBy("id").agg(F.min("k").alias("k"))
+    names = docs.columns
+    source = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)], quoted(doc_id).alias("id"),
+                         quoted(text).cast("string").alias("text"))
+
+    def sized(chunk: Chunk, batch: pa.RecordBatch) -> dict:
+        _, _, size, key = shingles(chunk, width)
+        return {"n": size, "k": key.view(np.int64)}
+
+    keyed = map_text(source, "text", [T.StructField("n", T.LongType()), T.StructField("k", T.LongType())], sized,
+                     keep=[f"c{i}" for i in range(len(names))] + ["id"])
+    alone = keyed.filter("id is null or n = 0")
+    kept = keyed.filter("id is not null and n > 0").join(winners, ["id", "k"], "left_semi")
+    if not grouped.groupBy("id", "k").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["id", "k"])
+    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    return kept.select(*columns).unionByName(alone.select(*columns))
