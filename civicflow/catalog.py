@@ -94,6 +94,18 @@ def q_validate_events(spark, sf_dir):
                     Q.reason_text(F.col("reasons")).alias("reasons"))
 
 
+@register("validate_numbers")
+def q_validate_numbers(spark, sf_dir):
+    """Texts that look like numbers to a cast but are none (5d, 6.1f), and numbers beyond a decimal (inf, 1e30)."""
+    raw = fixtures.raw_ev(spark, sf_dir)
+    k = F.col("id").cast("long") % 8
+    raw = raw.withColumns({
+        "value": F.when(k == 0, F.concat("value", F.lit("d"))).when(k == 1, F.lit("inf")).when(k == 2, F.lit("1e30")).otherwise(F.col("value")),
+        "latitude": F.when(k == 3, F.lit("6.1f")).otherwise(F.col("latitude").cast("string"))})
+    c = V.check(raw)
+    return c.select("id", "lat_ok", "lon_ok", "value_ok", "is_valid", Q.reason_text(F.col("reasons")).alias("reasons"))
+
+
 @register("valid_events")
 def q_valid_events(spark, sf_dir):
     """Rows passing all checks, typed."""
@@ -122,6 +134,27 @@ def q_partition_counts(spark, sf_dir):
     return written.groupBy("date", "category").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# days from here on are landed again, corrected and with fewer rows
+RERUN_FROM = "2024-01-20"
+
+
+@register("partition_rerun")
+def q_partition_rerun(spark, sf_dir):
+    """K2/K7: days landed again with fewer rows; clean rows, rejects and metrics are those of the last run."""
+    root = session.scratch(spark, "rerun")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    ingest.validate_and_partition(spark, raw, f"{root}/clean/events", f"{root}/rejects", with_metrics=False)
+    again = raw.where((F.col("ds") >= F.lit(RERUN_FROM).cast("date")) & (F.col("id").cast("long") % 3 != 1))
+    result = ingest.validate_and_partition(spark, again, f"{root}/clean/events", f"{root}/rejects")
+    clean = events_files.scan_clean(spark, f"{root}/clean/events").groupBy(F.col("ingest_ds").alias("ds")).agg(F.count("*").alias("clean"))
+    bad = (spark.read.schema("run_id string, id string, reasons string, message string, run_date date")
+           .parquet(f"{root}/rejects").groupBy(F.col("run_date").alias("ds")).agg(F.count("*").alias("rejects")))
+    counted = result.metrics.select(F.to_date("execution_date").alias("ds"), "rows_read", "rows_written", "bad_records_count")
+    return (clean.join(bad, "ds", "full").join(counted, "ds", "left")
+            .select("ds", F.coalesce("clean", F.lit(0)).alias("clean"), F.coalesce("rejects", F.lit(0)).alias("rejects"),
+                    "rows_read", "rows_written", "bad_records_count"))
+
+
 def _metrics_attempts(spark, sf_dir):
     """Two attempts of every daily run: the first ones before RETRY_BEFORE
     failed (nothing written), the retries of all days succeeded."""
@@ -216,6 +249,12 @@ def reports_table(spark, sf_dir):
     return reports.upsert_reports(t1, second, F.lit(SECOND_LOAD_AT).cast("timestamp_ntz"))
 
 
+@register("reports_processed")
+def q_reports_processed(spark, sf_dir):
+    """Reports processed by a load, per file (an id in two files counts in both)."""
+    return reports.processed_per_file(reports.normalize(report_docs(spark, sf_dir)))
+
+
 @register("reports_upsert")
 def q_reports_upsert(spark, sf_dir):
     """Upsert by external_id, ingested_at kept from the first load."""
@@ -280,7 +319,7 @@ def q_scan_clean_events(spark, sf_dir):
 def q_raw_events_append(spark, sf_dir):
     """K3: full-history append per load (one copy of a row per load)."""
     root, _ = _land_and_load(spark, sf_dir)
-    return spark.read.parquet(f"{root}/raw_events")
+    return spark.read.parquet(f"{root}/raw_events").drop("ingest_ds")
 
 
 @register("load_totals")
@@ -320,6 +359,24 @@ def q_scan_csv_events(spark, sf_dir):
                           F.col("_lon").alias("longitude"), "value", "category", "source", "ds")
 
 
+@register("scan_csv_mixed_headers")
+def q_scan_csv_mixed_headers(spark, sf_dir):
+    """Exports with another column order, further columns, quotes and line breaks lie beside plain ones."""
+    root = session.scratch(spark, "csv")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    odd = F.dayofmonth("ds") % 2 == 1
+    events_files.write_csv_export(raw.where(~odd), f"{root}/raw/events", partition_col="ds")
+    note = F.concat(F.lit('said "'), F.col("id"), F.lit('",\nthen left'))
+    (raw.where(odd).select(
+        F.col("longitude").cast("string").alias("longitude"), F.col("latitude").cast("string").alias("latitude"), note.alias("note"),
+        "source", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), "category",
+        F.col("value").cast("string").alias("value"), "id", F.date_format("ds", "yyyy-MM-dd").alias("date"))
+     .write.mode("append").option("header", True).option("escape", '"').partitionBy("date").csv(f"{root}/raw/events"))
+    checked = V.check(events_files.scan_csv(spark, f"{root}/raw/events"))
+    return checked.select("id", F.col("_ts").alias("ts"), F.col("_lat").alias("latitude"),
+                          F.col("_lon").alias("longitude"), "value", "category", "source", "ds")
+
+
 @register("bronze_land")
 def q_bronze_land(spark, sf_dir):
     """Land every configured source under name/date=ds/, count what landed."""
@@ -381,6 +438,23 @@ def q_constraint_checks(spark, sf_dir):
     )
 
 
+@register("events_corrections")
+def q_events_corrections(spark, sf_dir):
+    """Ids landed again a day later with an earlier ts and another value: the later landing wins in batch and stream."""
+    root = session.scratch(spark, "corrections")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    fixed = raw.where(F.col("id").cast("long") % 5 == 0).select(
+        "id", (F.col("ts") - F.expr("INTERVAL 2 HOURS")).alias("ts"), "latitude", "longitude", F.lit("7.25").alias("value"),
+        "category", F.lit("corrected").alias("source"), F.date_add("ds", 1).alias("ds"))
+    ingest.validate_and_partition(spark, raw.unionByName(fixed), f"{root}/clean/events", f"{root}/rejects", with_metrics=False)
+    loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", LOAD_IDS[0], with_totals=False)
+    batch = loads.raw_to_spatial(spark.read.parquet(f"{root}/raw_events"))
+    incremental.run_available(spark, f"{root}/clean/events", f"{root}/tables/events", f"{root}/_checkpoints/events_load")
+    stream = incremental.events_table(spark, f"{root}/tables/events").read()
+    return (_flat_events(batch).withColumn("load", F.lit("batch"))
+            .unionByName(_flat_events(stream).withColumn("load", F.lit("stream"))))
+
+
 @register("incremental_load")
 def q_incremental_load(spark, sf_dir):
     """File stream over the clean partitions, availableNow, upsert per batch."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civicflow.functions.common import idiv
+from civicflow.functions.common import idiv, to_double
 
 # Reject reason texts and the log-line layout, which must equal
 # the reference's output.
@@ -18,18 +18,15 @@ REASON_VALUE = "valeur invalide"
 REASON_SEPARATOR = ", "
 # our addition for timestamp text that does not parse (the reference fails the run)
 REASON_TIMESTAMP = "timestamp invalide"
+# our addition for rows without an id, which no keyed table could hold
+REASON_ID = "id manquant"
 # Fixed value: share of bad rows above which a run is flagged
 ERROR_RATE_THRESHOLD = 0.05
 
 
-def _try_double(c: Column) -> Column:
-    """Text or number → double; anything unparseable → NULL."""
-    return c.try_cast("double")
-
-
 def in_range(c: Column, low: float, high: float) -> Column:
     """Inclusive range test; NULL and NaN fail."""
-    v = _try_double(c)
+    v = to_double(c)
     return F.coalesce(v.between(F.lit(low), F.lit(high)) & ~F.isnan(v), F.lit(False))
 
 
@@ -46,7 +43,7 @@ def value_ok(c: Column) -> Column:
 
     Spark orders NaN above every number, so NaN >= 0 is true: test it apart.
     """
-    v = _try_double(c)
+    v = to_double(c)
     return F.coalesce((v >= 0) & ~F.isnan(v), F.lit(False))
 
 
@@ -55,7 +52,8 @@ def timestamp_ok(text: Column, parsed: Column) -> Column:
     return text.isNull() | parsed.isNotNull()
 
 
-def reasons(lat_ok: Column, lon_ok: Column, val_ok: Column, ts_ok: Column | None = None) -> Column:
+def reasons(lat_ok: Column, lon_ok: Column, val_ok: Column, ts_ok: Column | None = None,
+            id_ok: Column | None = None) -> Column:
     """array<string> of failed checks, in the reference order."""
     items = [
         F.when(~lat_ok, F.lit(REASON_LATITUDE)),
@@ -64,6 +62,8 @@ def reasons(lat_ok: Column, lon_ok: Column, val_ok: Column, ts_ok: Column | None
     ]
     if ts_ok is not None:
         items.append(F.when(~ts_ok, F.lit(REASON_TIMESTAMP)))
+    if id_ok is not None:
+        items.append(F.when(~id_ok, F.lit(REASON_ID)))
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from civicflow.functions.common import to_double
 from civicflow.functions.geo import make_point
 
 # The document shapes, first hit wins.  Each entry is
@@ -95,8 +96,8 @@ def geo_lat_lon(doc: Column, shape_col: Column) -> tuple[Column, Column]:
     parts = F.split(text, ",", -1)
     usable = ((shape_col == GEO_SHAPE) & (_kind(doc, GEO_PATH) == "STRING")
               & (F.size(parts) == 2))
-    lat = F.when(usable, parts[0].try_cast("double"))
-    lon = F.when(usable, parts[1].try_cast("double"))
+    lat = F.when(usable, to_double(parts[0]))
+    lon = F.when(usable, to_double(parts[1]))
     both = lat.isNotNull() & lon.isNotNull()
     return F.when(both, lat), F.when(both, lon)
 

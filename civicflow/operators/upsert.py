@@ -24,39 +24,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.session import shared_dir
+from civicflow.session import scratch
 
 _PRESENT = "_present"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# bytes that a field's place in a row takes beside its value, at most
+FIELD_BYTES = 16
 
 
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-                T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
+def written_and_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``df`` as a Parquet table in the shared folder, with its rows and a bound of its bytes in memory.
 
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: text, binary and variant by their length, the rest
-    by their fixed size."""
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 16)))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("long")
-
-
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a DataFrame in one aggregation."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
-    return int(r["n"]), int(r["b"])
+    Written plain (no dictionary, no compression), a value takes its own
+    bytes in the file; in memory it takes at most twice that, and a null or
+    a field's place ``FIELD_BYTES`` more.
+    """
+    spark = df.sparkSession
+    folder = scratch(spark, "batch")
+    df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(folder)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    table = spark.read.schema(df.schema).parquet(folder)
+    rows = table.count()
+    return table, rows, 2 * size + rows * FIELD_BYTES * (len(df.columns) + 1)
 
 
 def orderable_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -112,18 +104,15 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterabl
     * key in both → columns in ``replace`` take the batch value (NULLs
       included, as ``EXCLUDED.col`` does); every other column is kept.
 
-    ``strategy`` is ``"broadcast"``, ``"shuffle"`` or ``"auto"`` (checkpoint
-    the batch, measure it and broadcast only under both ``broadcast_max_rows``
-    and ``broadcast_max_bytes``).
+    ``strategy`` is ``"broadcast"``, ``"shuffle"`` or ``"auto"`` (write the
+    batch once, take its size from the files and broadcast only under both
+    ``broadcast_max_rows`` and ``broadcast_max_bytes``).
     """
     replace = set(replace)
     defaults = dict(insert_defaults or {})
     if strategy == "auto":
-        # the batch is computed once, written to the shared checkpoint folder
-        # (a lineage cut that survives executor loss) and measured from there
-        shared_dir(batch.sparkSession)
-        batch = batch.checkpoint(eager=True)
-        rows, size = measure(batch)
+        # the batch is computed once; its table in the shared folder survives executor loss
+        batch, rows, size = written_and_measured(batch)
         small = rows <= broadcast_max_rows and size <= broadcast_max_bytes
         strategy = "broadcast" if small else "shuffle"
     t = target.withColumn(_PRESENT, F.lit(True)).alias("t")

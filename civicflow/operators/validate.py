@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.functions import quality as Q
+from civicflow.functions.common import to_double
 
 
 def _parsed_ts(raw: DataFrame):
@@ -28,20 +29,22 @@ def check(raw: DataFrame) -> DataFrame:
 
     ``raw`` has the bronze columns (id, ts, latitude, longitude, value,
     category, source), as text or typed.  Timestamp text that does not parse
-    is a reject reason here (the reference aborts the whole run instead).
+    is a reject reason here (the reference aborts the whole run instead), and
+    so is a missing id: rows without one cannot be upserted.
     """
     ts, ts_ok = _parsed_ts(raw)
     lat_ok = Q.latitude_ok(F.col("latitude"))
     lon_ok = Q.longitude_ok(F.col("longitude"))
     val_ok = Q.value_ok(F.col("value"))
+    id_ok = F.col("id").isNotNull() if "id" in raw.columns else None
     checked = raw.select(
         "*",
         ts.alias("_ts"),
-        F.col("latitude").try_cast("double").alias("_lat"),
-        F.col("longitude").try_cast("double").alias("_lon"),
-        F.col("value").try_cast("double").alias("_value"),
+        to_double(F.col("latitude")).alias("_lat"),
+        to_double(F.col("longitude")).alias("_lon"),
+        to_double(F.col("value")).alias("_value"),
         lat_ok.alias("lat_ok"), lon_ok.alias("lon_ok"), val_ok.alias("value_ok"),
-        Q.reasons(lat_ok, lon_ok, val_ok, ts_ok).alias("reasons"),
+        Q.reasons(lat_ok, lon_ok, val_ok, ts_ok, id_ok).alias("reasons"),
     )
     return checked.withColumn("is_valid", F.size("reasons") == 0)
 

@@ -1,23 +1,23 @@
 """Validate + partition job and its run metrics.
 
 A batch may hold one landing day (the reference's daily run) or many; each
-landing day ``ds`` is one run.  The checked batch is persisted once and
-feeds the clean write, the reject write and the per-run counters, so the
-bronze input is parsed once.
+landing day ``ds`` is one run.  The checked batch is written once to the
+shared folder and feeds the clean write, the reject write and the per-run
+counters, so the bronze input is parsed once and a lost executor costs a
+read, not a parse.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators import validate as V
 from civicflow.operators.upsert import upsert
 from civicflow.schemas import PIPELINE_METRICS
-from civicflow.session import shared_dir
+from civicflow.session import scratch
 from civicflow.sinks import tables
 
 # Job and table names recorded in the metrics table.
@@ -35,9 +35,18 @@ def run_id_of(ds: Column) -> Column:
     return F.concat(F.lit("scheduled__"), F.date_format(ds, "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
 
 
-def run_metrics(checked: DataFrame) -> DataFrame:
-    """A5/A6 per run (landing day): counters, error rate, 5 % flag."""
+def run_metrics(checked: DataFrame, days: list[str] | None = None) -> DataFrame:
+    """A5/A6 per run (landing day): counters, error rate, 5 % flag.
+
+    With ``days`` there is a row for each of them, with counters 0 when the
+    day has no rows.
+    """
     per_run = checked.groupBy("ds").agg(*V.run_counters(checked))
+    if days is not None:
+        runs = checked.sparkSession.range(1).select(
+            F.explode(F.array(*[F.lit(d) for d in days]).cast("array<date>")).alias("ds"))
+        counters = [c for c in per_run.columns if c != "ds"]
+        per_run = runs.join(per_run, "ds", "left").select("ds", *[F.coalesce(c, F.lit(0)).alias(c) for c in counters])
     return V.with_error_rate(per_run).select(
         F.lit(DAG_ID).alias("dag_id"), run_id_of(F.col("ds")).alias("run_id"),
         F.lit(TABLE_TARGET).alias("table_target"),
@@ -49,9 +58,9 @@ def run_metrics(checked: DataFrame) -> DataFrame:
 def clean_rows(checked: DataFrame) -> DataFrame:
     """Rows to write, with their partition columns ``date, category, ingest_ds``.
 
-    ``ingest_ds`` (the landing day) is a third partition level, so a rerun
-    of one landing day replaces exactly its own files and never the files
-    that another landing day wrote for the same event date.
+    ``ingest_ds`` (the landing day) is the first partition level, so a rerun
+    of one landing day replaces its whole folder and never a file that
+    another landing day wrote for the same event date.
     """
     return (V.partition_keys(checked)
             .select(F.col("id").cast("string").alias("id"), F.col("_ts").alias("ts"),
@@ -69,31 +78,43 @@ def reject_rows(checked: DataFrame) -> DataFrame:
 
 @dataclass
 class IngestResult:
-    metrics: DataFrame | None  # one row per run, checkpointed (None if not asked for)
+    metrics: DataFrame | None  # one row per run (None if not asked for)
     clean_path: str
     rejects_path: str
 
 
-def validate_and_partition(spark: SparkSession, raw: DataFrame, clean_path: str,
-                           rejects_path: str, with_metrics: bool = True) -> IngestResult:
+def validate_and_partition(spark: SparkSession, raw: DataFrame, clean_path: str, rejects_path: str,
+                           with_metrics: bool = True, days: list[str] | None = None) -> IngestResult:
     """Check a bronze batch, write clean partitions and rejects, count per run.
 
-    ``raw`` carries the bronze columns plus ``ds`` (landing day).  The
-    per-run counters are checkpointed to the shared checkpoint folder
-    before the cached batch is released; a caller that does not use them
-    passes ``with_metrics=False`` and saves that job.
+    ``raw`` carries the bronze columns plus ``ds`` (landing day).  ``days``
+    are the landing days that the batch replaces, those of its rows unless
+    given: clean rows, rejects and metrics of a day always come from its
+    last run alone, also when that has fewer rows or none.  A caller that
+    does not use the per-run counters passes ``with_metrics=False``.
     """
-    shared_dir(spark)  # checkpoint() below needs the shared folder
-    checked = V.check(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables.write_partitioned(clean_rows(checked), clean_path, ["date", "category", "ingest_ds"])
-        tables.write_partitioned(reject_rows(checked), rejects_path, ["run_date"])
-        metrics = run_metrics(checked).checkpoint() if with_metrics else None
-    finally:
-        checked.unpersist()
+    folder = scratch(spark, "checked")
+    V.check(raw).write.parquet(folder)
+    checked = spark.read.parquet(folder)
+    if days is None:
+        # one short text for each landing day
+        days = [r["d"] for r in checked.select(F.date_format("ds", "yyyy-MM-dd").alias("d")).distinct().collect() if r["d"]]
+    tables.replace_days(clean_rows(checked), clean_path, days, ["ingest_ds", "date", "category"])
+    tables.replace_days(reject_rows(checked), rejects_path, days, ["run_date"])
+    metrics = run_metrics(checked, days) if with_metrics else None
     return IngestResult(metrics, clean_path, rejects_path)
 
 
+def failed_run(spark: SparkSession, ds: str, error: str, finished_at: Column) -> DataFrame:
+    """The metrics row of a run that failed: nothing counted, the error text kept."""
+    none = F.lit(0).cast("long")
+    return spark.range(1).select(
+        F.lit(DAG_ID).alias("dag_id"), run_id_of(F.lit(ds).cast("date")).alias("run_id"), F.lit(TABLE_TARGET).alias("table_target"),
+        F.lit(ds).cast("date").cast("timestamp_ntz").alias("execution_date"), none.alias("rows_read"), none.alias("rows_written"),
+        none.alias("bad_records_count"), F.lit(STATUS_FAILED).alias("status"), F.lit(error).alias("error_message"),
+        finished_at.alias("finished_at"))
+
+
 def metrics_rows(metrics: DataFrame, status: Column, error_message: Column, finished_at: Column,
                  rows_written: Column | None = None) -> DataFrame:
     """Metrics-table rows (the INSERT column list) from per-run counters."""

@@ -3,7 +3,7 @@
 Lake layout (all under one root on shared storage)::
 
     raw/<source>/date=<ds>/…                       bronze landing (land)
-    clean/events/date=/category=/ingest_ds=/       clean events (validate)
+    clean/events/ingest_ds=/date=/category=/       clean events (validate)
     rejects/run_date=/                             reject rows (validate)
     tables/raw_events/                             append table (load_clean)
     tables/events/v=<n>/                           spatial events snapshot (to_spatial, stream_events)
@@ -30,12 +30,14 @@ from civicflow.operators.spatial_join import region_table
 from civicflow.plans import analytics, ingest, loads, reports
 from civicflow.schemas import CITIZEN_REPORTS, PIPELINE_METRICS, REGION_SOURCE
 from civicflow.sinks import landing
-from civicflow.sinks.tables import Snapshot
+from civicflow.sinks.tables import Snapshot, hadoop_fs
 from civicflow.sources import events_files, json_reports
 from civicflow.streaming import incremental
 
 EVENTS_SOURCE = "events"
 REPORTS_SOURCE = "demandes_services"
+# only files of this name are reports
+REPORTS_GLOB = "*.json"
 
 
 def _p(lake: str, *parts: str) -> str:
@@ -62,15 +64,25 @@ def land(spark: SparkSession, lake: str, config_path: str, ds: str) -> list[str]
 def validate(spark: SparkSession, lake: str, ds: str, finished_at: str | None = None) -> DataFrame:
     """Validate + partition the events landed on ``ds``; upsert the run metrics.
 
-    Returns the run's metrics row (A5/A6).
+    Reads that day's folder only.  A day without a landed file fails; a file
+    without rows is a run with 0 rows.  A run that fails is recorded as
+    FAILED with the error text, and the error is raised.  Returns the run's
+    metrics row (A5/A6).
     """
-    raw = (events_files.scan_csv(spark, _p(lake, "raw", EVENTS_SOURCE))
-           .where(F.col("ds") == F.lit(ds).cast("date")))
-    result = ingest.validate_and_partition(spark, raw, _p(lake, "clean", "events"), _p(lake, "rejects"))
     done = F.lit(finished_at or datetime.now().isoformat(sep=" ")).cast("timestamp_ntz")
-    rows = ingest.metrics_rows(result.metrics, F.lit(ingest.STATUS_SUCCESS), F.lit(None), done)
     table = metrics_table(spark, lake)
-    table.commit(ingest.upsert_metrics(table.read(), rows))
+    source = _p(lake, "raw", EVENTS_SOURCE)
+    try:
+        fs, folder, _ = hadoop_fs(spark, f"{source}/date={ds}")
+        if not fs.exists(folder) or not events_files.csv_files(spark, f"{source}/date={ds}"):
+            raise FileNotFoundError(f"no CSV landed for {ds}: {source}/date={ds}")
+        raw = events_files.scan_csv(spark, source, ds)
+        result = ingest.validate_and_partition(spark, raw, _p(lake, "clean", "events"), _p(lake, "rejects"), days=[ds])
+        rows = ingest.metrics_rows(result.metrics, F.lit(ingest.STATUS_SUCCESS), F.lit(None), done)
+        table.commit(ingest.upsert_metrics(table.read(), rows))
+    except Exception as e:
+        table.commit(ingest.upsert_metrics(table.read(), ingest.failed_run(spark, ds, str(e), done), refresh_error=True))
+        raise
     return result.metrics
 
 
@@ -96,7 +108,7 @@ def stream_reports(spark: SparkSession, lake: str, run_ts: str | None = None) ->
     """T1 for reports: the incremental alternative to citizen_reports."""
     incremental.run_reports_available(spark, _p(lake, "raw", REPORTS_SOURCE), _p(lake, "tables", "citizen_reports"),
                                       _p(lake, "_checkpoints", "reports_load"),
-                                      run_ts or datetime.now().isoformat(sep=" "))
+                                      run_ts or datetime.now().isoformat(sep=" "), glob=REPORTS_GLOB)
 
 
 def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -> DataFrame:
@@ -106,8 +118,12 @@ def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -
     reports_processed, files, quarantined_files.
     """
     prefix = _p(lake, "raw", REPORTS_SOURCE)
-    docs = json_reports.scan(spark, prefix).select(F.col("file_path").alias("file_key"), "pos", "doc")
-    batch = reports.to_table_rows(reports.dedupe(reports.normalize(docs)))
+    # parsed and normalised once: the upsert and all totals read the written rows
+    folder = session.scratch(spark, "reports")
+    reports.normalize(json_reports.scan(spark, prefix, REPORTS_GLOB).select(F.col("file_path").alias("file_key"), "pos", "doc")
+                      ).write.parquet(folder)
+    docs = spark.read.parquet(folder)
+    batch = reports.to_table_rows(reports.dedupe(docs))
     table = reports_table(spark, lake)
     stamp = F.lit(run_ts or datetime.now().isoformat(sep=" ")).cast("timestamp_ntz")
     table.commit(reports.upsert_reports(table.read(), batch, stamp))
@@ -115,11 +131,10 @@ def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -
     def total(name: str, df: DataFrame, value) -> DataFrame:
         return df.agg(value.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
 
-    # reports_processed: rows inserted or updated by this run (one per id)
     return (total("documents", docs, F.count(F.lit(1)))
-            .unionByName(total("reports_processed", batch, F.count(F.lit(1))))
+            .unionByName(total("reports_processed", reports.processed_per_file(docs), F.coalesce(F.sum("reports"), F.lit(0))))
             .unionByName(total("files", docs, F.count_distinct("file_key")))
-            .unionByName(total("quarantined_files", json_reports.quarantine(spark, prefix), F.count(F.lit(1)))))
+            .unionByName(total("quarantined_files", json_reports.quarantine(spark, prefix, REPORTS_GLOB), F.count(F.lit(1)))))
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:

@@ -4,9 +4,14 @@
   tagged with the load id.  As in the reference each load rescans the full
   clean history, so ``raw_events`` holds one copy of a row per load.
 * ``raw_to_spatial``: ``raw_events`` → one row per id (latest load, then
-  latest ts, then all columns) → typed spatial rows → upsert by id.  The
+  latest landing, latest ts, then all columns) → typed spatial rows → upsert by id.  The
   dedupe makes the upsert well defined where the database would reject a
   batch that touches one key twice.
+
+The last row of an id is the one that landed last (``ingest_ds``), and of one
+landing the one with the latest ts: a correction re-sent with an earlier ts
+wins, in the batch and in the streaming load alike.  Rows without an id are
+rejected by the validation and never get here.
 """
 
 from __future__ import annotations
@@ -20,7 +25,9 @@ from civicflow.sinks import tables
 from civicflow.sources import events_files
 
 EVENT_KEY = ["id"]
-EVENT_REPLACED = ("ts", "geom", "value", "category", "source")
+# which of several rows of an id is the last
+LAST_LANDED = ["ingest_ds", "ts"]
+EVENT_REPLACED = ("ts", "geom", "value", "category", "source", "value_double")
 
 
 def clean_load(spark: SparkSession, clean_root: str, raw_events_path: str, load_id: str,
@@ -43,13 +50,13 @@ def clean_load(spark: SparkSession, clean_root: str, raw_events_path: str, load_
 
 
 def latest_per_id(raw_events: DataFrame) -> DataFrame:
-    """One raw row per id: latest load, then latest ts, then all columns."""
-    return keep_last(raw_events, ["id"], ["load_id", "ts"])
+    """One raw row per id: latest load, then latest landing, latest ts, all columns."""
+    return keep_last(raw_events, ["id"], ["load_id", *LAST_LANDED])
 
 
 def raw_to_spatial(raw_events: DataFrame) -> DataFrame:
     """P6 on the deduplicated raw rows."""
-    return to_spatial(latest_per_id(raw_events).drop("load_id"))
+    return to_spatial(latest_per_id(raw_events))
 
 
 def upsert_events(target: DataFrame, batch: DataFrame) -> DataFrame:

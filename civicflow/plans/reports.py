@@ -47,6 +47,15 @@ def dedupe(normalized: DataFrame, order: tuple[str, ...] = ("file_key", "pos"))
     return keep_last(with_id, REPORT_KEY, list(order), tie_break_all=False)
 
 
+def processed_per_file(normalized: DataFrame) -> DataFrame:
+    """Reports a load processes, file by file: the ids of each file, each once.
+
+    An id in two files counts in both, as every file is upserted on its own.
+    """
+    return (normalized.where(F.col("external_id").isNotNull()).groupBy("file_key")
+            .agg(F.count_distinct("external_id").alias("reports")))
+
+
 def to_table_rows(deduped: DataFrame) -> DataFrame:
     """P10: the table's columns (point only when both coordinates exist)."""
     return deduped.select(

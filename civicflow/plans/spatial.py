@@ -12,15 +12,18 @@ from civicflow.schemas import VALUE_DECIMAL
 def to_spatial(raw: DataFrame) -> DataFrame:
     """``id::BIGINT, ts AT TIME ZONE 'UTC', point(lon, lat), value::NUMERIC``.
 
-    The casts are ANSI casts: text that is not a number raises, as the
-    database cast does.  Timestamps are already UTC wall clock, so the zone
-    conversion is the identity on ``timestamp_ntz``.
+    The id cast is an ANSI cast: text that is not a number raises, as the
+    database cast does.  A value that the decimal cannot hold (infinity, more
+    than 28 digits) is NULL there and whole in ``value_double``, so one such
+    row never stops a load.  Timestamps are already UTC wall clock, so the
+    zone conversion is the identity on ``timestamp_ntz``.
     """
     return raw.select(
         F.col("id").cast("long").alias("id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         make_point(F.col("longitude"), F.col("latitude")).alias("geom"),
-        F.col("value").cast(VALUE_DECIMAL).alias("value"),
+        F.col("value").try_cast(VALUE_DECIMAL).alias("value"),
         "category",
         "source",
+        F.col("value").cast("double").alias("value_double"),
     )

@@ -31,6 +31,13 @@ CLEAN_EVENTS = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
+# clean files: data columns, then the partition directories
+CLEAN_FILE = T.StructType([f for f in CLEAN_EVENTS.fields if f.name != "category"] + [
+    T.StructField("date", T.DateType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("ingest_ds", T.DateType()),
+])
+
 # spatial events table: id is the key
 SPATIAL_EVENTS = T.StructType([
     T.StructField("id", T.LongType(), False),
@@ -39,6 +46,8 @@ SPATIAL_EVENTS = T.StructType([
     T.StructField("value", VALUE_DECIMAL),
     T.StructField("category", T.StringType()),
     T.StructField("source", T.StringType()),
+    # the value as read: infinity and numbers beyond the decimal's range stay whole here
+    T.StructField("value_double", T.DoubleType()),
 ])
 
 PIPELINE_METRICS = T.StructType([

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's join even when a following aggregation would have
+    # reused the join's partitioning (it shuffles its partial sums instead)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a JSON object with a repeated key keeps the last value, as a
     # Python dict does, instead of turning the whole file NULL
     "spark.sql.variant.allowDuplicateKeys": "true",

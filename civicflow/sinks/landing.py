@@ -3,20 +3,23 @@
 Sources are listed in a JSON config ``[{"name": …, "path": …}]``; names are
 lower-cased with spaces turned into underscores.  A missing or unreadable
 config means no sources (the job is a no-op); a configured source whose
-path does not exist raises.  Landing overwrites the ``date=ds`` partition
-of that source only, so a rerun of the same day is idempotent.
+path does not exist raises.  Landing replaces the ``date=ds`` folder of that
+source only, so a rerun of the same day is idempotent.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_fs
 
+# files copied at a time
+COPIES = 5
 # documents per landed JSON file: bounds the whole-text read of each file
 DOCS_PER_FILE = 1000
 
@@ -41,33 +44,51 @@ def read_source_list(spark: SparkSession, config_path: str) -> list[tuple[str, s
 
 
 def land_source(spark: SparkSession, name: str, source_path: str, raw_root: str, ds: str) -> str:
-    """Copy one source into ``raw_root/name/date=ds/`` keeping its text.
-
-    CSV keeps its header (read as text columns, written back with a header
-    per file); anything else is copied file by file as whole text.
+    """Copy one source byte for byte to ``raw_root/name/date=ds/``.
+
+    A file lands as ``name`` with its extension, a folder's files under their
+    own relative names (hidden files are left out).  The bytes stream from
+    store to store through this process's Hadoop client, ``COPIES`` files at
+    a time, so any format and size lands unchanged and nothing is held.  The
+    copy is made beside the target and takes the day's place when complete: a
+    rerun replaces the whole day, a failed one leaves it as it was.
     """
-    fs, p, _ = hadoop_fs(spark, source_path)
-    if not fs.exists(p):
+    fs, source, jvm = hadoop_fs(spark, source_path)
+    if not fs.exists(source):
         raise FileNotFoundError(f"source not found: {source_path}")
     target = f"{raw_root.rstrip('/')}/{name}"
-    ext = os.path.splitext(source_path.rstrip("/"))[1].lower()
-    if ext == ".csv" or source_path.rstrip("/").endswith("csv"):
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("recursiveFileLookup", "true").csv(source_path))
-        (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date")
-         .option("header", True).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(target))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    to_fs, day, _ = hadoop_fs(spark, f"{target}/date={ds}")
+    path = jvm.org.apache.hadoop.fs.Path
+    staging = path(f"{target}/_landing-{uuid.uuid4().hex}")
+    to_fs.mkdirs(staging)
+    copies = []
+    if fs.getFileStatus(source).isDirectory():
+        prefix = len(fs.resolvePath(source).toUri().getPath().rstrip("/")) + 1
+        files = fs.listFiles(source, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            relative = fs.resolvePath(file).toUri().getPath()[prefix:]
+            if not any(part.startswith(("_", ".")) for part in relative.split("/")):
+                # a folder such as date=… in the source has a name of its own, no child path's scheme
+                copies.append((file, path(f"{staging.toString()}/{relative}")))
     else:
-        # one row per source file, written back one file per row under a
-        # directory named by its path inside the source: a file's text is
-        # never split or merged, files keep their order (later file wins
-        # downstream) and a rerun of the day overwrites the same files
-        base = os.path.basename(source_path.rstrip("/"))
-        rel = F.regexp_extract(F.col("_metadata.file_path"), "/" + re.escape(base) + "(/.*)?$", 1)
-        df = (spark.read.option("recursiveFileLookup", "true").text(source_path, wholetext=True)
-              .select(F.coalesce(F.nullif(F.regexp_replace(rel, "^/", ""), F.lit("")), F.lit(base)).alias("src"),
-                      "value"))
-        (df.withColumn("date", F.lit(ds)).write.mode("overwrite").partitionBy("date", "src")
-         .option("maxRecordsPerFile", 1).text(target))
+        copies.append((source, path(staging, name + os.path.splitext(source.getName())[1])))
+
+    def copy(pair) -> None:
+        to_fs.mkdirs(pair[1].getParent())
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, pair[0], to_fs, pair[1], False, True, conf):
+            raise OSError(f"copy failed: {pair[0].toString()}")
+
+    try:
+        with ThreadPoolExecutor(COPIES) as pool:
+            list(pool.map(copy, copies))
+        to_fs.delete(day, True)
+        if not to_fs.rename(staging, day):
+            raise OSError(f"rename failed: {day.toString()}")
+    except BaseException:
+        to_fs.delete(staging, True)
+        raise
     return target
 
 
@@ -96,6 +117,16 @@ def write_json_lists(docs: DataFrame, path: str, day_col: str = "date", order_co
     # chunk directory gets exactly one file
     (grouped.select("date", "chunk", text.alias("value"))
      .write.mode("overwrite").partitionBy("date", "chunk").text(path))
+    # the text writer names its files .txt; scans of reports ask for .json
+    fs, root, jvm = hadoop_fs(grouped.sparkSession, path)
+    files, found = fs.listFiles(root, True), []
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().endswith(".txt"):
+            found.append(file)
+    for file in found:
+        if not fs.rename(file, jvm.org.apache.hadoop.fs.Path(file.getParent(), file.getName()[:-4] + ".json")):
+            raise OSError(f"rename failed: {file.toString()}")
 
 
 def write_json_lines(docs: DataFrame, path: str, day_col: str = "date", order_col: str = "pos",

@@ -7,6 +7,7 @@ task, never half a partition.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,30 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
      .parquet(path))
 
 
+def replace_days(df: DataFrame, path: str, days: list[str], partition_cols: list[str]) -> None:
+    """Replace whole day folders: afterwards ``path/<first column>=<day>`` holds just the rows of ``df`` for it.
+
+    ``partition_cols`` starts with the day.  The rows are written beside the
+    table and each day's folder takes its place when all are written, so a
+    rerun with fewer rows (or none) leaves nothing of the earlier run behind,
+    and a failed write leaves the table as it was.
+    """
+    spark = df.sparkSession
+    fs, root, jvm = hadoop_fs(spark, path.rstrip("/"))
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    try:
+        (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_cols).parquet(staging))
+        for day in days:
+            old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_cols[0]}={day}")
+            new = jvm.org.apache.hadoop.fs.Path(f"{staging}/{partition_cols[0]}={day}")
+            fs.delete(old, True)
+            if fs.exists(new) and not fs.rename(new, old):
+                raise OSError(f"rename failed: {old.toString()}")
+    finally:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+
+
 def append(df: DataFrame, path: str) -> None:
     """K3: ``if_exists='append'``."""
     df.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)

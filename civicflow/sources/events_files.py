@@ -10,28 +10,76 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.schemas import CLEAN_EVENTS, RAW_CSV
+from civicflow.schemas import CLEAN_EVENTS, CLEAN_FILE, RAW_CSV
+from civicflow.sinks.tables import hadoop_fs
 
 # Fixed value: the path segment a category is read from when a file lacks it.
 CATEGORY_IN_PATH = r"category=([^/]+)/"
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+def csv_files(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The CSV files under ``path`` by their header line.
+
+    Only the first line of each file is read here; hidden files and empty
+    ones are left out.
+    """
+    fs, root, jvm = hadoop_fs(spark, path)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, list[str]] = {}
+    names = []
+    files = fs.listFiles(root, True)
+    base = root.depth()
+    while files.hasNext():
+        status = files.next()
+        parts = status.getPath().toUri().getPath().split("/")[base + 1:]
+        if status.getLen() > 0 and not any(x.startswith(("_", ".")) for x in parts):
+            names.append(status.getPath())
+    for file in sorted(names, key=lambda f: f.toString()):
+        codec = codecs.getCodec(file)
+        stream = fs.open(file)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        header = lines.readLine()
+        lines.close()
+        if header is not None:
+            found.setdefault(header.lstrip("\ufeff"), []).append(file.toString())
+    return found
+
+
+def scan_csv(spark: SparkSession, path: str, ds: str | None = None, multi_line: bool = True) -> DataFrame:
     """Bronze CSV with a header; every field is text (typed later by checks).
 
+    Every file is read under its own header (files with equal headers
+    together), so exports with another column order or further columns can
+    lie side by side; a missing column is NULL.  Fields are quoted as usual:
+    doubled quotes, and line breaks inside quotes.  The latter keep a file in
+    one task, streamed; ``multi_line=False`` splits files that have none.
+
     The header names the timestamp ``timestamp``; it is exposed as ``ts``.
-    The landing day comes from the ``date=`` directory, as ``ds``.
+    The landing day is the first ``date=`` folder of a file's path below
+    ``path``, as ``ds``; with ``ds`` only that day's folder is listed and read.
     """
-    # columns are matched by header name, as a header-driven reader does:
-    # another column order or extra columns do not shift values; a missing
-    # column is NULL
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    present = set(df.columns)
-    cols = [(F.col(f.name) if f.name in present else F.lit(None)).cast("string").alias(f.name)
-            for f in RAW_CSV.fields]
-    if "date" in present:
-        cols.append(F.col("date").alias("ds"))
-    return df.select(*cols).withColumnRenamed("timestamp", "ts")
+    folder = path.rstrip("/") + (f"/date={ds}" if ds else "")
+    groups = csv_files(spark, folder)
+    dated = ds is not None or any("/date=" in f for files in groups.values() for f in files)
+    parts = []
+    for files in groups.values():
+        df = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(files))
+        present = set(df.columns)
+        cols = [(F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast("string").alias(f.name)
+                for f in RAW_CSV.fields]
+        if dated:
+            day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/", 1)
+            cols.append(F.nullif(day, F.lit("")).cast("date").alias("ds"))
+        parts.append(df.select(*cols))
+    if not parts:
+        parts.append(spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in RAW_CSV.fields],
+                                           *([F.lit(None).cast("date").alias("ds")] if dated else [])))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumnRenamed("timestamp", "ts")
 
 
 def write_csv_export(df: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -61,7 +109,8 @@ def scan_clean(spark: SparkSession, root: str) -> DataFrame:
     For foreign files that carry their own ``category`` column see
     :func:`category_from_path`.
     """
-    return spark.read.option("basePath", root).parquet(root)
+    # with a schema a category stays the text of its folder (007, 2024-01-01)
+    return spark.read.schema(CLEAN_FILE).option("basePath", root).parquet(root)
 
 
 def category_from_path(df: DataFrame) -> DataFrame:
@@ -83,4 +132,4 @@ def category_from_path(df: DataFrame) -> DataFrame:
 
 
 def clean_event_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN_EVENTS.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN_EVENTS.fields], "ingest_ds")

@@ -18,29 +18,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from civicflow.operators.upsert import keep_last
 from civicflow.plans import reports
-from civicflow.plans.loads import upsert_events
+from civicflow.plans.loads import LAST_LANDED, upsert_events
 from civicflow.plans.spatial import to_spatial
-from civicflow.schemas import CITIZEN_REPORTS, SPATIAL_EVENTS
+from civicflow.schemas import CITIZEN_REPORTS, CLEAN_FILE, SPATIAL_EVENTS
 from civicflow.sinks.tables import Snapshot
 from civicflow.sources import json_reports
 
-# clean files: data columns, then the partition directories
-CLEAN_FILE_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("ingest_ds", T.DateType()),
-])
-
-
 def events_table(spark: SparkSession, path: str) -> Snapshot:
     """The spatial events snapshot, partitioned by event day so that
     time-window queries read only the days they need."""
@@ -49,7 +35,8 @@ def events_table(spark: SparkSession, path: str) -> Snapshot:
 
 def _apply_batch(table: Snapshot):
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        rows = to_spatial(batch.select("id", "ts", "latitude", "longitude", "value", "category", "source"))
+        # one row per id by the same rule as the batch load
+        rows = to_spatial(keep_last(batch.drop("date"), ["id"], LAST_LANDED))
         table.commit(upsert_events(table.read(), rows))
     return apply
 
@@ -57,7 +44,7 @@ def _apply_batch(table: Snapshot):
 def run_available(spark: SparkSession, clean_root: str, table_path: str, checkpoint: str,
                   max_files_per_trigger: int | None = None) -> None:
     """Process every clean file that landed since the last run, then stop."""
-    reader = spark.readStream.schema(CLEAN_FILE_SCHEMA)
+    reader = spark.readStream.schema(CLEAN_FILE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(clean_root).where(F.col("id").isNotNull())
@@ -80,11 +67,13 @@ def _apply_reports(table: Snapshot, run_ts):
 
 
 def run_reports_available(spark: SparkSession, reports_root: str, table_path: str, checkpoint: str,
-                          run_ts: str, max_files_per_trigger: int | None = None) -> None:
+                          run_ts: str, max_files_per_trigger: int | None = None, glob: str | None = None) -> None:
     """K5 incrementally: report files that landed since the last run are
     parsed, normalised, deduplicated and upserted, one micro-batch at a time
     (files in arrival order, so a later file still wins)."""
     reader = spark.readStream.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.text(reports_root, wholetext=True).select(

@@ -64,7 +64,7 @@ def test_window_prunes_day_partitions_of_the_events_snapshot(spark, tmp_dir):
 def test_daily_avg_of_only_null_values_is_null(spark):
     from civicflow.plans import analytics
     from civicflow.schemas import SPATIAL_EVENTS
-    rows = [(1, __import__("datetime").datetime(2024, 1, 30), None, None, "a", "s")]
+    rows = [(1, __import__("datetime").datetime(2024, 1, 30), None, None, "a", "s", None)]
     df = spark.createDataFrame(rows, SPATIAL_EVENTS)
     got = analytics.daily_avg(df, "2024-02-01 00:00:00").collect()
     assert len(got) == 1 and got[0]["avg_value"] is None

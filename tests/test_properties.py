@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -10,47 +10,40 @@ from pyspark.sql import functions as F
 from civicflow.functions.dates import normalize_date
 from civicflow.operators import validate as V
 
-LAYOUTS = ("%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d", "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S")
-
-
-def py_normalize(value):
-    """The rule as plain Python (epoch read in UTC)."""
-    if not value:
-        return None
-    if isinstance(value, (int, float)):
-        return datetime.fromtimestamp(value, tz=timezone.utc).replace(tzinfo=None)
-    text = str(value).strip()
-    for layout in LAYOUTS:
-        try:
-            return datetime.strptime(text, layout)
-        except ValueError:
-            continue
-    return None
-
-
-def _random_value(rng):
-    y, m, d = rng.randint(1990, 2030), rng.randint(1, 12), rng.randint(1, 28)
-    h, mi, s, us = rng.randint(0, 23), rng.randint(0, 59), rng.randint(0, 59), rng.randint(0, 999999)
-    pad = rng.random() < 0.7
-    mm, dd = (f"{m:02d}", f"{d:02d}") if pad else (str(m), str(d))
-    choices = [
-        f"{y}-{mm}-{dd}", f"{dd}/{mm}/{y}", f"{y}/{mm}/{dd}",
-        f"{y}-{mm}-{dd}T{h:02d}:{mi:02d}:{s:02d}.{us:06d}",
-        f"{y}-{mm}-{dd}T{h:02d}:{mi:02d}:{s:02d}.{str(us)[:rng.randint(1, 6)]}",
-        f"{y}-{mm}-{dd}T{h:02d}:{mi:02d}:{s:02d}",
-        f"  {y}-{mm}-{dd} ", f"{y}-{mm}-{dd}Z", f"{y}-{m + 20}-{dd}", f"{dd}-{mm}-{y}", "", "junk",
-        rng.randint(0, 2_000_000_000), 0, None, True, False,
-    ]
-    return rng.choice(choices)
-
-
-def test_date_normalisation_matches_python(spark):
+# text or number as it may stand in a document, and the timestamp it means
+DATE_CASES = [
+    ("2024-01-05", "2024-01-05 00:00:00"), ("05/01/2024", "2024-01-05 00:00:00"), ("2024/01/05", "2024-01-05 00:00:00"),
+    ("2024-01-05T06:07:08", "2024-01-05 06:07:08"), ("2024-01-05T06:07:08.25", "2024-01-05 06:07:08.250000"),
+    ("2024-01-05T06:07:08.245775", "2024-01-05 06:07:08.245775"), ("  2024-01-05 ", "2024-01-05 00:00:00"),
+    ("2024-1-5", "2024-01-05 00:00:00"), ("5/1/2024", "2024-01-05 00:00:00"), (1704067200, "2024-01-01 00:00:00"),
+    (True, "1970-01-01 00:00:01"), ("2024-02-29", "2024-02-29 00:00:00"),
+    ("2023-02-29", None), ("31/02/2024", None), ("2024-13-01", None), ("01-05-2024", None), ("2024-01-05Z", None),
+    ("junk", None), ("", None), (0, None), (False, None), (None, None),
+]
+
+
+def _written(rng, t):
+    """A random way to write the moment ``t`` that keeps its day, or all of it."""
+    day = [f"{t:%Y-%m-%d}", f"{t:%d/%m/%Y}", f"{t:%Y/%m/%d}", f"{t.year}-{t.month}-{t.day}", f"  {t:%Y-%m-%d} "]
+    k = rng.randrange(8)
+    if k < len(day):
+        return day[k], t.replace(hour=0, minute=0, second=0, microsecond=0)
+    if k == 5:
+        return f"{t:%Y-%m-%dT%H:%M:%S}", t.replace(microsecond=0)
+    if k == 6:
+        return f"{t:%Y-%m-%dT%H:%M:%S}.{t.microsecond:06d}", t
+    return int(t.replace(microsecond=0, tzinfo=timezone.utc).timestamp()), t.replace(microsecond=0)
+
+
+def test_dates_written_in_every_layout_come_back(spark):
     rng = random.Random(11)
-    values = [_random_value(rng) for _ in range(3000)]
-    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, v string")
+    cases = [(v, want and datetime.fromisoformat(want)) for v, want in DATE_CASES]
+    for _ in range(1500):
+        cases.append(_written(rng, datetime(1990, 1, 1) + timedelta(microseconds=rng.randrange(40 * 365 * 86_400 * 10**6))))
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, (v, _) in enumerate(cases)], "i int, v string")
     got = dict(df.select("i", normalize_date(F.parse_json("v")).alias("t")).collect())
-    for i, v in enumerate(values):
-        assert got[i] == py_normalize(v), (v, got[i])
+    for i, (v, want) in enumerate(cases):
+        assert got[i] == want, (v, got[i], want)
 
 
 def test_range_checks_match_pandas(spark):

@@ -58,10 +58,10 @@ def test_broadcast_and_shuffle_plans_agree(spark):
 
 
 def test_auto_falls_back_to_shuffle_when_the_batch_is_too_big(spark):
-    from civicflow.operators.upsert import measure
+    from civicflow.operators.upsert import written_and_measured
     target = spark.range(0, 100).selectExpr("id AS k", "repeat('x', 100) AS r")
     batch = spark.range(50, 150).selectExpr("id AS k", "repeat('y', 100) AS r")
-    rows, size = measure(batch)
+    _, rows, size = written_and_measured(batch)
     assert rows == 100 and size >= 100 * 100
     small = upsert(target, batch, ["k"], ["r"], broadcast_max_bytes=10**9)
     big = upsert(target, batch, ["k"], ["r"], broadcast_max_bytes=1000)
