@@ -164,8 +164,8 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
     ``regions`` is the output of :func:`region_table`; the result has the
     point columns plus ``region_id``.  Points in interior cells are matched
     by the cell join alone; only points in boundary cells meet the region's
-    edges, through a second join on ``region_id`` that matches boundary rows
-    only (one pass over the points, no union).
+    edges, through a second join on ``region_id``: with the outlines
+    broadcast in the same pass, else for the boundary points alone.
 
     ``stats`` may be passed when already measured for a superset of
     ``regions`` (its counts bound the subset's; its levels cover them).
@@ -177,6 +177,13 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
     pts = point_cells(spread(points), lon, lat, stats.levels, cell)
     cell_side = F.broadcast(cells) if stats.cells <= broadcast_max_cells else cells
     geo_side = F.broadcast(geometry) if stats.edges <= broadcast_max_edges else geometry
+    if stats.edges > broadcast_max_edges:
+        # outlines are shuffled by region: only points of boundary cells go there, interior ones are matched already
+        keep = [*points.columns, "region_id"]
+        inner = pts.join(cell_side.where("inside"), ["level", "cx", "cy"], "inner").select(*keep)
+        edge = pts.join(cell_side.where(~F.col("inside")), ["level", "cx", "cy"], "inner").join(geo_side, "region_id")
+        exact = geo.in_bbox(F.col(lon), F.col(lat), F.col("bbox")) & geo.within(F.col(lon), F.col(lat), F.col("edges"))
+        return inner.unionByName(edge.where(exact).select(*keep))
     candidates = pts.join(cell_side, ["level", "cx", "cy"], "inner")
     g = geo_side.alias("g")
     with_geometry = candidates.join(

@@ -8,6 +8,8 @@ made a parameter so results do not move).
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ REGION_WINDOW_DAYS = 30
 HOTSPOT_WINDOW_DAYS = 7
 HOTSPOT_GRID = 0.1
 HOTSPOT_TOP = 5
+# boxes of single regions that are pushed into a scan, at most
+MAX_BOXES = 64
 
 
 def cutoff(as_of: str | datetime, days: int):
@@ -93,7 +97,8 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
        row-group pruning on the time bound;
     2. only regions with no window event need the history, to tell "never
        had an event" (kept with 0) from "only old events" (dropped).  Their
-       combined bounding box is pushed into the scan of the older events;
+       bounding boxes are pushed into the scan of the older events, each by
+       itself, so quiet regions far apart do not read what lies between;
        when every region has window events this phase reads nothing.
 
     ``keep_all_regions=True`` skips phase 2 and reports every region.
@@ -113,14 +118,19 @@ def events_per_region(events: DataFrame, regions: DataFrame, as_of: str, days: i
     joined = regions.select("id", "name").join(per_region, F.col("id") == F.col("region_id"), "left")
     if not keep_all_regions:
         quiet = regions.join(per_region, F.col("id") == F.col("region_id"), "left_anti")
-        box = quiet.agg(F.count(F.lit(1)).alias("n"), F.min("bbox.x0").alias("x0"), F.max("bbox.x1").alias("x1"),
-                        F.min("bbox.y0").alias("y0"), F.max("bbox.y1").alias("y1")).first()
-        if box["n"] > 0:
+        # the quiet regions' boxes, a few in the usual case; one box around all of them beyond MAX_BOXES
+        boxes = [r["bbox"] for r in quiet.select("bbox").limit(MAX_BOXES + 1).collect()]
+        if len(boxes) > MAX_BOXES:
+            boxes = [quiet.agg(F.min("bbox.x0").alias("x0"), F.max("bbox.x1").alias("x1"),
+                               F.min("bbox.y0").alias("y0"), F.max("bbox.y1").alias("y1")).first()]
+        boxes = [b for b in boxes if b is not None and b["x0"] is not None]
+        if boxes:
             old = events.where(F.col("ts") < since)
             if "date" in events.columns:
                 old = old.where(F.col("date") <= F.to_date(since))
             lon, lat = F.col("geom.lon"), F.col("geom.lat")
-            old_pts = (old.where(lon.between(box["x0"], box["x1"]) & lat.between(box["y0"], box["y1"]))
+            near = reduce(or_, [lon.between(b["x0"], b["x1"]) & lat.between(b["y0"], b["y1"]) for b in boxes])
+            old_pts = (old.where(near)
                        .select("id", lon.alias("lon"), lat.alias("lat")))
             # the quiet regions are a subset: the size check above covers them
             had_old = (within_join(old_pts, quiet, "lon", "lat", stats=stats, **join_options)

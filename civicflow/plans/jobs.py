@@ -6,9 +6,9 @@ Lake layout (all under one root on shared storage)::
     clean/events/ingest_ds=/date=/category=/       clean events (validate)
     rejects/run_date=/                             reject rows (validate)
     tables/raw_events/                             append table (load_clean)
-    tables/events/v=<n>/                           spatial events snapshot (to_spatial, stream_events)
-    tables/citizen_reports/v=<n>/                  reports snapshot (citizen_reports)
-    tables/pipeline_metrics/v=<n>/                 run metrics snapshot (validate)
+    tables/events/                                 spatial events snapshot by day (to_spatial, stream_events)
+    tables/citizen_reports/                        reports snapshot (citizen_reports)
+    tables/pipeline_metrics/                       run metrics snapshot (validate)
     _checkpoints/…                                 streaming checkpoints
 
 Each job is independent and idempotent for its day, like the reference's
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import argparse
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,7 +96,7 @@ def to_spatial(spark: SparkSession, lake: str) -> int:
     """raw_events → one typed row per id → upsert into the events snapshot."""
     table = events_table(spark, lake)
     batch = loads.raw_to_spatial(spark.read.parquet(_p(lake, "tables", "raw_events")))
-    return table.commit(loads.upsert_events(table.read(), batch))
+    return table.merge(batch, loads.EVENT_KEY, partial(loads.upsert_events, unique=True))
 
 
 def stream_events(spark: SparkSession, lake: str) -> None:

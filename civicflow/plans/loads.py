@@ -59,6 +59,6 @@ def raw_to_spatial(raw_events: DataFrame) -> DataFrame:
     return to_spatial(latest_per_id(raw_events))
 
 
-def upsert_events(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """K4: ON CONFLICT (id) DO UPDATE all five non-key columns."""
-    return upsert(target, keep_last(batch, EVENT_KEY, ["ts"]), EVENT_KEY, EVENT_REPLACED)
+def upsert_events(target: DataFrame, batch: DataFrame, unique: bool = False) -> DataFrame:
+    """K4: ON CONFLICT (id) DO UPDATE all non-key columns; ``unique``: the batch holds an id once."""
+    return upsert(target, batch if unique else keep_last(batch, EVENT_KEY, ["ts"]), EVENT_KEY, EVENT_REPLACED)

@@ -16,12 +16,14 @@ retried after a failure upserts the same rows again: the result is the same.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators.upsert import keep_last
 from civicflow.plans import reports
-from civicflow.plans.loads import LAST_LANDED, upsert_events
+from civicflow.plans.loads import EVENT_KEY, LAST_LANDED, upsert_events
 from civicflow.plans.spatial import to_spatial
 from civicflow.schemas import CITIZEN_REPORTS, CLEAN_FILE, SPATIAL_EVENTS
 from civicflow.sinks.tables import Snapshot
@@ -37,7 +39,7 @@ def _apply_batch(table: Snapshot):
     def apply(batch: DataFrame, epoch_id: int) -> None:
         # one row per id by the same rule as the batch load
         rows = to_spatial(keep_last(batch.drop("date"), ["id"], LAST_LANDED))
-        table.commit(upsert_events(table.read(), rows))
+        table.merge(rows, EVENT_KEY, partial(upsert_events, unique=True))
     return apply
 
 
