@@ -22,6 +22,8 @@ DIM = 1 << 15
 FAMILIES = 4
 # shares are small numbers; scaled so that a step moves the score
 SCALE = 20.0
+# rows of the sample in one product
+BLOCK = 100
 
 
 def slots(chunk: Chunk, words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -103,11 +105,19 @@ def fit(rows: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-4) -> Mo
     held = np.array([r["fold"] % 4 == 3 for r in rows])
     if len({v >= 0.5 for v in y[held]}) < 2 or len({v >= 0.5 for v in y[~held]}) < 2:
         held = np.zeros(len(y), bool)
-    ids = [np.frombuffer(r["slots"], np.int32) for r in rows]
-    shares = [np.frombuffer(r["shares"], np.float32) for r in rows]
-    lengths = np.array([len(i) for i in ids])
-    flat, value = np.concatenate(ids), np.concatenate(shares)
-    owner = np.repeat(np.arange(len(rows)), lengths)
+    # a block of rows at a time: the sample is held once, the products of one block besides
+    blocks = []
+    for lo in range(0, len(rows), BLOCK):
+        part = rows[lo:lo + BLOCK]
+        ids = [np.frombuffer(r["slots"], np.int32) for r in part]
+        blocks.append((slice(lo, lo + len(part)), np.concatenate(ids), np.concatenate([np.frombuffer(r["shares"], np.float32) for r in part]),
+                       np.repeat(np.arange(len(part), dtype=np.int32), [len(i) for i in ids])))
+    del rows, part, ids
+
+    def scores(w: np.ndarray, bias: float) -> np.ndarray:
+        return bias + np.concatenate([np.bincount(owner, weights=w[flat] * value, minlength=at.stop - at.start)
+                                      for at, flat, value, owner in blocks])
+
     train = ~held
     share_good = y[train].mean()
     weight = np.where(train, y / (2 * share_good) + (1 - y) / (2 * (1 - share_good)), 0.0)
@@ -116,16 +126,18 @@ def fit(rows: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-4) -> Mo
     w, bias = np.zeros(dim), 0.0
     m, v, mb, vb = np.zeros(dim), np.zeros(dim), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = bias + np.bincount(owner, weights=w[flat] * value, minlength=len(y))
+        z = scores(w, bias)
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        grad = np.bincount(flat, weights=g[owner] * value, minlength=dim) + l2 * w
+        grad = l2 * w
+        for at, flat, value, owner in blocks:
+            grad += np.bincount(flat, weights=g[at][owner] * value, minlength=dim)
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         c1, c2 = 1 - 0.9 ** t, 1 - 0.99 ** t
         w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-6) * (grad != 0)
         bias -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-6)
-    z = bias + np.bincount(owner, weights=w[flat] * value, minlength=len(y))
+    z = scores(w, bias)
     a, b = platt(z[held], y[held]) if held.any() else (1.0, 0.0)
     return Model(w.reshape(FAMILIES, DIM).astype(np.float32), float(bias), a, b)
 
