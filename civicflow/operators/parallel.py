@@ -3,11 +3,11 @@
 A scan gives one task per file split.  A few large files (one whole-text
 JSON file per task, a table stored as one row group) would run the heavy
 per-row projections that follow on a handful of cores.  ``spread``
-round-robins such an input over ``defaultParallelism`` partitions first.
-When the input already has at least that many partitions — the normal case
-for a large table — it changes nothing.  Round-robin repartitioning sorts
-before distributing, so a retried task after an executor loss gets the same
-rows.
+round-robins such an input over ``defaultParallelism`` partitions first, but
+only when it would keep fewer than a quarter of the cores busy: beyond that a
+shuffle of the whole input costs more than it gains.  Round-robin
+repartitioning sorts before distributing, so a retried task after an executor
+loss gets the same rows.
 """
 
 from __future__ import annotations
@@ -15,20 +15,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-# plans containing any of these already have a shuffle (or a broadcast that
-# would have to run to be inspected): they are left alone
-_SHUFFLING = ("Exchange", "Join", "Aggregate", "Window", "Sort", "Subquery")
+# operators whose partitioning is not the scan's, or that would have to run to be inspected
+_SHUFFLING = ("Exchange", "Join", "Aggregate", "Window", "Sort", "Subquery", "AdaptiveSparkPlan")
+# a scan with this share of the cores is left as it is
+ENOUGH = 4
+
+
+def _operators(plan) -> list[str]:
+    children = plan.children()
+    return [plan.nodeName(), *(n for i in range(children.size()) for n in _operators(children.apply(i)))]
 
 
 def input_partitions(df: DataFrame) -> int | None:
     """Partitions of a scan-and-project plan, from planning only.
 
-    ``None`` for a plan with a shuffle, join or aggregate: asking such a plan
-    for its partitions could run its stages, and its partitioning is the
-    shuffle's anyway.
+    ``None`` for a plan with a shuffle, join or aggregate (told by its
+    operators, not by its text): asking such a plan for its partitions could
+    run its stages, and its partitioning is the shuffle's anyway.
     """
     plan = df._jdf.queryExecution().executedPlan()
-    if any(node in plan.toString() for node in _SHUFFLING):
+    if any(word in name for name in _operators(plan) for word in _SHUFFLING):
         return None
     return plan.execute().getNumPartitions()
 
@@ -36,4 +42,4 @@ def input_partitions(df: DataFrame) -> int | None:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = input_partitions(df)
-    return df.repartition(target) if n is not None and n < target else df
+    return df.repartition(target) if n is not None and n * ENOUGH <= target else df

@@ -1,6 +1,7 @@
 """Plan shape checks: pushdown, no Python in the hot path, bounded top-k."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -44,6 +45,60 @@ def test_spread_only_touches_few_split_scans(spark):
     assert input_partitions(agg) is None and spread(agg) is agg
     wide = spark.range(0, 100, 1, 16)
     assert spread(wide, 8) is wide
+    # more than a quarter of the cores busy: no shuffle of the whole input
+    assert spread(wide, 63) is wide and spread(wide, 64) is not wide
+
+
+def test_spread_is_not_led_by_names(spark, tmp_dir):
+    from civicflow.operators.parallel import input_partitions
+    spark.range(10).selectExpr("id AS SortJoinExchange").coalesce(1).write.parquet(f"{tmp_dir}/JoinedTables")
+    assert input_partitions(spark.read.parquet(f"{tmp_dir}/JoinedTables")) == 1
+
+
+def test_quiet_regions_far_apart_read_their_own_boxes(spark, tmp_dir):
+    """Two regions with old events only, in opposite corners: the scan of old events gets both boxes, not one around them."""
+    from datetime import datetime
+
+    from civicflow.functions import geo
+    from civicflow.operators.spatial_join import region_table
+    from civicflow.plans import analytics
+    rows = [(i, datetime(2023, 1, 1), (0.5 if i % 2 else 50.5), (0.5 if i % 2 else 50.5)) for i in range(50)]
+    rows += [(100 + i, datetime(2023, 1, 1), 25.0, 25.0) for i in range(50)]
+    spark.createDataFrame(rows, "id long, ts timestamp_ntz, lon double, lat double").select(
+        "id", "ts", geo.make_point(F.col("lon"), F.col("lat")).alias("geom")).write.parquet(f"{tmp_dir}/events")
+    regions = region_table(spark.createDataFrame(
+        [(k, f"r{k}", '{"type":"Polygon","coordinates":[[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]]}' % (x, x, x + 1, x, x + 1, x + 1, x, x + 1, x, x))
+         for k, x in ((1, 0), (2, 50))], "id int, name string, geojson string"))
+    out = analytics.events_per_region(spark.read.parquet(f"{tmp_dir}/events"), regions, "2024-02-01 00:00:00")
+    plan = _plan(out)
+    assert "Or(And(And(GreaterThanOrEqual(geom.lon," in plan  # in PushedFilters, whose text is cut after it
+    assert "geom#" in plan and "lon <= 1.0)" in plan and "lon >= 50.0)" in plan
+    assert out.collect() == []  # only old events
+
+
+def test_a_hot_region_is_split(spark):
+    """Nine tenths of the boundary points in one region: the join with the shuffled outlines is split."""
+    from civicflow.operators.spatial_join import region_table, within_join
+    box = '{"type":"Polygon","coordinates":[[[%d,0],[%d,0],[%d,1],[%d,1],[%d,0]]]}'
+    regions = region_table(spark.createDataFrame([(k, f"r{k}", box % (k, k + 1, k + 1, k, k)) for k in range(8)],
+                                                 "id int, name string, geojson string"))
+    points = spark.range(200_000).selectExpr("IF(id % 10 > 0, 0.0, double(id div 10 % 8)) + rand(1) AS lon", "rand(2) AS lat")
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        counted = within_join(points, regions, max_cells=4, broadcast_max_edges=0, broadcast_max_cells=0).groupBy("region_id").count()
+        assert counted.count() == 8
+        counted.collect()
+        plan = _plan(counted)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    joins = [line for line in plan.splitlines() if "skew=true" in line]
+    assert any("region_id" in line for line in joins), joins
 
 
 def test_window_prunes_day_partitions_of_the_events_snapshot(spark, tmp_dir):
