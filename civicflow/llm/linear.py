@@ -1,7 +1,8 @@
 """Hashed word and character n-gram logistic regression.
 
 Features of a text, in four families with ``DIM`` slots each: words, word
-pairs, 3 bytes and 5 bytes, as shares of the family's n-grams.  A model is
+pairs (a repeated word is one feature), 3 bytes and 5 bytes, as shares of the
+family's n-grams.  A model is
 one weight per slot, so scoring is a gather and a sum over positions: no
 per-document dictionary, memory follows the chunk.  It is fitted on the
 driver from a bounded sample whose features are made in Spark.
@@ -30,7 +31,10 @@ def slots(chunk: Chunk, words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each family the slot of each n-gram and the row it belongs to."""
     h = words.hashes()
     at, pair = windows(h, words.row, 2)
-    out = [((h & np.uint64(DIM - 1)).astype(np.int32), words.row), ((pair & np.uint64(DIM - 1)).astype(np.int32), words.row[at])]
+    # a word twice in a row is one feature, whatever the word
+    twice = h[at] == h[at + 1] if len(at) else np.zeros(0, bool)
+    out = [((h & np.uint64(DIM - 1)).astype(np.int32), words.row),
+           (np.where(twice, 0, (pair & np.uint64(DIM - 1)).astype(np.int32)), words.row[at])]
     n = len(chunk.data)
     row_of = np.repeat(np.arange(chunk.n), np.diff(chunk.off))
     wide = chunk.data.astype(np.uint64)

@@ -1,7 +1,7 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristics vote good, bad or nothing on every document.  The
-counts of all vote patterns (at most 3**7, whatever the size of the table)
+counts of all vote patterns (at most 3**10, whatever the size of the table)
 are enough for expectation-maximisation to estimate each labeller's accuracy
 and each pattern's posterior.  A bounded sample of documents with their
 posteriors then trains the hashed linear scorer of ``linear``, which scores
@@ -25,9 +25,16 @@ from civicflow.llm.linear import Model, features, fit
 from civicflow.llm.quality_rules import base_counts
 from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, map_text, per_row
 
-LABELLERS = ("length", "symbols", "repeats", "capitals", "word_length", "letters", "variety")
+LABELLERS = ("length", "symbols", "repeats", "capitals", "word_length", "letters", "variety", "stutter", "bare", "marked")
 GOOD, NONE, BAD = 2, 1, 0
 KEEP_PROBABILITY = 0.5
+# most bad votes of one labeller among good documents, least among bad ones
+SPECIFIC = (0.01, 0.3)
+# bytes of letters, digits and all beyond ASCII; and of marks
+_TEXT = np.zeros(256, bool)
+_TEXT[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[b for b in range(0x21, 0x7F) if not _TEXT[b]]] = True
 # documents that the scorer is fitted on, at most
 SAMPLE = 2500
 
@@ -52,7 +59,7 @@ def votes(chunk: Chunk, words: Words) -> np.ndarray:
         out[good, k] = GOOD
         out[bad, k] = BAD
 
-    vote(0, c["n_words"] >= 50, c["n_words"] < 12)
+    vote(0, c["n_words"] >= 50, c["n_words"] < 2)
     symbols = c["n_symbols"] / chars
     vote(1, symbols < 0.005, symbols > 0.04)
     repeats = c["n_repeat_words"] / n
@@ -64,7 +71,19 @@ def votes(chunk: Chunk, words: Words) -> np.ndarray:
     letters = (upper + lower + beyond) / chars
     vote(5, letters > 0.9, letters < 0.75)
     variety = distinct / np.sqrt(n)
-    vote(6, variety > 4, (variety < 1.2) & (c["n_words"] >= 20))
+    vote(6, variety > 4, (variety < 2.5) & (c["n_words"] >= 12))
+    twice = np.zeros(len(h), bool)
+    twice[1:] = (h[1:] == h[:-1]) & (words.row[1:] == words.row[:-1])
+    stutter = per_row(twice, words.first) / n
+    vote(7, (stutter < 0.05) & (c["n_words"] >= 12), stutter > 0.25)
+    # words without a letter or digit, and words with two symbols or more
+    inside = np.zeros(len(chunk.data) + 1, np.int64)
+    np.cumsum(_TEXT[chunk.data], out=inside[1:])
+    bare = per_row(inside[words.end] == inside[words.start], words.first) / n
+    vote(8, (bare < 0.02) & (c["n_words"] > 0), bare > 0.15)
+    np.cumsum(_MARK[chunk.data], out=inside[1:])
+    marked = per_row(inside[words.end] - inside[words.start] >= 2, words.first) / n
+    vote(9, (marked < 0.02) & (c["n_words"] > 0), marked > 0.2)
     return out
 
 
@@ -72,19 +91,29 @@ def pattern(chunk: Chunk, words: Words) -> np.ndarray:
     return votes(chunk, words) @ (3 ** np.arange(len(LABELLERS)))
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
-    """EM over vote patterns: each pattern's posterior of good, P(vote | class) per labeller, and the share of good."""
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100,
+             specific: tuple[float, float] | None = SPECIFIC) -> tuple[np.ndarray, np.ndarray, float]:
+    """EM over vote patterns: each pattern's posterior of good, P(vote | class) per labeller, and the share of good.
+
+    ``specific`` says what is known of the labellers beforehand: a good
+    document gets a bad vote at most, and a bad one at least, this often.
+    """
     digits = (patterns[:, None] // 3 ** np.arange(len(LABELLERS))) % 3
     onehot = np.eye(3)[digits]
+    onehot[:, :, NONE] = 0  # who does not vote says nothing
     # from the majority of votes, a bad vote weighing more: bad signs are specific
     lean = (digits == GOOD).sum(1) - 2.0 * (digits == BAD).sum(1)
     good = 1 / (1 + np.exp(-lean))
     for _ in range(rounds):
         w = np.stack([counts * (1 - good), counts * good])
-        table = np.einsum("cp,pkv->ckv", w, onehot) + 0.5
+        table = np.einsum("cp,pkv->ckv", w, onehot) + np.array([0.5, 0, 0.5])
         table /= table.sum(2, keepdims=True)
+        if specific:
+            table[1, :, BAD] = np.minimum(table[1, :, BAD], specific[0])
+            table[0, :, BAD] = np.maximum(table[0, :, BAD], specific[1])
+            table /= table.sum(2, keepdims=True)
         prior = (w.sum(1) + 1) / (w.sum() + 2)
-        ll = np.einsum("pkv,ckv->pc", onehot, np.log(table)) + np.log(prior)
+        ll = np.einsum("pkv,ckv->pc", onehot, np.log(np.maximum(table, 1e-9))) + np.log(prior)
         good = 1 / (1 + np.exp(np.clip(ll[:, 0] - ll[:, 1], -30, 30)))
     return good, table, float(prior[1])
 
