@@ -422,11 +422,18 @@ def q_scan_json_reports(spark, sf_dir):
 @register("constraint_checks")
 def q_constraint_checks(spark, sf_dir):
     """NOT NULL / UNIQUE violations of report, metrics and region tables."""
-    batch = reports.normalize(report_docs(spark, sf_dir))
-    table = reports_table(spark, sf_dir)
-    target, retry = _metrics_attempts(spark, sf_dir)
+    root = session.scratch(spark, "checks")
+
+    def once(name, df):
+        """Every check of a table reads the written table: it is built once."""
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    batch = once("batch", reports.normalize(report_docs(spark, sf_dir)))
+    table = once("table", reports_table(spark, sf_dir))
+    target, retry = (once(f"metrics{i}", df) for i, df in enumerate(_metrics_attempts(spark, sf_dir)))
     attempts = target.unionByName(retry, allowMissingColumns=True)
-    metrics = ingest.upsert_metrics(target, retry)
+    metrics = once("metrics", ingest.upsert_metrics(target, retry))
     regs = regions(spark)
     return C.report(
         C.table_checks(batch, "citizen_reports_batch", ["external_id"], ["external_id"]),
