@@ -15,11 +15,16 @@ first in that order therefore drop out early:
 3. The remaining classes get the frequency of all their shingles.  Each takes
    the prefix whose length l minimises its estimated cost: postings to read
    plus candidates to verify, of which l common shingles leave 1 / l at most.
-4. Candidates share at least the smaller l of the two.  In each of a few
-   rounds, every class is verified against one leader of its postings, and
-   classes that link are joined; then all remaining pairs of classes in
-   different components are verified.  Pairs within one component are not
-   needed for it, so groups of thousands of near copies stay linear.
+4. In each of a few rounds, every class is verified against one leader of
+   its postings (first the one whose shingles are the most common, in a group
+   of near copies the text that they vary), and classes that link are joined.
+   Pairs within one component are not needed for it, so groups of thousands
+   of near copies stay linear.
+5. Then all remaining pairs of classes in different components are looked at.
+   Their common prefix shingles are counted over posting lists in blocks of
+   about ``BLOCK`` classes; a pair is verified when it shares the smaller l
+   of the two at least, and when its count and all shingles beyond the
+   prefixes could together reach the similarity.
 
 Shingles are compared as 64-bit hashes.
 
@@ -49,6 +54,8 @@ PROBE = 0.28
 ROUNDS = 2
 # common shingles that a document may be made to need, at most
 MOST = 16
+# classes in a block of a posting list, about
+BLOCK = 500
 
 
 def shingles(chunk: Chunk, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,13 +91,18 @@ def _free(n, percent: int):
 
 
 def prefixes(grouped: DataFrame, percent: int) -> DataFrame:
-    """(tok, k, n, need) of classes (k, n, found: array of (df, tok) of the shingles in two classes or more)."""
-    schema = T.StructType([T.StructField("tok", T.LongType()), T.StructField("k", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("need", T.LongType())])
+    """Postings of classes (k, n, found: array of (df, tok) of the shingles in two classes or more).
+
+    (tok, k, n, need, rest, shared, common): need is l, rest the shingles
+    beyond the prefix, shared those in other classes at all, common the mean
+    log frequency of the class's shingles.
+    """
+    names = ["tok", "k", "n", "need", "rest", "shared"]
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in names], T.StructField("common", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            toks, ks, ns, needs = [], [], [], []
+            toks, rows = [np.zeros(0, np.int64)], []
             found = batch.column("found")
             flat = found.flatten()
             df_all, tok_all = np.asarray(flat.field("df")), np.asarray(flat.field("tok"))
@@ -112,12 +124,12 @@ def prefixes(grouped: DataFrame, percent: int) -> DataFrame:
                 best = int(ell[np.argmin(cost)])
                 length = base + best
                 toks.append(tok[:length])
-                ks.append(np.full(length, k, np.int64))
-                ns.append(np.full(length, n, np.int64))
-                needs.append(np.full(length, best, np.int64))
-            empty = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or empty)) for x in (toks, ks, ns, needs)],
-                                             names=["tok", "k", "n", "need"])
+                rows.append((length, k, n, best, n - alone - length, len(df), float(np.log(df).sum() / n)))
+            count, *cols = zip(*rows) if rows else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks)),
+                                              *[pa.array(np.repeat(np.array(c, np.int64), count)) for c in cols[:-1]],
+                                              pa.array(np.repeat(np.array(cols[-1], np.float64), count))],
+                                             names=[*names, "common"])
 
     return grouped.select("k", "n", "found").mapInArrow(run, schema)
 
@@ -131,15 +143,72 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(both * (100 + percent) >= percent * (F.size("x") + F.size("y"))).select("a", "b"))
 
 
+def _near(n, m, shared, other, percent: int):
+    """Whether sets of n and m shingles, of which so many are in other classes at all, can link."""
+    return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+            & (F.least(shared, other) * (100 + percent) >= (n + m) * percent))
+
+
+def pairs_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) to verify, from rows (a, part, na, la, ra, sa, laba, block): a posting of class a beside a block of classes.
+
+    ``block`` holds (k, n, need, rest, shared, lab) of the classes of one part
+    that have the posting's shingle; all rows of a class and part come
+    together, so counting holds one class's blocks of one part at a time.
+    """
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    fields = ("k", "n", "need", "rest", "shared", "lab")
+
+    def count(held: list) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        block = table.column("block").chunk(0) if table.num_rows else None
+        flat = block.flatten()
+        times = np.diff(np.asarray(block.offsets))
+        mine = {c: np.repeat(table.column(c).to_numpy(), times) for c in ("a", "na", "la", "ra", "sa", "laba")}
+        its = {c: np.asarray(flat.field(c)) for c in fields}
+        n, m = mine["na"], its["n"]
+        keep = ((mine["laba"] != its["lab"]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+                & (np.minimum(mine["sa"], its["shared"]) * (100 + percent) >= (n + m) * percent))
+        a, b = mine["a"][keep], its["k"][keep]
+        need = np.minimum(mine["la"], its["need"])[keep]
+        rest = np.maximum(mine["ra"], its["rest"])[keep]
+        total = (n + m)[keep]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        first = np.flatnonzero(new)
+        common = np.diff(np.append(first, len(a)))
+        at = order[first]
+        good = (common >= need[at]) & ((common + rest[at]) * (100 + percent) >= total[at] * percent)
+        a, b = a[first][good], b[first][good]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        held: list = []
+        for batch in batches:
+            a, part = batch.column("a").to_numpy(), batch.column("part").to_numpy()
+            change = np.flatnonzero((a[1:] != a[:-1]) | (part[1:] != part[:-1])) + 1
+            if held and (held[-1].column("a")[-1].as_py(), held[-1].column("part")[-1].as_py()) != (a[0], part[0]):
+                yield count(held)
+                held = []
+            cut = int(change[-1]) if len(change) else 0
+            if cut:
+                yield count([*held, batch.slice(0, cut)])
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield count(held)
+
+    return rows.mapInArrow(run, schema).distinct()
+
+
 def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between classes that connect all classes that links connect."""
     spark = prefix.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
     labelled = prefix.withColumn("lab", F.col("k"))
 
-    def near(n, m):
-        return (F.least(n, m) * 100) >= F.greatest(n, m) * percent
-
     def open_postings(labelled: DataFrame) -> DataFrame:
         """Postings of shingles whose classes are in several components."""
         mixed = labelled.groupBy("tok").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi")).filter("lo <> hi").select("tok")
@@ -147,31 +216,34 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     for turn in range(ROUNDS):
         postings = open_postings(labelled)
-        order = F.struct(F.xxhash64("k", F.lit(turn)).alias("o"), "k", "n", "lab")
-        leaders = postings.groupBy("tok").agg(F.min(order).alias("head"))
-        tried = (postings.join(leaders, "tok").filter((F.col("lab") != F.col("head.lab")) & near(F.col("n"), F.col("head.n")))
+        first = F.col("common") if turn == 0 else F.xxhash64("k", F.lit(turn)).cast("double")
+        leaders = postings.groupBy("tok").agg(F.max(F.struct(first.alias("o"), "k", "n", "shared", "lab")).alias("head"))
+        tried = (postings.join(leaders, "tok")
+                 .filter((F.col("lab") != F.col("head.lab"))
+                         & _near(F.col("n"), F.col("head.n"), F.col("shared"), F.col("head.shared"), percent))
                  .groupBy(F.col("k").alias("a"), F.col("head.k").alias("b")).agg(F.count("*").alias("c"))
                  .groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")))
         edges = written(edges.unionByName(verified(tried, sets, percent)), "links")
         labels = written(connected(edges), "labels")
-        labelled = prefix.join(labels.withColumnRenamed("node", "k"), "k", "left").select(
-            "tok", "k", "n", "need", F.coalesce("component", "k").alias("lab"))
+        labelled = prefix.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn(
+            "lab", F.coalesce("component", "k")).drop("component")
         labelled = written(labelled, "labelled")
     # all remaining pairs of different components: for each shingle, classes outside its most frequent component
     # against all of its classes, so a large component is not paired with itself
     postings = written(open_postings(labelled), "postings")
-    major = (postings.groupBy("tok", "lab").agg(F.count("*").alias("c")).groupBy("tok")
-             .agg(F.max_by("lab", F.struct("c", "lab")).alias("major")))
-    postings = postings.join(major, "tok")
-    few = postings.filter("lab <> major").select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"),
-                                                 F.col("lab").alias("laba"))
-    every = postings.select("tok", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("need").alias("lb"),
-                            F.col("lab").alias("labb"), (F.col("lab") == F.col("major")).alias("in_major"))
-    rest = (few.join(every, (few["tok"] == every["tok"]) & (F.col("laba") != F.col("labb")) & (F.col("in_major") | (F.col("a") < F.col("b")))
-                     & near(F.col("na"), F.col("nb")))
-            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .agg(F.count("*").alias("c"), F.min(F.least("la", "lb")).alias("need")).filter("c >= need").select("a", "b"))
-    return written(edges.unionByName(verified(rest, sets, percent)), "links")
+    sizes = postings.groupBy("tok", "lab").agg(F.count("*").alias("c")).groupBy("tok").agg(
+        F.max_by("lab", F.struct("c", "lab")).alias("major"), F.sum("c").alias("size"))
+    longest = sizes.agg(F.max("size")).first()[0] or 1
+    # the same parts in all lists: what a class shares with another is counted in one place
+    parts = -(-longest // BLOCK)
+    part = F.pmod(F.xxhash64("k", F.lit(99)), F.lit(parts)).alias("part")
+    blocks = postings.groupBy("tok", part).agg(F.collect_list(F.struct("k", "n", "need", "rest", "shared", "lab")).alias("block"))
+    few = postings.join(sizes, "tok").filter("lab <> major").select(
+        "tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"), F.col("rest").alias("ra"),
+        F.col("shared").alias("sa"), F.col("lab").alias("laba"))
+    beside = (few.join(blocks, "tok").select("a", "part", "na", "la", "ra", "sa", "laba", "block")
+              .repartition("a", "part").sortWithinPartitions("a", "part"))
+    return written(edges.unionByName(verified(pairs_of_blocks(beside, percent), sets, percent)), "links")
 
 
 def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
