@@ -16,6 +16,7 @@ from civicflow.llm import secrets as op7
 from civicflow.llm import sharding as op5
 from civicflow.llm import surrogates as op4
 from civicflow.llm import weak_quality as op3
+from civicflow.llm.oracles import ORACLES
 
 # the key of the registered queries; a deployment passes its own secret
 SURROGATE_KEY = "surrogates of the registered queries"
@@ -107,4 +108,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLES"]

@@ -44,9 +44,11 @@ def key(x):
     return tuple((v is None, str(v)) for v in x)
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_hard_cases(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds,block", [(2, 500), (0, 3)])
+def test_hard_cases(spark, monkeypatch, rounds, block):
+    """Also without leaders, all pairs counted over posting lists in many small blocks."""
     monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = frame(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = [tuple(r) for r in jaccard.near_duplicates(docs).collect()]
