@@ -12,7 +12,7 @@ document included.
    neighbouring suffixes mostly share one, so a run of suffixes travels as
    one stretch of text.  Prefixes that occur once in all documents hold no
    repeat and end here: only their counts are shuffled.
-3. Groups of more than ``HOT`` stretches split by a longer prefix, the whole
+3. Groups of more than ``HOT`` words split by a longer prefix, the whole
    window; there a group is one node of the tree, and its leaves are counted.
 4. The other groups are read in order of their prefix, as many at a time as
    fit ``TREE_BYTES``; each batch of groups is one suffix tree, built as
@@ -41,7 +41,7 @@ from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, emit_rows, map_text,
 
 WINDOW = 35
 DEPTH = 16
-HOT = 4096
+HOT = 400_000
 TREE_BYTES = 8 << 20
 
 
@@ -55,10 +55,15 @@ def class_keys(words: Words, hashes: np.ndarray) -> np.ndarray:
 
 
 def prefix_runs(words: Words, hashes: np.ndarray, window: int = WINDOW, depth: int = DEPTH):
-    """Runs of suffixes that share a prefix group: (first suffix, suffixes, hash of the prefix)."""
+    """Runs of suffixes that share a prefix group: (first suffix, suffixes, hash of the prefix, its first and last place).
+
+    In a run that repeats one prefix (the same word over and over) the places
+    differ; all its suffixes are still one stretch.
+    """
     n = len(hashes)
+    none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
     if n < window:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return none
     same_row = np.zeros(n, np.int64)  # prefixes across rows are computed too; no suffix looks at them
     _, h = windows(hashes, same_row, depth)
     m = n - window + 1
@@ -76,12 +81,14 @@ def prefix_runs(words: Words, hashes: np.ndarray, window: int = WINDOW, depth: i
     valid = words.row[:m] == words.row[window - 1:]
     at = np.flatnonzero(valid)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return none
     anchor = best[at]
+    sig = h[anchor]
     new = np.ones(len(at), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+    new[1:] = (sig[1:] != sig[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
-    return at[first], np.diff(np.append(first, len(at))), h[anchor[first]]
+    last = np.append(first[1:], len(at)) - 1
+    return at[first], last - first + 1, sig[first], anchor[first], anchor[last]
 
 
 def deep_nodes(words: Words, hashes: np.ndarray, suffixes: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -178,16 +185,17 @@ def _class_of(chunk: Chunk) -> tuple[Words, np.ndarray, np.ndarray]:
 
 
 def _runs_once(chunk: Chunk, window: int):
-    """Prefix runs of the chunk's classes, one row of each."""
+    """Prefix runs of the chunk's classes, one row of each: prefix, class, first suffix, suffixes, places of the prefix."""
     words, hashes, key = _class_of(chunk)
-    first, cnt, sig = prefix_runs(words, hashes, window)
+    first, cnt, sig, low, high = prefix_runs(words, hashes, window)
     row = words.row[first]
     _, one = np.unique(key, return_index=True)
     alone = np.zeros(chunk.n, bool)
     alone[one] = True
     take = alone[row]
-    first, cnt, sig, row = first[take], cnt[take], sig[take], row[take]
-    return sig, key[row], first - words.first[row], cnt
+    first, cnt, sig, row, low, high = (x[take] for x in (first, cnt, sig, row, low, high))
+    start = words.first[row]
+    return sig, key[row], first - start, cnt, low - start, high - start
 
 
 def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -199,11 +207,14 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = meta.groupBy("k").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
 
     def counted(chunk: Chunk, batch: pa.RecordBatch) -> list:
-        sig, k, start, cnt = _runs_once(chunk, window)
-        return [pa.array(sig.view(np.int64)), pa.array(_occurrence(k, start).view(np.int64))]
+        sig, k, _, _, low, high = _runs_once(chunk, window)
+        # where a run holds its prefix more than once, two of the places show it
+        more = high > low
+        return [pa.array(np.concatenate([sig, sig[more]]).view(np.int64)),
+                pa.array(np.concatenate([_occurrence(k, low), _occurrence(k[more], high[more])]).view(np.int64))]
 
     def placed(chunk: Chunk, batch: pa.RecordBatch) -> list:
-        sig, k, start, cnt = _runs_once(chunk, window)
+        sig, k, start, cnt, _, _ = _runs_once(chunk, window)
         return [pa.array(sig.view(np.int64)), pa.array(k.view(np.int64)), pa.array(start, pa.int64()), pa.array(cnt, pa.int64())]
 
     shared = written(emit_rows(source, "text", [], _schema("sig", "o"), counted).groupBy("sig")
@@ -231,7 +242,8 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 pa.array([raw[a:b].decode() for a, b in zip(lo, hi)], pa.string())]
 
     spans = written(emit_rows(texts, "text", ["k", "runs"], _schema("sig", "k", "start", "cnt", "t"), cut), "stretches")
-    hot = written(spans.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > HOT).select("sig"), "hot-prefixes")
+    words = F.sum(F.col("cnt") + window)
+    hot = written(spans.groupBy("sig").agg(words.alias("c")).filter(F.col("c") > HOT).select("sig"), "hot-prefixes")
     small = spans.join(hot, "sig", "left_anti").repartition("sig").sortWithinPartitions("sig")
     found = [_trees(small, window)]
     if not hot.isEmpty():
