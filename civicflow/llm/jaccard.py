@@ -225,7 +225,7 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")))
         edges = written(edges.unionByName(verified(tried, sets, percent)), "links")
         labels = written(connected(edges), "labels")
-        labelled = prefix.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn(
+        labelled = prefix.join(labels.withColumnRenamed("node", "k").hint("merge"), "k", "left").withColumn(
             "lab", F.coalesce("component", "k")).drop("component")
         labelled = written(labelled, "labelled")
     # all remaining pairs of different components: for each shingle, classes outside its most frequent component
@@ -287,7 +287,8 @@ def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
         return [pa.array(key.view(np.int64)), batch.column(1), pa.array(size.astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(off), pa.array(value.view(np.int64)))]
 
-    chosen = source.join(alive.select(F.col("rep").alias("id"), F.col("k").alias("want")), "id")
+    # the same plan at every size: these tables grow with the input, so none is broadcast while it happens to be small
+    chosen = source.join(alive.select(F.col("rep").alias("id"), F.col("k").alias("want")).hint("merge"), "id")
     sets = emit_rows(chosen, "text", ["want"], schema, full).filter("k = want").select("k", "n", "toks")
     if not usable.groupBy("id").count().filter("count > 1").isEmpty():
         sets = sets.dropDuplicates(["k"])
