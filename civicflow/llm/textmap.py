@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 # rows per Arrow batch: the JVM side holds one batch of whole texts
 BATCH_ROWS = 1000
 
