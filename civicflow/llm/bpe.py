@@ -29,7 +29,9 @@ from civicflow.llm.textmap import BATCH_ROWS, Chunk, map_text, others, quoted
 # fixed value: the pattern that byte-level vocabularies split text with
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # pre-tokens that a worker remembers, at most
-CACHE = 200_000
+CACHE = 100_000
+# rows decoded together
+DECODE_ROWS = 64
 _NEVER = np.int64(1) << 40
 
 
@@ -205,7 +207,11 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: list[str] | Non
             column = batch.column(0)
             flat = np.asarray(column.flatten().fill_null(-1)).astype(np.int64)
             off = np.asarray(column.offsets).astype(np.int64)
-            texts = shared.value.decode_ids(flat, off - off[0])
+            off -= off[0]
+            texts: list[str] = []
+            for lo in range(0, batch.num_rows, DECODE_ROWS):
+                part = off[lo:lo + DECODE_ROWS + 1]
+                texts += shared.value.decode_ids(flat[part[0]:part[-1]], part - part[0])
             yield pa.RecordBatch.from_arrays([*[batch.column(i + 1) for i in range(len(names) - 1)], pa.array(texts, pa.string())],
                                              names=names)
 
