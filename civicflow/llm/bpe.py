@@ -172,8 +172,12 @@ class Encoder:
         return [b"".join(map(get, p)) for p in pieces]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``ids``, the tokens of each text; ``path`` names the vocabulary file on the driver, which broadcasts it."""
+def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
+    """Adds ``ids``, the tokens of each text; ``path`` names the vocabulary file on the driver, which broadcasts it.
+
+    ``decoded`` adds the text that the ids decode to, in the same pass and worker.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
     state: dict[str, Encoder] = {}
 
@@ -184,9 +188,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
         off = np.zeros(chunk.n + 1, np.int32)
         np.cumsum([len(p) // 4 for p in packed], out=off[1:])
         flat = np.frombuffer(b"".join(packed), "<i4")
-        return {"ids": pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int32()))}
+        made: dict = {"ids": pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int32()))}
+        if decoded:
+            made["decoded"] = shared.value.decode_ids(flat.astype(np.int64), off)
+        return made
 
-    return map_text(docs, text, [T.StructField("ids", T.ArrayType(T.IntegerType()))], run, keep)
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    return map_text(docs, text, fields + [T.StructField("decoded", T.StringType())] * decoded, run, keep)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = op9.decode(op9.encode(docs, path, keep=["doc_id"]), path)
+    both = op9.encode(docs, path, keep=["doc_id"], decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

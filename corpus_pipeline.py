@@ -64,9 +64,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether the ids decode to the text again."""
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(docs, path)
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(*[F.col(f"`{c}`") for c in docs.columns], "ids", F.size("ids").cast("long").alias("n_tokens"),
+    both = bpe.encode(docs, path, decoded=True)
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], "ids", F.size("ids").cast("long").alias("n_tokens"),
                           (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
