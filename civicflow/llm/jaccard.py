@@ -20,7 +20,8 @@ first in that order therefore drop out early:
    of near copies the text that they vary), and classes that link are joined.
    Pairs within one component are not needed for it, so groups of thousands
    of near copies stay linear.
-5. Then all remaining pairs of classes in different components are looked at.
+5. Then all remaining pairs of classes in different components are looked at,
+   each from the class whose component has the greater label.
    Their common prefix shingles are counted over posting lists in blocks of
    about ``BLOCK`` classes; a pair is verified when it shares the smaller l
    of the two at least, and when its count and all shingles beyond the
@@ -153,8 +154,9 @@ def pairs_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) to verify, from rows (a, part, na, la, ra, sa, laba, block): a posting of class a beside a block of classes.
 
     ``block`` holds (k, n, need, rest, shared, lab) of the classes of one part
-    that have the posting's shingle; all rows of a class and part come
-    together, so counting holds one class's blocks of one part at a time.
+    that have the posting's shingle and a smaller label than a; all rows of a
+    class and part come together, so all common shingles of a pair are counted
+    at once and counting holds one class's blocks of one part at a time.
     """
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     fields = ("k", "n", "need", "rest", "shared", "lab")
@@ -167,7 +169,7 @@ def pairs_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
         mine = {c: np.repeat(table.column(c).to_numpy(), times) for c in ("a", "na", "la", "ra", "sa", "laba")}
         its = {c: np.asarray(flat.field(c)) for c in fields}
         n, m = mine["na"], its["n"]
-        keep = ((mine["laba"] != its["lab"]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        keep = ((mine["laba"] > its["lab"]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
                 & (np.minimum(mine["sa"], its["shared"]) * (100 + percent) >= (n + m) * percent))
         a, b = mine["a"][keep], its["k"][keep]
         need = np.minimum(mine["la"], its["need"])[keep]
@@ -228,22 +230,28 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         labelled = prefix.join(labels.withColumnRenamed("node", "k").hint("merge"), "k", "left").withColumn(
             "lab", F.coalesce("component", "k")).drop("component")
         labelled = written(labelled, "labelled")
-    # all remaining pairs of different components: for each shingle, classes outside its most frequent component
-    # against all of its classes, so a large component is not paired with itself
+    # all remaining pairs of different components, each from the class with the greater label, whichever shingle they share;
+    # classes of a shingle's most frequent component meet only those outside it, so a large component is not paired with itself
     postings = written(open_postings(labelled), "postings")
     sizes = postings.groupBy("tok", "lab").agg(F.count("*").alias("c")).groupBy("tok").agg(
-        F.max_by("lab", F.struct("c", "lab")).alias("major"), F.sum("c").alias("size"))
+        F.max_by("lab", F.struct("c", "lab")).alias("major"), F.min("lab").alias("least"), F.sum("c").alias("size"))
     longest = sizes.agg(F.max("size")).first()[0] or 1
     # the same parts in all lists: what a class shares with another is counted in one place
     parts = -(-longest // BLOCK)
     part = F.pmod(F.xxhash64("k", F.lit(99)), F.lit(parts)).alias("part")
-    blocks = postings.groupBy("tok", part).agg(F.collect_list(F.struct("k", "n", "need", "rest", "shared", "lab")).alias("block"))
-    few = postings.join(sizes, "tok").filter("lab <> major").select(
-        "tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"), F.col("rest").alias("ra"),
-        F.col("shared").alias("sa"), F.col("lab").alias("laba"))
-    beside = (few.join(blocks, "tok").select("a", "part", "na", "la", "ra", "sa", "laba", "block")
-              .repartition("a", "part").sortWithinPartitions("a", "part"))
-    return written(edges.unionByName(verified(pairs_of_blocks(beside, percent), sets, percent)), "links")
+    placed = postings.join(sizes.select("tok", "major", "least"), "tok")
+
+    def beside(rows: DataFrame, others: DataFrame) -> DataFrame:
+        blocks = others.groupBy("tok", part).agg(F.collect_list(F.struct("k", "n", "need", "rest", "shared", "lab")).alias("block"))
+        own = rows.select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"), F.col("rest").alias("ra"),
+                          F.col("shared").alias("sa"), F.col("lab").alias("laba"))
+        smaller = F.filter("block", lambda c: c["lab"] < F.col("laba")).alias("block")
+        return own.join(blocks, "tok").select("a", "part", "na", "la", "ra", "sa", "laba", smaller).filter(F.size("block") > 0)
+
+    few = beside(placed.filter("lab <> major and lab > least"), postings)
+    most = beside(placed.filter("lab = major and lab > least"), placed.filter("lab <> major and lab < major"))
+    both = few.unionByName(most).repartition("a", "part").sortWithinPartitions("a", "part")
+    return written(edges.unionByName(verified(pairs_of_blocks(both, percent), sets, percent)), "links")
 
 
 def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,

@@ -95,3 +95,22 @@ def test_query_on_the_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = [tuple(r) for r in queries.QUERIES["op8_jaccard_join"](spark, SMALL).collect()]
     assert sorted(got) == sorted(brute(rows))
+
+
+def test_groups_joined_by_one_bridging_version(spark):
+    """A link whose common prefix shingles lie half in one group and half in the other."""
+    sets = {}
+    for g in range(6):
+        core = [f"{g}c{i}" for i in range(79)]
+        both = [f"{g}pa{i}" for i in range(5)] + [f"{g}pb{i}" for i in range(5)]
+        for side, mine in (("a", both[:5]), ("b", both[5:])):
+            bridge = [f"{g}{side}u{i}" for i in range(11)]
+            sets[f"{g}{side}"] = core + both + bridge
+            for v in range(6):
+                # links with its side's bridging version (89 common words of 111), not with the other side's (84)
+                sets[f"{g}{side}{v}"] = core + mine + bridge[:5] + [f"{g}{side}o{i}" for i in range(10)] + [f"{g}{side}v{v}"]
+    ids = {name: i for i, name in enumerate(sorted(sets))}
+    docs = frame(spark, [(ids[name], " ".join(s), None, None, None) for name, s in sets.items()])
+    got = {i: c for i, _, c in (tuple(r) for r in jaccard.near_duplicates(docs, width=1).collect())}
+    assert all(100 * len({*sets[f"{g}a"]} & {*sets[f"{g}b"]}) >= 80 * len({*sets[f"{g}a"]} | {*sets[f"{g}b"]}) for g in range(6))
+    assert got == {ids[name]: ids[f"{name[0]}a"] for name in sets}
