@@ -256,7 +256,8 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
             percent: int = PERCENT) -> DataFrame:
-    """(id, n, k, component_id) of every row: its set's size and class, and the smallest id of its component."""
+    """(id, n, k, c, component_id) of every row: its set's size and class, its component's label (null if it links with
+    none) and the smallest id of its component."""
     source = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text"))
 
     def sized(chunk: Chunk, batch: pa.RecordBatch) -> dict:
@@ -310,8 +311,8 @@ def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     member = meta.join(labels.withColumnRenamed("node", "k"), "k", "left").select(
         "id", "n", "k", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("component", "k")).alias("c"))
     least = member.filter("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))
-    linked = member.filter("c is not null").join(least, "c").select("id", "n", "k", "component_id")
-    lone = member.filter("c is null").select("id", "n", "k", F.col("id").alias("component_id"))
+    linked = member.filter("c is not null").join(least, "c").select("id", "n", "k", "c", "component_id")
+    lone = member.filter("c is null").select("id", "n", "k", "c", F.col("id").alias("component_id"))
     return linked.unionByName(lone)
 
 
@@ -329,8 +330,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     """
     found = written(members(docs, doc_id, text, width, percent), "members")
     grouped = found.filter("id is not null and n > 0")
-    # of several rows with the smallest id, those with the least class
-    winners = grouped.filter("id = component_id").groupBy("id").agg(F.min("k").alias("k"))
+    # of several rows of a component with the smallest id, those with the least class; an id may be on rows of several components
+    winners = grouped.filter("id = component_id").groupBy("c").agg(F.min("id").alias("id"), F.min("k").alias("k")).select("id", "k")
     names = docs.columns
     source = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)], quoted(doc_id).alias("id"),
                          quoted(text).cast("string").alias("text"))

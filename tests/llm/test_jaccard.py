@@ -114,3 +114,11 @@ def test_groups_joined_by_one_bridging_version(spark):
     got = {i: c for i, _, c in (tuple(r) for r in jaccard.near_duplicates(docs, width=1).collect())}
     assert all(100 * len({*sets[f"{g}a"]} & {*sets[f"{g}b"]}) >= 80 * len({*sets[f"{g}a"]} | {*sets[f"{g}b"]}) for g in range(6))
     assert got == {ids[name]: ids[f"{name[0]}a"] for name in sets}
+
+
+def test_an_id_on_texts_of_two_components(spark):
+    """Each component keeps a document, also when one id is the smallest of both."""
+    first, second = [" ".join(f"{x}{i}" for i in range(60)) for x in "ab"]
+    rows = [(1, first), (1, second), (2, first + " more"), (3, second + " more")]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows])
+    assert sorted((r["doc_id"], r["text"]) for r in jaccard.deduplicate(docs).collect()) == [(1, first), (1, second)]
