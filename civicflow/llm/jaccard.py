@@ -205,8 +205,8 @@ def pairs_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, schema).distinct()
 
 
-def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between classes that connect all classes that links connect."""
+def link_classes(prefix: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """Edges (a, b) between classes that connect all classes that links connect; without rounds all links, each once."""
     spark = prefix.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
     labelled = prefix.withColumn("lab", F.col("k"))
@@ -216,7 +216,7 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         mixed = labelled.groupBy("tok").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi")).filter("lo <> hi").select("tok")
         return labelled.join(mixed, "tok", "left_semi")
 
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         postings = open_postings(labelled)
         first = F.col("common") if turn == 0 else F.xxhash64("k", F.lit(turn)).cast("double")
         leaders = postings.groupBy("tok").agg(F.max(F.struct(first.alias("o"), "k", "n", "shared", "lab")).alias("head"))
@@ -254,10 +254,8 @@ def link_classes(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return written(edges.unionByName(verified(pairs_of_blocks(both, percent), sets, percent)), "links")
 
 
-def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
-            percent: int = PERCENT) -> DataFrame:
-    """(id, n, k, c, component_id) of every row: its set's size and class, its component's label (null if it links with
-    none) and the smallest id of its component."""
+def classes_of(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, n, k) of every row, its set's size and class; the sets of classes that may link; and their postings."""
     source = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text"))
 
     def sized(chunk: Chunk, batch: pa.RecordBatch) -> dict:
@@ -305,8 +303,15 @@ def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     flat = sets.select("k", "n", F.explode("toks").alias("tok"))
     shared = flat.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
     grouped = flat.join(shared, "tok").groupBy("k").agg(F.first("n").alias("n"), F.collect_list(F.struct("df", "tok")).alias("found"))
-    prefix = written(prefixes(grouped, percent), "prefixes")
-    edges = link_classes(prefix, sets, percent)
+    return meta, sets, written(prefixes(grouped, percent), "prefixes")
+
+
+def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+            percent: int = PERCENT) -> DataFrame:
+    """(id, n, k, c, component_id) of every row: its set's size and class, its component's label (null if it links with
+    none) and the smallest id of its component."""
+    meta, sets, prefix = classes_of(docs, doc_id, text, width, percent)
+    edges = link_classes(prefix, sets, percent, ROUNDS)
     labels = written(connected(edges), "components")
     member = meta.join(labels.withColumnRenamed("node", "k"), "k", "left").select(
         "id", "n", "k", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("component", "k")).alias("c"))
@@ -322,6 +327,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return members(docs, doc_id, text, width, percent).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
 
 
+def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+          percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs of classes of equal sets, and the class and number of links of every row.
+
+    The pairs (a, b, id_a, id_b), each once, a < b: classes that link and the
+    smallest id of each.  The rows (doc_id, n_shingles, class, n_links):
+    n_links counts the other rows that the row links with, those of its own
+    class included; a row without an id or without words has a null class and
+    no links.  Every candidate pair is verified, also inside a component, so
+    the result grows with the square of a group of near copies.
+    """
+    meta, sets, prefix = classes_of(docs, doc_id, text, width, percent)
+    edges = link_classes(prefix, sets, percent, 0)
+    usable = F.col("id").isNotNull() & (F.col("n") > 0)
+    size = written(meta.filter(usable).groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "classes")
+    pairs = (edges.join(size.select(F.col("k").alias("a"), F.col("rep").alias("id_a")), "a")
+             .join(size.select(F.col("k").alias("b"), F.col("rep").alias("id_b")), "b").select("a", "b", "id_a", "id_b"))
+    ends = edges.select(F.col("a").alias("k"), F.col("b").alias("other")).unionByName(
+        edges.select(F.col("b").alias("k"), F.col("a").alias("other")))
+    beside = (ends.join(size.select(F.col("k").alias("other"), "rows"), "other")
+              .groupBy("k").agg(F.sum("rows").alias("beside")))
+    own = size.join(beside, "k", "left").select("k", (F.col("rows") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"))
+    # rows without a class meet no key
+    keyed = meta.select("id", "n", F.when(usable, F.col("k")).alias("k"))
+    rows = keyed.join(own, "k", "left").select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
+                                               F.col("k").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return pairs, rows
+
+
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
                 percent: int = PERCENT) -> DataFrame:
     """The documents, one of each component: the one with the smallest id (of rows that repeat it, one).

@@ -122,3 +122,27 @@ def test_an_id_on_texts_of_two_components(spark):
     rows = [(1, first), (1, second), (2, first + " more"), (3, second + " more")]
     docs = frame(spark, [(i, t, None, None, None) for i, t in rows])
     assert sorted((r["doc_id"], r["text"]) for r in jaccard.deduplicate(docs).collect()) == [(1, first), (1, second)]
+
+
+def test_all_links_and_their_number(spark):
+    """The exact mode against all pairs, inside components too."""
+    docs = frame(spark)
+    data = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    usable = [(i, frozenset(shingle_set(t))) for i, t in data if i is not None and shingle_set(t)]
+
+    def linked(x, y):
+        return 100 * len(x & y) >= 80 * len(x | y)
+
+    pairs, found = jaccard.links(docs)
+    least = {}
+    for i, x in usable:
+        least[x] = min(i, least.get(x, i))
+    sets = list(least)
+    want = {frozenset((least[x], least[y])) for j, x in enumerate(sets) for y in sets[j + 1:] if linked(x, y)}
+    got = [(r["id_a"], r["id_b"]) for r in pairs.collect()]
+    assert len(got) == len(want) and {frozenset(p) for p in got} == want
+    rows = found.collect()
+    assert len({r["class"] for r in rows if r["class"] is not None}) == len(sets)
+    count = [(i, len(x), sum(linked(x, y) for _, y in usable) - 1) for i, x in usable]
+    count += [(i, len(shingle_set(t)), 0) for i, t in data if i is None or not shingle_set(t)]
+    assert sorted([(r["doc_id"], r["n_shingles"], r["n_links"]) for r in rows], key=key) == sorted(count, key=key)
