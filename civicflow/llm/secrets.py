@@ -6,7 +6,7 @@ short are dropped.  The entropy method looks at every run of 20 or more token
 characters: the Shannon entropy of each ``WINDOW``-character window, updated
 from the counts of the characters that enter and leave, must reach the
 threshold of the window's character class.  Windows that do, joined, are a
-span unless the run is on the allow list.
+span.  Of a run on the allow list, only the parts on it are left out.
 
 Spans are kind:start:end in code points, end exclusive.
 
@@ -97,6 +97,23 @@ def random_stretches(s: str, thresholds: dict[str, float] = THRESHOLDS) -> list[
     return out
 
 
+def parts_to_scan(s: str, allow: list[re.Pattern]) -> list[tuple[int, int]]:
+    """What of a run on the allow list stays to be looked at.
+
+    A piece between / and = that is on the list goes: the segments of it that
+    match by themselves, or all of it when the pattern needs several (a host).
+    """
+    gone = np.zeros(len(s), bool)
+    for piece in re.finditer(r"[^/=]+", s):
+        for p in allow:
+            if p.fullmatch(piece[0]):
+                own = [m for m in re.finditer(r"[^._-]+", piece[0]) if p.fullmatch(m[0])]
+                for a, b in [m.span() for m in own] or [(0, len(piece[0]))]:
+                    gone[piece.start() + a:piece.start() + b] = True
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
+    return [(a, b) for a, b in edge.reshape(-1, 2).tolist() if b - a >= WINDOW]
+
+
 def spans(chunk: Chunk, allow: tuple[str, ...] = ALLOW) -> list[list[tuple[int, int, int]]]:
     """For each row the spans (start, place of the kind, end) in order."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(chunk.n)]
@@ -118,7 +135,8 @@ def spans(chunk: Chunk, allow: tuple[str, ...] = ALLOW) -> list[list[tuple[int,
                     if m.end() - m.start() >= ACCESS_LEAST:
                         out[r].append((m.start(), 1, m.end()))
     points = None
-    allowed = re.compile("|".join(f"(?:{a.replace('(?i)', '')})" for a in allow), re.IGNORECASE) if allow else None
+    allowed = [re.compile(a.replace("(?i)", ""), re.IGNORECASE) for a in allow]
+    anywhere = re.compile("|".join(f"(?:{a.pattern})" for a in allowed), re.IGNORECASE) if allow else None
     for table, least, kind in ((_HEX, HEX_LEAST, 2), (_TOKEN, WINDOW, 3)):
         runs = Words(chunk.data, chunk.off, table)
         long = np.flatnonzero(runs.end - runs.start >= least)
@@ -131,9 +149,8 @@ def spans(chunk: Chunk, allow: tuple[str, ...] = ALLOW) -> list[list[tuple[int,
                 out[r].append((base, 2, base + e - s))
                 continue
             word = raw[s:e].decode()
-            if allowed and allowed.fullmatch(word):
-                continue
-            out[r].extend((base + a, 3, base + b) for a, b in random_stretches(word))
+            parts = parts_to_scan(word, allowed) if anywhere and anywhere.fullmatch(word) else [(0, len(word))]
+            out[r].extend((base + lo + a, 3, base + lo + b) for lo, hi in parts for a, b in random_stretches(word[lo:hi]))
     for found in out:
         found.sort()
     return out
