@@ -94,6 +94,12 @@ def _luhn_sum(digits: Column) -> Column:
                        lambda acc, p: acc + F.when(p["i"] % 2 == 0, F.when(p["d"] > 4, p["d"] * 2 - 9).otherwise(p["d"] * 2)).otherwise(p["d"]))
 
 
+def _mod_97(text: Column) -> Column:
+    """Remainder by 97 of letters and digits as one number, A-Z as 10 to 35."""
+    values = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55))
+    return F.aggregate(values, F.lit(0), lambda acc, v: (acc * F.when(v > 9, 100).otherwise(10) + v) % 97)
+
+
 def _draw(kind: Column, canonical: Column, key: str, turn: int) -> Column:
     """A surrogate in canonical form: the same kind and length, from a hash of key, kind, entity and round."""
     def stream(n: int) -> Column:
@@ -115,7 +121,16 @@ def _draw(kind: Column, canonical: Column, key: str, turn: int) -> Column:
     valid = own == F.substring(canonical, -1, 1).cast("int")
     card = F.concat(body, F.when(valid, check).otherwise((check + 1 + F.conv(F.substring(h, 1, 4), 16, 10).cast("int") % 9) % 10).cast("string"))
     ip = F.concat_ws(".", (1 + number(0, 223)).cast("string"), *[number(i, 256).cast("string") for i in (1, 2)], (1 + number(3, 254)).cast("string"))
-    iban = F.concat(F.substring(canonical, 1, 2), F.substring(digits, F.lit(1), length - 2))
+    country, account = F.substring(canonical, 1, 2), F.substring(canonical, F.lit(5), length - 4)
+    pool = F.concat(stream(3), stream(4))
+    account_new = F.array_join(F.transform(F.filter(F.split(account, ""), lambda c: c != ""), lambda c, i: F.when(
+        c.rlike("[0-9]"), F.substring(digits, i + 1, F.lit(1))).otherwise(
+            F.char(65 + F.conv(F.substring(pool, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % 26))), "")
+    # 2 to 98: the one value that is valid, or another one
+    sum_97 = 98 - _mod_97(F.concat(account_new, country, F.lit("00")))
+    sound = _mod_97(F.concat(account, F.substring(canonical, 1, 4))) == 1
+    other_97 = (sum_97 - 1 + F.conv(F.substring(h, 1, 6), 16, 10).cast("int") % 96) % 97 + 2
+    iban = F.concat(country, F.lpad(F.when(sound, sum_97).otherwise(other_97).cast("string"), 2, "0"), account_new)
     letters = F.translate(F.substring(h, 1, 24), "0123456789", "ghijklmnop")
     email = F.concat(F.substring(letters, 1, 10), F.lit("@"), F.substring(letters, 11, 6), F.lit(".example."),
                      F.element_at(F.split(canonical, r"\."), -1))
