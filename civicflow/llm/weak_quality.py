@@ -4,8 +4,9 @@ Overlapping heuristics vote good, bad or nothing on every document.  The
 counts of all vote patterns (at most 3**10, whatever the size of the table)
 are enough for expectation-maximisation to estimate each labeller's accuracy
 and each pattern's posterior.  A bounded sample of documents with their
-posteriors then trains the hashed linear scorer of ``linear``, which scores
-all documents.  No labels are used.
+posteriors, drawn from the distinct texts so that copies neither crowd nor
+thin it, then trains the hashed linear scorer of ``linear``, which scores all
+documents.  No labels are used.
 
 Cases: a null or empty text gets no vote but the length one, and scores by
 its (missing) features; repeated rows score alike; an empty table gives no
@@ -120,9 +121,13 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100,
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Model, dict[int, float], dict[str, np.ndarray]]:
     """The scorer, the posterior of each vote pattern, and each labeller's P(vote | class)."""
-    voted = map_text(docs, text, [T.StructField("pattern", T.LongType())],
-                     lambda chunk, batch: {"pattern": pattern(chunk, Words(chunk.data, chunk.off, NOT_SPACE))}, keep=[])
-    rows = voted.groupBy("pattern").count().collect()
+    body = F.col(f"`{text}`").cast("string")
+    source = docs.select(body.alias("text"), F.xxhash64(body, F.lit(5)).alias("hash"))
+    voted = map_text(source, "text", [T.StructField("pattern", T.LongType())],
+                     lambda chunk, batch: {"pattern": pattern(chunk, Words(chunk.data, chunk.off, NOT_SPACE))}, keep=["hash"])
+    # copies of a text have one pattern
+    rows = (voted.groupBy("pattern", "hash").count()
+            .groupBy("pattern").agg(F.sum("count").alias("count"), F.count("*").alias("texts")).collect())
     if not rows:
         return fit([]), {}, {}
     rows.sort(key=lambda r: r["pattern"])
@@ -130,17 +135,17 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Mo
     counts = np.array([r["count"] for r in rows], float)
     good, table, _ = estimate(patterns, counts)
     posterior = dict(zip(patterns.tolist(), good.tolist()))
-    # the same share of every pattern's documents would leave rare patterns out: at most an equal part of each class
-    total = counts.sum()
-    bad_total, good_total = (counts * (good < 0.5)).sum(), (counts * (good >= 0.5)).sum()
+    # the same share of every pattern's texts would leave rare patterns out: at most an equal part of each class
+    texts = np.array([r["texts"] for r in rows], float)
+    bad_total, good_total = (texts * (good < 0.5)).sum(), (texts * (good >= 0.5)).sum()
     cut = {0: min(1.0, sample / 2 / max(bad_total, 1)), 1: min(1.0, sample / 2 / max(good_total, 1))}
     shared = docs.sparkSession.sparkContext.broadcast(posterior)
-    source = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
     labelled = map_text(source, "text", [T.StructField("target", T.DoubleType())],
                         lambda chunk, batch: {"target": np.array([shared.value.get(int(p), 0.5) for p in pattern(
-                            chunk, Words(chunk.data, chunk.off, NOT_SPACE))])}, keep=["text"])
-    draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000))
+                            chunk, Words(chunk.data, chunk.off, NOT_SPACE))])}, keep=["text", "hash"])
+    draw = F.pmod(F.col("hash"), F.lit(1_000_000))
     chosen = (labelled.filter(draw < F.when(F.col("target") >= 0.5, int(1_000_000 * cut[1])).otherwise(int(1_000_000 * cut[0])))
+              .select("text", "target").distinct()
               .select("text", "target", F.pmod(F.xxhash64("text", F.lit(13)), F.lit(1024)).alias("fold")).limit(2 * sample))
     model = fit(features(chosen, "text", "target", "fold"))
     accuracy = {name: table[:, k] for k, name in enumerate(LABELLERS)}

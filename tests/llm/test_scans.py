@@ -230,6 +230,33 @@ def test_weak_labels(spark):
     assert weak_quality.classify(frame(spark)).count() == frame(spark).count()
 
 
+def test_copies_do_not_thin_the_sample(spark, monkeypatch):
+    """A text in a third of all rows counts once in the draw, so the other texts of its class are drawn as often as without."""
+    rng = np.random.default_rng(3)
+    common = "people often said that their house near water was good because every morning they found bread there".split()
+
+    def good():
+        return " ".join(f"{w}{'abcdefgh'[rng.integers(8)]}" for w in rng.choice(common, 80))
+
+    def bad():
+        return " ".join(f"#%{rng.integers(10 ** 6)}&!" for _ in range(30))
+
+    texts = [good() for _ in range(2000)] + [bad() for _ in range(300)] + [bad()] * 1000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    drawn = []
+    real = weak_quality.features
+
+    def seen(chosen, *names):
+        drawn.extend(r["text"] for r in chosen.collect())
+        return real(chosen, *names)
+
+    monkeypatch.setattr(weak_quality, "features", seen)
+    weak_quality.train(docs, sample=200)
+    marked = [t for t in drawn if t.startswith("#")]
+    assert len(marked) == len(set(marked))
+    assert 65 < len(marked) < 135 and 65 < len(drawn) - len(marked) < 135
+
+
 # --- language ID
 
 def test_language_held_out_accuracy(spark):
