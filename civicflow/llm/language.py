@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.llm.textmap import Chunk, emit_rows, map_text, mix, quoted, windows
+from civicflow.llm.textmap import Chunk, drawn, emit_rows, map_text, mix, quoted, windows
 
 NGRAMS = (3, 4, 5)
 HASHES = 3
@@ -86,15 +86,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
           max_grams: int = GRAMS) -> Model:
     """Learns one filter for each non-null language of ``docs``; ``key`` only draws the sample."""
     known = docs.select(quoted(text).cast("string").alias("text"), quoted(lang).cast("string").alias("lang"),
-                        F.pmod(F.xxhash64(quoted(key).cast("string"), F.lit(3)), F.lit(1_000_000)).alias("draw")
+                        F.xxhash64(quoted(key).cast("string"), F.lit(3)).alias("draw")
                         ).filter("lang is not null and text is not null")
     # one row for each language: bounded by the number of languages
     totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not totals:
         return Model([], np.zeros((1 << SLOT_BITS, 1), np.uint64))
     languages = sorted(totals)
-    share = F.create_map(*[F.lit(x) for name in languages for x in (name, int(1_000_000 * min(1.0, sample / totals[name])))])
-    chosen = known.filter(F.col("draw") < share[F.col("lang")]).select("lang", "text")
+    share = F.create_map(*[F.lit(x) for name in languages for x in (name, sample / totals[name])])
+    chosen = known.filter(drawn(F.col("draw"), share[F.col("lang")])).select("lang", "text")
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType())])
 
     def run(chunk: Chunk, batch: pa.RecordBatch) -> list:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.llm.linear import Model, features, fit
-from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, covered, map_text, mix, per_row, quoted, windows
+from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, covered, drawn, map_text, mix, per_row, quoted, windows
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -73,7 +73,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = (labels.select(quoted(doc_id).cast("string").alias("id"), quoted(quality).cast("double").alias("target"))
              .filter("id is not null and target is not null").groupBy("id").agg(F.avg("target").alias("target")))
     total = known.count()
-    part = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / max(total, 1)))
+    part = drawn(F.xxhash64("id", F.lit(7)), sample / max(total, 1))
     # a bounded sample: its ids can be broadcast at any size of the labels
     chosen = known.filter(part).orderBy(F.xxhash64("id", F.lit(7)), "id").limit(sample)
     texts = (docs.select(quoted(doc_id).cast("string").alias("id"), quoted(text).alias("text"))

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -92,6 +92,11 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def drawn(hashed: Column, rate: Column | float) -> Column:
+    """Whether a row of this 64-bit hash is in a sample of this rate; by 62 bits, so that no table is too large for it."""
+    return hashed.bitwiseAND(F.lit((1 << 62) - 1)) < (F.least(F.lit(rate), F.lit(1.0)) * float(1 << 62)).cast("long")
+
+
 def others(columns: list[str], taken: list[str]) -> list[str]:
     """Columns whose names differ from all taken ones (upper and lower case alike)."""
     low = {t.lower() for t in taken}

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from civicflow.llm.linear import Model, features, fit
 from civicflow.llm.quality_rules import base_counts
-from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, map_text, per_row
+from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, drawn, map_text, per_row
 
 LABELLERS = ("length", "symbols", "repeats", "capitals", "word_length", "letters", "variety", "stutter", "bare", "marked")
 GOOD, NONE, BAD = 2, 1, 0
@@ -143,8 +143,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Mo
     labelled = map_text(source, "text", [T.StructField("target", T.DoubleType())],
                         lambda chunk, batch: {"target": np.array([shared.value.get(int(p), 0.5) for p in pattern(
                             chunk, Words(chunk.data, chunk.off, NOT_SPACE))])}, keep=["text", "hash"])
-    draw = F.pmod(F.col("hash"), F.lit(1_000_000))
-    chosen = (labelled.filter(draw < F.when(F.col("target") >= 0.5, int(1_000_000 * cut[1])).otherwise(int(1_000_000 * cut[0])))
+    chosen = (labelled.filter(F.when(F.col("target") >= 0.5, drawn(F.col("hash"), cut[1])).otherwise(drawn(F.col("hash"), cut[0])))
               .select("text", "target").distinct()
               .select("text", "target", F.pmod(F.xxhash64("text", F.lit(13)), F.lit(1024)).alias("fold")).limit(2 * sample))
     model = fit(features(chosen, "text", "target", "fold"))

@@ -259,6 +259,13 @@ def test_copies_do_not_thin_the_sample(spark, monkeypatch):
 
 # --- language ID
 
+def test_a_rate_below_a_millionth_draws_some(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(20_000_000).select(F.col("id").alias("doc_id"), F.lit("hello there").alias("text"), F.lit("en").alias("lang"))
+    assert language.train(docs, sample=19).filter.any()
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = queries.QUERIES["op6_language_id"](spark, "/root/testdata/sf0.01").join(docs, "doc_id").toPandas()
