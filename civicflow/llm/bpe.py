@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.llm.stages import shared
 from civicflow.llm.textmap import BATCH_ROWS, Chunk, map_text, others, quoted
 
 # fixed value: the pattern that byte-level vocabularies split text with
@@ -178,19 +179,19 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
     ``decoded`` adds the text that the ids decode to, in the same pass and worker.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    vocabulary = shared(docs.sparkSession, Vocabulary(path))
     state: dict[str, Encoder] = {}
 
     def run(chunk: Chunk, batch: pa.RecordBatch) -> dict:
         if "encoder" not in state:
-            state["encoder"] = Encoder(shared.value)
+            state["encoder"] = Encoder(vocabulary())
         packed = state["encoder"].encode(chunk.strings())
         off = np.zeros(chunk.n + 1, np.int32)
         np.cumsum([len(p) // 4 for p in packed], out=off[1:])
         flat = np.frombuffer(b"".join(packed), "<i4")
         made: dict = {"ids": pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int32()))}
         if decoded:
-            made["decoded"] = shared.value.decode_ids(flat.astype(np.int64), off)
+            made["decoded"] = vocabulary().decode_ids(flat.astype(np.int64), off)
         return made
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
@@ -201,7 +202,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: list[str] | Non
     """Adds ``decoded``, the text of each array of ids (null ids: empty)."""
     spark = tokens.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    shared = spark.sparkContext.broadcast(Vocabulary(path))
+    vocabulary = shared(spark, Vocabulary(path))
     carried = others(list(tokens.columns if keep is None else keep), ["decoded"])
     source = tokens.select(F.coalesce(quoted(ids), F.array().cast("array<int>")).alias("i"),
                            *[quoted(c).alias(f"c{i}") for i, c in enumerate(carried)])
@@ -219,7 +220,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: list[str] | Non
             texts: list[str] = []
             for lo in range(0, batch.num_rows, DECODE_ROWS):
                 part = off[lo:lo + DECODE_ROWS + 1]
-                texts += shared.value.decode_ids(flat[part[0]:part[-1]], part - part[0])
+                texts += vocabulary().decode_ids(flat[part[0]:part[-1]], part - part[0])
             yield pa.RecordBatch.from_arrays([*[batch.column(i + 1) for i in range(len(names) - 1)], pa.array(texts, pa.string())],
                                              names=names)
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.llm.stages import shared
 from civicflow.llm.textmap import ALNUM, LOWER, Chunk, Words, covered, emit_rows, map_text, others, per_row, quoted, windows
 
 WINDOW = 10
@@ -140,12 +141,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     for b in range(blocks):
         # a block by the hash's remainder: at most about max_windows rows reach the driver
         part = source.filter(F.pmod(F.col("hash"), F.lit(blocks)) == b) if blocks > 1 else source
-        table = spark.sparkContext.broadcast(Block(part.collect()))
+        table = shared(spark, Block(part.collect()))
         last = b == blocks - 1
         at = len(carried) + 1  # places of __items and __hits in a batch: after the text and the carried columns
 
         def run(chunk: Chunk, batch: pa.RecordBatch, table=table, last=last, at=at) -> dict:
-            w, hit, found = _scan(chunk, table.value)
+            w, hit, found = _scan(chunk, table())
             before_items, before = batch.column(at).to_pylist(), batch.column(at + 1).to_pylist()
             for row, spans in enumerate(before):
                 for s in spans:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.llm.stages import shared
 from civicflow.llm.textmap import Chunk, drawn, emit_rows, map_text, mix, quoted, windows
 
 NGRAMS = (3, 4, 5)
@@ -156,10 +157,10 @@ def identify(chunk: Chunk, model: Model) -> tuple[list[str], np.ndarray]:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds lang_pred and score; one narrow pass with the filter broadcast (``2**SLOT_BITS`` slots, whatever the input)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     def run(chunk: Chunk, batch: pa.RecordBatch) -> dict:
-        names, score = identify(chunk, shared.value)
+        names, score = identify(chunk, sent())
         return {"lang_pred": names, "score": score}
 
     return map_text(docs, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], run, keep)

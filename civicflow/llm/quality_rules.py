@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.llm.linear import Model, features, fit
+from civicflow.llm.stages import shared
 from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, covered, drawn, map_text, mix, per_row, quoted, windows
 
 MIN_WORDS = 50
@@ -87,13 +88,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     fields = [*[T.StructField(c, T.LongType()) for c in names], T.StructField("base_failed", T.BooleanType()),
               T.StructField("probability", T.DoubleType()), T.StructField("kept", T.BooleanType())]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     def run(chunk: Chunk, batch: pa.RecordBatch) -> dict:
         words = Words(chunk.data, chunk.off, NOT_SPACE)
         out = base_counts(chunk, words)
         failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
-        p = shared.value.probability(chunk, words)
+        p = sent().probability(chunk, words)
         return out | {"base_failed": failed, "probability": p, "kept": ~failed & (p >= KEEP_PROBABILITY)}
 
     return map_text(docs, text, fields, run, keep)

@@ -1,9 +1,13 @@
-"""Intermediate tables in the cluster's shared folder."""
+"""Intermediate tables in the cluster's shared folder, and values sent to its workers."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
 from contextlib import contextmanager
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from civicflow import session
@@ -29,3 +33,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     with released_shuffles(spark):
         df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """``value`` broadcast to the workers, as a function that gives it there.
+
+    A plain broadcast pickles objects by the names of their classes, which
+    workers can only load with this package on their path.  Here classes of
+    this subpackage travel with the value, as its functions do.  A task
+    unpacks it once.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    kept: list = []
+
+    def get() -> Any:
+        if not kept:
+            kept.append(pickle.loads(packed.value))
+        return kept[0]
+
+    return get

@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from civicflow.llm.linear import Model, features, fit
 from civicflow.llm.quality_rules import base_counts
-from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, drawn, map_text, per_row
+from civicflow.llm.stages import shared
+from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, drawn, map_text, quoted, per_row
 
 LABELLERS = ("length", "symbols", "repeats", "capitals", "word_length", "letters", "variety", "stutter", "bare", "marked")
 GOOD, NONE, BAD = 2, 1, 0
@@ -121,7 +122,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100,
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Model, dict[int, float], dict[str, np.ndarray]]:
     """The scorer, the posterior of each vote pattern, and each labeller's P(vote | class)."""
-    body = F.col(f"`{text}`").cast("string")
+    body = quoted(text).cast("string")
     source = docs.select(body.alias("text"), F.xxhash64(body, F.lit(5)).alias("hash"))
     voted = map_text(source, "text", [T.StructField("pattern", T.LongType())],
                      lambda chunk, batch: {"pattern": pattern(chunk, Words(chunk.data, chunk.off, NOT_SPACE))}, keep=["hash"])
@@ -139,9 +140,9 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Mo
     texts = np.array([r["texts"] for r in rows], float)
     bad_total, good_total = (texts * (good < 0.5)).sum(), (texts * (good >= 0.5)).sum()
     cut = {0: min(1.0, sample / 2 / max(bad_total, 1)), 1: min(1.0, sample / 2 / max(good_total, 1))}
-    shared = docs.sparkSession.sparkContext.broadcast(posterior)
+    known = shared(docs.sparkSession, posterior)
     labelled = map_text(source, "text", [T.StructField("target", T.DoubleType())],
-                        lambda chunk, batch: {"target": np.array([shared.value.get(int(p), 0.5) for p in pattern(
+                        lambda chunk, batch: {"target": np.array([known().get(int(p), 0.5) for p in pattern(
                             chunk, Words(chunk.data, chunk.off, NOT_SPACE))])}, keep=["text", "hash"])
     chosen = (labelled.filter(F.when(F.col("target") >= 0.5, drawn(F.col("hash"), cut[1])).otherwise(drawn(F.col("hash"), cut[0])))
               .select("text", "target").distinct()
@@ -154,13 +155,13 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[Mo
 def classify(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sample: int = SAMPLE) -> DataFrame:
     """Adds n_good and n_bad votes, the weak posterior, the scorer's probability and kept."""
     model, posterior, _ = train(docs, text, sample)
-    shared = docs.sparkSession.sparkContext.broadcast((model, posterior))
+    sent = shared(docs.sparkSession, (model, posterior))
     fields = [T.StructField("n_good", T.LongType()), T.StructField("n_bad", T.LongType()),
               T.StructField("weak_probability", T.DoubleType()), T.StructField("probability", T.DoubleType()),
               T.StructField("kept", T.BooleanType())]
 
     def run(chunk: Chunk, batch: pa.RecordBatch) -> dict:
-        scorer, known = shared.value
+        scorer, known = sent()
         words = Words(chunk.data, chunk.off, NOT_SPACE)
         v = votes(chunk, words)
         weak = np.array([known.get(int(p), 0.5) for p in v @ (3 ** np.arange(len(LABELLERS)))])
