@@ -10,7 +10,8 @@ and reads it again as the next one's documents.
 Cases: null and empty texts, and texts without a letter, have no language and
 go in the first stage; documents without an id link with no other; an empty
 table gives an empty result; further columns of the documents pass through
-to the last stage.
+to the last stage, whatever their names: where one of them is called as a
+column that the last stage adds, the added one is called ``token_`` and its name.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.llm import bpe, decontaminate, jaccard, language, surrogates
 from civicflow.llm.stages import written
+from civicflow.llm.textmap import quoted
 
 # least share of a text's n-grams that its language must contain
 MIN_LANGUAGE_SCORE = 0.3
@@ -31,14 +33,19 @@ SURROGATE_KEY = "surrogates of the corpus pipeline"
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str, list[Column]]:
+    """The documents with numbers for column names, that no operator's own columns clash with; the text's; the names put back."""
+    names = docs.columns
+    return (docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index('text')}",
+            [F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents with a language (but the held-out fold) and keeps those with a likely one."""
     model = language.train(docs.filter(~language.held_out("doc_id")))
-    names = docs.columns
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col("text"))
-    found = language.predict(kept, model, keep=["doc"])
-    found = found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return found.select(*[F.col("doc").getField(c).alias(c) for c in names])
+    plain, text, back = numbered(docs)
+    found = language.predict(plain, model, text)
+    return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,25 +55,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    names = docs.columns
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col("text"))
-    found = decontaminate.decontaminate(kept, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc"])
-    return found.filter("n_hit = 0").select(*[F.col("doc").getField(c).alias(c) for c in names])
+    plain, text, back = numbered(docs)
+    found = decontaminate.decontaminate(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text)
+    return found.filter("n_hit = 0").select(*back)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by surrogates; n_chars follows the text."""
-    names = docs.columns
-    done = surrogates.replace(docs, SURROGATE_KEY)
-    return done.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in names])
+    plain, text, back = numbered(docs)
+    done = surrogates.replace(plain, SURROGATE_KEY, text)
+    return done.select(*[F.char_length(text).cast("long").alias(c) if c == "n_chars" else column
+                         for c, column in zip(docs.columns, back)])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether the ids decode to the text again."""
     path = public_tokenizers.path(VOCABULARY)
-    both = bpe.encode(docs, path, decoded=True)
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], "ids", F.size("ids").cast("long").alias("n_tokens"),
-                          (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    plain, text, back = numbered(docs)
+    both = bpe.encode(plain, path, text, decoded=True)
+    made = {"ids": F.col("ids"), "n_tokens": F.size("ids").cast("long"),
+            "round_trip": F.col("decoded") == F.coalesce(F.col(text), F.lit(""))}
+    taken = {c.lower() for c in docs.columns}
+    for name, column in made.items():
+        while name in taken:
+            name = f"token_{name}"
+        back.append(column.alias(name))
+    return both.select(*back)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
