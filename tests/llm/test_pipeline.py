@@ -45,8 +45,12 @@ def test_pipeline(spark):
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stage_on_hard_and_empty_inputs(spark, name):
     stage = dict(corpus_pipeline.STAGES)[name]
-    docs = frame(spark).withColumns({"k": F.lit(1), "N_Hit": F.lit(2), "doc": F.lit(3)})
+    docs = frame(spark).withColumns({"k": F.lit(1), "N_Hit": F.lit(2), "doc": F.lit(3), "IDs": F.lit(4), "n_tokens": F.lit(5),
+                                     "round_trip": F.lit(6), "decoded": F.lit(7), "n_entities": F.lit(8), "a`b.c": F.lit(9)})
     got = stage(spark, docs, SMALL)
     assert got.columns[:len(docs.columns)] == docs.columns
+    assert len({c.lower() for c in got.columns}) == len(got.columns)
+    kept = got.select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns[len(frame(spark).columns):]]).distinct().collect()
+    assert [tuple(r) for r in kept] == [tuple(range(1, 10))]
     assert 0 < got.count() <= docs.count()
     assert stage(spark, empty(spark), SMALL).count() == 0
