@@ -16,6 +16,7 @@ from civicflow.llm import secrets as op7
 from civicflow.llm import sharding as op5
 from civicflow.llm import surrogates as op4
 from civicflow.llm import weak_quality as op3
+from civicflow.llm import whitening as op13
 from civicflow.llm.oracles import ORACLES
 
 # the key of the registered queries; a deployment passes its own secret
@@ -95,6 +96,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the sum of squares is null where a long cannot hold it
+    return op13.whiten(_table(spark, sf_dir, "embeddings"), keep=["vec_id"]).withColumn(
+        "deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -106,6 +113,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 __all__ = ["QUERIES", "ORACLES"]
