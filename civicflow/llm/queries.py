@@ -10,6 +10,7 @@ from civicflow.llm import bpe as op9
 from civicflow.llm import decontaminate as op10
 from civicflow.llm import jaccard as op8
 from civicflow.llm import language as op6
+from civicflow.llm import line_runs as op12
 from civicflow.llm import quality_rules as op1
 from civicflow.llm import repeats as op2
 from civicflow.llm import secrets as op7
@@ -96,6 +97,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op12.drop_lines(docs, keep=["doc_id"]).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the sum of squares is null where a long cannot hold it
     return op13.whiten(_table(spark, sf_dir, "embeddings"), keep=["vec_id"]).withColumn(
@@ -113,6 +119,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
+    "op12_line_dedup": op12_line_dedup,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 

@@ -26,12 +26,12 @@ def released_shuffles(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partitions: list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in a fresh folder under ``spark.checkpoint.dir``: lineage ends there."""
     spark = df.sparkSession
     folder = session.scratch(spark, name)
     with released_shuffles(spark):
-        df.write.option("compression", "zstd").parquet(folder)
+        df.write.partitionBy(*partitions or []).option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op3_quality_classifier", "op5_stratified_shards", "op6_language_id"])
