@@ -63,6 +63,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_TERMS = r"coalesce(regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])"
+
+ORACLES["op11_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(text=_LOWER)} AS w FROM documents),
+stats AS (SELECT COUNT(*) AS n_docs, SUM(len(w)) AS total FROM d WHERE len(w) > 0),
+lengths AS (SELECT r, doc_id, 50 + (50 * len(w) * n_docs) // total AS m FROM d, stats WHERE len(w) > 0),
+tf AS (SELECT r, term, COUNT(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+queries AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS.format(text=_LOWER)}) AS term FROM benchmark)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight
+  FROM tf, stats WHERE term IN (SELECT term FROM queries) GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, r, doc_id, SUM(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+  FROM queries JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (r) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 50
+"""
+
 ORACLES["op12_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos

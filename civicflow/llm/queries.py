@@ -13,6 +13,7 @@ from civicflow.llm import language as op6
 from civicflow.llm import line_runs as op12
 from civicflow.llm import quality_rules as op1
 from civicflow.llm import repeats as op2
+from civicflow.llm import search as op11
 from civicflow.llm import secrets as op7
 from civicflow.llm import sharding as op5
 from civicflow.llm import surrogates as op4
@@ -97,6 +98,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op11.search(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return op12.drop_lines(docs, keep=["doc_id"]).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -119,6 +125,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ranked_search": op11_ranked_search,
     "op12_line_dedup": op12_line_dedup,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
