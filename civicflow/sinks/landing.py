@@ -16,9 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_fs
+from civicflow.sinks import copying
+from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_fs, swap_folders
+from civicflow.stores import located, reachable
 
-# files copied at a time
+# files that the driver's client copies at a time
 COPIES = 5
 # documents per landed JSON file: bounds the whole-text read of each file
 DOCS_PER_FILE = 1000
@@ -43,52 +45,68 @@ def read_source_list(spark: SparkSession, config_path: str) -> list[tuple[str, s
     return [(safe_name(r["name"]), r["path"]) for r in rows if r["name"] and r["path"]]
 
 
+def files_below(fs, source, jvm) -> list[tuple]:
+    """(path, name below ``source``, bytes) of the files of a folder; hidden ones are left out."""
+    prefix = len(fs.resolvePath(source).toUri().getPath().rstrip("/")) + 1
+    found, files = [], fs.listFiles(source, True)
+    while files.hasNext():
+        status = files.next()
+        relative = fs.resolvePath(status.getPath()).toUri().getPath()[prefix:]
+        if not any(part.startswith(("_", ".")) for part in relative.split("/")):
+            found.append((status.getPath(), relative, status.getLen()))
+    return found
+
+
+def _copy_by_driver(spark: SparkSession, fs, files: list[tuple], to_fs, staging: str, jvm) -> None:
+    """For stores that tasks cannot open: from store to store through this process's Hadoop client, which holds nothing."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def copy(file) -> None:
+        # a folder such as date=… in the source has a name of its own, no child path's scheme
+        target = jvm.org.apache.hadoop.fs.Path(f"{staging}/{file[1]}")
+        to_fs.mkdirs(target.getParent())
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, file[0], to_fs, target, False, True, conf):
+            raise OSError(f"copy failed: {file[0].toString()}")
+
+    with ThreadPoolExecutor(COPIES) as pool:
+        list(pool.map(copy, files))
+
+
 def land_source(spark: SparkSession, name: str, source_path: str, raw_root: str, ds: str) -> str:
     """Copy one source byte for byte to ``raw_root/name/date=ds/``.
 
     A file lands as ``name`` with its extension, a folder's files under their
-    own relative names (hidden files are left out).  The bytes stream from
-    store to store through this process's Hadoop client, ``COPIES`` files at
-    a time, so any format and size lands unchanged and nothing is held.  The
-    copy is made beside the target and takes the day's place when complete: a
-    rerun replaces the whole day, a failed one leaves it as it was.
+    own relative names (hidden files are left out).  Tasks stream the bytes
+    from store to store (``sinks.copying``), so any format and size lands
+    unchanged and no byte passes the driver, which lists names and sizes.
+    (Only between stores that tasks cannot open does the driver's Hadoop
+    client copy, ``COPIES`` files at a time.)  The copy is made beside the
+    target and takes the day's place when complete: a rerun replaces the
+    whole day, a failed one leaves it as it was.
     """
     fs, source, jvm = hadoop_fs(spark, source_path)
     if not fs.exists(source):
         raise FileNotFoundError(f"source not found: {source_path}")
     target = f"{raw_root.rstrip('/')}/{name}"
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    to_fs, day, _ = hadoop_fs(spark, f"{target}/date={ds}")
-    path = jvm.org.apache.hadoop.fs.Path
-    staging = path(f"{target}/_landing-{uuid.uuid4().hex}")
-    to_fs.mkdirs(staging)
-    copies = []
-    if fs.getFileStatus(source).isDirectory():
-        prefix = len(fs.resolvePath(source).toUri().getPath().rstrip("/")) + 1
-        files = fs.listFiles(source, True)
-        while files.hasNext():
-            file = files.next().getPath()
-            relative = fs.resolvePath(file).toUri().getPath()[prefix:]
-            if not any(part.startswith(("_", ".")) for part in relative.split("/")):
-                # a folder such as date=… in the source has a name of its own, no child path's scheme
-                copies.append((file, path(f"{staging.toString()}/{relative}")))
-    else:
-        copies.append((source, path(staging, name + os.path.splitext(source.getName())[1])))
-
-    def copy(pair) -> None:
-        to_fs.mkdirs(pair[1].getParent())
-        if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, pair[0], to_fs, pair[1], False, True, conf):
-            raise OSError(f"copy failed: {pair[0].toString()}")
-
+    to_fs, _, _ = hadoop_fs(spark, target)
+    staging = f"{target}/_landing-{uuid.uuid4().hex}"
+    staged = jvm.org.apache.hadoop.fs.Path(staging)
+    to_fs.mkdirs(staged)
     try:
-        with ThreadPoolExecutor(COPIES) as pool:
-            list(pool.map(copy, copies))
-        to_fs.delete(day, True)
-        if not to_fs.rename(staging, day):
-            raise OSError(f"rename failed: {day.toString()}")
-    except BaseException:
-        to_fs.delete(staging, True)
-        raise
+        status = fs.getFileStatus(source)
+        if status.isDirectory():
+            files = files_below(fs, source, jvm)
+        else:
+            files = [(source, name + os.path.splitext(source.getName())[1], status.getLen())]
+        places = [(located(fs, path), relative, size) for path, relative, size in files]
+        folder = located(to_fs, staged)
+        if reachable(folder) and all(reachable(place) for place, _, _ in places):
+            copying.copy_files(spark, places, folder)
+        else:
+            _copy_by_driver(spark, fs, files, to_fs, staging, jvm)
+        swap_folders(to_fs, jvm, {f"{target}/date={ds}": staging})
+    finally:
+        to_fs.delete(staged, True)
     return target
 
 

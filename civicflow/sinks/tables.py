@@ -50,16 +50,59 @@ def replace_days(df: DataFrame, path: str, days: list[str], partition_cols: list
     try:
         (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_cols).parquet(staging))
-        for day in days:
-            old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_cols[0]}={day}")
-            new = jvm.org.apache.hadoop.fs.Path(f"{staging}/{partition_cols[0]}={day}")
-            fs.delete(old, True)
-            if fs.exists(new) and not fs.rename(new, old):
-                raise OSError(f"rename failed: {old.toString()}")
+        swap_folders(fs, jvm, {f"{path.rstrip('/')}/{partition_cols[0]}={day}": f"{staging}/{partition_cols[0]}={day}" for day in days})
     finally:
         fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
 
 
+def swap_folders(fs, jvm, swaps: dict[str, str]) -> None:
+    """Each folder gives way to the one named for it (to none if that one is not there).
+
+    The old folders are first renamed aside, then the new ones in, and only
+    then are the old ones deleted.  If a rename fails, what was done is undone
+    and the folders are as they were.  A process that dies in between leaves
+    an old folder under a hidden name beside its own, with ``_aside-`` in
+    front; the next swap of that folder puts it back first if its own name is
+    free, and deletes it otherwise.
+    """
+    path = jvm.org.apache.hadoop.fs.Path
+    done: list[tuple] = []
+    asides = []
+
+    def rename(old, new) -> None:
+        if not fs.rename(old, new):
+            raise OSError(f"rename failed: {old.toString()}")
+        done.append((old, new))
+
+    def aside_of(folder) -> object:
+        return path(folder.getParent(), f"_aside-{folder.getName()}")
+
+    for target in swaps:
+        folder = path(target)
+        aside = aside_of(folder)
+        if fs.exists(aside):
+            # an earlier swap died: after its first step the folder is missing, after its second it is the new one
+            if fs.exists(folder):
+                fs.delete(aside, True)
+            elif not fs.rename(aside, folder):
+                raise OSError(f"rename failed: {aside.toString()}")
+    try:
+        for target, new in swaps.items():
+            folder = path(target)
+            fs.mkdirs(folder.getParent())
+            if fs.exists(folder):
+                rename(folder, aside_of(folder))
+                asides.append(aside_of(folder))
+            if fs.exists(path(new)):
+                rename(path(new), folder)
+    except BaseException:
+        for old, new in reversed(done):
+            fs.rename(new, old)
+        raise
+    for aside in asides:
+        fs.delete(aside, True)
+
+
 def append(df: DataFrame, path: str) -> None:
     """K3: ``if_exists='append'``."""
     df.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
