@@ -377,6 +377,38 @@ def q_scan_csv_mixed_headers(spark, sf_dir):
                           F.col("_lon").alias("longitude"), "value", "category", "source", "ds")
 
 
+# files beyond this are read in ranges by the two queries of large files
+RANGE_BYTES = 16_384
+
+
+@register("scan_csv_large")
+def q_scan_csv_large(spark, sf_dir):
+    """Large exports whose quoted fields span lines, read in byte ranges."""
+    root = session.scratch(spark, "csv")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    note = F.when(F.col("id").cast("long") % 3 == 0, F.concat(F.lit('said "'), F.col("id"), F.lit('",\nthen\n\nleft'))).otherwise(F.lit("quiet"))
+    (raw.select(note.alias("note"), "id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+                F.col("latitude").cast("string").alias("latitude"), F.col("longitude").cast("string").alias("longitude"),
+                F.col("value").cast("string").alias("value"), "category", "source", F.date_format("ds", "yyyy-MM-dd").alias("date"))
+     .repartition("date").write.option("header", True).option("escape", '"').partitionBy("date").csv(f"{root}/raw/events"))
+    checked = V.check(events_files.scan_csv(spark, f"{root}/raw/events", split=RANGE_BYTES))
+    return checked.select("id", F.col("_ts").alias("ts"), F.col("_lat").alias("latitude"),
+                          F.col("_lon").alias("longitude"), "value", "category", "source", "ds")
+
+
+@register("scan_json_large")
+def q_scan_json_large(spark, sf_dir):
+    """S3: one list file a day, whatever its size, read in byte ranges: documents with their position in the file."""
+    root = session.scratch(spark, "json")
+    docs = fixtures.docs(spark, sf_dir).select(F.substring("file_key", 6, 10).alias("date"), "pos", "doc")
+    landing.write_day_lists(docs, f"{root}/raw/demandes_services")
+    scanned = json_reports.scan(spark, f"{root}/raw/demandes_services", split=RANGE_BYTES)
+    s = R.shape(F.col("doc"))
+    return scanned.select(F.regexp_extract("file_path", r"/date=([0-9-]+)/", 1).cast("date").alias("file_date"),
+                          F.col("pos").cast("long").alias("pos"), s.alias("shape"),
+                          R.field(F.col("doc"), s, "external_id").alias("external_id"))
+
+
 @register("bronze_land")
 def q_bronze_land(spark, sf_dir):
     """Land every configured source under name/date=ds/, count what landed."""

@@ -32,7 +32,7 @@ from civicflow.plans import analytics, ingest, loads, reports
 from civicflow.schemas import CITIZEN_REPORTS, PIPELINE_METRICS, REGION_SOURCE
 from civicflow.sinks import landing
 from civicflow.sinks.tables import Snapshot, hadoop_fs
-from civicflow.sources import events_files, json_reports
+from civicflow.sources import events_files, json_reports, ranges
 from civicflow.streaming import incremental
 
 EVENTS_SOURCE = "events"
@@ -75,7 +75,7 @@ def validate(spark: SparkSession, lake: str, ds: str, finished_at: str | None =
     source = _p(lake, "raw", EVENTS_SOURCE)
     try:
         fs, folder, _ = hadoop_fs(spark, f"{source}/date={ds}")
-        if not fs.exists(folder) or not events_files.csv_files(spark, f"{source}/date={ds}"):
+        if not fs.exists(folder) or ranges.listing(spark, f"{source}/date={ds}").filter("length > 0").isEmpty():
             raise FileNotFoundError(f"no CSV landed for {ds}: {source}/date={ds}")
         raw = events_files.scan_csv(spark, source, ds)
         result = ingest.validate_and_partition(spark, raw, _p(lake, "clean", "events"), _p(lake, "rejects"), days=[ds])

@@ -147,6 +147,20 @@ def write_json_lists(docs: DataFrame, path: str, day_col: str = "date", order_co
             raise OSError(f"rename failed: {file.toString()}")
 
 
+def write_day_lists(docs: DataFrame, path: str, day_col: str = "date", order_col: str = "pos", doc_col: str = "doc") -> None:
+    """Land the documents of each day as one JSON list file ``path/date=<day>/``, however many they are.
+
+    One task writes a day, document after document; it holds none of them.
+    """
+    rows = docs.select(F.col(day_col).alias("date"), F.col(order_col).alias("o"), F.col(doc_col).cast("string").alias("d"))
+    # one row a day
+    ends = rows.groupBy("date").agg(F.min("o").alias("first"), F.max("o").alias("last"))
+    line = F.concat(F.when(F.col("o") == F.col("first"), F.lit("[")).otherwise(F.lit(",")), "d",
+                    F.when(F.col("o") == F.col("last"), F.lit("]")).otherwise(F.lit("")))
+    (rows.join(ends, "date").repartition("date").sortWithinPartitions("date", "o").select("date", line.alias("value"))
+     .write.mode("overwrite").partitionBy("date").text(path))
+
+
 def write_json_lines(docs: DataFrame, path: str, day_col: str = "date", order_col: str = "pos",
                      doc_col: str = "doc") -> None:
     """Land documents as JSON lines ``{"seq": n, "doc": {...}}`` under ``date=<day>/``.

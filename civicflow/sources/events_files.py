@@ -7,71 +7,138 @@ filters and column selections reach the Parquet reader, and the
 
 from __future__ import annotations
 
+import csv
+import sys
+from collections import Counter
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicflow.schemas import CLEAN_EVENTS, CLEAN_FILE, RAW_CSV
-from civicflow.sinks.tables import hadoop_fs
+from civicflow.sources import csv_ranges
+from civicflow.sources.ranges import large_files, listed, listing, split_bytes
+from civicflow.stores import PLACE, SCHEMES, opened
+
+# the tasks that read header lines need no copy of the package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: the path segment a category is read from when a file lacks it.
 CATEGORY_IN_PATH = r"category=([^/]+)/"
 
 
-def csv_files(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The CSV files under ``path`` by their header line.
+def first_line(stream) -> str | None:
+    """The first line of a byte stream; None if it has none."""
+    text = b""
+    while b"\n" not in text and b"\r" not in text and (part := stream.read(1 << 16)):
+        text += part
+    return text.splitlines()[0].decode("utf-8", "replace").removeprefix("\ufeff") if text else None
+
 
-    Only the first line of each file is read here; hidden files and empty
-    ones are left out.
+def csv_headers(spark: SparkSession, files: DataFrame) -> dict[str, list[str]]:
+    """The CSV files of a listing by their header line; empty files are left out.
+
+    Tasks read the first lines, a few KB of each file.  Of a store that tasks
+    cannot open, Spark's text reader reads the files.
     """
-    fs, root, jvm = hadoop_fs(spark, path)
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[str, list[str]] = {}
-    names = []
-    files = fs.listFiles(root, True)
-    base = root.depth()
-    while files.hasNext():
-        status = files.next()
-        parts = status.getPath().toUri().getPath().split("/")[base + 1:]
-        if status.getLen() > 0 and not any(x.startswith(("_", ".")) for x in parts):
-            names.append(status.getPath())
-    for file in sorted(names, key=lambda f: f.toString()):
-        codec = codecs.getCodec(file)
-        stream = fs.open(file)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        header = lines.readLine()
-        lines.close()
-        if header is not None:
-            found.setdefault(header.lstrip("\ufeff"), []).append(file.toString())
-    return found
-
-
-def scan_csv(spark: SparkSession, path: str, ds: str | None = None, multi_line: bool = True) -> DataFrame:
+    stores = [r[0] for r in files.select(F.regexp_extract("path", r"^([A-Za-z0-9+.-]+):", 1)).distinct().collect()]
+    if all(scheme in SCHEMES for scheme in stores):
+        def read(batches):
+            for batch in batches:
+                lines = []
+                for path in batch.column(0).to_pylist():
+                    scheme, authority, name = PLACE.match(path).groups()
+                    store, prefix = opened(scheme, authority or "")
+                    with store.open_input_stream(prefix + name) as stream:
+                        lines.append(first_line(stream))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], names=["path", "header"])
+
+        lines = files.filter("length > 0").select("path").mapInArrow(read, "path string, header string")
+    else:
+        names = [r["path"] for r in files.filter("length > 0").collect()]
+        lines = (spark.read.text(names).select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"),
+                                               F.col("_metadata.file_block_start").alias("start"))
+                 .groupBy("path").agg(F.regexp_replace(F.min_by("value", F.struct("start", "at")), "^\ufeff", "").alias("header"))) if names else None
+    if lines is None:
+        return {}
+    found = lines.filter("header is not null").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return {r["header"]: r["paths"] for r in sorted(found, key=lambda r: r["paths"])}
+
+
+def _named(header: str) -> list[str]:
+    """Column names as Spark's reader gives them: those that occur twice, whatever their case, get their place behind them."""
+    names = next(csv.reader([header]))
+    twice = Counter(n.lower() for n in names)
+    return [f"_c{i}" if not n else f"{n}{i}" if twice[n.lower()] > 1 else n for i, n in enumerate(names)]
+
+
+def scan_csv(spark: SparkSession, path: str, ds: str | None = None, multi_line: bool = True, split: int | None = None) -> DataFrame:
     """Bronze CSV with a header; every field is text (typed later by checks).
 
     Every file is read under its own header (files with equal headers
     together), so exports with another column order or further columns can
     lie side by side; a missing column is NULL.  Fields are quoted as usual:
-    doubled quotes, and line breaks inside quotes.  The latter keep a file in
-    one task, streamed; ``multi_line=False`` splits files that have none.
+    doubled quotes, and line breaks inside quotes.
+
+    A file of one split (of the session, or ``split`` bytes) is one task,
+    streamed.  A larger one is read by many:
+    split at any line end if no record of it spans lines, else by ranges that
+    find where records begin (``csv_ranges``).  Compressed files, and ones
+    whose header spans lines, stay with one task.  ``multi_line=False`` splits
+    all files at line ends unseen.
 
     The header names the timestamp ``timestamp``; it is exposed as ``ts``.
     The landing day is the first ``date=`` folder of a file's path below
     ``path``, as ``ds``; with ``ds`` only that day's folder is listed and read.
     """
     folder = path.rstrip("/") + (f"/date={ds}" if ds else "")
-    groups = csv_files(spark, folder)
-    dated = ds is not None or any("/date=" in f for files in groups.values() for f in files)
+    files = listing(spark, folder).filter("length > 0")
+    large = large_files(files, split_bytes(spark) if split is None else split) if multi_line else []
+    # (header, files, read by lines, records)
+    groups: list[tuple[str, list[str], bool, DataFrame | None]] = []
+    streamed: list[str] = []
+    if large:
+        seen = csv_ranges.profile(spark, large)
+        name = {f: listed(f) for f in seen}
+        quoted = [f for f, x in seen.items() if x["quotes"] and not x["odd"]]
+        entry, opening = csv_ranges.entries(spark, [name[f] for f in quoted]) if quoted else ({}, set())
+        by_kind: dict[tuple, list[str]] = {}
+        for f, x in seen.items():
+            if x["odd"]:
+                streamed.append(name[f])
+            else:
+                lines = x["even"] and f not in opening
+                by_kind.setdefault((x["header"], lines, x["crlf"]), []).append(f)
+        for (header, lines, crlf), found in by_kind.items():
+            paths = [name[f] for f in found]
+            if not lines:
+                # a file without quotes has no record of several lines, however its lines end
+                need = [f for f in found if (f, 0) not in entry]
+                known = entry | (csv_ranges.entries(spark, [name[f] for f in need])[0] if need else {})
+                cut = csv_ranges.records(spark, paths, {k: v for k, v in known.items() if k[0] in set(found)}, crlf)
+            groups.append((header, paths, lines, None if lines else cut))
+    small = files.filter(~F.col("path").isin([f for f in large if f not in set(streamed)])) if large else files
+    groups += [(header, paths, not multi_line, None) for header, paths in csv_headers(spark, small).items()]
+    dated = ds is not None or any("/date=" in f for _, paths, _, _ in groups for f in paths)
     parts = []
-    for files in groups.values():
-        df = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-              .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(files))
-        present = set(df.columns)
-        cols = [(F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast("string").alias(f.name)
-                for f in RAW_CSV.fields]
+    for header, paths, lines, cut in groups:
+        if cut is None:
+            df = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+                  .option("quote", '"').option("escape", '"').option("multiLine", not lines).csv(paths))
+            present = {c: F.col(f"`{c}`") for c in df.columns}
+            file = F.col("_metadata.file_path")
+        else:
+            names = _named(header)
+            kind = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+            df = cut.select("file", F.from_csv("record", kind.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                                               {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n"}).alias("r"))
+            present = {n: F.col(f"r.c{i}") for i, n in enumerate(names)}
+            file = F.col("file")
+        cols = [present.get(f.name, F.lit(None)).cast("string").alias(f.name) for f in RAW_CSV.fields]
         if dated:
-            day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/", 1)
-            cols.append(F.nullif(day, F.lit("")).cast("date").alias("ds"))
+            cols.append(F.nullif(F.regexp_extract(file, r"/date=([^/]+)/", 1), F.lit("")).cast("date").alias("ds"))
         parts.append(df.select(*cols))
     if not parts:
         parts.append(spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in RAW_CSV.fields],

@@ -8,6 +8,7 @@ not know are left to Spark's own readers and to the driver's client.
 
 from __future__ import annotations
 
+import re
 import sys
 from typing import NamedTuple
 
@@ -16,6 +17,9 @@ from pyspark import cloudpickle
 # fixed values: Hadoop's scheme names and Arrow's
 SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
+# scheme, authority and path of a file as Spark lists it
+PLACE = re.compile(r"^([A-Za-z0-9+.-]+):(?://([^/]*))?(/.*)$", re.S)
+
 # tasks need no copy of the package on their path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
