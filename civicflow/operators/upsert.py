@@ -19,6 +19,7 @@ the batch collapses to one row per task instead of one giant group.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # bytes that a field's place in a row takes beside its value, at most
 FIELD_BYTES = 16
+# rows and bytes of the tables that were written to be measured, so that none is written twice
+_MEASURED: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
 
 
 def written_and_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
@@ -40,6 +43,8 @@ def written_and_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
     bytes in the file; in memory it takes at most twice that, and a null or
     a field's place ``FIELD_BYTES`` more.
     """
+    if df in _MEASURED:
+        return (df, *_MEASURED[df])
     spark = df.sparkSession
     folder = scratch(spark, "batch")
     df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(folder)
@@ -48,7 +53,12 @@ def written_and_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
     size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
     table = spark.read.schema(df.schema).parquet(folder)
     rows = table.count()
-    return table, rows, 2 * size + rows * FIELD_BYTES * (len(df.columns) + 1)
+    _MEASURED[table] = rows, 2 * size + rows * FIELD_BYTES * (len(df.columns) + 1)
+    return (table, *_MEASURED[table])
+
+
+def broadcastable(rows: int, size: int, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    return rows <= max_rows and size <= max_bytes
 
 
 def orderable_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -113,8 +123,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterabl
     if strategy == "auto":
         # the batch is computed once; its table in the shared folder survives executor loss
         batch, rows, size = written_and_measured(batch)
-        small = rows <= broadcast_max_rows and size <= broadcast_max_bytes
-        strategy = "broadcast" if small else "shuffle"
+        strategy = "broadcast" if broadcastable(rows, size, broadcast_max_rows, broadcast_max_bytes) else "shuffle"
     t = target.withColumn(_PRESENT, F.lit(True)).alias("t")
     b = batch.withColumn(_PRESENT, F.lit(True)).alias("b")
     cond = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in key]

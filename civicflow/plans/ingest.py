@@ -134,10 +134,7 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, refresh_error: bool = Fa
     error_message; ``refresh_error=True`` replaces it too.
     """
     replaced = METRICS_REPLACED + (("error_message",) if refresh_error else ())
-    # a batch holds one row per run: bounded by construction, so it is
-    # broadcast without measuring it first
-    return upsert(target, batch, METRICS_KEY, replaced,
-                  insert_defaults={"started_at": F.col("b.finished_at")}, strategy="broadcast")
+    return upsert(target, batch, METRICS_KEY, replaced, insert_defaults={"started_at": F.col("b.finished_at")})
 
 
 def metrics_daily(metrics_table: DataFrame) -> DataFrame:

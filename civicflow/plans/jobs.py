@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from civicflow import session
 from civicflow.operators.spatial_join import region_table
 from civicflow.plans import analytics, ingest, loads, reports
-from civicflow.schemas import CITIZEN_REPORTS, PIPELINE_METRICS, REGION_SOURCE
+from civicflow.schemas import PIPELINE_METRICS, REGION_SOURCE
 from civicflow.sinks import landing
-from civicflow.sinks.tables import Snapshot, hadoop_fs
+from civicflow.sinks.snapshots import Snapshot
+from civicflow.sinks.tables import hadoop_fs
 from civicflow.sources import events_files, json_reports, ranges
 from civicflow.streaming import incremental
 
@@ -46,7 +47,7 @@ def _p(lake: str, *parts: str) -> str:
 
 
 def metrics_table(spark: SparkSession, lake: str) -> Snapshot:
-    return Snapshot(spark, _p(lake, "tables", "pipeline_metrics"), PIPELINE_METRICS)
+    return Snapshot(spark, _p(lake, "tables", "pipeline_metrics"), PIPELINE_METRICS, buckets=ingest.METRICS_KEY)
 
 
 def events_table(spark: SparkSession, lake: str) -> Snapshot:
@@ -54,7 +55,7 @@ def events_table(spark: SparkSession, lake: str) -> Snapshot:
 
 
 def reports_table(spark: SparkSession, lake: str) -> Snapshot:
-    return Snapshot(spark, _p(lake, "tables", "citizen_reports"), CITIZEN_REPORTS)
+    return incremental.reports_table(spark, _p(lake, "tables", "citizen_reports"))
 
 
 def land(spark: SparkSession, lake: str, config_path: str, ds: str) -> list[str]:
@@ -80,9 +81,9 @@ def validate(spark: SparkSession, lake: str, ds: str, finished_at: str | None =
         raw = events_files.scan_csv(spark, source, ds)
         result = ingest.validate_and_partition(spark, raw, _p(lake, "clean", "events"), _p(lake, "rejects"), days=[ds])
         rows = ingest.metrics_rows(result.metrics, F.lit(ingest.STATUS_SUCCESS), F.lit(None), done)
-        table.commit(ingest.upsert_metrics(table.read(), rows))
+        table.merge(rows, ingest.METRICS_KEY, ingest.upsert_metrics)
     except Exception as e:
-        table.commit(ingest.upsert_metrics(table.read(), ingest.failed_run(spark, ds, str(e), done), refresh_error=True))
+        table.merge(ingest.failed_run(spark, ds, str(e), done), ingest.METRICS_KEY, partial(ingest.upsert_metrics, refresh_error=True))
         raise
     return result.metrics
 
@@ -127,7 +128,7 @@ def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -
     batch = reports.to_table_rows(reports.dedupe(docs))
     table = reports_table(spark, lake)
     stamp = F.lit(run_ts or datetime.now().isoformat(sep=" ")).cast("timestamp_ntz")
-    table.commit(reports.upsert_reports(table.read(), batch, stamp))
+    table.merge(batch, reports.REPORT_KEY, partial(reports.upsert_reports, ingested_at=stamp))
 
     def total(name: str, df: DataFrame, value) -> DataFrame:
         return df.agg(value.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")

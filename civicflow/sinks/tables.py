@@ -1,4 +1,4 @@
-"""Sinks: partitioned clean files, reject logs, append tables, snapshots.
+"""Sinks: partitioned clean files, reject logs, append tables.
 
 All writes go through Spark's commit protocol: a job publishes its files
 only when every task has succeeded, so a lost executor means a retried
@@ -8,16 +8,11 @@ task, never half a partition.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 # bounded file size for every partitioned write
 MAX_RECORDS_PER_FILE = 5_000_000
-# versions of a snapshot that stay readable
-KEEP_VERSIONS = 10
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
@@ -108,138 +103,8 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
-# --------------------------------------------------------------------------
-# snapshot tables: each upsert commits a new version directory
-
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path, jvm) for a path on any Hadoop file system."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-class Snapshot:
-    """A table of immutable data folders and a list of them for every version.
-
-    A commit writes its rows to a fresh folder ``<path>/c=<id>`` and then
-    creates ``<path>/_versions/<n>``, which names the data folders of version
-    n; the file appears whole or not at all, and only one writer can create
-    it, so a job that dies before leaves the previous version current, and of
-    two writers at once one fails.
-
-    ``partitions`` maps a partition column to the expression that derives it
-    from a row (``{"date": lambda: F.to_date("ts")}``): an update that moves a
-    row moves it to its new partition, and readers prune whole partitions.
-    ``merge`` then rewrites only the partitions that a batch touches and
-    shares the folders of all others with the version before.
-
-    The last ``KEEP_VERSIONS`` versions stay readable; folders that none of
-    them names are deleted.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 partitions: dict[str, Callable[[], Column]] | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partitions = dict(partitions or {})
-
-    def _file(self, *parts: str):
-        fs, p, jvm = hadoop_fs(self.spark, "/".join([self.path, *parts]))
-        return fs, p, jvm
-
-    def _children(self, *parts: str) -> list[str]:
-        fs, p, _ = self._file(*parts)
-        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
-
-    def versions(self) -> list[int]:
-        return sorted(int(name) for name in self._children("_versions") if name.isdigit())
-
-    def folders(self, version: int) -> list[str]:
-        """Data folders of a version, below the table's path."""
-        fs, p, jvm = self._file("_versions", str(version))
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-        out = []
-        while (line := lines.readLine()) is not None:
-            out.append(line)
-        lines.close()
-        return out
-
-    def _with_partitions(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
-                         *[expr().alias(name) for name, expr in self.partitions.items()])
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        from civicflow.operators.upsert import empty
-        none = self._with_partitions(empty(self.spark, self.schema))
-        if not folders:
-            return none
-        fields = [none.schema[name] for name in none.columns]
-        df = (self.spark.read.schema(T.StructType(fields)).option("basePath", self.path)
-              .parquet(*[f"{self.path}/{f}" for f in folders]))
-        return df.select(*[F.col(f.name) for f in fields])
-
-    def read(self) -> DataFrame:
-        """The current version: the table's columns, then its partition columns."""
-        vs = self.versions()
-        return self._read(self.folders(vs[-1]) if vs else [])
-
-    def commit(self, df: DataFrame, kept: list[str] | None = None) -> int:
-        """A new version: the rows of ``df`` and the data folders ``kept`` of the current one."""
-        vs = self.versions()
-        n = (vs[-1] + 1) if vs else 1
-        out = self._with_partitions(df)
-        name = f"c={uuid.uuid4().hex}"
-        if self.partitions:
-            out = out.hint("rebalance", *self.partitions)
-        writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-                  .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
-        if self.partitions:
-            writer = writer.partitionBy(*self.partitions)
-        writer.parquet(f"{self.path}/{name}")
-        new = [name]
-        for _ in self.partitions:
-            new = [f"{folder}/{child}" for folder in new for child in self._children(folder) if "=" in child]
-        fs, _, jvm = self._file()
-        temporary, final = self._file("_versions", f".{name}")[1], self._file("_versions", str(n))[1]
-        stream = fs.create(temporary, True)
-        stream.write(bytearray("".join(f"{f}\n" for f in [*(kept or []), *new]).encode()))
-        stream.close()
-        # a rename to a name that exists fails: one of two writers wins
-        if fs.exists(final) or not fs.rename(temporary, final):
-            raise RuntimeError(f"version {n} of {self.path} was written by another job")
-        self._prune()
-        return n
-
-    def merge(self, batch: DataFrame, key: list[str], upsert: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
-        """Commit ``upsert(current rows, batch)``, rewriting only the partitions that the batch touches.
-
-        Touched are the partitions of the batch's rows, and those that hold
-        rows with its keys now: found with the key and partition columns only.
-        """
-        from civicflow.operators.upsert import written_and_measured
-        vs = self.versions()
-        if not vs or len(self.partitions) != 1:
-            return self.commit(upsert(self.read(), batch))
-        (name, expr), = self.partitions.items()
-        batch, _, _ = written_and_measured(batch)
-        current = self.folders(vs[-1])
-        table = self._read(current)
-        new = batch.select(expr().cast("string").alias("p"))
-        old = table.select(*key, F.col(name).cast("string").alias("p")).join(batch.select(*key), key, "left_semi").select("p")
-        # one short text for each partition
-        touched = {r["p"] for r in new.unionByName(old).distinct().collect()}
-        values = {f"{name}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in touched}
-        rewritten = [f for f in current if f.rsplit("/", 1)[-1] in values]
-        kept = [f for f in current if f.rsplit("/", 1)[-1] not in values]
-        return self.commit(upsert(self._read(rewritten), batch), kept)
-
-    def _prune(self) -> None:
-        vs = self.versions()
-        if len(vs) <= KEEP_VERSIONS:
-            return
-        fs, _, _ = self._file()
-        used = {f for v in vs[-KEEP_VERSIONS:] for f in self.folders(v)}
-        gone = {f for v in vs[:-KEEP_VERSIONS] for f in self.folders(v)} - used
-        for v in vs[:-KEEP_VERSIONS]:
-            fs.delete(self._file("_versions", str(v))[1], False)
-        for folder in gone:
-            fs.delete(self._file(folder)[1], True)

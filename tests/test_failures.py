@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from civicflow.plans import ingest
 from civicflow.schemas import SPATIAL_EVENTS
-from civicflow.sinks.tables import Snapshot
+from civicflow.sinks.snapshots import Snapshot
 from civicflow.sources import fixtures
 from civicflow.streaming import incremental
 
@@ -50,9 +50,9 @@ def test_a_merge_shares_the_folders_of_untouched_days(spark, tmp_dir):
 def test_old_versions_and_their_folders_go(spark, tmp_dir, monkeypatch):
     import os
 
-    from civicflow.sinks import tables
+    from civicflow.sinks import snapshots
     from pyspark.sql import types as T
-    monkeypatch.setattr(tables, "KEEP_VERSIONS", 2)
+    monkeypatch.setattr(snapshots, "KEEP_VERSIONS", 2)
     snap = Snapshot(spark, f"{tmp_dir}/t", T.StructType([T.StructField("k", T.LongType())]))
     for n in range(1, 5):
         assert snap.commit(spark.range(n).selectExpr("id AS k")) == n
