@@ -8,6 +8,7 @@ before each one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -241,12 +242,13 @@ def q_reports_dedupe(spark, sf_dir):
 
 
 def reports_table(spark, sf_dir):
-    """Two loads: files before REPORT_SPLIT_DAY, then the rest (K5 twice)."""
+    """Two loads into the bucketed table: files before REPORT_SPLIT_DAY, then the rest (K5 twice)."""
     docs = report_docs(spark, sf_dir)
-    first = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(F.col("file_key") < REPORT_SPLIT_DAY))))
-    second = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(F.col("file_key") >= REPORT_SPLIT_DAY))))
-    t1 = reports.upsert_reports(reports.empty_table(spark), first, F.lit(FIRST_LOAD_AT).cast("timestamp_ntz"))
-    return reports.upsert_reports(t1, second, F.lit(SECOND_LOAD_AT).cast("timestamp_ntz"))
+    table = incremental.reports_table(spark, session.scratch(spark, "citizen-reports"))
+    for part, at in ((F.col("file_key") < REPORT_SPLIT_DAY, FIRST_LOAD_AT), (F.col("file_key") >= REPORT_SPLIT_DAY, SECOND_LOAD_AT)):
+        rows = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(part))))
+        table.merge(rows, reports.REPORT_KEY, partial(reports.upsert_reports, ingested_at=F.lit(at).cast("timestamp_ntz")))
+    return table.read()
 
 
 @register("reports_processed")
@@ -462,7 +464,7 @@ def q_constraint_checks(spark, sf_dir):
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     batch = once("batch", reports.normalize(report_docs(spark, sf_dir)))
-    table = once("table", reports_table(spark, sf_dir))
+    table = reports_table(spark, sf_dir)
     target, retry = (once(f"metrics{i}", df) for i, df in enumerate(_metrics_attempts(spark, sf_dir)))
     attempts = target.unionByName(retry, allowMissingColumns=True)
     metrics = once("metrics", ingest.upsert_metrics(target, retry))
