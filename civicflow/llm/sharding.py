@@ -12,7 +12,7 @@ fractional ranks is cut the same way.
 
 Cases: a null source is a source of its own; a null text has size 1; a null
 id is an id; rows that are equal in id and text are interchangeable and get
-different slots; an empty table gives no rows; input columns with the names
+different slots, and however many they are no task gets them all; an empty table gives no rows; input columns with the names
 of result columns are replaced.
 """
 
@@ -23,15 +23,37 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicflow.llm.stages import written
 from civicflow.llm.textmap import others, quoted
 
+# a bucket of so many times the usual rows is dealt anew
+HOT = 8
+
+
+def bucketed(rows: DataFrame, total: int, buckets: int, seed: int) -> DataFrame:
+    """``rows`` with the hash they are shuffled by and its bucket ``b`` of the source.
+
+    Rows that are equal in id and text have one hash.  Where they overfill a
+    bucket its rows are shuffled by the row's number as well, which deals
+    them over the whole source.
+    """
+    def placed(df: DataFrame, h) -> DataFrame:
+        # unsigned order of the hash: its upper 31 bits, then all of it
+        return (df.withColumn("h", h).withColumn("high", F.shiftrightunsigned("h", 33))
+                .withColumn("b", F.floor(F.col("high") * F.lit(buckets) / F.lit(1 << 31)).cast("int")))
+
+    plain = placed(rows, F.xxhash64(F.lit(seed), "id", "crc", "size"))
+    full = HOT * max(total // buckets, 1)
+    # each holds more than HOT / buckets of all rows: at most buckets / HOT of them, about sqrt(rows) / HOT
+    hot = plain.groupBy("s", "b").agg(F.count("*").alias("n")).filter(F.col("n") > full).select("s", "b", F.lit(True).alias("hot"))
+    joined = plain.join(F.broadcast(hot), ["s", "b"], "left")
+    return placed(joined.drop("b", "high"), F.when(F.col("hot"), F.xxhash64(F.lit(seed), "id", "crc", "size", "row")).otherwise(F.col("h")))
+
 
 def assign(docs: DataFrame, shards: int = 16, stratum: str = "source", doc_id: str = "doc_id", text: str = "text",
            seed: int = 42, keep: list[str] | None = None) -> DataFrame:
     """Adds size, text_crc32, shard and slot (0, 1, ... within the shard) to the kept columns."""
     carried = others(list(docs.columns if keep is None else keep), ["size", "text_crc32", "shard", "slot"])
-    total = docs.count()
-    buckets = 1 << max(0, round(math.log2(max(total, 1)) / 2))
     value = quoted(text).cast("string")
     name = quoted(doc_id).cast("string")
     rows = docs.select(
@@ -39,11 +61,12 @@ def assign(docs: DataFrame, shards: int = 16, stratum: str = "source", doc_id: s
         (F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(value, F.lit("")).cast("binary")).alias("crc"),
         F.coalesce(F.concat(F.lit("s:"), quoted(stratum).cast("string")), F.lit("null")).alias("s"),
-        F.coalesce(name, F.lit("")).alias("id"))
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "id", "crc", "size"))
-    # unsigned order of the hash: its upper 31 bits, then all of it
-    rows = rows.withColumn("high", F.shiftrightunsigned("h", 33))
-    rows = rows.withColumn("b", F.floor(F.col("high") * F.lit(buckets) / F.lit(1 << 31)).cast("int"))
+        F.coalesce(name, F.lit("")).alias("id"), F.monotonically_increasing_id().alias("row"))
+    # written once: the texts are read once, and the numbers of rows stay as they are
+    rows = written(rows, "shard-rows")
+    total = rows.count()
+    buckets = 1 << max(0, round(math.log2(max(total, 1)) / 2))
+    rows = bucketed(rows, total, buckets, seed)
     sizes = rows.groupBy("s", "b").agg(F.count("*").alias("n"))
     # a source has at most `buckets` rows here
     ordered = Window.partitionBy("s").orderBy("b")
