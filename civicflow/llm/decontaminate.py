@@ -4,10 +4,11 @@ Normalisation: A-Z in lower case; words are runs of ASCII digits, letters
 and any characters beyond ASCII.  A window is ``n`` consecutive words of a
 benchmark item; an item with fewer words, but not none, is one window.
 
-* The benchmark's windows are hashed in Spark.  They go to the executors in
-  blocks of at most ``max_windows`` windows (the bound of a broadcast); a
-  benchmark with more is scanned block after block in one narrow chain, so
-  none is left out.
+* The benchmark's windows are hashed in Spark, each window once with the items
+  that hold it.  They go to the executors as flat arrays in blocks of about
+  ``block_bytes``, the bound of what the driver, a broadcast and a worker hold
+  of them; a larger benchmark is scanned block after block, with the result of
+  a block written before the next one starts, so none is left out.
 * Documents are scanned in one narrow pass per block: rolling hashes of word
   windows, a binary search in the block, then a comparison word by word with
   the benchmark's own words.
@@ -22,16 +23,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.llm.stages import shared
-from civicflow.llm.textmap import ALNUM, LOWER, Chunk, Words, covered, emit_rows, map_text, others, per_row, quoted, windows
+from civicflow.llm.stages import shared, written
+from civicflow.llm.textmap import ALNUM, LOWER, WORD_BASE, Chunk, Words, covered, emit_rows, map_text, mix, others, per_row, quoted, windows
 
 WINDOW = 10
-MAX_WINDOWS = 2_000_000
+# bytes of windows, with words and item ids, in a broadcast
+BLOCK_BYTES = 64 << 20
+# bytes of a window in a block beside its words and ids: the hash and the places of both
+WINDOW_BYTES = 32
 
+_SIGN = np.uint64(1 << 63)
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
@@ -65,21 +71,18 @@ def item_windows(items: DataFrame, item_id: str, text: str, n: int = WINDOW) ->
 
 
 class Block:
-    """A broadcast part of the benchmark: for each width the sorted window hashes, the words of each as hashes, and its items."""
+    """A broadcast part of the benchmark as flat arrays: for each width the sorted window hashes, their words and their items."""
 
-    def __init__(self, rows: list):
-        by_width: dict[int, dict[int, tuple[str, set]]] = {}
-        for r in rows:
-            by_width.setdefault(r["width"], {}).setdefault(r["hash"], (r["words"], set()))[1].add(r["item_id"])
+    def __init__(self, rows: pa.Table):
         self.widths = {}
-        for width, found in by_width.items():
-            keys = np.array(list(found), np.int64).view(np.uint64)
-            order = np.argsort(keys)
-            values = list(found.values())
-            texts = [values[i][0].encode() for i in order]
-            column = np.frombuffer(b" ".join(texts), np.uint8)
-            words = Words(column, np.array([0, len(column)]), ALNUM).hashes().reshape(len(texts), width)
-            self.widths[width] = (keys[order], words, texts, [sorted(values[i][1]) for i in order])
+        for width in sorted(set(rows.column("width").to_pylist())):
+            part = rows.filter(pc.equal(rows.column("width"), width)).sort_by("key").combine_chunks()
+            keys = part.column("key").to_numpy().astype(np.int64).view(np.uint64) ^ _SIGN
+            texts = pa.concat_arrays(part.column("words").chunks).cast(pa.large_string())
+            ids = pa.concat_arrays(part.column("items").chunks)
+            # equal hashes of different windows stand side by side
+            most = int(np.unique(keys, return_counts=True)[1].max())
+            self.widths[width] = (keys, most, texts, ids)
 
 
 def _scan(chunk: Chunk, block: Block) -> tuple[Words, list[np.ndarray], dict[int, set]]:
@@ -88,35 +91,34 @@ def _scan(chunk: Chunk, block: Block) -> tuple[Words, list[np.ndarray], dict[int
     h = w.hashes()
     hit = np.zeros(len(h), bool)
     items: dict[int, set] = {}
-    for width, (keys, words, texts, ids) in block.widths.items():
-        at, hashed = windows(h, w.row, width)
-        if not len(at):
+    for width, (keys, most, texts, ids) in block.widths.items():
+        all_at, hashed = windows(h, w.row, width)
+        if not len(all_at):
             continue
-        k = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
-        found = np.flatnonzero(keys[k] == hashed)
-        if not len(found):
-            continue
-        at, k = at[found], k[found]
-        same = np.ones(len(at), bool)
-        for j in range(width):
-            same &= h[at + j] == words[k, j]
-        at, k = at[same], k[same]
-        # the words themselves, once for each window that a chunk contains
-        _, one = np.unique(k, return_index=True)
-        wrong = [k[i] for i in one
-                 if b" ".join(w.data[w.start[j]:w.end[j]].tobytes() for j in range(at[i], at[i] + width)) != texts[k[i]]]
-        if wrong:
-            right = ~np.isin(k, wrong)
+        first = np.searchsorted(keys, hashed)
+        for step in range(most):
+            k = np.minimum(first + step, len(keys) - 1)
+            found = np.flatnonzero((first + step < len(keys)) & (keys[k] == hashed))
+            if not len(found):
+                break
+            at, k = all_at[found], k[found]
+            # the words themselves, once for each window that a chunk contains: told apart by a second hash
+            other = np.zeros(len(at), np.uint64)
+            for j in range(width):
+                other = mix(other * np.uint64(WORD_BASE) + h[at + j])
+            _, one, of = np.unique(np.stack([k.view(np.uint64), other], axis=1), axis=0, return_index=True, return_inverse=True)
+            right = np.array([b" ".join(w.data[w.start[j]:w.end[j]].tobytes() for j in range(at[i], at[i] + width)) == texts[int(k[i])].as_py().encode()
+                              for i in one], bool)[of.ravel()]
             at, k = at[right], k[right]
-        hit |= covered(at, width, len(h))
-        pairs = np.unique(np.stack([w.row[at], k], axis=1), axis=0) if len(at) else np.zeros((0, 2), int)
-        for row, key in pairs.tolist():
-            items.setdefault(row, set()).update(ids[key])
+            hit |= covered(at, width, len(h))
+            pairs = np.unique(np.stack([w.row[at], k], axis=1), axis=0) if len(at) else np.zeros((0, 2), int)
+            for row, key in pairs.tolist():
+                items.setdefault(row, set()).update(ids[key].as_py())
     return w, hit, items
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", n: int = WINDOW, max_windows: int = MAX_WINDOWS,
+                  item_text: str = "text", n: int = WINDOW, block_bytes: int = BLOCK_BYTES,
                   keep: list[str] | None = None) -> DataFrame:
     """Documents with what they share with the benchmark.
 
@@ -126,9 +128,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     those stretches; null stays null).
     """
     spark = docs.sparkSession
-    source = item_windows(items, item_id, item_text, n).distinct()
-    total = source.count()
-    blocks = max(1, -(-total // max_windows))
+    # each window once; signed order of the key is the unsigned order of the hash
+    source = written(item_windows(items, item_id, item_text, n).groupBy("width", "hash", "words")
+                     .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+                     .withColumn("key", F.col("hash").bitwiseXOR(F.lit(-1 << 63).cast("long"))), "benchmark-windows")
+    size = F.octet_length("words") + F.lit(WINDOW_BYTES) + F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 4)
+    total = source.agg(F.sum(size.cast("long"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
     result = docs
     carried = list(docs.columns if keep is None else keep)
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
@@ -139,9 +145,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     result = docs.select(*[quoted(c) for c in carried], quoted(text).alias("__source"),
                          F.array().cast(T.ArrayType(T.StringType())).alias("__items"), F.array().cast(_SPANS).alias("__hits"))
     for b in range(blocks):
-        # a block by the hash's remainder: at most about max_windows rows reach the driver
+        # a block by the hash's remainder: about block_bytes reach the driver
         part = source.filter(F.pmod(F.col("hash"), F.lit(blocks)) == b) if blocks > 1 else source
-        table = shared(spark, Block(part.collect()))
+        table = shared(spark, Block(part.select("width", "key", "words", "items").toArrow()))
         last = b == blocks - 1
         at = len(carried) + 1  # places of __items and __hits in a batch: after the text and the carried columns
 
@@ -188,5 +194,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
             result = map_text(result, "__source", [T.StructField("__items", T.ArrayType(T.StringType())),
                                                    T.StructField("__hits", _SPANS)], run,
                               keep=carried + ["__items", "__hits", "__source"])
-            result = result.select(*[quoted(c) for c in carried], "__source", "__items", "__hits")
+            result = written(result.select(*[quoted(c) for c in carried], "__source", "__items", "__hits"), "benchmark-hits")
     return result
