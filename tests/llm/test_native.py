@@ -141,6 +141,25 @@ def test_shards_equal_a_plain_sort(spark):
     assert got == brute_shards(rows, 16)
 
 
+def test_a_third_of_equal_rows_is_dealt_over_the_source(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"), F.lit("a").alias("source"))
+    keyed = rows.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.lit("s:a").alias("s"), F.lit(5).alias("size"),
+                        F.crc32("text").alias("crc"), F.monotonically_increasing_id().alias("row"))
+    plain = keyed.withColumn("b", F.shiftrightunsigned(F.xxhash64(F.lit(42), "id", "crc", "size"), 58))
+    assert plain.groupBy("b").count().agg(F.max("count")).first()[0] >= 2000
+    assert sharding.bucketed(keyed, 6000, 64, 42).groupBy("s", "b").count().agg(F.max("count")).first()[0] <= sharding.HOT * 6000 // 64
+    got = sharding.assign(rows, 16).collect()
+    per = Counter(r["shard"] for r in got)
+    assert sorted(per.values()) == [375] * 16
+    same = Counter(r["shard"] for r in got if r["doc_id"] is None)
+    assert len(got) == 6000 and sum(same.values()) == 2000 and max(same.values()) - min(same.values()) < 80
+    for s in range(16):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(375))
+
+
 def test_write_shards(spark, tmp_dir):
     docs = frame(spark)
     sharding.write_shards(sharding.assign(docs, 4), f"{tmp_dir}/shards", rows_per_file=5)

@@ -11,6 +11,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from cases import SMALL, empty, frame, lower, words
+from pyspark import cloudpickle
+
 from civicflow.llm import bpe, decontaminate, language, queries, quality_rules, secrets, weak_quality
 from civicflow.llm.linear import fit, platt
 
@@ -40,14 +42,14 @@ def hits(text, items, n=10):
     return len(w), sum(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block", [decontaminate.MAX_WINDOWS, 7])
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 700])
 def test_decontaminate_hard_cases(spark, block):
     docs = frame(spark)
     texts = [r["text"] for r in docs.filter("text is not null").collect()]
     items = [(i, " ".join((t.split() or ["x"])[10:10 + 4 * i])) for i, t in enumerate(texts[:9])]
     items += [(50, None), (51, ""), (52, "one TWO"), (53, "One, two!"), (None, "one two"), (54, "中文"), (52, "one two")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.decontaminate(docs, bench, max_windows=block, keep=["doc_id", "text"]).collect()
+    got = decontaminate.decontaminate(docs, bench, block_bytes=block, keep=["doc_id", "text"]).collect()
     assert len(got) == docs.count()
     real = [(i, t) for i, t in items if i is not None]
     for r in got:
@@ -63,6 +65,26 @@ def test_decontaminate_hard_cases(spark, block):
             assert r["clean_text"] == rest
 
 
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Every window has the same hash: only the words decide."""
+    monkeypatch.setattr(decontaminate, "windows", lambda h, row, width: (
+        (at := np.flatnonzero(row[:len(row) - width + 1] == row[width - 1:]) if len(row) >= width else np.zeros(0, np.int64)),
+        np.full(len(at), 5, np.uint64)))
+    docs = spark.createDataFrame([(1, "b b"), (2, "a b a"), (3, "c")], "doc_id long, text string")
+    bench = spark.createDataFrame([("x", "a"), ("y", "b"), ("z", "b a"), ("w", "a")], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: (2, ["y"]), 2: (3, ["w", "x", "y", "z"]), 3: (0, [])}
+
+
+def test_a_block_takes_no_more_than_its_windows():
+    import pyarrow as pa
+    n = 20_000
+    rows = pa.table({"width": pa.array([10] * n, pa.int32()), "key": pa.array(np.random.default_rng(1).integers(-2 ** 62, 2 ** 62, n)),
+                     "words": pa.array([f"word {i} " * 10 for i in range(n)]), "items": pa.array([[str(i)] for i in range(n)])})
+    packed = len(cloudpickle.dumps(decontaminate.Block(rows)))
+    assert packed < sum(len(f"word {i} " * 10) + len(str(i)) + 4 + decontaminate.WINDOW_BYTES for i in range(n))
+
+
 def test_decontaminate_empty_and_clashing(spark):
     bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
     assert decontaminate.decontaminate(empty(spark), bench).count() == 0
