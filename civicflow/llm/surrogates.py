@@ -1,25 +1,33 @@
 """PII surrogates: every detected entity gets a keyed replacement of its own kind.
 
 Entities: e-mail and IPv4 addresses, IBANs, payment card, social security and
-phone numbers, and names after a form of address.  Replacements keep the
-kind and the format (separators, case, length, country code, check-digit
-validity, the form of address, its gender, and the name's script).
+phone numbers, names after a form of address, and each such name wherever else
+its document has it as a word.  Replacements keep the kind and the format
+(separators, case, length, dots and digits of an address, country code,
+check-digit validity, the form of address, its gender, and the name's script).
 
 One entity has one canonical form (digits only, lower case) however it is
 written, and one surrogate everywhere, so references stay together; a family
-name keeps its surrogate with and without the given name.  Surrogates derive
-from a keyed hash.  They are then checked: one that two entities of a kind
-share, or that is itself an entity of the input, is drawn again in a further
-round until all are distinct.  The entity table is distinct values only, so
-an entity in a third of all rows is one row there, and its occurrences meet
-it in a join that adaptive execution can split.
-
-All steps are DataFrame functions.  Rows with an entity are written once to
-the shared folder with a row number, so repeated rows stay apart.
+name keeps its surrogate with and without the given name, and a mail domain
+has one for all its mailboxes.  Surrogates derive from a keyed hash.  They are
+then checked: one that two entities of a kind share, or that is itself an
+entity of the input, is drawn again in a further round until all are distinct;
+names, mailboxes and domains grow longer with the rounds, so there are always
+enough.  The entity table is distinct values only, so an entity in a third of
+all rows is one row there, and its occurrences meet it in a join that adaptive
+execution can split.
+
+All steps are DataFrame functions.  A cheap test for digits, ``@`` and forms
+of address leaves most texts out of the search.  Rows with an entity are
+written once to the shared folder with a row number, so repeated rows stay
+apart.
 
 Cases: null and empty texts stay as they are; texts without an entity are
-unchanged; other columns are untouched, whatever their names (an input column
-``n_entities`` is replaced); an empty table gives no rows.
+unchanged; the work on a text grows in proportion to its entities, however
+many they are; more entities of a kind of fixed length than it has values end
+in an error after ``ROUNDS`` rounds; other columns are untouched, whatever
+their names (an input column ``n_entities`` is replaced); an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -48,6 +56,12 @@ KINDS = {
     "name": rf"(?<![\p{{L}}\d])(?:{_TITLES})\.? {_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(KINDS.values())
+# in texts with a named person also every word that may be that name again
+NAMES_PATTERN = rf"{PATTERN}|(?<![\p{{L}}\d]){_NAME}(?![\p{{L}}\d])"
+# what every entity has one of
+HINT = rf"[@0-9]|(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?<![\p{{L}}\d])(?:{_TITLES})\.? \p{{Lu}}"
+# rounds of drawing before the values of a kind are held to be used up
+ROUNDS = 200
 _LETTERS = {"latin": ("b c d f g l m n p r s t v z".split(), "a e i o u".split()),
             "cyrillic": ("б в г д к л м н п р с т".split(), "а е и о у".split()),
             "greek": ("β γ δ κ λ μ ν π ρ σ τ φ".split(), "α ε ι ο υ".split())}
@@ -56,12 +70,21 @@ _ENDING = {"latin": {"m": "o", "f": "a", "n": "er"}, "cyrillic": {"m": "ей", "
 
 
 def _parts(raw: Column) -> Column:
-    """An occurrence as (kind, text) pieces; pieces of kind 'keep' stay.  Names: address, given and family name."""
+    """An occurrence as (kind, text, canonical form) pieces; pieces of kind 'keep' stay.
+
+    Names: address, given and family name.  Mail addresses: mailbox (one for each address) and domain.
+    """
     digits = F.regexp_replace(raw, "[^0-9]", "")
 
+    def piece(kind: Column, text: Column, canonical: Column) -> Column:
+        return F.struct(kind.alias("kind"), text.alias("raw"), canonical.alias("canonical"))
+
     def one(kind: str) -> Column:
-        return F.array(F.struct(F.lit(kind).alias("kind"), raw.alias("raw")))
+        return F.array(piece(F.lit(kind), raw, _canonical(F.lit(kind), raw)))
 
+    mailbox, domain = F.substring_index(raw, "@", 1), F.substring_index(raw, "@", -1)
+    mail = F.array(piece(F.lit("mailbox"), mailbox, F.lower(raw)), piece(F.lit("keep"), F.lit("@"), F.lit("@")),
+                   piece(F.lit("domain"), domain, F.lower(domain)))
     tokens = F.regexp_extract_all(raw, F.lit(r"\s+|\S+"), F.lit(0))
     title = F.regexp_replace(F.element_at(tokens, 1), r"\.$", "")
     gender = F.when(title.isin(*MALE), "m").otherwise("f")
@@ -73,10 +96,10 @@ def _parts(raw: Column) -> Column:
         kind = (F.when((i == 0) | (i % 2 == 1), F.lit("keep"))
                 .when(i == F.size(tokens) - 1, F.concat(F.lit("family_"), script(word)))
                 .otherwise(F.concat(F.lit("given_"), gender, F.lit("_"), script(word))))
-        return F.struct(kind.alias("kind"), word.alias("raw"))
+        return piece(kind, word, F.lower(word))
 
     name = F.transform(tokens, named)
-    return (F.when(raw.contains("@"), one("email")).when(raw.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), one("ip"))
+    return (F.when(raw.contains("@"), mail).when(raw.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), one("ip"))
             .when(raw.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]+$"), one("iban")).when(raw.rlike(r"^\d{3}-\d{2}-\d{4}$"), one("ssn"))
             .when(raw.rlike(r"^\d{4}[ \-]?\d") & F.length(digits).isin(15, 16) & ~raw.startswith("+"), one("card"))
             .when(raw.rlike(r"^[+(\d]"), one("phone")).otherwise(name))
@@ -131,9 +154,19 @@ def _draw(kind: Column, canonical: Column, key: str, turn: int) -> Column:
     sound = _mod_97(F.concat(account, F.substring(canonical, 1, 4))) == 1
     other_97 = (sum_97 - 1 + F.conv(F.substring(h, 1, 6), 16, 10).cast("int") % 96) % 97 + 2
     iban = F.concat(country, F.lpad(F.when(sound, sum_97).otherwise(other_97).cast("string"), 2, "0"), account_new)
-    letters = F.translate(F.substring(h, 1, 24), "0123456789", "ghijklmnop")
-    email = F.concat(F.substring(letters, 1, 10), F.lit("@"), F.substring(letters, 11, 6), F.lit(".example."),
-                     F.element_at(F.split(canonical, r"\."), -1))
+
+    def alike(text: Column) -> Column:
+        """A letter for each letter and a digit for each digit, and a letter more every other round."""
+        signs = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c, i: F.when(
+            c.rlike("[0-9]"), F.char(48 + F.pmod(F.xxhash64(h, i), F.lit(10)))).when(
+                c.rlike("[a-z]"), F.char(97 + F.pmod(F.xxhash64(h, i), F.lit(26)))).otherwise(c))
+        more = [F.char(97 + F.pmod(F.xxhash64(h, F.lit(-1 - i)), F.lit(26))) for i in range(turn // 2)]
+        return F.concat(*more, F.array_join(signs, ""))
+
+    labels = F.split(canonical, r"\.")
+    above = F.element_at(labels, -1)
+    mailbox = alike(F.substring_index(canonical, "@", 1))
+    domain = F.concat(alike(F.array_join(F.slice(labels, 1, F.size(labels) - 1), ".")), F.lit("."), above)
 
     def name(script: str, ending: str, syllables: int) -> Column:
         first, second = _LETTERS[script]
@@ -141,12 +174,12 @@ def _draw(kind: Column, canonical: Column, key: str, turn: int) -> Column:
             F.element_at(F.array(*map(F.lit, first)), (number(2 * i, len(first)) + 1).cast("int")),
             F.element_at(F.array(*map(F.lit, second)), (number(2 * i + 1, len(second)) + 1).cast("int")))], F.lit(_ENDING[script][ending]))
 
-    out = (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
+    out = (F.when(kind == "mailbox", mailbox).when(kind == "domain", domain).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
            .when(kind == "ssn", F.substring(digits, 1, 9)).when(kind == "iban", iban))
     for script in _LETTERS:
-        out = out.when(kind == f"family_{script}", name(script, "n", 4))
+        out = out.when(kind == f"family_{script}", name(script, "n", 4 + turn // 2))
         for gender in ("m", "f"):
-            out = out.when(kind == f"given_{gender}_{script}", name(script, gender, 4))
+            out = out.when(kind == f"given_{gender}_{script}", name(script, gender, 4 + turn // 2))
     return out
 
 
@@ -164,8 +197,8 @@ def _formatted(kind: Column, raw: Column, surrogate: Column) -> Column:
 
     upper = (raw == F.upper(raw)) & (raw != F.lower(raw))
     return (F.when(kind.isin("phone", "card", "ssn"), F.array_join(F.transform(chars, digit), ""))
-            .when(kind == "iban", F.array_join(F.transform(chars, sign), "")).when(kind == "ip", surrogate)
-            .when(upper & (F.length(raw) > 1), F.upper(surrogate)).when(kind == "email", surrogate).otherwise(F.initcap(surrogate)))
+            .when(kind == "iban", F.array_join(F.transform(chars, sign), "")).when(kind.isin("ip", "mailbox", "domain"), surrogate)
+            .when(upper & (F.length(raw) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate)))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
@@ -189,6 +222,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return settled
         turn += 1
+        if turn == ROUNDS:
+            raise ValueError("more entities of a kind than it has surrogates")
 
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -196,27 +231,39 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     carried = others(list(docs.columns), [text, "n_entities"])
     found = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(carried)], quoted(text).cast("string").alias("t"))
-    found = found.withColumn("e", F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0)))
-    has = F.size(F.coalesce("e", F.array().cast("array<string>"))) > 0
+    none = F.array().cast("array<string>")
+    found = found.withColumn("e", F.when(F.col("t").rlike(HINT), F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0))).otherwise(none))
+    has = F.size(F.coalesce("e", none)) > 0
+    # texts that name a person are searched again for the name alone
+    named = F.exists("e", lambda raw: raw.rlike(rf"^(?:{_TITLES})\.? "))
     session.shared_dir(spark)
     folder = session.scratch(spark, "surrogates")
-    found.filter(has).withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(folder)
+    (found.filter(has).withColumn("row", F.monotonically_increasing_id()).withColumn("named", named)
+     .withColumn("e", F.when(F.col("named"), F.regexp_extract_all("t", F.lit(NAMES_PATTERN), F.lit(0))).otherwise(F.col("e")))
+     .write.option("compression", "zstd").parquet(folder))
     marked = spark.read.parquet(folder)
-    uses = (marked.select("row", F.posexplode("e").alias("place", "raw"))
-            .select("row", "place", F.posexplode(_parts(F.col("raw"))).alias("piece", "part"))
-            .select("row", "place", "piece", F.col("part.kind").alias("kind"), F.col("part.raw").alias("raw"))
-            .withColumn("canonical", _canonical(F.col("kind"), F.col("raw"))))
+    pieces = (marked.select("row", F.posexplode("e").alias("place", "whole"))
+              .select("row", "place", F.posexplode(_parts(F.col("whole"))).alias("piece", "part"))
+              .select("row", "place", "piece", "part.*"))
+    # the names of a text behind a form of address; one that is also a family name is that
+    known = (pieces.filter(F.col("kind").startswith("family_") | F.col("kind").startswith("given_"))
+             .groupBy("row", "raw").agg(F.min("kind").alias("known")))
+    uses = pieces.join(known, ["row", "raw"], "left").select(
+        "row", "place", "piece", "raw", "canonical",
+        # a word alone, not the form of address in front of a name
+        F.when((F.col("kind") == "keep") & (F.col("piece") == 0), F.coalesce("known", "kind")).otherwise(F.col("kind")).alias("kind"))
     table = surrogate_table(uses.filter("kind <> 'keep'").select("kind", "canonical").distinct(), key)
     fixed = uses.join(table, ["kind", "canonical"], "left").select(
-        "row", "place", "piece", F.when(F.col("kind") == "keep", F.col("raw"))
+        "row", "place", "piece", (F.col("kind") != "keep").alias("changed"), F.when(F.col("kind") == "keep", F.col("raw"))
         .otherwise(_formatted(F.col("kind"), F.col("raw"), F.col("surrogate"))).alias("new"))
-    # the pieces of one document: bounded by its text
-    per_doc = fixed.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "piece", "new"))).alias("new"))
-    segments = F.split("t", PATTERN, -1)
-    # pieces of occurrence i, in order
-    fills = F.transform(segments, lambda s, i: F.concat(s, F.array_join(F.transform(
-        F.filter("new", lambda x: x["place"] == i), lambda x: x["new"]), "")))
+    # the pieces of one occurrence, then the occurrences of one text: bounded by the text
+    per_place = fixed.groupBy("row", "place").agg(F.array_sort(F.collect_list(F.struct("piece", "new"))).alias("new"), F.max("changed").alias("changed"))
+    per_doc = (per_place.select("row", "place", F.array_join(F.transform("new", lambda x: x["new"]), "").alias("new"), "changed")
+               .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("new"), F.count_if("changed").alias("n")))
+    segments = F.when(F.col("named"), F.split("t", NAMES_PATTERN, -1)).otherwise(F.split("t", PATTERN, -1))
+    # each text between two occurrences, then the occurrence; none behind the last one
+    fills = F.zip_with(segments, F.col("new"), lambda s, x: F.concat(s, F.coalesce(x["new"], F.lit(""))))
     columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(carried)]
-    done = marked.join(per_doc, "row").select(*columns, F.array_join(fills, "").alias(text), F.size("e").cast("long").alias("n_entities"))
+    done = marked.join(per_doc, "row").select(*columns, F.array_join(fills, "").alias(text), F.col("n").cast("long").alias("n_entities"))
     plain = found.filter(~has).select(*columns, F.col("t").alias(text), F.lit(0).cast("long").alias("n_entities"))
     return plain.unionByName(done)
