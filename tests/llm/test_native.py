@@ -43,6 +43,64 @@ def test_kinds_formats_and_references(spark):
     assert [got[i][0]["text"] for i in (5, 6, 7, 8)] == [t for _, t in PEOPLE[5:9]]
 
 
+MORE = [
+    (1, "John said Smith was Mr John Smith's son; Smithson and McJohn are not, JOHN is another word. Call John-Paul."),
+    (2, "John Smith has no title here."),
+    (3, "Write john.smith2@acme.co.uk, j.doe@acme.co.uk, JOHN.SMITH2@acme.co.uk and john.smith2@other.com."),
+    (4, "Frau Smith and Mr Smith: Smith."),
+]
+
+
+def test_names_again_and_mail_formats(spark):
+    got = {r["doc_id"]: r for r in surrogates.replace(spark.createDataFrame(MORE, "doc_id long, text string"), "k").collect()}
+    a = re.fullmatch(r"(\w+) said (\w+) was Mr (\w+) (\w+)'s son; Smithson and McJohn are not, JOHN is another word\. Call John-Paul\.", got[1]["text"])
+    assert a and a[1] == a[3] != "John" and a[2] == a[4] != "Smith" and got[1]["n_entities"] == 3
+    assert got[2]["text"] == MORE[1][1] and got[2]["n_entities"] == 0
+    m = re.fullmatch(r"Write ([a-z]{4}\.[a-z]{5}\d)@([a-z]{4}\.[a-z]{2}\.uk), ([a-z]\.[a-z]{3})@(\S+), (\S+)@(\S+) and ([a-z]{4}\.[a-z]{5}\d)@([a-z]{5}\.com)\.", got[3]["text"])
+    assert m and m[2] == m[4] == m[6] != "acme.co.uk" and m[1] == m[5] and m[7] != m[1] and m[8] != "other.com"
+    c = re.fullmatch(r"Frau (\w+) and Mr (\w+): (\w+)\.", got[4]["text"])
+    assert c[1] == c[2] == c[3] == a[2]
+
+
+def test_draws_end_when_a_name_space_is_full(spark, monkeypatch):
+    """Two letters of each kind: 256 names of four syllables for 600 people, and 26 mailboxes of one letter for 300 addresses."""
+    monkeypatch.setitem(surrogates._LETTERS, "latin", (["b", "c"], ["a", "e"]))
+    names = [("family_latin", f"name{i}") for i in range(600)] + [("mailbox", f"{'abcdefghij'[i % 10]}@d{i}.com") for i in range(300)]
+    written(spark.createDataFrame(names, "kind string, canonical string"), "entities")
+    table = surrogates.surrogate_table(spark.createDataFrame(names, "kind string, canonical string"), "k").collect()
+    assert len(table) == 900 and len({(r["kind"], r["surrogate"]) for r in table}) == 900
+
+
+def test_a_kind_without_enough_values_ends(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    import pytest
+    monkeypatch.setattr(surrogates, "_draw", lambda kind, canonical, key, turn: F.lit("same"))
+    monkeypatch.setattr(surrogates, "ROUNDS", 3)
+    entities = written(spark.createDataFrame([("ssn", "1"), ("ssn", "2")], "kind string, canonical string"), "entities")
+    with pytest.raises(ValueError):
+        surrogates.surrogate_table(entities, "k")
+
+
+def test_very_many_entities_in_one_text(spark):
+    import time
+    took = {}
+    for n in (2_000, 20_000):
+        text = " ".join(f"a{i}@b{i % 50}.com" for i in range(n)) + " end"
+        start = time.time()
+        r = surrogates.replace(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+        took[n] = time.time() - start
+        words = r["text"].split(" ")
+        assert r["n_entities"] == n and len(words) == n + 1 and len(set(words)) == n + 1
+    assert took[20_000] < 10 * took[2_000] + 20
+
+
+def test_the_hint_leaves_no_entity_out(spark):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text").unionByName(people(spark).select("text"))
+    missed = docs.filter(~F.col("text").rlike(surrogates.HINT) & (F.size(F.regexp_extract_all("text", F.lit(surrogates.PATTERN), F.lit(0))) > 0))
+    assert missed.count() == 0
+
+
 def test_other_key_other_surrogates(spark):
     one, two, again = ([r["text"] for r in surrogates.replace(people(spark).filter("doc_id < 4"), k).orderBy("doc_id").collect()] for k in "aba")
     assert one == again and all(x != y for x, y in zip(one, two))
