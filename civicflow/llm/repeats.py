@@ -12,13 +12,18 @@ document included.
    neighbouring suffixes mostly share one, so a run of suffixes travels as
    one stretch of text.  Prefixes that occur once in all documents hold no
    repeat and end here: only their counts are shuffled.
-3. Groups of more than ``HOT`` words split by a longer prefix, the whole
-   window; there a group is one node of the tree, and its leaves are counted.
-4. The other groups are read in order of their prefix, as many at a time as
-   fit ``TREE_BYTES``; each batch of groups is one suffix tree, built as
-   sorted ranks of doubling depth (1, 2, 4, ... words).  Its internal nodes at
-   depth WINDOW or deeper are the repeats; the windows of their leaves, joined
-   where they touch, are the maximal repeated stretches of each document.
+3. Groups of more than ``HOT`` words are split by longer and longer prefixes of
+   their suffixes (``LONGER``), each only as far as it must be to fit.  A group
+   that is still too large at the whole window is a single node at depth
+   WINDOW: whatever its size, its leaves need only be counted.
+4. All other groups, of any prefix length, are read in order of their prefix,
+   as many at a time as fit ``TREE_BYTES``; each batch of groups is one suffix
+   tree, built as sorted ranks of doubling depth (1, 2, 4, ... words).  Its
+   nodes are the prefixes of 1, 2, 4, ... and of WINDOW words that suffixes
+   share; deeper ones are not told apart, as no result depends on them: a
+   suffix is a leaf below some node of WINDOW words or more exactly if its
+   window occurs again.  The windows of those leaves, joined where they touch,
+   are the maximal repeated stretches of each document.
 
 Words and windows are compared as 64-bit hashes.
 
@@ -36,12 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow import session
 from civicflow.llm.stages import written
 from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, emit_rows, map_text, mix, others, per_row, quoted, windows
 
 WINDOW = 35
 DEPTH = 16
 HOT = 400_000
+# prefix lengths that split groups beyond HOT words, before the whole window
+LONGER = (20, 24, 28, 32)
 TREE_BYTES = 8 << 20
 
 
@@ -200,6 +208,7 @@ def _runs_once(chunk: Chunk, window: int):
 
 def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(k, found): the repeated stretches (s, e) of every class of documents that has one, in words."""
+    session.configure(docs.sparkSession)
     source = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text")).filter("text is not null")
     meta = written(map_text(source, "text", [T.StructField("n", _LONG), T.StructField("k", _LONG)],
                             lambda chunk, batch: (lambda w, h, k: {"n": w.count, "k": k.view(np.int64)})(*_class_of(chunk)), keep=["id"])
@@ -247,18 +256,7 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     small = spans.join(hot, "sig", "left_anti").repartition("sig").sortWithinPartitions("sig")
     found = [_trees(small, window)]
     if not hot.isEmpty():
-        def whole(chunk: Chunk, batch: pa.RecordBatch) -> list:
-            """Every suffix of a stretch under its whole window."""
-            words = Words(chunk.data, chunk.off, NOT_SPACE)
-            at, h = windows(words.hashes(), words.row, window)
-            row = words.row[at]
-            return [pa.array(h.view(np.int64)), batch.column(1).take(pa.array(row)),
-                    pa.array(np.asarray(batch.column(2))[row] + at - words.first[row], pa.int64())]
-
-        deep = written(emit_rows(spans.join(hot, "sig", "left_semi"), "t", ["k", "start"], _schema("h", "k", "s"), whole), "windows")
-        o = F.xxhash64("k", "s")
-        twins = deep.groupBy("h").agg(F.min(o).alias("lo"), F.max(o).alias("hi")).filter("lo <> hi").select("h")
-        found.append(deep.join(twins, "h", "left_semi").select("k", "s", (F.col("s") + window).alias("e")))
+        found += _longer_prefixes(spans.join(hot, "sig", "left_semi"), window)
     found.append(classes.filter("copies > 1").select("k", F.lit(0).cast("long").alias("s"), F.col("n").alias("e")))
     every = found[0]
     for part in found[1:]:
@@ -267,6 +265,58 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return written(every.groupBy("k").agg(F.collect_list(F.struct("s", "e")).alias("found")), "repeats")
 
 
+def _longer_prefixes(spans: DataFrame, window: int) -> list[DataFrame]:
+    """(k, s, e) of the repeats in oversize groups: their suffixes split by more and more of their words.
+
+    A suffix goes to the first of ``LONGER`` prefixes whose group fits, and
+    those groups become trees like all others.  What is left shares whole
+    windows: such a group is one node at depth ``window``, and all its
+    suffixes, if more than one, are leaves below it.
+    """
+    depths = [d for d in LONGER if d < window] + [window]
+    names = [f"p{d}" for d in depths]
+
+    def prefixes(chunk: Chunk, batch: pa.RecordBatch) -> list:
+        words = Words(chunk.data, chunk.off, NOT_SPACE)
+        hashes = words.hashes()
+        at, _ = windows(hashes, words.row, window)
+        row = words.row[at]
+        whole = np.zeros(len(hashes), np.int64)  # each prefix lies in its window, and so in its row
+        found = [windows(hashes, whole, d)[1][at].view(np.int64) for d in depths]
+        return [batch.column(1).take(pa.array(row)), batch.column(2).take(pa.array(row)),
+                pa.array(np.asarray(batch.column(2))[row] + at - words.first[row], pa.int64()), *map(pa.array, found)]
+
+    rest = written(emit_rows(spans, "t", ["k", "start"], _schema("k", "start", "s", *names), prefixes), "prefixes")
+    fits: DataFrame | None = None
+    for name in names[:-1]:
+        big = written(rest.groupBy(name).agg((F.count("*") * window).alias("c")).filter(F.col("c") > HOT).select(name), "big-prefixes")
+        part = rest.join(big, name, "left_anti").select("k", "start", F.struct("s", F.col(name).alias("p")).alias("x"))
+        fits = part if fits is None else fits.unionByName(part)
+        rest = rest.join(big, name, "left_semi")
+    last = names[-1]
+    o = F.xxhash64("k", "s")
+    twins = rest.groupBy(last).agg(F.min(o).alias("lo"), F.max(o).alias("hi")).filter("lo <> hi").select(last)
+    found = [rest.join(twins, last, "left_semi").select("k", "s", (F.col("s") + window).alias("e"))]
+    if fits is not None:
+        # the suffixes of one stretch: bounded by its text
+        wanted = fits.groupBy("k", "start").agg(F.collect_list("x").alias("x"))
+
+        def cut(chunk: Chunk, batch: pa.RecordBatch) -> list:
+            words = Words(chunk.data, chunk.off, NOT_SPACE)
+            flat = batch.column(3).flatten()
+            row = np.repeat(np.arange(chunk.n), np.diff(np.asarray(batch.column(3).offsets)))
+            s = np.asarray(flat.field("s"))
+            at = words.first[row] + s - np.asarray(batch.column(2))[row]
+            raw = chunk.data.tobytes()
+            return [flat.field("p"), batch.column(1).take(pa.array(row)), flat.field("s"), pa.array(np.ones(len(s), np.int64)),
+                    pa.array([raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at + window - 1].tolist())], pa.string())]
+
+        texts = spans.select("k", "start", "t").join(wanted, ["k", "start"]).select("k", "start", "x", "t")
+        small = emit_rows(texts, "t", ["k", "start", "x"], _schema("sig", "k", "start", "cnt", "t"), cut)
+        found.append(_trees(small.repartition("sig").sortWithinPartitions("sig"), window))
+    return found
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
                    keep: list[str] | None = None) -> DataFrame:
     """Adds n_words, n_removed and kept_text: the words that stay, joined by one space (of a null text: empty)."""
