@@ -28,7 +28,7 @@ def key(x):
     return tuple((v is None, str(v)) for v in x)
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+@pytest.mark.parametrize("hot", [repeats.HOT, 400, 2])
 def test_hard_cases(spark, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     docs = frame(spark)
@@ -38,6 +38,25 @@ def test_hard_cases(spark, monkeypatch, hot):
     assert got == want
 
 
+def test_oversize_groups_split_only_as_far_as_they_must(spark, monkeypatch):
+    """Sentences with one beginning of 22 words and many ends: split at 24 words; a passage in all of them stays whole."""
+    import random
+    rng = random.Random(2)
+    start = [f"s{i}" for i in range(22)]
+    passage = " ".join(f"p{i}" for i in range(45))
+    ends = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 99)) for _ in range(40)) for _ in range(30)]
+    texts = [f"x{i} " + " ".join(start) + f" {ends[i % 30]} y{i} {passage} z{i}" for i in range(90)]
+    data = list(enumerate(texts))
+    trees = []
+    plain = repeats._trees
+    monkeypatch.setattr(repeats, "_trees", lambda spans, window: trees.append(spans) or plain(spans, window))
+    monkeypatch.setattr(repeats, "HOT", 35 * 40)
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in repeats.remove_repeats(docs, keep=["doc_id"]).collect())
+    assert got == sorted((d, *b) for (d, _), b in zip(data, brute(texts, 35)))
+    assert len(trees) == 2 and trees[1].count() > 0
+
+
 def test_other_window_and_small_trees(spark, monkeypatch):
     """A tree of a few kilobytes at a time gives the same repeats."""
     monkeypatch.setattr(repeats, "TREE_BYTES", 4000)
