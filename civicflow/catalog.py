@@ -25,8 +25,9 @@ from civicflow.plans import ingest
 from civicflow.plans import loads
 from civicflow.plans import reports
 from civicflow.plans.spatial import to_spatial
-from civicflow.schemas import PIPELINE_METRICS
+from civicflow.schemas import PIPELINE_METRICS, REGION_SOURCE
 from civicflow.sinks import landing
+from civicflow.sinks.snapshots import Snapshot
 from civicflow.sources import events_files, json_reports
 from civicflow.sources import fixtures
 from civicflow.streaming import incremental
@@ -479,6 +480,31 @@ def q_constraint_checks(spark, sf_dir):
     )
 
 
+@register("regions_load")
+def q_regions_load(spark, sf_dir):
+    """Regions of all kinds into their table; unusable ones set aside; all events inside each, overlapping parts once."""
+    table = Snapshot(spark, session.scratch(spark, "regions"), REGION_SOURCE, buckets=["id"], unique=[["name"]])
+    rejected = loads.regions_load(table, fixtures.event_regions(spark, sf_dir))
+    points = spatial_events(spark, sf_dir).select(F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
+    counted = analytics.points_per_region(points, region_table(table.read()))
+    return (counted.select(F.col("region_name").alias("name"), F.lit("").alias("reasons"), F.col("report_count").cast("long").alias("events"))
+            .unionByName(rejected.select("name", F.array_join("reasons", ", ").alias("reasons"), F.lit(None).cast("long").alias("events"))))
+
+
+@register("constraint_enforce")
+def q_constraint_enforce(spark, sf_dir):
+    """Reports that nobody deduplicated go into their table: what its constraints refuse, by rule, and what it holds then."""
+    table = incremental.reports_table(spark, session.scratch(spark, "enforced"))
+    rows = reports.to_table_rows(reports.normalize(report_docs(spark, sf_dir)))
+    stamp = F.lit(FIRST_LOAD_AT).cast("timestamp_ntz")
+    table.merge(rows, reports.REPORT_KEY, partial(reports.upsert_reports, ingested_at=stamp))
+    held = table.read()
+    checks = C.table_checks(held, "citizen_reports", ["external_id"], ["external_id"])
+    return (table.quarantined().groupBy("rule").agg(F.count("*").alias("n")).select(F.lit("refused").alias("what"), "rule", "n")
+            .unionByName(checks.select(F.lit("broken").alias("what"), "rule", F.col("violations").alias("n")))
+            .unionByName(held.agg(F.count("*").alias("n")).select(F.lit("held").alias("what"), F.lit("rows").alias("rule"), "n")))
+
+
 @register("events_corrections")
 def q_events_corrections(spark, sf_dir):
     """Ids landed again a day later with an earlier ts and another value: the later landing wins in batch and stream."""

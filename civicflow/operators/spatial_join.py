@@ -32,25 +32,43 @@ from civicflow.operators.parallel import spread
 
 DEFAULT_CELL = 0.25
 DEFAULT_MAX_CELLS = 64
-DEFAULT_BROADCAST_MAX_EDGES = 2_000_000
-DEFAULT_BROADCAST_MAX_CELLS = 5_000_000
+# bytes of a broadcast region side, and of an edge and of a cell in it, at most: an edge is a struct of four doubles in
+# an array, a cell a row of four numbers and a flag in a hash table
+BROADCAST_BYTES = 128 << 20
+EDGE_BYTES, CELL_BYTES = 64, 96
+DEFAULT_BROADCAST_MAX_EDGES = BROADCAST_BYTES // EDGE_BYTES
+DEFAULT_BROADCAST_MAX_CELLS = BROADCAST_BYTES // CELL_BYTES
 MAX_CELLS_COMPLEX = 4096
 MAX_LEVEL = 30
 
 
+REGION_COLUMNS = ("parts", "lines", "ends", "dots", "bbox")
+
+
+def read_shapes(source: DataFrame) -> DataFrame:
+    """``(id, name, geojson)`` → ``(id, name, geojson, shape, reasons)``; the reasons say why a geometry cannot be used.
+
+    The rows come out of generators, so that no later expression or filter
+    runs the GeoJSON parsing again.
+    """
+    found = source.select("id", "name", "geojson", F.inline(F.array(F.struct(geo.geometries(F.col("geojson")).alias("found")))))
+    shaped = found.select(F.inline(F.array(F.struct("id", "name", "geojson", F.when(F.col("found").isNotNull(), geo.shapes(F.col("found"))).alias("shape")))))
+    return shaped.select(F.inline(F.array(F.struct("id", "name", "geojson", "shape", geo.invalid_reasons(F.col("shape")).alias("reasons")))))
+
+
 def region_table(source: DataFrame) -> DataFrame:
-    """``(id, name, geojson)`` → ``(id, name, rings, edges, bbox)``.
+    """``(id, name, geojson)`` → ``(id, name, parts, lines, ends, dots, bbox)`` of the regions whose geometry can be used.
 
-    The rows come out of a generator, so filters on edges or bbox further
-    down stay there instead of being pushed into (and re-running) the
-    GeoJSON parsing.
+    Geometries of every type are read, features and collections too.  Those
+    that cannot be used are in :func:`rejected_regions`.
     """
-    rings = geo.geojson_rings(F.col("geojson"))
-    parsed = (source
-              .select("id", "name", rings.alias("rings"))
-              .select("id", "name", "rings", geo.ring_edges(F.col("rings")).alias("edges"),
-                      geo.rings_bbox(F.col("rings")).alias("bbox")))
-    return parsed.select(F.inline(F.array(F.struct("id", "name", "rings", "edges", "bbox"))))
+    shapes = read_shapes(source).where(F.size("reasons") == 0)
+    return shapes.select(F.inline(F.array(F.struct("id", "name", *geo.region_columns(F.col("shape"))))))
+
+
+def rejected_regions(source: DataFrame) -> DataFrame:
+    """``(id, name, reasons)`` of the regions that :func:`region_table` leaves out."""
+    return read_shapes(source).where(F.size("reasons") > 0).select("id", "name", "reasons")
 
 
 def _cell_size(cell: float, level: Column) -> Column:
@@ -92,6 +110,7 @@ def region_cells(regions: DataFrame, cell: float = DEFAULT_CELL, max_cells: int
     outline, so most of its points fall in interior cells.  Cells carry no
     geometry: :func:`region_geometry` holds each region's edges once.
     """
+    regions = regions.withColumn("edges", geo.outline(F.col))
     cap = F.greatest(F.lit(max_cells), F.least(F.size("edges"), F.lit(MAX_CELLS_COMPLEX)))
     level = F.array_min(F.filter(
         F.sequence(F.lit(0), F.lit(MAX_LEVEL)),
@@ -109,14 +128,14 @@ def region_cells(regions: DataFrame, cell: float = DEFAULT_CELL, max_cells: int
     classified = cells.select(
         F.col("id").alias("region_id"), "level", "cx", "cy",
         (F.size(touching) > 0).alias("boundary"),
-        geo.within(centre_x, centre_y, F.col("edges")).alias("centre_in"))
+        geo.within(centre_x, centre_y, F.col).alias("centre_in"))
     return (classified.where(F.col("boundary") | F.col("centre_in"))
             .select("region_id", "level", "cx", "cy", (~F.col("boundary")).alias("inside")))
 
 
 def region_geometry(regions: DataFrame) -> DataFrame:
-    """``(region_id, bbox, edges)``: each region's outline, once."""
-    return regions.select(F.col("id").alias("region_id"), "bbox", "edges")
+    """``(region_id, parts, lines, ends, dots, bbox)``: each region's outline, once."""
+    return regions.select(F.col("id").alias("region_id"), *REGION_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -135,7 +154,7 @@ def cell_stats(cells: DataFrame, geometry: DataFrame) -> CellStats:
     on_cells = cells.agg(F.lit("cells").alias("side"), F.sort_array(F.collect_set("level")).alias("levels"),
                          F.count(F.lit(1)).alias("n"))
     on_edges = geometry.agg(F.lit("edges").alias("side"), F.array().cast("array<int>").alias("levels"),
-                            F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n"))
+                            F.coalesce(F.sum(F.size(geo.outline(F.col))), F.lit(0)).alias("n"))
     rows = {r["side"]: r for r in on_cells.unionByName(on_edges).collect()}  # two rows, one job
     return CellStats(tuple(rows["cells"]["levels"] or ()), int(rows["cells"]["n"]), int(rows["edges"]["n"]))
 
@@ -182,13 +201,13 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
         keep = [*points.columns, "region_id"]
         inner = pts.join(cell_side.where("inside"), ["level", "cx", "cy"], "inner").select(*keep)
         edge = pts.join(cell_side.where(~F.col("inside")), ["level", "cx", "cy"], "inner").join(geo_side, "region_id")
-        exact = geo.in_bbox(F.col(lon), F.col(lat), F.col("bbox")) & geo.within(F.col(lon), F.col(lat), F.col("edges"))
+        exact = geo.in_bbox(F.col(lon), F.col(lat), F.col("bbox")) & geo.within(F.col(lon), F.col(lat), F.col)
         return inner.unionByName(edge.where(exact).select(*keep))
     candidates = pts.join(cell_side, ["level", "cx", "cy"], "inner")
     g = geo_side.alias("g")
     with_geometry = candidates.join(
         g, (candidates["region_id"] == F.col("g.region_id")) & ~candidates["inside"], "left_outer")
     px, py = candidates[lon], candidates[lat]
-    exact = candidates["inside"] | (geo.in_bbox(px, py, F.col("g.bbox")) & geo.within(px, py, F.col("g.edges")))
+    exact = candidates["inside"] | (geo.in_bbox(px, py, F.col("g.bbox")) & geo.within(px, py, lambda c: F.col(f"g.{c}")))
     keep = [c for c in candidates.columns if c not in ("level", "cx", "cy", "inside")]
     return with_geometry.where(exact).select(*[candidates[c] for c in keep])

@@ -99,7 +99,7 @@ def _merged_columns(target: DataFrame, batch: DataFrame, key: list[str], replace
             value = F.when(in_b, bv).otherwise(tv)
         else:
             value = F.when(in_t, tv).otherwise(bv)
-        out.append(value.cast(f.dataType).alias(c))
+        out.append(value.cast(f.dataType).alias(c, metadata=f.metadata))
     return out
 
 
@@ -139,10 +139,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], replace: Iterabl
     new_rows = batch.join(existing, key, "left_anti").withColumn(_PRESENT, F.lit(True)).alias("b")
     inserted = new_rows.select(*[
         (F.col(f"b.{f.name}") if f.name in batch.columns else defaults.get(f.name, F.lit(None)))
-        .cast(f.dataType).alias(f.name) for f in target.schema.fields])
+        .cast(f.dataType).alias(f.name, metadata=f.metadata) for f in target.schema.fields])
     return kept_or_updated.unionByName(inserted)
 
 
 def empty(spark, schema: T.StructType) -> DataFrame:
     """An empty table of ``schema`` built in the JVM (no Python-side rows)."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields])

@@ -140,8 +140,18 @@ def citizen_reports(spark: SparkSession, lake: str, run_ts: str | None = None) -
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """Regions from JSON lines ``{"id":…, "name":…, "geojson":…}``."""
-    return region_table(spark.read.schema(REGION_SOURCE).json(path))
+    """Regions from JSON lines ``{"id":…, "name":…, "geojson":…}``, or ``"wkb"`` in hexadecimal instead of the last."""
+    return region_table(loads.region_source(spark, path))
+
+
+def regions_table(spark: SparkSession, lake: str) -> Snapshot:
+    """Regions by id, their names unique."""
+    return Snapshot(spark, _p(lake, "tables", "regions"), REGION_SOURCE, buckets=["id"], unique=[["name"]])
+
+
+def load_regions(spark: SparkSession, lake: str, path: str) -> DataFrame:
+    """Upsert regions whose geometry can be used; returns (id, name, reasons) of the others."""
+    return loads.regions_load(regions_table(spark, lake), loads.region_source(spark, path))
 
 
 def analytics_report(spark: SparkSession, lake: str, regions_path: str, as_of: str) -> dict[str, DataFrame]:
@@ -156,7 +166,7 @@ def analytics_report(spark: SparkSession, lake: str, regions_path: str, as_of: s
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="civicflow.plans.jobs")
-    parser.add_argument("job", choices=["land", "validate", "load_clean", "to_spatial", "stream_events",
+    parser.add_argument("job", choices=["land", "validate", "load_clean", "to_spatial", "stream_events", "load_regions",
                                         "citizen_reports", "stream_reports", "analytics"])
     parser.add_argument("--lake", required=True)
     parser.add_argument("--ds")
@@ -178,6 +188,8 @@ def main(argv: list[str] | None = None) -> None:
         stream_events(spark, args.lake)
     elif args.job == "citizen_reports":
         citizen_reports(spark, args.lake).show(truncate=False)
+    elif args.job == "load_regions":
+        load_regions(spark, args.lake, args.regions).show(truncate=False)
     elif args.job == "stream_reports":
         stream_reports(spark, args.lake)
     else:

@@ -18,11 +18,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from civicflow.operators.spatial_join import read_shapes, rejected_regions
 from civicflow.operators.upsert import keep_last, upsert
 from civicflow.plans.spatial import to_spatial
+from civicflow.schemas import REGION_SOURCE
 from civicflow.sinks import tables
-from civicflow.sources import events_files
+from civicflow.sinks.snapshots import Snapshot
+from civicflow.sources import events_files, wkb
 
 EVENT_KEY = ["id"]
 # which of several rows of an id is the last
@@ -62,3 +66,21 @@ def raw_to_spatial(raw_events: DataFrame) -> DataFrame:
 def upsert_events(target: DataFrame, batch: DataFrame, unique: bool = False) -> DataFrame:
     """K4: ON CONFLICT (id) DO UPDATE all non-key columns; ``unique``: the batch holds an id once."""
     return upsert(target, batch if unique else keep_last(batch, EVENT_KEY, ["ts"]), EVENT_KEY, EVENT_REPLACED)
+
+
+def region_source(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, name, geojson)`` of JSON lines; a row without GeoJSON has its geometry as well-known binary, in hexadecimal."""
+    rows = spark.read.schema(T.StructType([*REGION_SOURCE.fields, T.StructField("wkb", T.StringType())])).json(path)
+    plain = rows.where(F.col("wkb").isNull()).select("id", "name", "geojson")
+    return plain.unionByName(wkb.with_geojson(rows.where(F.col("wkb").isNotNull()).select("id", "name", "wkb")))
+
+
+def regions_load(table: Snapshot, source: DataFrame) -> DataFrame:
+    """Upsert the regions whose geometry can be used by id; returns (id, name, reasons) of the others.
+
+    A region without an id or a name, with a name that another region has, or
+    with an id that the load has twice goes to the table's quarantine.
+    """
+    rows = read_shapes(source).where(F.size("reasons") == 0).select("id", "name", "geojson")
+    table.merge(rows, ["id"], lambda current, batch: upsert(current, batch, ["id"], ["name", "geojson"]))
+    return rejected_regions(source)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions import reports as R
 from civicflow.functions.dates import normalize_date
+from civicflow.functions.geo import SRID_METADATA
 from civicflow.operators.upsert import empty, keep_last, upsert
 from civicflow.schemas import CITIZEN_REPORTS
 
@@ -60,7 +61,7 @@ def to_table_rows(deduped: DataFrame) -> DataFrame:
     """P10: the table's columns (point only when both coordinates exist)."""
     return deduped.select(
         "external_id", "source_timestamp", "category", "commune", "quartier", "status",
-        R.point_of(F.col("lon"), F.col("lat")).alias("geom"), "original_doc")
+        R.point_of(F.col("lon"), F.col("lat")).alias("geom", metadata=SRID_METADATA), "original_doc")
 
 
 def upsert_reports(table: DataFrame, batch_rows: DataFrame, ingested_at: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.functions.geo import make_point
+from civicflow.functions.geo import SRID_METADATA, make_point
 from civicflow.schemas import VALUE_DECIMAL
 
 
@@ -21,7 +21,7 @@ def to_spatial(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("id").cast("long").alias("id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
-        make_point(F.col("longitude"), F.col("latitude")).alias("geom"),
+        make_point(F.col("longitude"), F.col("latitude")).alias("geom", metadata=SRID_METADATA),
         F.col("value").try_cast(VALUE_DECIMAL).alias("value"),
         "category",
         "source",

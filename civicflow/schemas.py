@@ -7,6 +7,8 @@ the zone fixed, and it never shifts when a session runs in another zone.
 
 from pyspark.sql import types as T
 
+from civicflow.functions.geo import SRID_METADATA
+
 POINT = T.StructType([
     T.StructField("lon", T.DoubleType()),
     T.StructField("lat", T.DoubleType()),
@@ -42,7 +44,7 @@ CLEAN_FILE = T.StructType([f for f in CLEAN_EVENTS.fields if f.name != "category
 SPATIAL_EVENTS = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("geom", POINT),
+    T.StructField("geom", POINT, metadata=SRID_METADATA),
     T.StructField("value", VALUE_DECIMAL),
     T.StructField("category", T.StringType()),
     T.StructField("source", T.StringType()),
@@ -71,7 +73,7 @@ CITIZEN_REPORTS = T.StructType([
     T.StructField("commune", T.StringType()),
     T.StructField("quartier", T.StringType()),
     T.StructField("status", T.StringType()),
-    T.StructField("geom", POINT),
+    T.StructField("geom", POINT, metadata=SRID_METADATA),
     T.StructField("original_doc", T.VariantType()),
     T.StructField("ingested_at", T.TimestampNTZType()),
 ])

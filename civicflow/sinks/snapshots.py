@@ -20,7 +20,11 @@ A table can be divided in two ways:
   the table grows.  Their files are sorted by key and have a Bloom filter of it.
 
 ``merge`` rewrites only the partitions or buckets that a batch touches and
-shares the folders of all others with the version before.
+shares the folders of all others with the version before.  It also holds the
+table's constraints: rows of the batch with a NULL in a column that may have
+none, all but one of several with one key, and rows that would repeat a
+``unique`` value are written to ``<path>/_quarantine`` with the rule, and the
+others are merged.
 
 A version also records the last epoch of each stream that wrote it
 (``done``): an epoch that is played again makes no version.
@@ -35,12 +39,14 @@ import math
 import uuid
 from bisect import bisect_left
 from collections.abc import Callable
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.operators import constraints as C
 from civicflow.operators.upsert import broadcastable, empty, written_and_measured
 from civicflow.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_fs
 
@@ -128,11 +134,12 @@ class Snapshot:
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  partitions: dict[str, Callable[[], Column]] | None = None, buckets: list[str] | None = None,
-                 bucket_rows: int = BUCKET_ROWS):
+                 bucket_rows: int = BUCKET_ROWS, unique: list[list[str]] | None = None):
         if partitions and buckets:
             raise ValueError("a table has partitions or buckets")
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.partitions, self.buckets, self.bucket_rows = dict(partitions or {}), list(buckets or []), bucket_rows
+        self.unique = list(unique or [])
 
     # ------------------------------------------------------------------ versions
 
@@ -195,7 +202,7 @@ class Snapshot:
         extra = [expr().alias(name) for name, expr in self.partitions.items()]
         if self.buckets:
             extra = [self._bucket(prefixes or [""]).alias(_BUCKET)]
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *extra)
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in self.schema.fields], *extra)
 
     def _read(self, folders: list[str], with_bucket: bool = False) -> DataFrame:
         none = self._with_partitions(empty(self.spark, self.schema))
@@ -307,6 +314,30 @@ class Snapshot:
         touched = {r["p"] for r in new.unionByName(old).distinct().collect()}
         return {f"{name}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in touched}, None
 
+    def _checked(self, batch: DataFrame, key: list[str]) -> DataFrame:
+        """The rows of a written batch that the constraints allow; the others go to quarantine."""
+        required = [f.name for f in self.schema.fields if not f.nullable and f.name in batch.columns]
+        keys = [key, *[u for u in self.unique if set(u) <= set(batch.columns) and u != key]]
+        current = self.version().folders
+        # values that the table has under other keys, which the batch leaves as they are
+        taken = {tuple(u): self._read(current).select(*key, *u).join(batch.select(*key), key, "left_anti").select(*u).distinct()
+                 for u in keys[1:] if current}
+        if not C.violated(batch, required, keys, taken):
+            return batch
+        rows, _, _ = written_and_measured(C.numbered(batch))
+        good, bad = C.split(rows, required, keys, taken)
+        (bad.withColumn("at", F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz"))
+         .write.mode("append").parquet(f"{self.path}/_quarantine"))
+        return good.select(*batch.columns)
+
+    def quarantined(self) -> DataFrame:
+        """(rule, row, at): rows that merges refused, as JSON text."""
+        fs, p, _ = self._file("_quarantine")
+        schema = "rule string, row string, at timestamp_ntz"
+        if not fs.exists(p):
+            return empty(self.spark, T.StructType.fromDDL(schema))
+        return self.spark.read.schema(schema).parquet(f"{self.path}/_quarantine")
+
     def merge(self, batch: DataFrame, key: list[str], upsert: Callable[[DataFrame, DataFrame], DataFrame],
               done: tuple[str, int] | None = None) -> int:
         """Commit ``upsert(current rows, batch)``, rewriting only the partitions or buckets that the batch touches.
@@ -315,9 +346,12 @@ class Snapshot:
         rows with its keys now: found with the key and partition columns only.
         Keys of a bucketed table are in the buckets of the batch.
         """
-        if not self.buckets and len(self.partitions) != 1:
-            return self.update(lambda rows: upsert(rows, batch), done)
         batch, rows, size = written_and_measured(batch)
+        checked = self._checked(batch, key)
+        if checked is not batch:
+            batch, rows, size = written_and_measured(checked)
+        if not self.buckets and len(self.partitions) != 1:
+            return self.update(lambda current: upsert(current, batch), done)
         small = broadcastable(rows, size)
         for _ in range(ATTEMPTS):
             now = self.version()

@@ -96,6 +96,36 @@ def region_source(spark: SparkSession) -> DataFrame:
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in REGION_SOURCE.fields])
 
 
+def event_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, name, geojson: a region for each twelfth of the users, placed where their events begin.
+
+    Two squares that overlap, a square with a hole, the point of an event; the
+    last two cannot be used: an outline without area, and no known type.
+    """
+    e = events(spark, sf_dir)
+    lon, lat = geo_columns(F.col("event_id"), F.col("ts"))
+    g = F.col("user_id") % 12
+    of = e.select(g.cast("int").alias("g"), "event_id", lon.alias("lon"), lat.alias("lat")).groupBy("g").agg(
+        F.min("lon").alias("x"), F.min("lat").alias("y"), F.min_by("lon", "event_id").alias("px"), F.min_by("lat", "event_id").alias("py"))
+    x, y = F.col("x") + _dbl(0.0625) * F.col("g"), F.col("y") + _dbl(0.125) * F.col("g")
+
+    def ring(x0: float, x1: float, y0: float, y1: float) -> Column:
+        corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+        return F.concat(F.lit("["), F.concat_ws(",", *[F.concat(F.lit("["), (x + _dbl(a)).cast("string"), F.lit(","), (y + _dbl(b)).cast("string"), F.lit("]"))
+                                                       for a, b in corners]), F.lit("]"))
+
+    def geojson(kind: str, *coordinates: Column | str) -> Column:
+        return F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), *[F.lit(c) if isinstance(c, str) else c for c in coordinates], F.lit("}"))
+
+    point = F.concat(F.lit("["), F.col("px").cast("string"), F.lit(","), F.col("py").cast("string"), F.lit("]"))
+    text = (F.when(F.col("g") < 6, geojson("MultiPolygon", "[[", ring(0.0, 0.5, 0.0, 2.0), "],[", ring(0.25, 0.75, 1.0, 3.0), "]]"))
+            .when(F.col("g") < 9, geojson("Polygon", "[", ring(0.0, 1.0, 0.0, 3.0), ",", ring(0.25, 0.5, 1.0, 2.0), "]"))
+            .when(F.col("g") == 9, geojson("MultiPoint", "[", point, "]"))
+            .when(F.col("g") == 10, geojson("Polygon", "[[", point, ",", point, ",", point, "]]"))
+            .otherwise(geojson("Circle", point)))
+    return of.select(F.col("g").alias("id"), F.concat(F.lit("USERS_"), F.col("g").cast("string")).alias("name"), text.alias("geojson"))
+
+
 # --------------------------------------------------------------------------
 # citizen report documents
 

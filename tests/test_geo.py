@@ -1,13 +1,14 @@
 """Point-in-polygon and the grid join against an independent brute force."""
 
 import json
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from civicflow.functions import geo
-from civicflow.operators.spatial_join import region_table, within_join
+from civicflow.operators.spatial_join import region_table, rejected_regions, within_join
 from civicflow.schemas import REGION_SOURCE
 
 
@@ -126,10 +127,110 @@ def test_join_plan_has_no_nested_loop(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_unsupported_geometry_raises(spark):
-    regions = region_table(spark.createDataFrame([(1, "p", '{"type":"Point","coordinates":[1,2]}')], REGION_SOURCE))
-    with pytest.raises(Exception):
-        regions.collect()
+def _source(spark, texts):
+    return spark.createDataFrame([(i, f"r{i}", t if t is None or isinstance(t, str) else json.dumps(t)) for i, t in enumerate(texts)], REGION_SOURCE)
+
+
+def test_geometries_that_cannot_be_used_are_set_aside(spark):
+    bad = {"json invalide": [None, "", "{", "no"], "type inconnu": [{"type": "Circle", "coordinates": [1, 2]}, "{}", "[]", "null", {"type": "Feature", "geometry": None}],
+           "coordonnées invalides": [{"type": "Point"}, {"type": "Point", "coordinates": [1]}, {"type": "Polygon", "coordinates": [[[0, 0], [1, "x"], [1, 1]]]},
+                                     {"type": "Polygon", "coordinates": [[[0, 0], [1, None], [1, 1]]]}, {"type": "LineString", "coordinates": [1, 2]}],
+           "contour sans surface": [_poly([(0, 0), (1, 1), (0, 0)]), _poly([(0, 0), (0.1, 0.1), (0.3, 0.3), (0, 0)]), _poly(SQUARE, [])],
+           "ligne sans longueur": [{"type": "LineString", "coordinates": [[1, 1], [1, 1]]}]}
+    texts = [(why, t) for why, ts in bad.items() for t in ts]
+    good = [_poly(SQUARE), {"type": "Point", "coordinates": [1, 2, 3]}, {"type": "GeometryCollection", "geometries": []}, {"type": "MultiPolygon", "coordinates": []}]
+    source = _source(spark, [t for _, t in texts] + good)
+    assert {r["id"]: r["reasons"] for r in rejected_regions(source).collect()} == {i: [why] for i, (why, _) in enumerate(texts)}
+    kept = {r["id"]: r for r in region_table(source).collect()}
+    assert sorted(kept) == list(range(len(texts), len(texts) + len(good)))
+    points = spark.createDataFrame([(1, 1.0, 2.0)], "pid int, lon double, lat double")
+    assert _pairs(within_join(points, region_table(source))) == [(1, len(texts)), (1, len(texts) + 1)]
+
+
+def test_every_geometry_type(spark):
+    line = {"type": "LineString", "coordinates": [[0, 0], [2, 2], [4, 0]]}
+    two = [_poly(SQUARE), _poly([(2, 2), (6, 2), (6, 6), (2, 6), (2, 2)])]
+    shapes = [
+        line,
+        {"type": "MultiLineString", "coordinates": [[[0, 0], [2, 2]], [[2, 2], [4, 0]]]},
+        {"type": "LineString", "coordinates": [[0, 0], [4, 0], [4, 4], [0, 0]]},
+        {"type": "MultiPoint", "coordinates": [[1, 1], [9, 9]]},
+        {"type": "MultiPolygon", "coordinates": [p["coordinates"] for p in two]},
+        {"type": "GeometryCollection", "geometries": [_poly(HOLE), {"type": "GeometryCollection", "geometries": [line, {"type": "Point", "coordinates": [9, 9]}]}]},
+        {"type": "Feature", "properties": {}, "geometry": _poly(TRIANGLE)},
+        {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": p} for p in two]},
+    ]
+    points = [(1, 1, 1), (2, 2, 2), (3, 0, 0), (4, 4, 0), (5, 3, 3), (6, 9, 9), (7, 12, 1), (8, 5, 5), (9, 6, 4), (10, 2, 0), (11, 3, 1), (12, 2, 3)]
+    got = {}
+    for pid, region in _pairs(within_join(spark.createDataFrame([(i, float(x), float(y)) for i, x, y in points], "pid int, lon double, lat double"),
+                                          region_table(_source(spark, shapes)), cell=0.5)):
+        got.setdefault(region, []).append(pid)
+    assert got == {
+        0: [1, 2, 11],               # inside the line; its two ends are its boundary
+        1: [1, 2, 11],               # (2,2) ends two lines: no boundary
+        2: [1, 2, 3, 4, 5, 10],      # a closed line has no boundary
+        3: [1, 6],
+        4: [1, 2, 5, 8, 11, 12],     # (2,3) lies on the second square's side, inside the first
+        5: [1, 2, 6, 11],            # the square's corner (1,1) and the point (3,1) are on the line
+        6: [7],
+        7: [1, 2, 5, 8, 11, 12],
+    }
+
+
+def test_sides_are_never_wrong(spark):
+    """Random and nearly collinear points on and beside sloped edges against rational arithmetic."""
+    from fractions import Fraction
+    rng = random.Random(3)
+    rows = []
+    for _ in range(3000):
+        kind = rng.randint(0, 3)
+        x1, y1, x2, y2 = (rng.uniform(-180, 180) if kind < 2 else rng.randint(-9, 9) / 10 for _ in range(4))
+        t = rng.choice([0.5, 0.25, rng.random(), 1 / 3, 1.0, 0.0])
+        px, py = x1 + (x2 - x1) * t, y1 + (y2 - y1) * t
+        if kind % 2:
+            px, py = rng.choice([px, math.nextafter(px, 999)]), rng.choice([py, math.nextafter(py, -999)])
+        rows.append((float(x1), float(y1), float(x2), float(y2), px, py))
+    rows += [(0.1, 0.1, 0.3, 0.3, 0.2, 0.2), (1e-100, 0.0, 1.0, 1e-8, 0.5, 5e-9), (0.0, 0.0, 3.0, 1.0, 0.3, 0.1)]
+    sign = geo.orientation(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "px", "py")])
+    got = spark.createDataFrame(rows, "x1 double, y1 double, x2 double, y2 double, px double, py double").select("*", sign.alias("s")).collect()
+    zero = 0
+    for r in got:
+        x1, y1, x2, y2, px, py = (Fraction(v) for v in tuple(r)[:6])
+        det = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
+        assert r["s"] == (det > 0) - (det < 0)
+        zero += det == 0
+    assert zero > 100 and len(got) - zero > 1000
+
+
+def test_points_on_sloped_edges_are_out(spark):
+    """Polygons on a fine lattice with sloped sides: every lattice point on a side or corner is out, exactly as rationals say."""
+    from fractions import Fraction
+    rng = random.Random(8)
+    polys, rings = [], []
+    for _ in range(10):
+        ring = [(rng.randint(0, 30) / 10, rng.randint(0, 30) / 10) for _ in range(rng.randint(3, 6))]
+        if len(set(ring)) < 3 or all((ring[1][0] - ring[0][0]) * (p[1] - ring[0][1]) == (ring[1][1] - ring[0][1]) * (p[0] - ring[0][0]) for p in ring):
+            continue
+        polys.append(_poly([*ring, ring[0]]))
+        rings.append([[(Fraction(x), Fraction(y)) for x, y in [*ring, ring[0]]]])
+    pts = [(i * 31 + j, i / 10, j / 10) for i in range(31) for j in range(31)]
+    regions = _regions(spark, polys)
+    ids = sorted(r["id"] for r in regions.collect())
+    points = spark.createDataFrame(pts, "pid int, lon double, lat double")
+    got = _pairs(within_join(points, regions, cell=0.5))
+
+    def inside(px, py, ring):
+        odd = False
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            side = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+            if side == 0 and min(ax, bx) <= px <= max(ax, bx) and min(ay, by) <= py <= max(ay, by):
+                return False
+            if (ay <= py < by and side > 0) or (by <= py < ay and side < 0):
+                odd = not odd
+        return odd
+
+    assert got == sorted((pid, k + 1) for pid, x, y in pts for k, s in enumerate(rings)
+                         if k + 1 in ids and inside(Fraction(x), Fraction(y), s[0]))
 
 
 def test_grid_cell_text_values(spark):
