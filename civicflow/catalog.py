@@ -18,6 +18,7 @@ from civicflow.functions import dates as D
 from civicflow.functions import quality as Q
 from civicflow.functions import reports as R
 from civicflow.operators import constraints as C
+from civicflow.operators import path_index
 from civicflow.operators import validate as V
 from civicflow.operators.spatial_join import region_table
 from civicflow.plans import analytics
@@ -80,6 +81,8 @@ def q_events_per_region(spark, sf_dir):
 # validation, partitioned write, run metrics
 
 
+# an instant within a day: the window's first day counts in part
+HOTSPOTS_AS_OF = "2024-01-31 09:30:00"
 # first attempts of the runs before this landing day failed and were retried
 RETRY_BEFORE = "2024-01-20"
 
@@ -252,6 +255,32 @@ def reports_table(spark, sf_dir):
     return table.read()
 
 
+def _indexed_reports(spark, sf_dir):
+    """The two loads into the bucketed table and its path index."""
+    docs = report_docs(spark, sf_dir)
+    root = session.scratch(spark, "indexed-reports")
+    table, index = incremental.reports_table(spark, f"{root}/table"), path_index.index_table(spark, f"{root}/index")
+    for part, at in ((F.col("file_key") < REPORT_SPLIT_DAY, FIRST_LOAD_AT), (F.col("file_key") >= REPORT_SPLIT_DAY, SECOND_LOAD_AT)):
+        rows = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(part))))
+        reports.merge_reports(table, rows, F.lit(at).cast("timestamp_ntz"), index)
+    return table, index
+
+
+@register("reports_index_search")
+def q_reports_index_search(spark, sf_dir):
+    """The search of reports_json_search through the path index, which reads the buckets of its path and value only."""
+    table, index = _indexed_reports(spark, sf_dir)
+    return path_index.search(table, index, "$.status", "open").select("external_id", "category", "status")
+
+
+@register("reports_containing")
+def q_reports_containing(spark, sf_dir):
+    """Reports whose document contains a JSON value, through the path index."""
+    table, index = _indexed_reports(spark, sf_dir)
+    found = path_index.find_containing(table, index, {"event": {"payload": {"quartier": "Q1"}}})
+    return found.select("external_id", "category", "commune", "quartier")
+
+
 @register("reports_processed")
 def q_reports_processed(spark, sf_dir):
     """Reports processed by a load, per file (an id in two files counts in both)."""
@@ -480,6 +509,46 @@ def q_constraint_checks(spark, sf_dir):
     )
 
 
+def _corrected_events(spark, sf_dir, rollup):
+    """Two landings and a re-sent, corrected window into the events table, with the sums refreshed after each."""
+    root = session.scratch(spark, "rollup")
+    table = incremental.events_table(spark, f"{root}/events")
+    sums = rollup(table, f"{root}/sums")
+    events = fixtures.ev_geo(spark, sf_dir)
+    split, resent = F.lit(SECOND_LANDING).cast("timestamp_ntz"), F.lit(RESEND_FROM).cast("timestamp_ntz")
+    # corrected rows move a day ahead, and their values change
+    fixed = events.where(F.col("ts") >= resent).withColumns({"value": F.col("value") * 10, "category": F.upper("category"),
+                                                            "ts": F.col("ts") - F.expr("INTERVAL 1 DAY")})
+    for part in (events.where(F.col("ts") < split), events.where(F.col("ts") >= split), fixed):
+        table.merge(to_spatial(part), loads.EVENT_KEY, partial(loads.upsert_events, unique=True))
+        sums.refresh()
+    return sums
+
+
+@register("daily_avg_maintained")
+def q_daily_avg_maintained(spark, sf_dir):
+    """A1: daily means from sums that three batches brought up to date, retracting what the last one corrected."""
+    return analytics.daily_avg_maintained(_corrected_events(spark, sf_dir, analytics.daily_sums), AS_OF)
+
+
+@register("hotspots_maintained")
+def q_hotspots_maintained(spark, sf_dir):
+    """A3: the top cells from maintained sums; the window begins within a day."""
+    return analytics.hotspots_maintained(_corrected_events(spark, sf_dir, analytics.cell_sums), HOTSPOTS_AS_OF)
+
+
+@register("metrics_daily_maintained")
+def q_metrics_daily_maintained(spark, sf_dir):
+    """Run health from sums that follow the metrics table through failed attempts and retries."""
+    root = session.scratch(spark, "health")
+    table = Snapshot(spark, f"{root}/metrics", PIPELINE_METRICS, buckets=ingest.METRICS_KEY)
+    sums = ingest.health_sums(table, f"{root}/sums")
+    for rows in _metrics_attempts(spark, sf_dir):
+        table.merge(rows, ingest.METRICS_KEY, ingest.upsert_metrics)
+        sums.refresh()
+    return ingest.metrics_daily_maintained(sums)
+
+
 @register("regions_load")
 def q_regions_load(spark, sf_dir):
     """Regions of all kinds into their table; unusable ones set aside; all events inside each, overlapping parts once."""

@@ -13,10 +13,13 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicflow.functions import geo
+from civicflow.operators.rollup import Rollup
 from civicflow.operators.spatial_join import cell_stats, region_cells, region_geometry, within_join
 from civicflow.session import shared_dir
+from civicflow.sinks.snapshots import Snapshot
 
 # Analysis windows and grid size of the reference queries.
 DAILY_WINDOW_DAYS = 30
@@ -62,6 +65,49 @@ def daily_avg(events: DataFrame, as_of: str, days: int = DAILY_WINDOW_DAYS) -> D
             .orderBy(F.col("event_date").desc_nulls_last(), F.col("category").asc_nulls_last()))
 
 
+_SUM = T.DecimalType(38, 10)
+
+
+def daily_sums(events: Snapshot, path: str) -> Rollup:
+    """A1's sums by (day, category), kept current with the events table."""
+    return Rollup(events, path,
+                  {"event_date": (T.DateType(), lambda: F.to_date("ts")), "category": (T.StringType(), lambda: F.col("category"))},
+                  {"total": (_SUM, lambda: F.col("value")), "n": (T.LongType(), lambda: F.col("value").isNotNull().cast("long"))})
+
+
+def cell_sums(events: Snapshot, path: str, grid: float = HOTSPOT_GRID) -> Rollup:
+    """A3's sums by (day, grid cell), kept current with the events table."""
+    return Rollup(events, path,
+                  {"event_date": (T.DateType(), lambda: F.to_date("ts")), "gx": (T.LongType(), lambda: geo.snap_index(F.col("geom.lon"), grid)),
+                   "gy": (T.LongType(), lambda: geo.snap_index(F.col("geom.lat"), grid))},
+                  {"total": (_SUM, lambda: F.col("value")), "n": (T.LongType(), lambda: F.col("value").isNotNull().cast("long"))})
+
+
+def window_sums(rollup: Rollup, as_of: str, days: int) -> DataFrame:
+    """The rollup's groups of the trailing window: whole days from the sums, the day that the window begins in from its rows."""
+    since = cutoff(as_of, days)
+    events = rollup.source.read()
+    first = F.to_date(since)
+    whole = rollup.read().where((F.col("event_date") > first) | ((F.col("event_date") == first) & (since == first.cast("timestamp_ntz"))))
+    begun = events.where((F.col("date") == first) & (F.col("ts") >= since) & (since != first.cast("timestamp_ntz")))
+    return whole.unionByName(rollup.sums(begun))
+
+
+def daily_avg_maintained(rollup: Rollup, as_of: str, days: int = DAILY_WINDOW_DAYS) -> DataFrame:
+    """A1 + O1 from maintained sums."""
+    return (window_sums(rollup, as_of, days)
+            .select("event_date", "category", F.when(F.col("n") > 0, F.col("total").cast("double") / F.col("n")).alias("avg_value"))
+            .orderBy(F.col("event_date").desc_nulls_last(), F.col("category").asc_nulls_last()))
+
+
+def hotspots_maintained(rollup: Rollup, as_of: str, days: int = HOTSPOT_WINDOW_DAYS, grid: float = HOTSPOT_GRID,
+                        top: int = HOTSPOT_TOP) -> DataFrame:
+    """A3 + O3 from maintained sums."""
+    cells = (window_sums(rollup, as_of, days).groupBy("gx", "gy")
+             .agg(F.when(F.sum("n") > 0, F.sum("total").cast("double")).alias("total_value"), F.sum("rows").alias("event_count")))
+    return _top_cells(cells, grid, top)
+
+
 def hotspots(events: DataFrame, as_of: str, days: int = HOTSPOT_WINDOW_DAYS, grid: float = HOTSPOT_GRID,
              top: int = HOTSPOT_TOP) -> DataFrame:
     """A3 + O3: grid cells with the highest total value in the window.
@@ -75,6 +121,10 @@ def hotspots(events: DataFrame, as_of: str, days: int = HOTSPOT_WINDOW_DAYS, gri
     cells = (recent.select(gx.alias("gx"), gy.alias("gy"), "value")
              .groupBy("gx", "gy")
              .agg(_exact_sum_as_double("value").alias("total_value"), F.count(F.lit(1)).alias("event_count")))
+    return _top_cells(cells, grid, top)
+
+
+def _top_cells(cells: DataFrame, grid: float, top: int) -> DataFrame:
     return (cells.orderBy(F.col("total_value").desc_nulls_first(), F.col("gx").asc_nulls_first(),
                           F.col("gy").asc_nulls_first())
             .limit(top)

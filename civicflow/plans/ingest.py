@@ -13,12 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicflow.operators import validate as V
+from civicflow.operators.rollup import Rollup
 from civicflow.operators.upsert import upsert
 from civicflow.schemas import PIPELINE_METRICS
 from civicflow.session import scratch
 from civicflow.sinks import tables
+from civicflow.sinks.snapshots import Snapshot
 
 # Job and table names recorded in the metrics table.
 DAG_ID = "validate_and_partition_events"
@@ -137,6 +140,18 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, refresh_error: bool = Fa
     return upsert(target, batch, METRICS_KEY, replaced, insert_defaults={"started_at": F.col("b.finished_at")})
 
 
+def health_sums(metrics: Snapshot, path: str) -> Rollup:
+    """A8's sums by (day, status), kept current with the metrics table."""
+    counters = ("rows_read", "rows_written", "bad_records_count")
+    return Rollup(metrics, path, {"day": (T.DateType(), lambda: F.to_date("execution_date")), "status": (T.StringType(), lambda: F.col("status"))},
+                  {c: (T.LongType(), lambda c=c: F.col(c)) for c in counters})
+
+
+def metrics_daily_maintained(rollup: Rollup) -> DataFrame:
+    """A8 from maintained sums."""
+    return rollup.read().select("day", "status", F.col("rows").alias("runs"), *rollup.measures).orderBy(F.col("day").desc(), "status")
+
+
 def metrics_daily(metrics_table: DataFrame) -> DataFrame:
     """Run health per day and status."""
     return (metrics_table.groupBy(F.to_date("execution_date").alias("day"), "status")

@@ -10,14 +10,18 @@ otherwise.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions import reports as R
 from civicflow.functions.dates import normalize_date
 from civicflow.functions.geo import SRID_METADATA
-from civicflow.operators.upsert import empty, keep_last, upsert
+from civicflow.operators import path_index
+from civicflow.operators.upsert import broadcastable, empty, keep_last, upsert, written_and_measured
 from civicflow.schemas import CITIZEN_REPORTS
+from civicflow.sinks.snapshots import Snapshot
 
 REPORT_KEY = ["external_id"]
 # columns a re-sent report replaces; ingested_at is kept from the first insert
@@ -75,6 +79,24 @@ def empty_table(spark) -> DataFrame:
     return empty(spark, CITIZEN_REPORTS)
 
 
+def merge_reports(table: Snapshot, batch_rows: DataFrame, ingested_at: Column, index: Snapshot | None = None,
+                  done: tuple[str, int] | None = None) -> int:
+    """K5 into the bucketed table, and its path index along with it: postings of the new documents first, stale ones last."""
+    change = partial(upsert_reports, ingested_at=ingested_at)
+    if index is None:
+        return table.merge(batch_rows, REPORT_KEY, change, done)
+    batch_rows, rows, size = written_and_measured(batch_rows)
+    keys = batch_rows.select(*REPORT_KEY)
+    old = table.read().join(F.broadcast(keys) if broadcastable(rows, size) else keys, REPORT_KEY, "left_semi").select(*REPORT_KEY, "original_doc")
+    # written: the documents as they are now, before the merge
+    old, _, _ = written_and_measured(old)
+    new = batch_rows.select(*REPORT_KEY, "original_doc")
+    path_index.add(index, new, REPORT_KEY[0], "original_doc")
+    version = table.merge(batch_rows, REPORT_KEY, change, done)
+    path_index.drop(index, old, new, REPORT_KEY[0], "original_doc")
+    return version
+
+
 def search(table: DataFrame, path: str, value: str) -> DataFrame:
     """Reports whose original document has ``value`` at JSON ``path``."""
     return table.where(F.try_variant_get(F.col("original_doc"), path, "string") == F.lit(value))
