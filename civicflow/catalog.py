@@ -354,6 +354,30 @@ def q_raw_events_append(spark, sf_dir):
     return spark.read.parquet(f"{root}/raw_events").drop("ingest_ds")
 
 
+@register("clean_load_foreign")
+def q_clean_load_foreign(spark, sf_dir):
+    """A load of validated files beside files of other writers, whose category is in the file, NULL there, or in the path only."""
+    root = session.scratch(spark, "foreign")
+    raw = fixtures.raw_ev(spark, sf_dir)
+    split = F.lit(SECOND_LANDING).cast("date")
+    ingest.validate_and_partition(spark, raw.where(F.col("ds") < split), f"{root}/clean/events", f"{root}/rejects", with_metrics=False)
+    others = V.valid(V.check(raw.where(F.col("ds") >= split))).where(F.col("category").isNotNull() & F.col("ts").isNotNull())
+    # a folder for each category, a few: its files name it, have it NULL, or have no such column
+    names = sorted(r["category"] for r in others.select("category").distinct().collect())
+    for i, name in enumerate(names):
+        rows = others.where(F.col("category") == name).withColumnRenamed("ts", "timestamp").select(
+            "id", "timestamp", "latitude", "longitude", "value", "source", "category")
+        if i % 3 == 0:
+            rows = rows.withColumn("category", F.upper("category"))
+        elif i % 3 == 1:
+            rows = rows.withColumn("category", F.lit(None).cast("string"))
+        else:
+            rows = rows.drop("category")
+        rows.write.parquet(f"{root}/clean/events/other/category={name}")
+    loads.clean_load(spark, f"{root}/clean/events", f"{root}/raw_events", LOAD_IDS[0], with_totals=False)
+    return spark.read.parquet(f"{root}/raw_events").drop("ingest_ds", "load_id")
+
+
 @register("load_totals")
 def q_load_totals(spark, sf_dir):
     """Files and rows loaded by each clean load."""

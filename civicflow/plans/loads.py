@@ -1,6 +1,7 @@
 """Clean load and raw → spatial jobs.
 
-* ``clean_load``: every clean Parquet file → append to ``raw_events``,
+* ``clean_load``: every clean Parquet file, the validation's and those that
+  other writers put beside them (S5) → append to ``raw_events``,
   tagged with the load id.  As in the reference each load rescans the full
   clean history, so ``raw_events`` holds one copy of a row per load.
 * ``raw_to_spatial``: ``raw_events`` → one row per id (latest load, then
@@ -16,6 +17,8 @@ rejected by the validation and never get here.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from civicflow.operators.spatial_join import read_shapes, rejected_regions
 from civicflow.operators.upsert import keep_last, upsert
 from civicflow.plans.spatial import to_spatial
-from civicflow.schemas import REGION_SOURCE
+from civicflow.schemas import CLEAN_FILE, REGION_SOURCE
 from civicflow.sinks import tables
 from civicflow.sinks.snapshots import Snapshot
 from civicflow.sources import events_files, wkb
@@ -42,14 +45,26 @@ def clean_load(spark: SparkSession, clean_root: str, raw_events_path: str, load_
     over the data); files by a metadata-only scan of the file paths, which
     ``with_totals=False`` skips (and then returns None).
     """
-    clean = events_files.scan_clean(spark, clean_root)
-    rows = events_files.clean_event_columns(clean).withColumn("load_id", F.lit(load_id))
+    own, foreign = events_files.clean_folders(spark, clean_root)
+    parts, files = [], []
+    if own or not foreign:
+        # beside folders of others, the folders of the validation are named: their levels differ
+        clean = (spark.read.schema(CLEAN_FILE).option("basePath", clean_root).parquet(*own) if foreign
+                 else events_files.scan_clean(spark, clean_root))
+        parts.append(events_files.clean_event_columns(clean))
+        files.append(clean.select(F.col("_metadata.file_path").alias("file")))
+    if foreign:
+        others = events_files.scan_foreign(spark, foreign)
+        # the validation rejects rows without an id, other writers may not
+        parts.append(others.drop("file").where(F.col("id").isNotNull()))
+        files.append(others.select("file"))
+    rows = reduce(DataFrame.unionByName, parts).withColumn("load_id", F.lit(load_id))
     obs = Observation(f"load_{load_id}")
     tables.append(rows.observe(obs, F.count(F.lit(1)).alias("rows_loaded")), raw_events_path)
     if not with_totals:
         return None
-    files = clean.select(F.col("_metadata.file_path")).distinct().count()
-    return spark.range(1).select(F.lit(load_id).alias("load_id"), F.lit(files).cast("long").alias("files_loaded"),
+    n_files = reduce(DataFrame.unionByName, files).distinct().count()
+    return spark.range(1).select(F.lit(load_id).alias("load_id"), F.lit(n_files).cast("long").alias("files_loaded"),
                                  F.lit(obs.get["rows_loaded"]).cast("long").alias("rows_loaded"))
 
 

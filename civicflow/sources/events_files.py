@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.schemas import CLEAN_EVENTS, CLEAN_FILE, RAW_CSV
+from civicflow.sinks.tables import hadoop_fs
 from civicflow.sources import csv_ranges
 from civicflow.sources.ranges import large_files, listed, listing, split_bytes
 from civicflow.stores import PLACE, SCHEMES, opened
@@ -170,32 +171,59 @@ def write_csv_export(df: DataFrame, path: str, partition_col: str | None = None)
 
 
 def scan_clean(spark: SparkSession, root: str) -> DataFrame:
-    """Every clean Parquet file under ``root`` (full history, S4).
+    """Every clean Parquet file that the validation wrote under ``root`` (full history, S4).
 
-    The category is a partition directory, so it comes from the path (S5).
-    For foreign files that carry their own ``category`` column see
-    :func:`category_from_path`.
+    Landing day, date and category are partition directories and come from
+    the path.  Files of other writers are for :func:`scan_foreign`.
     """
     # with a schema a category stays the text of its folder (007, 2024-01-01)
     return spark.read.schema(CLEAN_FILE).option("basePath", root).parquet(root)
 
 
+def clean_folders(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
+    """The folders and files at the top of a clean root: those of the validation, and those of others."""
+    fs, path, _ = hadoop_fs(spark, root)
+    names = [st.getPath() for st in fs.listStatus(path) if not st.getPath().getName().startswith(("_", "."))]
+    own = [p.toString() for p in names if p.getName().startswith("ingest_ds=")]
+    return own, [p.toString() for p in names if not p.getName().startswith("ingest_ds=")]
+
+
+def _from_path(column: str, pattern: str):
+    """A value out of a file's path, as the folder has it: '+' is no blank there, and both escapes are undone."""
+    return F.url_decode(F.replace(F.url_decode(F.replace(F.regexp_extract(F.col(column), pattern, 1), F.lit("+"), F.lit("%2B"))), F.lit("+"), F.lit("%2B")))
+
+
+def scan_foreign(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Clean Parquet files of other writers (S4, S5), in any folders: the clean columns and ``ingest_ds``.
+
+    The columns are as the files have them (``timestamp`` or ``ts``, any
+    numeric types); one that no file has is NULL.  A file without any category
+    takes that of its path.  They have no landing day unless a folder names it.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(*paths)
+    named = category_from_path(files)
+    at = "timestamp" if "ts" not in named.columns and "timestamp" in named.columns else "ts"
+    columns = [F.col(f"`{at if f.name == 'ts' else f.name}`") if (at if f.name == "ts" else f.name) in named.columns else F.lit(None)
+               for f in CLEAN_EVENTS.fields]
+    day = F.nullif(F.regexp_extract(F.col("_path"), r"/ingest_ds=([0-9-]+)/", 1), F.lit("")).cast("date")
+    return named.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, CLEAN_EVENTS.fields)], day.alias("ingest_ds"), F.col("_path").alias("file"))
+
+
 def category_from_path(df: DataFrame) -> DataFrame:
     """S5 for files read without partition discovery: when a file has no
     category value at all, take ``category=…`` from its path.
 
     The per-file test is an aggregate (one row per file) joined back on the
-    file path, not a window over all rows of a file.
+    file path, not a window over all rows of a file.  Adds ``_path``.
     """
-    path = F.col("_metadata.file_path")
-    with_path = df.select("*", path.alias("_file"))
+    with_path = df.select("*", F.col("_metadata.file_path").alias("_path"))
+    from_path = F.nullif(_from_path("_path", CATEGORY_IN_PATH), F.lit(""))
     if "category" not in df.columns:
-        return with_path.withColumn("category", F.regexp_extract("_file", CATEGORY_IN_PATH, 1)).drop("_file")
-    per_file = with_path.groupBy("_file").agg(F.count("category").alias("_n_cat"))
-    from_path = F.nullif(F.regexp_extract(F.col("_file"), CATEGORY_IN_PATH, 1), F.lit(""))
-    return (with_path.join(per_file, "_file")
+        return with_path.withColumn("category", from_path)
+    per_file = with_path.groupBy("_path").agg(F.count("category").alias("_n_cat"))
+    return (with_path.join(per_file, "_path")
             .withColumn("category", F.when(F.col("_n_cat") == 0, from_path).otherwise(F.col("category")))
-            .drop("_file", "_n_cat"))
+            .drop("_n_cat"))
 
 
 def clean_event_columns(df: DataFrame) -> DataFrame:

@@ -42,3 +42,29 @@ def test_csv_columns_are_matched_by_header_name(spark, tmp_dir):
     assert (r["id"], r["value"], r["latitude"], r["longitude"], r["ts"], r["category"], r["source"]) == \
         ("7", "5.0", "1.5", "10", "2024-01-01 00:00:00", "c", None)
     assert str(r["ds"]) == "2024-01-01"
+
+
+def test_foreign_clean_files_take_their_category_from_the_path(spark, tmp_dir):
+    from civicflow.plans import loads
+    from civicflow.sources.events_files import clean_folders, scan_foreign
+    root = f"{tmp_dir}/clean"
+    rows = "SELECT '%s' AS id, TIMESTAMP_NTZ '2024-01-0%s 01:00:00' AS %s, 1.5D AS latitude, 2 AS longitude, 3.5F AS value%s"
+
+    def put(path, i, at, more=""):
+        spark.sql(rows % (i, i, at, more)).coalesce(1).write.parquet(f"{root}/{path}")
+
+    put("ingest_ds=2024-01-01/date=2024-01-01/category=own%2Fcategory", 1, "ts", ", 's' AS source")
+    put("events/date=2024-01-02/category=a+b c%25é", 2, "timestamp", ", CAST(NULL AS STRING) AS category, 's' AS source")
+    put("events/date=2024-01-03/category=folder", 3, "timestamp", ", 'file' AS category")
+    put("category=top/ingest_ds=2024-01-09", 4, "timestamp")
+    put("nowhere", 5, "timestamp")
+    put("events/category=x/_hidden", 6, "timestamp")
+    own, foreign = clean_folders(spark, root)
+    assert len(own) == 1 and len(foreign) == 3
+    got = {r["id"]: (r["category"], str(r["ts"]), r["longitude"], str(r["ingest_ds"])) for r in scan_foreign(spark, foreign).collect()}
+    assert got == {"2": ("a+b c%é", "2024-01-02 01:00:00", 2.0, "None"), "3": ("file", "2024-01-03 01:00:00", 2.0, "None"),
+                   "4": ("top", "2024-01-04 01:00:00", 2.0, "2024-01-09"), "5": (None, "2024-01-05 01:00:00", 2.0, "None")}
+    totals = loads.clean_load(spark, root, f"{tmp_dir}/raw_events", "L").first()
+    assert (totals["files_loaded"], totals["rows_loaded"]) == (5, 5)
+    raw = {r["id"]: r["category"] for r in spark.read.parquet(f"{tmp_dir}/raw_events").collect()}
+    assert raw["1"] == "own/category" and raw["2"] == "a+b c%é"
