@@ -584,6 +584,19 @@ def q_regions_load(spark, sf_dir):
             .unionByName(rejected.select("name", F.array_join("reasons", ", ").alias("reasons"), F.lit(None).cast("long").alias("events"))))
 
 
+# points of a boundary cell beyond which the adaptive query divides it
+HOT_POINTS = 200
+
+
+@register("regions_adaptive")
+def q_regions_adaptive(spark, sf_dir):
+    """All events inside each derived region, over a grid that is finer where the events are dense."""
+    regs = region_table(fixtures.event_regions(spark, sf_dir))
+    points = spatial_events(spark, sf_dir).select(F.col("geom.lon").alias("lon"), F.col("geom.lat").alias("lat"))
+    counted = analytics.points_per_region(points, regs, cell=1.0, hot_points=HOT_POINTS, sample_rate=1.0)
+    return counted.select(F.col("region_name").alias("name"), F.col("report_count").cast("long").alias("events"))
+
+
 @register("constraint_enforce")
 def q_constraint_enforce(spark, sf_dir):
     """Reports that nobody deduplicated go into their table: what its constraints refuse, by rule, and what it holds then."""

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions import geo
 from civicflow.operators.parallel import spread
+from civicflow.session import scratch
 
 DEFAULT_CELL = 0.25
 DEFAULT_MAX_CELLS = 64
@@ -40,6 +41,11 @@ DEFAULT_BROADCAST_MAX_EDGES = BROADCAST_BYTES // EDGE_BYTES
 DEFAULT_BROADCAST_MAX_CELLS = BROADCAST_BYTES // CELL_BYTES
 MAX_CELLS_COMPLEX = 4096
 MAX_LEVEL = 30
+# cells that are divided at most, and how often each is halved at most
+MAX_HOT = 10_000
+MAX_SPLIT = 6
+# share of the points that hot cells are told from
+SAMPLE_RATE = 0.01
 
 
 REGION_COLUMNS = ("parts", "lines", "ends", "dots", "bbox")
@@ -119,20 +125,58 @@ def region_cells(regions: DataFrame, cell: float = DEFAULT_CELL, max_cells: int
                   .withColumn("level", F.coalesce(level, F.lit(MAX_LEVEL))))
     size = _cell_size(cell, F.col("level"))
     b = F.col("bbox")
-    cells = (with_level
-             .withColumn("cx", F.explode(F.sequence(F.floor(b["x0"] / size), F.floor(b["x1"] / size))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(b["y0"] / size), F.floor(b["y1"] / size)))))
+    return _classified(with_level.withColumnRenamed("id", "region_id")
+                       .withColumn("cx", F.explode(F.sequence(F.floor(b["x0"] / size), F.floor(b["x1"] / size))))
+                       .withColumn("cy", F.explode(F.sequence(F.floor(b["y0"] / size), F.floor(b["y1"] / size)))), cell)
+
+
+def _classified(cells: DataFrame, cell: float) -> DataFrame:
+    """(region_id, level, cx, cy, inside) of the cells that may hold points of their region; ``cells`` has the region's columns and edges."""
+    size = _cell_size(cell, F.col("level"))
     touching = _touching_edges(F.col("edges"), size, F.col("cx"), F.col("cy"))
     centre_x = (F.col("cx") + F.lit(0.5)) * size
     centre_y = (F.col("cy") + F.lit(0.5)) * size
     classified = cells.select(
-        F.col("id").alias("region_id"), "level", "cx", "cy",
+        "region_id", "level", "cx", "cy",
         (F.size(touching) > 0).alias("boundary"),
         geo.within(centre_x, centre_y, F.col).alias("centre_in"))
     return (classified.where(F.col("boundary") | F.col("centre_in"))
             .select("region_id", "level", "cx", "cy", (~F.col("boundary")).alias("inside")))
 
 
+def hot_cells(points: DataFrame, cells: DataFrame, lon: str, lat: str, cell: float, hot_points: int, rate: float = SAMPLE_RATE) -> DataFrame:
+    """(level, cx, cy, split): boundary cells that a sample of the points says hold more than ``hot_points``.
+
+    ``split`` is how often a cell is to be halved in both directions so that
+    its quarters of quarters hold about that many.  At most ``MAX_HOT`` cells,
+    the fullest first; the choice changes the plan, never the result.
+    """
+    edge = cells.where(~F.col("inside")).select("level", "cx", "cy").distinct()
+    levels = tuple(sorted(r["level"] for r in edge.select("level").distinct().collect()))
+    sampled = point_cells(points.select(lon, lat).sample(rate, seed=1) if rate < 1 else points.select(lon, lat), lon, lat, levels, cell)
+    full = (sampled.groupBy("level", "cx", "cy").agg((F.count("*") / rate).alias("n")).where(F.col("n") > hot_points)
+            .join(edge, ["level", "cx", "cy"], "left_semi").orderBy(F.desc("n"), "level", "cx", "cy").limit(MAX_HOT))
+    split = F.least(F.ceil(F.log(4.0, F.col("n") / hot_points)), F.lit(MAX_SPLIT)).cast("int")
+    return full.select("level", "cx", "cy", split.alias("split"))
+
+
+def refined(cells: DataFrame, regions: DataFrame, hot: DataFrame, cell: float) -> DataFrame:
+    """The cells with the hot ones among the boundary cells divided: quadtree descendants, classified anew.
+
+    Cells nest exactly: their sizes differ by powers of two, so a point lies
+    in one descendant of its cell and in no other cell of the region.
+    """
+    marked = cells.join(F.broadcast(hot), ["level", "cx", "cy"], "left")
+    divide = F.col("split").isNotNull() & ~F.col("inside")
+    n = F.pow(F.lit(2), F.col("split")).cast("long")
+    parts = (marked.where(divide)
+             .withColumn("cx", F.explode(F.sequence(F.col("cx") * n, F.col("cx") * n + n - 1)))
+             .withColumn("cy", F.explode(F.sequence(F.col("cy") * n, F.col("cy") * n + n - 1)))
+             .withColumn("level", F.col("level") - F.col("split")).drop("inside", "split"))
+    shaped = regions.withColumnRenamed("id", "region_id").withColumn("edges", geo.outline(F.col))
+    return marked.where(~divide).drop("split").unionByName(_classified(parts.join(shaped, "region_id"), cell))
+
+
 def region_geometry(regions: DataFrame) -> DataFrame:
     """``(region_id, parts, lines, ends, dots, bbox)``: each region's outline, once."""
     return regions.select(F.col("id").alias("region_id"), *REGION_COLUMNS)
@@ -177,7 +221,7 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
                 cell: float = DEFAULT_CELL, max_cells: int = DEFAULT_MAX_CELLS,
                 broadcast_max_edges: int = DEFAULT_BROADCAST_MAX_EDGES,
                 broadcast_max_cells: int = DEFAULT_BROADCAST_MAX_CELLS,
-                stats: CellStats | None = None) -> DataFrame:
+                stats: CellStats | None = None, hot_points: int | None = None, sample_rate: float = SAMPLE_RATE) -> DataFrame:
     """Inner join of points with every region that strictly contains them.
 
     ``regions`` is the output of :func:`region_table`; the result has the
@@ -188,8 +232,17 @@ def within_join(points: DataFrame, regions: DataFrame, lon: str = "lon", lat: st
 
     ``stats`` may be passed when already measured for a superset of
     ``regions`` (its counts bound the subset's; its levels cover them).
+
+    ``hot_points``: boundary cells that hold more points than that, by a
+    sample, are divided until they do not, so that few of the points of a busy
+    place at a border need the exact test, and no key holds many.
     """
     cells = region_cells(regions, cell, max_cells)
+    if hot_points is not None:
+        # written once: every use sees one choice of cells
+        folder = scratch(points.sparkSession, "cells")
+        refined(cells, regions, hot_cells(points, cells, lon, lat, cell, hot_points, sample_rate), cell).write.parquet(folder)
+        cells, stats = points.sparkSession.read.schema(cells.schema).parquet(folder), None
     geometry = region_geometry(regions)
     if stats is None:
         stats = cell_stats(cells, geometry)

@@ -118,6 +118,37 @@ def test_large_and_small_regions_use_several_levels(spark):
     assert kinds == {True, False}
 
 
+@pytest.mark.parametrize("bcast", [10**9, 0])
+def test_hot_cells_are_divided_and_lose_nothing(spark, bcast):
+    """Most points crowd around one corner of a polygon, on both sides of its border, some on it; another region is quiet."""
+    from civicflow.operators.spatial_join import hot_cells, refined, region_cells
+    rng = random.Random(5)
+    ring = [(0.3, 0.3), (6.1, 0.7), (5.2, 5.9), (0.9, 4.4), (0.3, 0.3)]
+    polys = [_poly(ring), _poly([(-3, -3), (1, -3), (1, 1), (-3, 1), (-3, -3)]), _poly([(8, 8), (9, 8), (9, 9), (8, 8)])]
+    pts = [(i, 0.3 + rng.gauss(0, 0.2), 0.3 + rng.gauss(0, 0.2)) for i in range(3000)]
+    pts += [(3000 + i, rng.uniform(-4, 10), rng.uniform(-4, 10)) for i in range(500)]
+    pts += [(4000, 0.3, 0.3), (4001, 1.0, 1.0), (4002, 1.0, 0.5), (4003, 0.6, 2.35), (4004, -0.0, 0.5)]
+    points, regions = spark.createDataFrame(pts, "pid int, lon double, lat double"), _regions(spark, polys)
+    cells = region_cells(regions, 1.0, 64)
+    hot = hot_cells(points, cells, "lon", "lat", 1.0, 100, 1.0)
+    fine = refined(cells, regions, hot, 1.0)
+    assert hot.count() > 0 and fine.agg(F.min("level")).first()[0] < cells.agg(F.min("level")).first()[0]
+    assert cells.where("inside").join(fine, cells.columns, "left_anti").count() == 0
+    # a sample finds them too
+    assert hot_cells(points, cells, "lon", "lat", 1.0, 100, 0.2).count() > 0
+    options = dict(cell=1.0, broadcast_max_edges=bcast, broadcast_max_cells=bcast)
+    got = _pairs(within_join(points, regions, hot_points=100, sample_rate=1.0, **options))
+    assert got == _pairs(within_join(points, regions, **options))
+    assert got == sorted((pid, k + 1) for pid, x, y in pts for k, g in enumerate(polys) if _inside_brute(x, y, [[tuple(p) for p in g["coordinates"][0]]]))
+    # few points are left for the exact test
+    def tested(c):
+        from civicflow.operators.spatial_join import point_cells
+        levels = tuple(r[0] for r in c.select("level").distinct().collect())
+        return point_cells(points, "lon", "lat", levels, 1.0).join(c.where(~F.col("inside")), ["level", "cx", "cy"]).count()
+
+    assert tested(fine) < tested(cells) / 2
+
+
 def test_join_plan_has_no_nested_loop(spark):
     regions = _regions(spark, [_poly(SQUARE)])
     points = spark.createDataFrame([(1, 1.0, 1.0)], "pid int, lon double, lat double")
@@ -188,7 +219,8 @@ def test_sides_are_never_wrong(spark):
         t = rng.choice([0.5, 0.25, rng.random(), 1 / 3, 1.0, 0.0])
         px, py = x1 + (x2 - x1) * t, y1 + (y2 - y1) * t
         if kind % 2:
-            px, py = rng.choice([px, math.nextafter(px, 999)]), rng.choice([py, math.nextafter(py, -999)])
+            # beside the edge by a last place (of a zero that would be a denormal number)
+            px, py = rng.choice([px, math.nextafter(px, 999) if px else px]), rng.choice([py, math.nextafter(py, -999) if py else py])
         rows.append((float(x1), float(y1), float(x2), float(y2), px, py))
     rows += [(0.1, 0.1, 0.3, 0.3, 0.2, 0.2), (1e-100, 0.0, 1.0, 1e-8, 0.5, 5e-9), (0.0, 0.0, 3.0, 1.0, 0.3, 0.1)]
     sign = geo.orientation(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "px", "py")])
