@@ -5,7 +5,8 @@ pairs (a repeated word is one feature), 3 bytes and 5 bytes, as shares of the
 family's n-grams.  A model is
 one weight per slot, so scoring is a gather and a sum over positions: no
 per-document dictionary, memory follows the chunk.  It is fitted on the
-driver from a bounded sample whose features are made in Spark.
+driver from a sample, bounded in rows and in bytes of text (``SAMPLE_BYTES``),
+whose features are made in Spark.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, emit_rows, mix, windows
+from civicflow.llm.stages import written
+from civicflow.llm.textmap import NOT_SPACE, Chunk, Words, drawn, emit_rows, mix, quoted, windows
 
 DIM = 1 << 15
 FAMILIES = 4
@@ -25,6 +28,8 @@ FAMILIES = 4
 SCALE = 20.0
 # rows of the sample in one product
 BLOCK = 100
+# bytes of text that a model is fitted on, about: the driver holds their features, some 30 bytes for each byte
+SAMPLE_BYTES = 12 << 20
 
 
 def slots(chunk: Chunk, words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -71,6 +76,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.a * self.raw(chunk, words) + self.b, -30, 30)))
 
 
+def bounded(sample: DataFrame, text: str, most: int = SAMPLE_BYTES) -> DataFrame:
+    """A sample of at most about ``most`` bytes of text: longer samples are thinned by a hash of the text.
+
+    Texts of more than a sixteenth of that are not used.
+    """
+    size = F.octet_length(quoted(text)).cast("long")
+    held = written(sample, "sample").filter(F.coalesce(size, F.lit(0)) <= most // 16)
+    total = held.agg(F.sum(size)).first()[0] or 0
+    return held.filter(drawn(F.xxhash64(quoted(text), F.lit(17)), most / total)) if total > most else held
+
+
 def features(sample: DataFrame, text: str, target: str, fold: str) -> list:
     """Rows (target, fold, slots, shares) of a bounded sample; slots and shares are packed arrays."""
     schema = T.StructType([T.StructField("target", T.DoubleType()), T.StructField("fold", T.LongType()),
@@ -92,7 +108,7 @@ def features(sample: DataFrame, text: str, target: str, fold: str) -> list:
         shares = [np.concatenate([x[1] for x in p]).tobytes() for p in per]
         return [batch.column(1).cast(pa.float64()), batch.column(2).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())]
 
-    return emit_rows(sample, text, [target, fold], schema, run).collect()
+    return emit_rows(bounded(sample, text), text, [target, fold], schema, run).collect()
 
 
 def fit(rows: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-4) -> Model:
