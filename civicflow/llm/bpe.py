@@ -8,9 +8,10 @@ the array when it has no pair left to merge.
 
 Cases: a null or empty text has no tokens and decodes to an empty text;
 strings of special tokens in a text are those tokens; ids that the vocabulary
-does not have decode to nothing, bytes that are no UTF-8 to U+FFFD; an empty
-table gives no rows; input columns with the names of result columns are
-replaced.
+does not have decode to nothing, bytes that are no UTF-8 to U+FFFD; a pre-token of any
+length is encoded whole (in time of its length times its merge rounds) and is
+not remembered beyond ``LONGEST_KNOWN`` letters; an empty table gives no rows;
+input columns with the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -29,8 +30,11 @@ from civicflow.llm.textmap import BATCH_ROWS, Chunk, map_text, others, quoted
 
 # fixed value: the pattern that byte-level vocabularies split text with
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# pre-tokens that a worker remembers, at most
-CACHE = 100_000
+# bytes of pre-tokens and their ids that a worker remembers, about, and the longest one remembered
+CACHE_BYTES = 16 << 20
+LONGEST_KNOWN = 256
+# bytes that remembering a pre-token takes beside its letters and ids
+KNOWN_BYTES = 150
 # rows decoded together
 DECODE_ROWS = 64
 _NEVER = np.int64(1) << 40
@@ -150,6 +154,7 @@ class Encoder:
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def split(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -161,8 +166,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
-        if len(self.known) > CACHE:
+        if self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
         new = list(set().union(*pieces) - self.known.keys())
         special = [w for w in new if w.startswith("\x00special:")]
         plain = [w for w in new if not w.startswith("\x00special:")]
@@ -170,7 +176,13 @@ class Encoder:
         for w in special:
             self.known[w] = np.array([self.vocabulary.special[w[9:]]], "<i4").tobytes()
         get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        out = [b"".join(map(get, p)) for p in pieces]
+        for w in new:
+            if len(w) > LONGEST_KNOWN:
+                del self.known[w]
+            else:
+                self.held += KNOWN_BYTES + len(w) + len(self.known[w])
+        return out
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
