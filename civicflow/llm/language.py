@@ -35,6 +35,8 @@ NGRAMS = (3, 4, 5)
 HASHES = 3
 SLOT_BITS = 20
 GRAMS = 30_000
+# values of lang that a model tells apart, at most
+LANGUAGES = 200
 MIN_DOCS = 2
 # training texts for each language, about
 SAMPLE = 1000
@@ -84,13 +86,20 @@ def _slots(h: np.ndarray) -> list[np.ndarray]:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE,
-          max_grams: int = GRAMS) -> Model:
-    """Learns one filter for each non-null language of ``docs``; ``key`` only draws the sample."""
+          max_grams: int = GRAMS, max_languages: int = LANGUAGES) -> Model:
+    """Learns one filter for each non-null language of ``docs``; ``key`` only draws the sample.
+
+    The driver holds up to ``max_grams`` n-grams a language and a bit for each
+    language in every slot; more than ``max_languages`` values of ``lang`` are
+    an error, not left out.
+    """
     known = docs.select(quoted(text).cast("string").alias("text"), quoted(lang).cast("string").alias("lang"),
                         F.xxhash64(quoted(key).cast("string"), F.lit(3)).alias("draw")
                         ).filter("lang is not null and text is not null")
     # one row for each language: bounded by the number of languages
-    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(max_languages + 1).collect()}
+    if len(totals) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not totals:
         return Model([], np.zeros((1 << SLOT_BITS, 1), np.uint64))
     languages = sorted(totals)
