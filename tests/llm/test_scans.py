@@ -349,3 +349,34 @@ def test_bpe_query(spark):
     for r in queries.QUERIES["op9_bpe"](spark, SMALL).collect():
         ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(",".join(map(str, ids))), sha(texts[r["doc_id"]]))
+
+
+def test_samples_are_bounded_in_bytes(spark):
+    from pyspark.sql import functions as F
+    from civicflow.llm import linear
+    rows = spark.range(0, 400, 1, 4).select(F.repeat(F.concat(F.lit("w"), "id", F.lit(" ")), F.lit(500)).alias("text"), F.col("id").alias("target"))
+    rows = rows.unionByName(spark.range(3).select(F.repeat(F.lit("long "), F.lit(100_000)).alias("text"), F.col("id").alias("target")))
+    size = F.sum(F.octet_length("text"))
+    whole = rows.agg(size).first()[0]
+    kept = linear.bounded(rows, "text", 200_000)
+    assert 100_000 < kept.agg(size).first()[0] < 300_000 < whole and kept.agg(F.max(F.octet_length("text"))).first()[0] < 12_500
+    assert linear.bounded(rows, "text", 16 * whole).count() == 403
+    assert linear.bounded(rows.limit(0), "text", 10).count() == 0
+
+
+def test_more_languages_than_a_model_holds(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}", f"l{i % 5}") for i in range(50)], "doc_id long, text string, lang string")
+    assert len(language.train(docs, max_languages=5).languages) == 5
+    with pytest.raises(ValueError):
+        language.train(docs, max_languages=4)
+
+
+def test_long_pre_tokens_are_not_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    encoder = bpe.Encoder(bpe.Vocabulary(VOCABULARY))
+    texts = ["a" * 5000 + " short", "b" * 300, "short words here"] + [f"word{i} other{i}" for i in range(50)]
+    want = bpe.Encoder(bpe.Vocabulary(VOCABULARY)).encode(texts)
+    for _ in range(3):
+        assert encoder.encode(texts) == want
+        assert max(map(len, encoder.known)) <= bpe.LONGEST_KNOWN
+    assert encoder.encode(["a"]) and len(encoder.known) <= 5
