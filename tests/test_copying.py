@@ -89,6 +89,7 @@ import os, sys
 sys.path.insert(0, {repo!r})
 from civicflow import session
 from civicflow.sinks import copying
+from civicflow.stores import Located
 
 class Killed(copying.FileWriter):
     def stream(self, source, target):
