@@ -40,15 +40,17 @@ def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
 
     A plain broadcast pickles objects by the names of their classes, which
     workers can only load with this package on their path.  Here classes of
-    this subpackage travel with the value, as its functions do.  A task
-    unpacks it once.
+    this subpackage travel with the value, as its functions do.  A worker
+    unpacks it once and keeps it with the broadcast, for all its tasks and as
+    long as Spark keeps the broadcast there; the packed bytes go.
     """
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    kept: list = []
 
     def get() -> Any:
-        if not kept:
-            kept.append(pickle.loads(packed.value))
-        return kept[0]
+        if not hasattr(packed, "_unpacked"):
+            packed._unpacked = pickle.loads(packed.value)
+            if getattr(packed, "_sc", None) is None and getattr(packed, "_path", None) and hasattr(packed, "_value"):
+                del packed._value
+        return packed._unpacked
 
     return get
