@@ -353,10 +353,14 @@ class Snapshot:
         if not self.buckets and len(self.partitions) != 1:
             return self.update(lambda current: upsert(current, batch), done)
         small = broadcastable(rows, size)
-        for _ in range(ATTEMPTS):
+        for attempt in range(ATTEMPTS):
             now = self.version()
             if done and now.done.get(done[0], -1) >= done[1]:
                 return now.number
+            if attempt and self.unique:
+                # what came in between may hold values that were free before
+                checked = self._checked(batch, key)
+                batch = checked if checked is batch else written_and_measured(checked)[0]
             touched, prefixes = self._touched(now, batch, small, key)
             rewritten = [f for f in now.folders if f.rsplit("/", 1)[-1] in touched]
             new = self._write(upsert(self._read(rewritten), batch), prefixes)
@@ -374,7 +378,7 @@ class Snapshot:
         """The current version, if what came after ``base`` left the partitions and keys of this merge alone."""
         now = self.version()
         theirs = [f for f in now.folders if f not in set(base.folders)]
-        if not set(rewritten) <= set(now.folders):
+        if not set(rewritten) <= set(now.folders) or (theirs and self.unique):
             return None
         last = {f.rsplit("/", 1)[-1] for f in theirs}
         if self.buckets:

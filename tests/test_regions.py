@@ -91,6 +91,28 @@ def test_regions_are_loaded_by_id_and_refused_by_rule(spark, tmp_dir):
     assert jobs.read_regions(spark, f"{tmp_dir}/one.json").count() == 6
 
 
+def test_two_writers_at_once_cannot_both_take_a_name(spark, tmp_dir):
+    table = jobs.regions_table(spark, f"{tmp_dir}/lake")
+    table.bucket_rows = 1
+
+    def rows(*items):
+        return spark.createDataFrame([(i, n, "{}") for i, n in items], "id int, name string, geojson string")
+
+    def put(batch, between=lambda: None):
+        def change(current, b):
+            between()
+            return upsert(current, b, ["id"], ["name", "geojson"])
+        table.merge(batch, ["id"], change)
+
+    put(rows(*[(i, f"n{i}") for i in range(8)]))
+    other = []
+    put(rows((100, "new"), (101, "mine")), lambda: other or other.append(put(rows((200, "new")))))
+    names = [r["name"] for r in table.read().collect()]
+    assert len(names) == len(set(names)) == 10 and "mine" in names
+    assert [r["rule"] for r in table.quarantined().collect()] == ["(name) unique"]
+    assert [r["id"] for r in table.read().where("name = 'new'").collect()] == [200]
+
+
 def test_refused_rows_are_all_kept_and_a_hot_key_is_one_row(spark, tmp_dir):
     table = Snapshot(spark, f"{tmp_dir}/t", catalog.PIPELINE_METRICS, buckets=["run_id", "table_target"])
     rows = spark.range(0, 3000, 1, 6).select(
