@@ -27,6 +27,8 @@ RUNTIME_CONF = {
     # a JSON object with a repeated key keeps the last value, as a
     # Python dict does, instead of turning the whole file NULL
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # folders are listed by tasks that take many each, not by a task a folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

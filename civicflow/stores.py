@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark import cloudpickle
@@ -17,6 +18,8 @@ from pyspark import cloudpickle
 # fixed values: Hadoop's scheme names and Arrow's
 SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
+# files that get another name at a time
+MOVES = 16
 # scheme, authority and path of a file as Spark lists it
 PLACE = re.compile(r"^([A-Za-z0-9+.-]+):(?://([^/]*))?(/.*)$", re.S)
 
@@ -41,6 +44,37 @@ def reachable(place: Located) -> bool:
     return place.scheme in SCHEMES
 
 
+def files_under(folder: Located) -> list[tuple[Located, str, int]]:
+    """(place, name below ``folder``, bytes) of the files of a folder in a reachable store, in one listing; hidden ones are left out."""
+    from pyarrow import fs
+
+    store, prefix = opened(folder.scheme, folder.authority)
+    root = prefix + folder.path.rstrip("/")
+    found = []
+    for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
+        relative = info.path[len(root) + 1:]
+        if info.type == fs.FileType.File and not any(part.startswith(("_", ".")) for part in relative.split("/")):
+            found.append((folder._replace(path=info.path[len(prefix):]), relative, info.size))
+    return found
+
+
+def end_in(folder: Located, old: str, new: str) -> None:
+    """Gives the files below a folder of a reachable store that end in ``old`` the ending ``new``, and their checksum files (``.<name>.crc``) too."""
+    from pyarrow import fs
+
+    store, prefix = opened(folder.scheme, folder.authority)
+
+    def move(path: str) -> None:
+        crc = ".crc" if path.endswith(".crc") else ""
+        store.move(path, path.removesuffix(old + crc) + new + crc)
+
+    names = [info.path for info in store.get_file_info(fs.FileSelector(prefix + folder.path, recursive=True))
+             if info.type == fs.FileType.File and (info.base_name.endswith(f"{old}.crc") if info.base_name.startswith(".") else info.base_name.endswith(old))]
+    # names only, no bytes, on stores that can rename
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(move, names))
+
+
 def opened(scheme: str, authority: str):
     """(Arrow file system, prefix of its paths)."""
     from pyarrow import fs

@@ -182,3 +182,22 @@ def test_the_next_swap_mends_one_that_died(spark, tmp_dir):
     put(f"{tmp_dir}/new/d=2", "new")
     tables.swap_folders(fs, jvm, {f"{tmp_dir}/t/d=1": f"{tmp_dir}/new/d=1", f"{tmp_dir}/t/d=2": f"{tmp_dir}/new/d=2"})
     assert sorted(os.listdir(f"{tmp_dir}/t")) == ["d=2"] and read(f"{tmp_dir}/t/d=2") == "new"
+
+
+def test_folders_are_listed_at_once(spark, tmp_dir, monkeypatch):
+    """The Hadoop client's listing, with calls for each file, is for stores that Arrow does not know."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(landing, "files_below", None)
+    docs = spark.range(30).select(F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")).alias("date"), F.col("id").alias("pos"),
+                                  F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit("}")).alias("doc"))
+    landing.write_json_lists(docs, f"{tmp_dir}/lists", per_file=10)
+    with open(f"{tmp_dir}/lists/_note", "w") as f:
+        f.write("hidden")
+    landing.land_source(spark, "s", f"{tmp_dir}/lists", f"{tmp_dir}/raw", "2024-01-05")
+    landed = files(f"{tmp_dir}/raw")
+    assert len(landed) == 9 and all(name.endswith(".json") for name in landed)
+    assert {name.split("/")[2] for name in landed} == {"date=2024-01-01", "date=2024-01-02", "date=2024-01-03"}
+    # checksum files have followed
+    assert not [n for _, _, names in os.walk(f"{tmp_dir}/lists") for n in names if ".txt" in n]
+    assert spark.read.text(f"{tmp_dir}/lists").count() == 9
