@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+# bytes of a stored table that are one task's share of heavy row work
+DEAL_BYTES = 2 << 20
 # operators whose partitioning is not the scan's, or that would have to run to be inspected
 _SHUFFLING = ("Exchange", "Join", "Aggregate", "Window", "Sort", "Subquery", "AdaptiveSparkPlan")
 # a scan with this share of the cores is left as it is
@@ -43,3 +45,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = input_partitions(df)
     return df.repartition(target) if n is not None and n * ENOUGH <= target else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of a stored table, dealt evenly over as many tasks as its size asks for, at least one a core.
+
+    For heavy work on narrow rows, which costs far more than their shuffle.
+    The splits of a Parquet file say little about its rows: a row group lies
+    whole in one of them and leaves others empty, so a file may have as many
+    splits as there are cores and one busy task.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // DEAL_BYTES)))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.functions.common import idiv, ntz
-from civicflow.operators.parallel import spread
+from civicflow.operators.parallel import dealt
 from civicflow.schemas import REGION_SOURCE
 
 EVENTS_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
@@ -66,7 +66,7 @@ def ev_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty bronze events; ``ds`` is the landing day (day of the clean ts)."""
-    g = spread(ev_geo(spark, sf_dir))
+    g = dealt(ev_geo(spark, sf_dir))
     i = F.col("id")
     return g.select(
         i.cast("string").alias("id"),
@@ -173,7 +173,7 @@ def _doc(event_id: Column, xid: Column, d: Column, t: Column, cu: Column) -> Col
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file_key, pos, fmt, xid, doc (JSON text); one document per event."""
-    e = spread(events(spark, sf_dir))
+    e = dealt(events(spark, sf_dir))
     i = F.col("event_id")
     xid = F.concat(F.lit("REQ-"), ((i % 4000) - (i % 2)).cast("string"))
     cu = F.concat(F.lit("C"), F.col("user_id").cast("string"))

@@ -131,3 +131,46 @@ def test_daily_avg_of_only_null_values_is_null(spark):
 def test_hot_keys_are_pre_aggregated_before_the_shuffle(spark, name, partial):
     plan = _plan(entry.queries()[name](spark, SMALL))
     assert partial in plan
+
+
+def test_tables_of_one_row_group_are_dealt(spark, tmp_dir):
+    """A file with one row group has many splits and rows in one of them; its documents are built by all tasks, each with its share."""
+    from pyspark.sql import functions as F
+
+    from civicflow.sources import fixtures
+    fixtures.events(spark, SMALL).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for df in (fixtures.docs(spark, tmp_dir), fixtures.raw_ev(spark, tmp_dir)):
+            counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(counts) >= 4 and max(counts) <= 500 and sum(counts) == 1000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_large_table_is_dealt_by_its_size(spark, monkeypatch):
+    from civicflow.operators import parallel
+    scan = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert parallel.dealt(scan).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(parallel, "DEAL_BYTES", 1000)
+    assert parallel.dealt(scan).rdd.getNumPartitions() > 8
+
+
+def test_documents_of_other_files_are_not_built(spark):
+    """Files are chosen below the generator, so a load parses its own documents only."""
+    from pyspark.sql import functions as F
+
+    from civicflow import catalog
+    df = catalog.report_docs(spark, SMALL, F.col("file_key") < catalog.REPORT_SPLIT_DAY)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan[plan.index("Repartition"):]
+    assert df.count() == catalog.report_docs(spark, SMALL).where(F.col("file_key") < catalog.REPORT_SPLIT_DAY).count() > 0
+
+
+def test_constraint_checks_normalise_once(spark, monkeypatch):
+    from civicflow import catalog
+    calls, normalize = [], catalog.reports.normalize
+    monkeypatch.setattr(catalog.reports, "normalize", lambda *a: calls.append(a) or normalize(*a))
+    catalog.QUERIES["constraint_checks"](spark, SMALL)
+    assert len(calls) == 1
