@@ -200,14 +200,17 @@ FIRST_LOAD_AT = "2024-01-16 00:00:00"
 SECOND_LOAD_AT = "2024-02-01 00:00:00"
 
 
-def report_docs(spark, sf_dir):
-    """Documents as a scan yields them: generated rows of (file, pos, variant).
+def report_docs(spark, sf_dir, files=None):
+    """Documents as a scan yields them: generated rows of (file, pos, variant), of the files that ``files`` holds for.
 
     Going through a generator (as the file scan's posexplode does) keeps
     filters on normalised fields from being pushed into, and inlined with,
-    the text that builds each document.
+    the text that builds each document.  Files are chosen before it, so the
+    documents of others are not built and parsed.
     """
     d = fixtures.docs(spark, sf_dir)
+    if files is not None:
+        d = d.where(files)
     row = F.struct(F.col("file_key"), F.col("pos"), F.try_parse_json("doc").alias("doc"))
     return d.select(F.inline(F.array(row)))
 
@@ -245,23 +248,25 @@ def q_reports_dedupe(spark, sf_dir):
     return reports.dedupe(reports.normalize(report_docs(spark, sf_dir))).drop("original_doc", "shape")
 
 
-def reports_table(spark, sf_dir):
-    """Two loads into the bucketed table: files before REPORT_SPLIT_DAY, then the rest (K5 twice)."""
-    docs = report_docs(spark, sf_dir)
+def reports_table(spark, sf_dir, normalized=None):
+    """Two loads into the bucketed table: files before REPORT_SPLIT_DAY, then the rest (K5 twice).
+
+    ``normalized``: a written table of all normalised documents, if there is one.
+    """
     table = incremental.reports_table(spark, session.scratch(spark, "citizen-reports"))
     for part, at in ((F.col("file_key") < REPORT_SPLIT_DAY, FIRST_LOAD_AT), (F.col("file_key") >= REPORT_SPLIT_DAY, SECOND_LOAD_AT)):
-        rows = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(part))))
+        docs = normalized.where(part) if normalized is not None else reports.normalize(report_docs(spark, sf_dir, part))
+        rows = reports.to_table_rows(reports.dedupe(docs))
         table.merge(rows, reports.REPORT_KEY, partial(reports.upsert_reports, ingested_at=F.lit(at).cast("timestamp_ntz")))
     return table.read()
 
 
 def _indexed_reports(spark, sf_dir):
     """The two loads into the bucketed table and its path index."""
-    docs = report_docs(spark, sf_dir)
     root = session.scratch(spark, "indexed-reports")
     table, index = incremental.reports_table(spark, f"{root}/table"), path_index.index_table(spark, f"{root}/index")
     for part, at in ((F.col("file_key") < REPORT_SPLIT_DAY, FIRST_LOAD_AT), (F.col("file_key") >= REPORT_SPLIT_DAY, SECOND_LOAD_AT)):
-        rows = reports.to_table_rows(reports.dedupe(reports.normalize(docs.where(part))))
+        rows = reports.to_table_rows(reports.dedupe(reports.normalize(report_docs(spark, sf_dir, part))))
         reports.merge_reports(table, rows, F.lit(at).cast("timestamp_ntz"), index)
     return table, index
 
