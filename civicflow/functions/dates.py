@@ -59,13 +59,20 @@ def epoch_seconds(secs: Column) -> Column:
 
 
 def normalize_date(v: Column) -> Column:
-    """Variant date field → ``timestamp_ntz`` (see module doc)."""
+    """Variant date field → ``timestamp_ntz`` (see module doc).
+
+    Kind and text are read where every row needs them: Spark evaluates an
+    expression once for each row only if no branch decides whether it is
+    needed; in a branch for texts each layout would read the text again.
+    """
     kind = F.schema_of_variant(v)
     is_number = kind.isin(*_NUMBER_KINDS) | kind.startswith("DECIMAL")
-    secs = F.try_variant_get(v, "$", "decimal(38,6)")
     text = F.try_variant_get(v, "$", "string")
-    return (F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("timestamp_ntz"))
-            .when(is_number, F.when(secs != 0, epoch_seconds(secs)))
-            # a JSON true is the integer 1 to Python
-            .when(kind == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), epoch_seconds(F.lit(1))))
-            .when(kind == "STRING", parse_date_text(text)))
+    # from the text: a variant's own cast to a decimal is set up anew for each row
+    secs = text.try_cast("decimal(38,6)")
+    # the kinds exclude each other; NULL and JSON null have none of them
+    return F.coalesce(
+        parse_date_text(F.when(kind == "STRING", text)),
+        F.when(is_number, F.when(secs != 0, epoch_seconds(secs))),
+        # a JSON true is the integer 1 to Python
+        F.when((kind == "BOOLEAN") & (text == "true"), epoch_seconds(F.lit(1))))
