@@ -523,7 +523,7 @@ def q_constraint_checks(spark, sf_dir):
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     batch = once("batch", reports.normalize(report_docs(spark, sf_dir)))
-    table = reports_table(spark, sf_dir)
+    table = reports_table(spark, sf_dir, batch)
     target, retry = (once(f"metrics{i}", df) for i, df in enumerate(_metrics_attempts(spark, sf_dir)))
     attempts = target.unionByName(retry, allowMissingColumns=True)
     metrics = once("metrics", ingest.upsert_metrics(target, retry))
